@@ -1,16 +1,70 @@
-"""The corpus pipeline: stages that each call one operator and keep the columns of documents, the last one excepted."""
+"""The corpus pipeline: stages that each call one operator and, but for the last, keep the columns of documents.
+
+1. quality: documents that the co-trained classifier rejects go (labels come from the folder of the tables).
+2. lines: lines that resemble an earlier line go; documents of which nothing is left go.
+3. near_duplicates: of each group of linked documents the one of smallest id stays.
+4. mix: documents are sampled so that source, language and topic weights are tempered.
+5. tokens: what is left is encoded to pieces.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpusmill.llm.op2_mix_weights import mix_weights
+from corpusmill.llm.op4_quality_cotrain import score_quality
+from corpusmill.llm.op7_piece_tokenizer import encode_documents
+from corpusmill.llm.op8_jaccard_join import jaccard_components
+from corpusmill.llm.op9_line_dedup import dedup_lines
+from corpusmill.llm.shared import stored
+from corpusmill.sources.tables import table
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Share of the words that the mixing stage keeps.
+MIX_SHARE = 0.9
+
+
+def _only(docs: DataFrame, keep: DataFrame) -> DataFrame:
+    """Rows of docs whose doc_id is in `keep` (doc_id alone, distinct). Kept ids are far smaller than texts, but not bounded: a join."""
+    return docs.join(keep, "doc_id", "left_semi").select(*COLUMNS)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    scores = score_quality(docs, table(spark, sf_dir, "labels"), carry=COLUMNS)
+    return scores.where("accepted").select(*COLUMNS)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """n_chars follows the text. A document that had no word before stays as it was."""
+    out = dedup_lines(docs.select(*COLUMNS))
+    out = out.where("not (n_lines_removed > 0 and text = '')")
+    return out.withColumn("n_chars", F.when(F.col("n_lines_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    first = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
+    return _only(docs, first)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mix_weights(docs, share=MIX_SHARE, carry=COLUMNS).where("kept").select(*COLUMNS)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return encode_documents(docs)
+
 
-STAGES: list = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates), ("mix", mix), ("tokens", tokens)]
+#: Training, raking and Viterbi have no form in SQL; tests hold the stages against brute force instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other, over documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over documents, each written to the shared folder and read again as the next one's docs."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
