@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.kernels import lower_ascii, shingles, slices, span_hashes, utf8, words
-from corpusmill.llm.postings import Sets, prefix_pairs, shared_sets
+from corpusmill.llm.postings import Sets, cross_lists, hub_links, prefix_pairs, shared_sets
 from corpusmill.llm.shared import components, stored
 
 
@@ -36,7 +36,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     token names its first set, and counts by first set are lower bounds of the overlap, so that near copies join one
     leader without any pair of theirs being listed. Copies share one class. From then on a set is asked only about
     tokens that sets of another component hold too; if too few are left for any partner, its answers are its leader's.
-    The rest meet in posting lists that are skipped by block, by size and position, and are verified exactly.
+    Then the heaviest set that holds a token, the one that near copies vary, leads in the same way. The rest meet in posting lists that are skipped by block, by size and position, and are verified exactly.
 
     A null id: n_shingles and component_id null, no links. Null text: as empty. Rows that repeat an id: one row each,
     one component. Columns of any other name are ignored. An empty table: no rows.
@@ -49,9 +49,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     first = stored(alive.groupBy("digest", "n").agg(F.min("key1").alias("b")), "classes")
     same = alive.join(first, ["digest", "n"]).selectExpr("key1 as a", "b").where("a <> b")
     near = stored(components(star.union(same)), "near")
-    asked = alive.join(first, ["digest", "n"]).where("key1 = b").select(F.col("key1").alias("id"), "n", "tokens").dropDuplicates(["id"])
-    asked = asked.join(near, "id", "left").selectExpr("id", "coalesce(component, id) as label", "n", "tokens")
-    far = components(prefix_pairs(asked, num, den).select("la", "lb"), "la", "lb").selectExpr("id as component", "component as wider")
+    asked = alive.join(first, ["digest", "n"]).where("key1 = b").select(F.col("key1").alias("id"), "n", "tokens", "weight").dropDuplicates(["id"])
+    asked = stored(asked.join(near, "id", "left").selectExpr("id", "coalesce(component, id) as label", "n", "tokens", "weight"), "asked")
+    listed = cross_lists(asked, num, den)
+    wide = components(hub_links(listed, asked, num, den), "label", "other").selectExpr("id as label", "component as wider")
+    left = listed.join(wide, "label", "left").selectExpr("id", "coalesce(wider, label) as label", "n", "transform(s, x -> x.tok) as tokens", "cast(0 as float) as weight")
+    far = components(prefix_pairs(left, num, den).selectExpr("la as label", "lb as other").unionByName(wide.selectExpr("label", "wider as other")), "label", "other").selectExpr("id as component", "component as wider")
     merged = near.unionByName(asked.selectExpr("id", "label as component")).distinct().join(far, "component", "left").selectExpr("id as key1", "coalesce(wider, component) as component_id")
     out = found.select("key1", "n").join(merged, "key1", "left").selectExpr(f"key1 as {id_col}", "n as n_shingles", "coalesce(component_id, key1) as component_id")
     lost = rows.where("id is null").selectExpr(f"id as {id_col}", "cast(null as long) as n_shingles", "cast(null as long) as component_id")

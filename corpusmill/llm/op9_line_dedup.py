@@ -43,10 +43,10 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     length and positional filters (`prefix_pairs`), and are verified exactly.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
-    lines = stored(shared_sets(rows, line_sets(k), num, den).selectExpr("xxhash64(digest, n) as class", "struct(key1, key2) as at", "n", "tokens"), "lines")
+    lines = stored(shared_sets(rows, line_sets(k), num, den).selectExpr("xxhash64(digest, n) as class", "struct(key1, key2) as at", "n", "tokens", "weight"), "lines")
     classes = stored(lines.groupBy("class").agg(F.min("at").alias("first")), "classes")
-    member = lines.select("class", "at", "n", "tokens").join(classes, "class")
-    asked = member.where("at = first").selectExpr("class as id", "class as label", "n", "tokens").dropDuplicates(["id"])
+    member = lines.select("class", "at", "n", "tokens", "weight").join(classes, "class")
+    asked = member.where("at = first").selectExpr("class as id", "class as label", "n", "tokens", "weight").dropDuplicates(["id"])
     pairs = prefix_pairs(asked, num, den).join(classes.selectExpr("class as a", "first as fa"), "a").join(classes.selectExpr("class as b", "first as fb"), "b")
     later = pairs.selectExpr("case when fa < fb then b else a end as class").distinct()
     gone = lines.select("class", "at").join(classes, "class").join(later.withColumn("later", F.lit(True)), "class", "left").where("later or at <> first")

@@ -141,20 +141,24 @@ def match(rows: pa.Table) -> pa.Table:
     lead = np.maximum.accumulate(np.where(np.concatenate([[True], ~same]), np.arange(len(tok)), 0))
     keep = np.flatnonzero(shared)
     lead, tok, src = order[lead[keep]], tok[keep], order[keep]
+    # How many sets hold the token, as 8 * log2 in a byte.
+    heads = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]])) if len(tok) else np.zeros(0, np.int64)
+    runs = np.diff(np.concatenate([heads, [len(tok)]]))
+    level = np.repeat(np.minimum(8 * np.log2(np.maximum(runs, 1)), 255).astype(np.uint8), runs)
     at = np.argsort(row[src], kind="stable")
-    lead, tok, src = lead[at], tok[at], src[at]
+    lead, tok, src, level = lead[at], tok[at], src[at], level[at]
     out_row, cuts = np.unique(row[src], return_index=True)
     bodies = []
     for a, b in zip(cuts, [*cuts[1:], len(src)], strict=True):
         body = pack((tok[a:b] << np.uint64(16)) | idx[src[a:b]].astype(np.uint64))
         lead_batch, code = np.unique(names[row[lead[a:b]]], return_inverse=True)
-        bodies.append(np.int64(b - a).tobytes() + body + planes(code.astype(np.uint32), 4) + idx[lead[a:b]].astype(np.uint16).tobytes() + lead_batch.tobytes())
+        bodies.append(np.int64(b - a).tobytes() + body + planes(code.astype(np.uint32), 4) + idx[lead[a:b]].astype(np.uint16).tobytes() + level[a:b].tobytes() + lead_batch.tobytes())
     back = pa.table([pa.array(names[out_row]), pa.array(np.full(len(bodies), ENTRIES, np.int32)), pa.array(names[out_row]), pa.array(bodies, pa.binary())], schema=_ROW_PA)
     return pa.concat_tables([through.cast(_ROW_PA), back])
 
 
-_SETS = "batch long, idx int, key1 long, key2 long, n long, digest long, tokens array<long>, lead_batch long, lead_idx int, lead_overlap long"
-_SETS_PA = pa.schema([("batch", pa.int64()), ("idx", pa.int32()), ("key1", pa.int64()), ("key2", pa.int64()), ("n", pa.int64()), ("digest", pa.int64()), ("tokens", pa.list_(pa.int64())), ("lead_batch", pa.int64()), ("lead_idx", pa.int32()), ("lead_overlap", pa.int64())])
+_SETS = "batch long, idx int, key1 long, key2 long, n long, digest long, tokens array<long>, lead_batch long, lead_idx int, lead_overlap long, weight float"
+_SETS_PA = pa.schema([("batch", pa.int64()), ("idx", pa.int32()), ("key1", pa.int64()), ("key2", pa.int64()), ("n", pa.int64()), ("digest", pa.int64()), ("tokens", pa.list_(pa.int64())), ("lead_batch", pa.int64()), ("lead_idx", pa.int32()), ("lead_overlap", pa.int64()), ("weight", pa.float32())])
 
 
 def gather(num: int, den: int, keep_all: bool) -> Callable[[pa.Table], pa.Table]:
@@ -173,23 +177,24 @@ def gather(num: int, den: int, keep_all: bool) -> Callable[[pa.Table], pa.Table]
             if kind == KEPT:
                 n = len(body) // 10
                 tok, idx = unpack(body[: 8 * n])
-                own.append((tok, idx, np.zeros(n, np.int64), np.frombuffer(body[8 * n :], np.uint16), np.zeros(n, np.int8)))
+                own.append((tok, idx, np.zeros(n, np.int64), np.frombuffer(body[8 * n :], np.uint16), np.zeros(n, np.int8), np.full(n, int(8 * np.log2(HOT)), np.uint8)))
             else:
                 n = int(np.frombuffer(body[:8], np.int64)[0])
                 tok, idx = unpack(body[8 : 8 + 8 * n])
                 code = unplanes(body[8 + 8 * n :], n, 4, np.uint32)
                 lead = np.frombuffer(body, np.uint16, n, 8 + 12 * n)
-                known = np.array([names.setdefault(int(x), len(names)) for x in np.frombuffer(body, np.int64, -1, 8 + 14 * n)], np.int64)
-                own.append((tok, idx, known[code], lead, np.full(n, -1, np.int8)))
-        cols = [np.concatenate(c) for c in zip(*own, strict=True)] if own else [np.zeros(0, np.int64)] * 5
-        tok, idx, lead_batch, lead, rank = cols
+                known = np.array([names.setdefault(int(x), len(names)) for x in np.frombuffer(body, np.int64, -1, 8 + 15 * n)], np.int64)
+                own.append((tok, idx, known[code], lead, np.full(n, -1, np.int8), np.frombuffer(body, np.uint8, n, 8 + 14 * n)))
+        cols = [np.concatenate(c) for c in zip(*own, strict=True)] if own else [np.zeros(0, np.int64)] * 6
+        tok, idx, lead_batch, lead, rank, level = cols
         order = np.lexsort((rank, tok, idx))  # of a token that came both ways, the wider search's answer
-        tok, idx, lead_batch, lead = tok[order], idx[order].astype(np.int64), lead_batch[order], lead[order]
+        tok, idx, lead_batch, lead, level = tok[order], idx[order].astype(np.int64), lead_batch[order], lead[order], level[order]
         if len(tok):
             once = np.concatenate([[True], (tok[1:] != tok[:-1]) | (idx[1:] != idx[:-1])])
-            tok, idx, lead_batch, lead = tok[once], idx[once], lead_batch[once], lead[once]
+            tok, idx, lead_batch, lead, level = tok[once], idx[once], lead_batch[once], lead[once], level[once]
         shared = np.bincount(idx, minlength=len(size))
         alive = (den * shared >= num * size) & (size > 0)
+        weight = np.bincount(idx, level.astype(float), minlength=len(size)) / np.maximum(size, 1)
         take = alive[idx] if len(idx) else np.zeros(0, bool)
         tok, idx, lead_batch, lead = tok[take], idx[take], lead_batch[take], lead[take]
         # Overlap with each first set but the set itself; the best one, ties to the smaller reference.
@@ -213,7 +218,7 @@ def gather(num: int, den: int, keep_all: bool) -> Callable[[pa.Table], pa.Table]
         return pa.table(
             [
                 pa.array(np.full(len(out), name)), pa.array(out.astype(np.int32)), pa.array(key1[out]), pa.array(key2[out]), pa.array(size[out]), pa.array(digest[out]), tokens,
-                pa.array(by_code[np.maximum(lead_of[out], 0) >> 16], mask=~has), pa.array((np.maximum(lead_of[out], 0) & 0xFFFF).astype(np.int32), mask=~has), pa.array(lead_n[out], mask=~has),
+                pa.array(by_code[np.maximum(lead_of[out], 0) >> 16], mask=~has), pa.array((np.maximum(lead_of[out], 0) & 0xFFFF).astype(np.int32), mask=~has), pa.array(lead_n[out], mask=~has), pa.array(weight[out].astype(np.float32)),
             ],
             schema=_SETS_PA,
         )
@@ -232,8 +237,28 @@ def shared_sets(docs: DataFrame, sets: Callable[[Iterator[pa.RecordBatch]], Iter
     return back.groupBy("batch").applyInArrow(gather(num, den, keep_all), _SETS)
 
 
+def cross_lists(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(id, label, n, s): sets of `sets` (id, label, n, tokens, weight) that hold num/den of their n tokens in common with sets
+    of other labels, s listing these tokens as (df, tok, hub): their document frequency and, of the sets that hold the
+    token, the heaviest. Stored."""
+    each = sets.select("id", "label", "n", "weight", F.explode("tokens").alias("tok"))
+    freq = each.groupBy("tok").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("df"), F.max(F.struct("weight", "id")).alias("hub")).where("lo < hi")
+    entry = each.select("id", "label", "n", "tok").join(freq.selectExpr("tok + 0L as tok", "df", "hub.id as hub"), "tok")
+    listed = entry.groupBy("id", "label", "n").agg(F.sort_array(F.collect_list(F.struct("df", "tok", "hub"))).alias("s"))
+    return stored(listed.where(f"{den} * size(s) >= {num} * n"), "listed")
+
+
+def hub_links(listed: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(label, other): labels that a link joins, by the overlaps of `cross_lists` sets with their tokens' hubs. The counts are
+    lower bounds, so every link is one; a hub of many near copies is found without listing their pairs."""
+    counts = listed.select("id", "label", "n", F.explode("s.hub").alias("hub")).where("hub <> id").groupBy("id", "label", "n", "hub").agg(F.count("*").alias("overlap"))
+    close = counts.where(f"{den} * overlap >= {num} * n")
+    other = sets.selectExpr("id as hub", "label as other", "n as nh")
+    return close.join(other, "hub").where(f"{den} * overlap >= {num} * (n + nh - overlap)").select("label", "other")
+
+
 def prefix_pairs(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b, la, lb) of `sets` (id long, label long, n long, tokens array<long>) with unequal labels and
+    """Pairs (a, b, la, lb) of `sets` (id long, label long, n long, tokens array<long>, weight) with unequal labels and
     den * |intersection| >= num * |union|, verified; a < b.
 
     `tokens` may leave out tokens of this set alone; n counts them. Only tokens that sets of two labels hold can be in
@@ -241,11 +266,7 @@ def prefix_pairs(sets: DataFrame, num: int, den: int) -> DataFrame:
     n - ceil(num/den n) + 1 tokens, those of one label first. Posting lists of prefix tokens are sorted by size and cut
     into blocks; a block is skipped for a block whose length filter or positional bound its sizes and positions can't meet.
     """
-    each = sets.select("id", "label", "n", F.explode("tokens").alias("tok"))
-    freq = each.groupBy("tok").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("df")).where("lo < hi")
-    entry = each.join(freq.selectExpr("tok + 0L as tok", "df"), "tok")
-    listed = entry.groupBy("id", "label", "n").agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("s"))
-    listed = stored(listed.where(f"{den} * size(s) >= {num} * n"), "listed")
+    listed = cross_lists(sets, num, den)
     need = f"cast(ceil(n * {num} / {den}D) as int)"
     pre = listed.selectExpr("id", "label", "n", "size(s) as c", f"posexplode(slice(s, 1, greatest(0, size(s) - {need} + 1))) as (pos, t)").selectExpr("id", "label", "n", "t.tok as tok", "cast(pos as long) + n - c as pos")
     parts = 4 * int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
