@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from corpusmill.plans import text
+from corpusmill.plans import quality, records, text
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for module in (text,):
+for module in (text, records, quality):
     QUERIES |= module.QUERIES
     ORACLES |= module.ORACLES
