@@ -16,6 +16,8 @@ from corpusmill.llm.kernels import K1, K3, lower_ascii, mix, slices, span_hashes
 #: that a view hands over in a round.
 LABELLED, POOL, ROUNDS, HANDED = 4000, 2000, 4, 150
 N_SOURCE, N_LANG, N_LEN = 64, 16, 14
+#: Keeps the slopes of small calibration sets from running away.
+CALIBRATION_RIDGE = 1.0
 META = ("source", "lang", "n_chars")
 
 
@@ -147,8 +149,8 @@ def co_train(xt: np.ndarray, xm: np.ndarray, y: np.ndarray, pt: np.ndarray, pm:
             at = np.array(sorted(given[v]), np.int64)
             rows = np.concatenate([x[~keep], p[at]])
             view = fit_view(rows, np.concatenate([y[~keep], [given[v][i] for i in at]]), np.concatenate([np.ones((~keep).sum()), np.full(len(at), 0.5)]))
-            slope, shift = fit_linear(view.raw(x[cal])[:, None], y[cal], np.ones(cal.sum()), 1e-3)
-            view.slope, view.shift = float(slope[0]), shift
+            slope, shift = fit_linear(view.raw(x[cal])[:, None], y[cal], np.ones(cal.sum()), CALIBRATION_RIDGE)
+            view.slope, view.shift = float(max(slope[0], 0.0)), shift
             views.append(view)
         if turn == rounds or not len(pt):
             break
@@ -161,7 +163,7 @@ def co_train(xt: np.ndarray, xm: np.ndarray, y: np.ndarray, pt: np.ndarray, pm:
                 for i in order[:n]:
                     other[i] = label
     z = np.stack([views[0].logit(xt[cal]), views[1].logit(xm[cal])], axis=1)
-    w, b = fit_linear(z, y[cal], np.ones(cal.sum()), 1.0)
+    w, b = fit_linear(z, y[cal], np.ones(cal.sum()), CALIBRATION_RIDGE)
     return Model(views[0], views[1], np.array([*np.maximum(w, 0), b]))
 
 
