@@ -87,7 +87,14 @@ def scan_blobs(versions: DataFrame, ledger: DataFrame | None = None, text_col: s
         asked = blobs.join(old, "blob", "left").withColumns({"seen": F.coalesce("seen", F.array().cast("array<string>")), "spans": F.coalesce("spans", F.array().cast(_SPANS))})
     asked = asked.where(F.size(F.array_except(names, "seen")) > 0)
     todo = {r: ~F.array_contains("seen", r.name) for r in rules}
-    stays = F.filter("spans", lambda s: ~F.coalesce(F.reduce(F.array(*[F.when(todo[r], F.lit(r.kind)) for r in rules]), F.lit(False), lambda a, k: a | F.coalesce(k == s["kind"], F.lit(False))), F.lit(False)))
+
+    def replaced(span: Column) -> Column:
+        out = F.lit(False)
+        for r in rules:
+            out = out | (todo[r] & (span["kind"] == r.kind))
+        return out
+
+    stays = F.filter("spans", lambda span: ~replaced(span))
     new = F.concat(stays, *[F.when(todo[r], matches(F.col("text"), r, i)).otherwise(F.array().cast(_SPANS)) for i, r in enumerate(rules)])
     scanned = asked.select("blob", F.array_sort(F.array_union("seen", names)).alias("seen"), F.array_sort(new).alias("spans"))
     if ledger is None:
