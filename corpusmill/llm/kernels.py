@@ -127,3 +127,9 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(counts)
     return np.arange(total) - np.repeat(ends - counts, counts) + np.repeat(np.asarray(starts, np.int64), counts)
+
+
+def spans(starts: np.ndarray, end: int) -> Iterator[tuple[int, int]]:
+    """Start and end of each run, given where runs start and where the last one ends; none for no runs."""
+    edges = [*map(int, starts), end]
+    return zip(edges[:-1], edges[1:], strict=True)

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.kernels import K1, mix
+from corpusmill.llm.kernels import K1, mix, spans
 from corpusmill.llm.shared import components, stored
 
 #: Tables, cells probed in each besides the own one, and lattice units that a unit vector's whole length is stretched to.
@@ -143,7 +143,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         cut = np.flatnonzero(new)
         count, root = np.zeros(len(cls), np.int64), np.arange(len(cls))
         edges = []
-        for a, b in zip(cut, [*cut[1:], len(owner)], strict=True):
+        for a, b in spans(cut, len(owner)):
             mid = a + int(np.searchsorted(member[a:b], True))
             x, y = owner[a:mid], owner[mid:b]
             if not len(x) or not len(y):

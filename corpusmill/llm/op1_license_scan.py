@@ -139,7 +139,8 @@ def align(a: np.ndarray, b: np.ndarray, shift: int, band: int = BAND) -> list[tu
 def scan_text(h: np.ndarray, index: Index, coverage: float, hits: tuple[np.ndarray, np.ndarray] | None = None) -> list[tuple[str, float, int, int, int]]:
     """(license, coverage, matched words, first word, last word) of the templates in one text, by its word hashes.
 
-    Fingerprint hits of a template that lie within half a band of diagonals, or half the template, make one candidate. Among
+    Fingerprint hits of a template that lie within half a band of diagonals, or half the template, make one candidate; the
+    band is half of a short template. Among
     reported matches whose spans overlap, one whose matched words are all of a longer match's span goes: the notice
     inside a header is part of the header."""
     if hits is None:
@@ -154,11 +155,12 @@ def scan_text(h: np.ndarray, index: Index, coverage: float, hits: tuple[np.ndarr
     last = None
     for t, s in zip(tmpl, shift, strict=True):
         a = index.words[t]
-        if last and last[0] == t and s - last[1] <= min(BAND, len(a)) // 2:
+        band = min(BAND, len(a) // 2)
+        if last and last[0] == t and s - last[1] <= band // 2:
             continue
         last = (t, s)
-        lo, hi = max(0, s - BAND), min(len(h), s + len(a) + BAND)
-        pairs = align(a, h[lo:hi], int(s - lo))
+        lo, hi = max(0, s - band), min(len(h), s + len(a) + band)
+        pairs = align(a, h[lo:hi], int(s - lo), band)
         share = len({i for i, _ in pairs}) / len(a)
         if share >= coverage:
             found.append((index.names[t], share, len(pairs), int(lo + pairs[0][1]), int(lo + pairs[-1][1])))

@@ -54,6 +54,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     listed = cross_lists(asked, num, den)
     wide = components(hub_links(listed, asked, num, den), "label", "other").selectExpr("id as label", "component as wider")
     left = listed.join(wide, "label", "left").selectExpr("id", "coalesce(wider, label) as label", "n", "transform(s, x -> x.tok) as tokens", "cast(0 as float) as weight")
+    left = cross_lists(left, num, den).selectExpr("id", "label", "n", "transform(s, x -> x.tok) as tokens")
     far = components(prefix_pairs(left, num, den).selectExpr("la as label", "lb as other").unionByName(wide.selectExpr("label", "wider as other")), "label", "other").selectExpr("id as component", "component as wider")
     merged = near.unionByName(asked.selectExpr("id", "label as component")).distinct().join(far, "component", "left").selectExpr("id as key1", "coalesce(wider, component) as component_id")
     out = found.select("key1", "n").join(merged, "key1", "left").selectExpr(f"key1 as {id_col}", "n as n_shingles", "coalesce(component_id, key1) as component_id")

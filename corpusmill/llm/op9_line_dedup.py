@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.kernels import lower_ascii, shingles, slices, span_hashes, utf8, words
-from corpusmill.llm.postings import Sets, prefix_pairs, shared_sets
+from corpusmill.llm.postings import Sets, best_partners, prefix_pairs, shared_sets
 from corpusmill.llm.shared import stored
 
 
@@ -33,22 +33,44 @@ def line_sets(k: int):
     return run
 
 
+def class_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[Sets]:
+    """Token lists of an earlier pass; the full sizes as second key."""
+    for batch in batches:
+        tokens = batch.column("tokens")
+        flat = tokens.flatten().to_numpy(zero_copy_only=False).astype(np.uint64) << np.uint64(16)
+        owner = np.repeat(np.arange(len(batch)), np.diff(tokens.offsets.to_numpy()))
+        yield batch.column("id").to_numpy(), batch.column("n").to_numpy(), flat, owner, batch.column("o1").to_numpy(), batch.column("o2").to_numpy()
+
+
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 3, den: int = 4) -> DataFrame:
     """(id, line) of each line (from 0, cut at line feeds) that an earlier line, by (id, line), resembles.
 
     A line's tokens are its distinct `k`-word shingles, words lower-cased in A-Z; a line of fewer words has its whole
     sequence as one token, a line without words none and is never removed. Lines resemble each other at
     den * |A & B| >= num * |A | B|. Equal sets form classes; of a class all but the first line go, and all of them if an
-    earlier class resembles it, whether that one stays or not. Classes meet through prefixes in order of rarity, with
+    earlier class resembles it, whether that one stays or not. A second pass over the classes leaves those that share
+    enough tokens with other classes, and names the earliest class of each token: where that one resembles the line, the
+    matter is settled. The rest meet through prefixes in order of rarity, with
     length and positional filters (`prefix_pairs`), and are verified exactly.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
-    lines = stored(shared_sets(rows, line_sets(k), num, den).selectExpr("xxhash64(digest, n) as class", "struct(key1, key2) as at", "n", "tokens", "weight"), "lines")
+    lines = stored(shared_sets(rows, line_sets(k), num, den).selectExpr("xxhash64(digest, n) as class", "struct(key1, key2) as at", "n", "tokens"), "lines")
     classes = stored(lines.groupBy("class").agg(F.min("at").alias("first")), "classes")
-    member = lines.select("class", "at", "n", "tokens", "weight").join(classes, "class")
-    asked = member.where("at = first").selectExpr("class as id", "class as label", "n", "tokens", "weight").dropDuplicates(["id"])
-    pairs = prefix_pairs(asked, num, den).join(classes.selectExpr("class as a", "first as fa"), "a").join(classes.selectExpr("class as b", "first as fb"), "b")
-    later = pairs.selectExpr("case when fa < fb then b else a end as class").distinct()
+    asked = lines.join(classes.withColumnRenamed("first", "at"), ["class", "at"]).selectExpr("class as id", "n", "at.key1 as o1", "at.key2 as o2", "tokens")
+    asked = stored(asked, "asked")
+    ranked = asked.repartitionByRange("o1", "o2").sortWithinPartitions("o1", "o2")
+    own = shared_sets(ranked, class_sets, num, den, sized=True).selectExpr("key1 as id", "n", "tokens", "batch", "idx", "lead_batch", "lead_idx", "lead_overlap")
+    listed = stored(own.join(asked.selectExpr("id", "o1", "o2"), "id"), "listed")
+    # The first class of a line's tokens: if it resembles the line, the line goes, and is asked about no more.
+    lead = listed.selectExpr("batch as lead_batch", "idx as lead_idx", "id as b", "n as nb")
+    led = listed.join(lead, ["lead_batch", "lead_idx"]).where(f"id <> b and {den} * lead_overlap >= {num} * (n + nb - lead_overlap)").select("id").distinct()
+    led = stored(led, "led")
+    for last in (False, True):
+        # First the likeliest partners alone, which settles most lines of many near copies; then all pairs of the others.
+        left = listed.join(led.withColumn("led", F.lit(True)), "id", "left").selectExpr("id", "id as label", "n", "o1", "o2", "led is null as open", "tokens")
+        left = stored(left, "left")
+        led = stored((prefix_pairs if last else best_partners)(left, num, den).selectExpr("a as id").union(led).distinct(), "led")
+    later = led.selectExpr("id as class")
     gone = lines.select("class", "at").join(classes, "class").join(later.withColumn("later", F.lit(True)), "class", "left").where("later or at <> first")
     return gone.selectExpr(f"at.key1 as {id_col}", "at.key2 as line").distinct()
 

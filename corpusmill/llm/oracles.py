@@ -1,5 +1,59 @@
-"""DuckDB SQL for the queries that it can express."""
+"""DuckDB SQL for the queries that it can express. The others train, align, compress or encode; tests hold them to brute force."""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
+_GRAMS = "case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')] else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end"
+
+_OP8 = f"""
+with recursive d as (select doc_id, {_WORDS.format(_LOW)} as w from documents),
+s as (select distinct doc_id, unnest({_GRAMS}) as g from d),
+n as (select d.doc_id, count(g) as n from d left join s using (doc_id) group by 1),
+c as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b using (g) where a.doc_id < b.doc_id group by all),
+e as (select a, b from c join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 75 * (x.n + y.n - c)),
+sym as (select a, b from e union all select b, a from e),
+r as (select doc_id as id, doc_id as r from d union select r.id, sym.b from r join sym on r.r = sym.a)
+select n.doc_id, n.n as n_shingles, min(r.r) as component_id from n join r on r.id = n.doc_id group by n.doc_id, n.n
+"""
+
+_OP9 = rf"""
+with l as (select doc_id, text, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i from documents),
+d as (select doc_id, i, {_WORDS.format(_LOW.replace("text", "line"))} as w from l),
+s as (select distinct doc_id, i, unnest({_GRAMS}) as g from d),
+n as (select doc_id, i, count(*) as n from s group by all),
+c as (select a.doc_id, a.i, b.doc_id as od, b.i as oi, count(*) as c from s a join s b using (g) where b.doc_id < a.doc_id or (b.doc_id = a.doc_id and b.i < a.i) group by all),
+gone as (select distinct c.doc_id, c.i from c join n x on x.doc_id = c.doc_id and x.i = c.i join n y on y.doc_id = od and y.i = oi where 4 * c >= 3 * (x.n + y.n - c)),
+k as (select l.doc_id, any_value(l.text) as text, count(gone.i) as m, string_agg(l.line, chr(10) order by l.i) filter (gone.i is null) as kept from l left join gone on gone.doc_id = l.doc_id and gone.i = l.i group by 1)
+select doc_id, case when m = 0 then text when regexp_matches(coalesce(kept, ''), '[^\x20\x09-\x0D]') then kept else '' end as text, m as n_lines_removed from k
+"""
+
+_OP10 = """
+with recursive v as (select vec_id, embedding::double[] as e from embeddings),
+p as (select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id where list_cosine_similarity(a.e, b.e) >= 0.9),
+r as (select vec_id as id, vec_id as r from v union select r.id, p.b from r join p on r.r = p.a),
+c as (select id, min(r) as component_id from r group by 1)
+select vec_id, (select count(*) from p where a = vec_id) as n_links, component_id, component_id = vec_id as kept from v join c on c.id = vec_id
+"""
+
+_KINDS = (
+    ("assign", 0, r"""(?i)(password|passwd|secret|token|api_?key)["''']?\x20*[:=]\x20*["''']?([A-Za-z0-9+/_.=-]+)""".replace("'''", "''"), 2, 8),
+    ("access", 1, "AKIA[A-Z0-9]+", 0, 16),
+    ("hex", 2, "[0-9a-f]{32,}", 0, 32),
+    ("pem", 3, "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("jwt", 4, r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 30),
+)
+_FIND = " union all ".join(
+    f"""select doc_id, '{kind}' as kind, {rank} as rank, unnest(list_transform(range(1, len(h) + 1), lambda i: {{'s': list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(h[1:i - 1], lambda x: length(x))), 0), 'l': length(h[i]), 'm': length(g[i])}})) as x, {least} as least
+from (select doc_id, regexp_split_to_array(t, '{pattern}') as p, regexp_extract_all(t, '{pattern}') as h, regexp_extract_all(t, '{pattern}', {group}) as g from d where regexp_matches(t, '{pattern}'))"""
+    for kind, rank, pattern, group, least in _KINDS
+)
+_OP6 = f"""
+with d as (select doc_id, coalesce(text, '') as t from documents), f as ({_FIND}),
+k as (select doc_id, kind, rank, x.s::bigint as s, (x.s + x.l)::bigint as e from f where x.m >= least),
+o as (select doc_id, count(*) filter (kind = 'assign') as a, count(*) filter (kind = 'access') as b, count(*) filter (kind = 'hex') as c,
+string_agg(kind || ':' || s || ':' || e, ',' order by s, rank) filter (rank < 3) as base, string_agg(kind || ':' || s || ':' || e, ',' order by s, rank) as spans from k group by 1)
+select doc_id, coalesce(a, 0) as n_assign, coalesce(b, 0) as n_access, coalesce(c, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans from d left join o using (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op6_secret_ledger": _OP6, "op8_jaccard_join": _OP8, "op9_line_dedup": _OP9, "op10_lattice_neardup": _OP10}

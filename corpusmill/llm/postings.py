@@ -23,13 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.kernels import ranges
+from corpusmill.llm.kernels import ranges, spans
 from corpusmill.llm.shared import stored
 
-ENTRIES, DIRECTORY, KEPT = 0, 1, 2
+ENTRIES, DIRECTORY, KEPT, HOTS = 0, 1, 2, 3
 #: Sets of a batch: a set's number in it has 16 bits.
 MOST_SETS = 60_000
 HOT = 64
+#: Level of tokens that some batch holds more often than HOT.
+MOST_COMMON = 255
 _IDX = np.uint64(0xFFFF)
 _ROW = "part long, kind int, batch long, body binary"
 _ROW_PA = pa.schema([("part", pa.int64()), ("kind", pa.int32()), ("batch", pa.int64()), ("body", pa.binary())])
@@ -59,32 +61,41 @@ def unpack(body: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(unplanes(view[: 6 * n], n, 6, np.uint64)).astype(np.uint64), unplanes(view[6 * n :], n, 2, np.uint16)
 
 
-def batch_name(*arrays: np.ndarray) -> int:
-    """A batch's name, from its own content: the same whenever a task runs again."""
+def batch_name(number: int, *arrays: np.ndarray) -> int:
+    """A batch's name, from its own keys and its place in the input: the same whenever a task runs again."""
     import xxhash
+    from pyspark import TaskContext
 
-    h = xxhash.xxh64()
+    task = TaskContext.get()
+    h = xxhash.xxh64(f"{task.partitionId() if task else 0}:{number}".encode())
     for a in arrays:
         h.update(np.ascontiguousarray(a).view(np.uint8))
     return h.intdigest() - (1 << 63)
 
 
-Sets = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+Sets = tuple[np.ndarray, ...]
 
 
-def deal(sets: Callable[[Iterator[pa.RecordBatch]], Iterator[Sets]], parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For mapInArrow. `sets` yields (key1, key2, token hashes, set number of each): keys by set number, both int64."""
+def deal(sets: Callable[[Iterator[pa.RecordBatch]], Iterator[Sets]], parts: int, sized: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For mapInArrow. `sets` yields (key1, key2, token hashes, set number of each): keys by set number, both int64.
+    With `sized` the second key is the number of tokens that a set has in all, those not given included, and `sets` yields
+    two more arrays: sets come in ascending order of this pair, over all batches, and a token's first set is the first in
+    that order."""
 
-    def one(key1: np.ndarray, key2: np.ndarray, tokens: np.ndarray, owner: np.ndarray) -> pa.RecordBatch:
+    def part_of(entries: np.ndarray) -> np.ndarray:
+        return ((entries >> np.uint64(16)) * np.uint64(parts)) >> np.uint64(48) if parts < 1 << 16 else (entries >> np.uint64(32)) % np.uint64(parts)
+
+    def one(number: int, key1: np.ndarray, key2: np.ndarray, tokens: np.ndarray, owner: np.ndarray, *order: np.ndarray) -> pa.RecordBatch:
         entries = np.sort((tokens & ~_IDX) | owner.astype(np.uint64))
         if len(entries):
             entries = entries[np.concatenate([[True], entries[1:] != entries[:-1]])]
         idx = (entries & _IDX).astype(np.int64)
-        size = np.bincount(idx, minlength=len(key1)).astype(np.int64)
+        size = key2 if sized else np.bincount(idx, minlength=len(key1)).astype(np.int64)
         with np.errstate(over="ignore"):
             digest = np.zeros(len(key1), np.uint64)
             np.add.at(digest, idx, (entries | _IDX) * np.uint64(0x9E3779B97F4A7C15))
-        name = batch_name(key1, key2)
+        name = batch_name(number, key1, key2)
+        head = np.array([x[0] for x in order] or [name, 0], np.int64).tobytes()
         tok = entries >> np.uint64(16)
         rows = [(parts + name % parts, DIRECTORY, name, np.concatenate([key1, key2, size, digest.view(np.int64)]).tobytes())]
         first = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]])) if len(tok) else np.zeros(0, np.int64)
@@ -97,25 +108,28 @@ def deal(sets: Callable[[Iterator[pa.RecordBatch]], Iterator[Sets]], parts: int)
             gone[at] = True
             gone[first[hot]] = False
             entries = entries[~gone]
-        part = ((entries >> np.uint64(16)) * np.uint64(parts)) >> np.uint64(48) if parts < 1 << 16 else (entries >> np.uint64(32)) % np.uint64(parts)
+            known = tok[first[hot]]
+            where = part_of(known << np.uint64(16))
+            rows += [(int(p), HOTS, name, known[where == p].tobytes()) for p in np.unique(where)]
+        part = part_of(entries)
         if parts >= 1 << 16:
             order = np.argsort(part, kind="stable")
             entries, part = entries[order], part[order]
         cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
-        rows += [(int(part[a]), ENTRIES, name, pack(entries[a:b])) for a, b in zip(cut, [*cut[1:], len(part)], strict=True)]
+        rows += [(int(part[a]), ENTRIES, name, head + pack(entries[a:b])) for a, b in spans(cut, len(part))]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _ROW_PA.types, strict=True)], schema=_ROW_PA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key1, key2, tokens, owner in sets(batches):
-            if len(key1) <= MOST_SETS:
-                if len(key1):
-                    yield one(key1, key2, tokens, owner)
-                continue
-            order = np.argsort(owner, kind="stable")
-            tokens, owner = tokens[order], owner[order]
+        number = 0
+        for key1, key2, tokens, owner, *more in sets(batches):
+            if len(key1) > MOST_SETS:
+                order = np.argsort(owner, kind="stable")
+                tokens, owner = tokens[order], owner[order]
             for a in range(0, len(key1), MOST_SETS):
-                lo, hi = np.searchsorted(owner, [a, a + MOST_SETS])
-                yield one(key1[a : a + MOST_SETS], key2[a : a + MOST_SETS], tokens[lo:hi], owner[lo:hi] - a)
+                lo, hi = np.searchsorted(owner, [a, a + MOST_SETS]) if len(key1) > MOST_SETS else (0, len(owner))
+                cut = slice(a, a + MOST_SETS)
+                yield one(number, key1[cut], key2[cut], tokens[lo:hi], owner[lo:hi] - a, *[x[cut] for x in more])
+                number += 1
 
     return run
 
@@ -123,13 +137,15 @@ def deal(sets: Callable[[Iterator[pa.RecordBatch]], Iterator[Sets]], parts: int)
 def match(rows: pa.Table) -> pa.Table:
     """For applyInArrow by part: entries of tokens that two or more sets hold, by batch, each with its token's first set."""
     kinds = rows.column("kind").to_numpy()
-    through = rows.filter(pa.array(kinds != ENTRIES))
-    order = np.argsort(rows.column("batch").to_numpy()[kinds == ENTRIES], kind="stable")
-    mine = rows.filter(pa.array(kinds == ENTRIES)).take(pa.array(order))
+    through = rows.filter(pa.array((kinds == DIRECTORY) | (kinds == KEPT)))
+    hots = [np.frombuffer(x.as_py(), np.uint64) for x in rows.filter(pa.array(kinds == HOTS)).column("body")]
+    mine = rows.filter(pa.array(kinds == ENTRIES))
     if not mine.num_rows:
         return through.cast(_ROW_PA)
+    heads = np.array([np.frombuffer(x.as_py(), np.int64, 2) for x in mine.column("body")])
+    mine = mine.take(pa.array(np.lexsort((mine.column("batch").to_numpy(), heads[:, 1], heads[:, 0]))))
     names = mine.column("batch").to_numpy()
-    parts = [unpack(x.as_py()) for x in mine.column("body")]
+    parts = [unpack(x.as_py()[16:]) for x in mine.column("body")]
     tok = np.concatenate([p[0] for p in parts])
     idx = np.concatenate([p[1] for p in parts])
     row = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
@@ -141,15 +157,17 @@ def match(rows: pa.Table) -> pa.Table:
     lead = np.maximum.accumulate(np.where(np.concatenate([[True], ~same]), np.arange(len(tok)), 0))
     keep = np.flatnonzero(shared)
     lead, tok, src = order[lead[keep]], tok[keep], order[keep]
-    # How many sets hold the token, as 8 * log2 in a byte.
+    # How many sets hold the token, as 8 * log2 in a byte; the same for all sets that hold it.
     heads = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]])) if len(tok) else np.zeros(0, np.int64)
     runs = np.diff(np.concatenate([heads, [len(tok)]]))
-    level = np.repeat(np.minimum(8 * np.log2(np.maximum(runs, 1)), 255).astype(np.uint8), runs)
+    level = np.repeat(np.minimum(8 * np.log2(np.maximum(runs, 1)), MOST_COMMON - 1).astype(np.uint8), runs)
+    if hots:
+        level[np.isin(tok, np.unique(np.concatenate(hots)))] = MOST_COMMON
     at = np.argsort(row[src], kind="stable")
     lead, tok, src, level = lead[at], tok[at], src[at], level[at]
     out_row, cuts = np.unique(row[src], return_index=True)
     bodies = []
-    for a, b in zip(cuts, [*cuts[1:], len(src)], strict=True):
+    for a, b in spans(cuts, len(src)):
         body = pack((tok[a:b] << np.uint64(16)) | idx[src[a:b]].astype(np.uint64))
         lead_batch, code = np.unique(names[row[lead[a:b]]], return_inverse=True)
         bodies.append(np.int64(b - a).tobytes() + body + planes(code.astype(np.uint32), 4) + idx[lead[a:b]].astype(np.uint16).tobytes() + level[a:b].tobytes() + lead_batch.tobytes())
@@ -177,7 +195,7 @@ def gather(num: int, den: int, keep_all: bool) -> Callable[[pa.Table], pa.Table]
             if kind == KEPT:
                 n = len(body) // 10
                 tok, idx = unpack(body[: 8 * n])
-                own.append((tok, idx, np.zeros(n, np.int64), np.frombuffer(body[8 * n :], np.uint16), np.zeros(n, np.int8), np.full(n, int(8 * np.log2(HOT)), np.uint8)))
+                own.append((tok, idx, np.zeros(n, np.int64), np.frombuffer(body[8 * n :], np.uint16), np.zeros(n, np.int8), np.full(n, MOST_COMMON, np.uint8)))
             else:
                 n = int(np.frombuffer(body[:8], np.int64)[0])
                 tok, idx = unpack(body[8 : 8 + 8 * n])
@@ -196,7 +214,9 @@ def gather(num: int, den: int, keep_all: bool) -> Callable[[pa.Table], pa.Table]
         alive = (den * shared >= num * size) & (size > 0)
         weight = np.bincount(idx, level.astype(float), minlength=len(size)) / np.maximum(size, 1)
         take = alive[idx] if len(idx) else np.zeros(0, bool)
-        tok, idx, lead_batch, lead = tok[take], idx[take], lead_batch[take], lead[take]
+        tok, idx, lead_batch, lead, level = tok[take], idx[take], lead_batch[take], lead[take], level[take]
+        order = np.lexsort((tok, level, idx))  # rarest first
+        tok, idx, lead_batch, lead = tok[order], idx[order], lead_batch[order], lead[order]
         # Overlap with each first set but the set itself; the best one, ties to the smaller reference.
         ref = (lead_batch.astype(np.int64) << 16) | lead.astype(np.int64)
         other = ref != idx  # names[name] is 0
@@ -226,13 +246,14 @@ def gather(num: int, den: int, keep_all: bool) -> Callable[[pa.Table], pa.Table]
     return run
 
 
-def shared_sets(docs: DataFrame, sets: Callable[[Iterator[pa.RecordBatch]], Iterator[Sets]], num: int, den: int, keep_all: bool = False) -> DataFrame:
-    """Sets of `docs` of whose n tokens num/den or more are in other sets too; columns as _SETS.
+def shared_sets(docs: DataFrame, sets: Callable[[Iterator[pa.RecordBatch]], Iterator[Sets]], num: int, den: int, keep_all: bool = False, sized: bool = False) -> DataFrame:
+    """Sets of `docs` of whose n tokens num/den or more are in other sets too; columns as _SETS, tokens
+    from the rarest to the most common.
 
     Ranges: four for each of spark.sql.shuffle.partitions, so that the setting that bounds a Spark task bounds a range.
     """
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = docs.mapInArrow(deal(sets, parts), _ROW)
+    dealt = docs.mapInArrow(deal(sets, parts, sized), _ROW)
     back = dealt.groupBy("part").applyInArrow(match, _ROW)
     return back.groupBy("batch").applyInArrow(gather(num, den, keep_all), _SETS)
 
@@ -257,45 +278,82 @@ def hub_links(listed: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
     return close.join(other, "hub").where(f"{den} * overlap >= {num} * (n + nh - overlap)").select("label", "other")
 
 
-def prefix_pairs(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b, la, lb) of `sets` (id long, label long, n long, tokens array<long>, weight) with unequal labels and
-    den * |intersection| >= num * |union|, verified; a < b.
-
-    `tokens` may leave out tokens of this set alone; n counts them. Only tokens that sets of two labels hold can be in
-    an intersection; all others are the rarest, and then tokens go by document frequency. A set's prefix has
-    n - ceil(num/den n) + 1 tokens, those of one label first. Posting lists of prefix tokens are sorted by size and cut
-    into blocks; a block is skipped for a block whose length filter or positional bound its sizes and positions can't meet.
-    """
-    listed = cross_lists(sets, num, den)
+def _postings(listed: DataFrame, num: int, den: int) -> DataFrame:
+    """Prefix tokens of `listed`, one row each, with the part of the token."""
+    ordered = {"open", "o1", "o2"} <= set(listed.columns)
     need = f"cast(ceil(n * {num} / {den}D) as int)"
-    pre = listed.selectExpr("id", "label", "n", "size(s) as c", f"posexplode(slice(s, 1, greatest(0, size(s) - {need} + 1))) as (pos, t)").selectExpr("id", "label", "n", "t.tok as tok", "cast(pos as long) + n - c as pos")
-    parts = 4 * int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = pre.withColumn("part", F.expr(f"pmod(xxhash64(tok), {parts}L)")).groupBy("part").applyInArrow(_candidates(num, den), "a long, b long").distinct()
-    body = listed.selectExpr("id", "label", "n", "transform(s, x -> x.tok) as tokens")
+    extra = ["open", "o1", "o2"] if ordered else ["true as open", "-id as o1", "0L as o2"]
+    pre = listed.selectExpr("id", "label", "n", *extra, "size(tokens) as c", f"posexplode(slice(tokens, 1, greatest(0, size(tokens) - {need} + 1))) as (at, tok)").selectExpr("id", "label", "n", "open", "o1", "o2", "tok", "cast(at as long) + n - c as pos")
+    parts = 4 * int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pre.withColumn("part", F.expr(f"pmod(xxhash64(tok), {parts}L)"))
+
+
+def _verified(found: DataFrame, listed: DataFrame, num: int, den: int) -> DataFrame:
+    body = listed.select("id", "label", "n", "tokens")
     both = found.join(body.selectExpr("id as a", "label as la", "n as na", "tokens as ta"), "a").join(body.selectExpr("id as b", "label as lb", "n as nb", "tokens as tb"), "b")
     return both.selectExpr("a", "b", "la", "lb", "na", "nb", "cast(size(array_intersect(ta, tb)) as long) as overlap").where(f"{den} * overlap >= {num} * (na + nb - overlap)").select("a", "b", "la", "lb")
 
 
+def prefix_pairs(listed: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b, la, lb) of `listed` (id, label, n, tokens) with unequal labels and
+    den * |intersection| >= num * |union|, verified; a < b.
+
+    `tokens` are those that sets of other labels hold too, in order of rarity, which is the same for all sets; n counts the
+    others as well, which are rarer still. A set's prefix has n - ceil(num/den n) + 1 tokens, the uncommon ones first.
+    Posting lists of prefix tokens are sorted by size and cut into blocks; a block is skipped for a block whose length
+    filter or positional bound its sizes and positions can't meet. `listed` should be a stored table: it is read thrice.
+
+    If `listed` has columns open and o1, o2, an order, a is the later one of a pair and only pairs whose later one is open
+    are looked for.
+    """
+    found = _postings(listed, num, den).groupBy("part").applyInArrow(_candidates(num, den), "a long, b long, many long").select("a", "b").distinct()
+    return _verified(found, listed, num, den)
+
+
+def best_partners(listed: DataFrame, num: int, den: int, k: int = 8) -> DataFrame:
+    """As `prefix_pairs`, but of each open set only the pairs with the `k` earlier sets that seem to have most prefix tokens in
+    common with it: by the sum over parts of the tokens, of which each names its own `k`."""
+    found = _postings(listed, num, den).groupBy("part").applyInArrow(_candidates(num, den, best=k), "a long, b long, many long")
+    sums = found.groupBy("a", "b").agg(F.sum("many").alias("many"))
+    top = sums.groupBy("a").agg(F.slice(F.sort_array(F.collect_list(F.struct("many", "b")), asc=False), 1, k).alias("t"))
+    return _verified(top.selectExpr("a + 0L as a", "explode(t.b) as b"), listed, num, den)
+
+
 #: Entries of a block of a posting list.
 BLOCK = 128
 
 
-def _candidates(num: int, den: int) -> Callable[[pa.Table], pa.Table]:
-    out_schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _candidates(num: int, den: int, best: int = 0) -> Callable[[pa.Table], pa.Table]:
+    """For applyInArrow by part: pairs that may reach the threshold, each with the number of its tokens here. Of two sets the
+    smaller one meets the other within the shorter prefix that a partner of its size or more needs. With `best` so
+    many partners of each later set."""
+    out_schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("many", pa.int64())])
+
+    def fold(pairs: list[np.ndarray]) -> np.ndarray:
+        both = np.concatenate(pairs, axis=1)
+        order = np.lexsort((both[1], both[0]))
+        both = both[:, order]
+        first = np.flatnonzero(np.concatenate([[True], (both[0, 1:] != both[0, :-1]) | (both[1, 1:] != both[1, :-1])]))
+        return np.stack([both[0, first], both[1, first], np.add.reduceat(both[2], first)])
 
     def run(rows: pa.Table) -> pa.Table:
-        tok, ids, label, n, pos = (rows.column(c).to_numpy() for c in ("tok", "id", "label", "n", "pos"))
+        tok, ids, label, n, pos, is_open, o1, o2 = (rows.column(c).to_numpy() for c in ("tok", "id", "label", "n", "pos", "open", "o1", "o2"))
+        # The order as a number within these rows.
+        place = np.unique(np.stack([o1, o2]), axis=1, return_inverse=True)[1].ravel()
         order = np.lexsort((ids, n, tok))
-        tok, ids, label, n, pos = tok[order], ids[order], label[order], n[order], pos[order]
+        tok, ids, label, n, pos, is_open, place = tok[order], ids[order], label[order], n[order], pos[order], is_open[order], place[order]
+        near = pos <= n + (-2 * num * n) // (num + den)  # n - ceil(2t / (1 + t) n)
         cut = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]]))
         pairs: list[np.ndarray] = []
         held = 0
-        for lo, hi in zip(cut, [*cut[1:], len(tok)], strict=True):
-            if hi - lo < 2 or label[lo:hi].min() == label[lo:hi].max():
+        for lo, hi in spans(cut, len(tok)):
+            if hi - lo < 2 or label[lo:hi].min() == label[lo:hi].max() or not is_open[lo:hi].any():
                 continue
             left = n[lo:hi] - pos[lo:hi]  # tokens of the set from here on, this one included
             for a in range(lo, hi, BLOCK):
                 a2 = min(a + BLOCK, hi)
+                if not near[a:a2].any():
+                    continue
                 for b in range(a, hi, BLOCK):
                     b2 = min(b + BLOCK, hi)
                     # Length: sizes rise, so all later blocks fail too. Position: o >= t / (1 + t) * (na + nb) at least.
@@ -304,22 +362,28 @@ def _candidates(num: int, den: int) -> Callable[[pa.Table], pa.Table]:
                     if (num + den) * min(left[a - lo : a2 - lo].max(), left[b - lo : b2 - lo].max()) < num * (n[a] + n[b]):
                         continue
                     x, y = slice(a, a2), slice(b, b2)
-                    ok = (label[x][:, None] != label[y][None, :]) & (den * n[x][:, None] >= num * n[y][None, :])
+                    ok = near[x][:, None] & (label[x][:, None] != label[y][None, :]) & (den * n[x][:, None] >= num * n[y][None, :])
                     ok &= (num + den) * np.minimum(left[a - lo : a2 - lo][:, None], left[b - lo : b2 - lo][None, :]) >= num * (n[x][:, None] + n[y][None, :])
+                    second = place[x][:, None] > place[y][None, :]
+                    ok &= np.where(second, is_open[x][:, None], is_open[y][None, :])
                     i, j = np.nonzero(ok)
                     if a == b:
                         i, j = i[i < j], j[i < j]
                     if len(i):
                         u, v = ids[a + i], ids[b + j]
-                        swap = u > v
-                        pairs.append(np.stack([np.where(swap, v, u), np.where(swap, u, v)]))
+                        swap = place[a + i] < place[b + j]
+                        pairs.append(np.stack([np.where(swap, v, u), np.where(swap, u, v), np.ones(len(i), np.int64)]))
                         held += len(i)
                         if held > 1 << 20:
-                            pairs = [np.unique(np.concatenate(pairs, axis=1), axis=1)]
+                            pairs = [fold(pairs)]
                             held = pairs[0].shape[1]
         if not pairs:
             return out_schema.empty_table()
-        u = np.unique(np.concatenate(pairs, axis=1), axis=1)
-        return pa.table([pa.array(u[0]), pa.array(u[1])], schema=out_schema)
+        u = fold(pairs)
+        if best:
+            u = u[:, np.lexsort((u[1], -u[2], u[0]))]
+            first = np.maximum.accumulate(np.where(np.concatenate([[True], u[0, 1:] != u[0, :-1]]), np.arange(u.shape[1]), 0))
+            u = u[:, np.arange(u.shape[1]) - first < best]
+        return pa.table([pa.array(c) for c in u], schema=out_schema)
 
     return run

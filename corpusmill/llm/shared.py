@@ -25,11 +25,20 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: Shuffle files of a query go when it ends: the table that it wrote stands in for them.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet to the shared folder and read it again: lineage is cut, and a lost executor loses nothing. Dropped when the session's process ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/corpusmill/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     atexit.register(_drop, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
