@@ -80,13 +80,14 @@ def scan_blobs(versions: DataFrame, ledger: DataFrame | None = None, text_col: s
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     blobs = versions.select(F.sha2(text.cast("binary"), 256).alias("blob"), text.alias("text")).groupBy("blob").agg(F.first("text").alias("text"))
     names = F.array(*[F.lit(r.name) for r in rules])
+    nothing = {"had": F.array().cast("array<string>"), "old": F.array().cast(_SPANS)}
     if ledger is None:
-        asked = blobs.withColumn("seen", F.array().cast("array<string>")).withColumn("spans", F.array().cast(_SPANS))
+        asked = blobs.withColumns(nothing)
     else:
-        old = ledger.select("blob", "seen", "spans")
-        asked = blobs.join(old, "blob", "left").withColumns({"seen": F.coalesce("seen", F.array().cast("array<string>")), "spans": F.coalesce("spans", F.array().cast(_SPANS))})
-    asked = asked.where(F.size(F.array_except(names, "seen")) > 0)
-    todo = {r: ~F.array_contains("seen", r.name) for r in rules}
+        asked = blobs.join(ledger.select("blob", F.col("seen").alias("had"), F.col("spans").alias("old")), "blob", "left").withColumns({c: F.coalesce(c, empty) for c, empty in nothing.items()})
+    # Not called seen and spans: inside a lambda these names would mean the columns that are made here.
+    asked = asked.where(F.size(F.array_except(names, "had")) > 0)
+    todo = {r: ~F.array_contains("had", r.name) for r in rules}
 
     def replaced(span: Column) -> Column:
         out = F.lit(False)
@@ -94,9 +95,9 @@ def scan_blobs(versions: DataFrame, ledger: DataFrame | None = None, text_col: s
             out = out | (todo[r] & (span["kind"] == r.kind))
         return out
 
-    stays = F.filter("spans", lambda span: ~replaced(span))
+    stays = F.filter("old", lambda span: ~replaced(span))
     new = F.concat(stays, *[F.when(todo[r], matches(F.col("text"), r, i)).otherwise(F.array().cast(_SPANS)) for i, r in enumerate(rules)])
-    scanned = asked.select("blob", F.array_sort(F.array_union("seen", names)).alias("seen"), F.array_sort(new).alias("spans"))
+    scanned = asked.select("blob", F.array_sort(F.array_union("had", names)).alias("seen"), F.array_sort(new).alias("spans"))
     if ledger is None:
         return scanned
     return scanned.unionByName(ledger.select("blob", "seen", "spans").join(scanned.select("blob"), "blob", "left_anti"))
