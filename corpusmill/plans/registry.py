@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from corpusmill.plans import quality, records, text
+from corpusmill.plans import metrics, quality, records, text
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for module in (text, records, quality):
+for module in (text, records, quality, metrics):
     QUERIES |= module.QUERIES
     ORACLES |= module.ORACLES

@@ -17,6 +17,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 def spark():
     from pyspark.sql import SparkSession
 
+    os.environ.setdefault("SPARK_LOCAL_IP", "127.0.0.1")
     s = (
         SparkSession.builder.master("local[4]")
         .config("spark.sql.shuffle.partitions", "4")
@@ -33,8 +34,10 @@ def normal(frame):
     """Rows as sorted tuples of columns by name; doubles to nine digits."""
     import math
 
+    import pandas as pd
+
     def one(x):
-        if x is None or (isinstance(x, float) and math.isnan(x)):
+        if x is None or x is pd.NA or x is pd.NaT or (isinstance(x, float) and math.isnan(x)):
             return None
         if isinstance(x, bool):
             return x
