@@ -128,7 +128,8 @@ def alpha_label(i: Column) -> Column:
 def longest_prefix(c: Column, options: Column) -> Column:
     """The longest of `options` that the text starts with; null if none."""
     fit = F.filter(options, lambda o: F.startswith(c, o))
-    return F.element_at(F.transform(F.array_sort(F.transform(fit, lambda o: F.struct(-F.length(o), o))), lambda x: x["col2"]), 1)
+    ranked = F.array_sort(F.transform(fit, lambda o: F.struct((-F.length(o)).alias("n"), o.alias("o"))))
+    return F.try_element_at(ranked, F.lit(1))["o"]
 
 
 def fill_placeholders(template: Column, values: dict[str, Column]) -> Column:
