@@ -50,7 +50,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     den * |A & B| >= num * |A | B|. Equal sets form classes; of a class all but the first line go, and all of them if an
     earlier class resembles it, whether that one stays or not. A second pass over the classes leaves those that share
     enough tokens with other classes, and names the earliest class of each token: where that one resembles the line, the
-    matter is settled. The rest meet through prefixes in order of rarity, with
+    matter is settled. So it is for lines that resemble one of their few likeliest partners. The rest meet through prefixes in order of rarity, with
     length and positional filters (`prefix_pairs`), and are verified exactly.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
