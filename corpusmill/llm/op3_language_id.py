@@ -12,9 +12,13 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.kernels import slices
 
-#: Bounds of training, as documented parameters: languages, texts and characters of text for each, and the characters of a
-#: text that may be one of them (a text is taken whole or not at all).
-MOST_LANGUAGES, SAMPLE_TEXTS, SAMPLE_CHARS, TEXT_CHARS = 64, 400, 110_000, (100, 6_000)
+#: Bounds of training, as documented parameters, for each language: texts, bytes of the dictionary, and characters of a text
+#: that go into it, from its first letter on. They bound the sample only; every labelled text with a letter can be drawn.
+SAMPLE_TEXTS, SAMPLE_CHARS, TEXT_CHARS = 400, 110_000, 6_000
+#: Bytes of all dictionaries together: with more than 152 languages each one's share shrinks, down to LEAST_BYTES.
+ALL_BYTES, LEAST_BYTES = 16 << 20, 4_096
+#: A dictionary of fewer bytes is repeated up to this size: zstandard doesn't index the last bytes of one.
+SHORT_BYTES = 64
 #: Bytes that aren't letters of ASCII, in lower case, to spaces.
 _TABLE = bytes((b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32) for b in range(256))
 _LETTER = re.compile(r"[^\W\d_]")
@@ -30,25 +34,33 @@ def held_out(id_col: str = "doc_id") -> F.Column:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
-    """A raw-content dictionary for each language: up to SAMPLE_CHARS of SAMPLE_TEXTS labelled texts at most, those with the
-    smallest hashes of their ids. Rows with null id, text or language aren't used; languages beyond MOST_LANGUAGES, the
-    rarest ones, are not learned. Counts cover all rows; only the sample comes to the driver."""
-    rows = docs.select(F.xxhash64(F.col(id_col).cast("string"), F.lit(3)).alias("h"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    rows = rows.where(F.col("h").isNotNull() & F.col("lang").isNotNull() & F.length("text").between(*TEXT_CHARS))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    """A raw-content dictionary for each language that has a labelled text with a letter, however short or long its texts are
+    and however many languages there are: SAMPLE_TEXTS texts at most, those with the smallest hashes, and of a long one
+    TEXT_CHARS characters. Null text or language can't be learned from; a null id can. Counts cover all labelled rows with
+    a letter; rows that repeat count once. Executors draw the sample and join it; only dictionaries come to the driver."""
+    head = F.regexp_extract(F.col(text_col), rf"(?s)\p{{L}}.{{0,{TEXT_CHARS - 1}}}", 0)
+    rows = docs.select(F.col(lang_col).cast("string").alias("lang"), head.alias("text"), F.col(id_col).cast("string").alias("id")).where("lang is not null and text <> ''")
+    rows = rows.select("lang", "text", F.xxhash64("id", "text", F.lit(3)).alias("h"))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
     if not counts:
         return {}
-    # A share of each language's hashes that holds SAMPLE_TEXTS of them, give or take.
-    share = {r["lang"]: min(1.0, (SAMPLE_TEXTS + 4 * math.sqrt(SAMPLE_TEXTS)) / r["count"]) for r in counts}
-    below = F.create_map(*[F.lit(x) for k, v in share.items() for x in (k, min(2**63 - 1, int(-(2**63) + v * 2**64)))])
-    found = rows.where(F.col("h") <= below[F.col("lang")]).collect()
-    out = {}
-    for lang in sorted(share):
-        mine = sorted((r["h"], r["text"]) for r in found if r["lang"] == lang)[:SAMPLE_TEXTS]
-        joined = b" ".join(dict.fromkeys(plain(t) for _, t in mine))
-        if joined:
-            out[lang] = joined[-SAMPLE_CHARS:]
-    return out
+    # A share of each language's hashes that holds SAMPLE_TEXTS of them, give or take; small languages are taken whole.
+    most = SAMPLE_TEXTS + 8 * math.sqrt(SAMPLE_TEXTS)
+    below = {k: int(-(2**63) + most / n * 2**64) for k, n in counts.items() if n > most}
+    if below:
+        cut = F.create_map(*[F.lit(x) for k, v in below.items() for x in (k, v)])
+        rows = rows.where(F.coalesce(F.col("h") <= cut[F.col("lang")], F.lit(True)))
+    size = max(LEAST_BYTES, min(SAMPLE_CHARS, ALL_BYTES // len(counts)))
+
+    def join(table: pa.Table) -> pa.Table:
+        mine = sorted(zip(table.column("h").to_pylist(), table.column("text").to_pylist(), strict=True))[:SAMPLE_TEXTS]
+        joined = b" ".join(dict.fromkeys(plain(t) for _, t in mine))[-size:]
+        joined = b" ".join([joined] * -(-SHORT_BYTES // len(joined))) if len(joined) < SHORT_BYTES else joined
+        return pa.table({"lang": table.column("lang").slice(0, 1), "packed": pa.array([joined], pa.binary())})
+
+    # Rows that repeat are one before they are dealt out, so that a repeated row can't fill a task.
+    found = rows.groupBy("lang", "h").agg(F.min("text").alias("text")).groupBy("lang").applyInArrow(join, "lang string, packed binary").collect()
+    return {r["lang"]: bytes(r["packed"]) for r in sorted(found)}
 
 
 def classify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text", level: int = 3, margin: float = 0.004) -> DataFrame:
@@ -57,7 +69,7 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
     The text is packed once with each dictionary; the smallest size wins, ties go to the language first by name. score is
     the share of 2^(-saved bytes / scale) weights, between 0 and 1. accepted is false where the second-best size is within
     `margin` of the best, relative to the text's bytes, plus one byte. Null text or one without a letter: `und`, score 0, not
-    accepted. No dictionary at all: likewise. Long texts are packed whole; the other columns of `docs` are ignored.
+    accepted. No dictionary at all, which is to say no labelled text with a letter: likewise. Long texts are packed whole; the other columns of `docs` are ignored.
     """
     schema = f"{id_col} long, lang_pred string, score double, accepted boolean, lang_second string, n_bytes long"
     names = sorted(dictionaries)
@@ -92,6 +104,7 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Train on the rows that are not held out, classify all; adds held_out (false for a null id)."""
-    dictionaries = train(docs.where(~held_out(id_col)), id_col, text_col, lang_col)
-    return classify(docs, dictionaries, id_col, text_col).withColumn("held_out", F.coalesce(held_out(id_col), F.lit(False)))
+    """Train on the rows that are not held out, classify all; adds held_out (false for a null id). A language of which every
+    text is held out is not learned."""
+    held = F.coalesce(held_out(id_col), F.lit(False))
+    return classify(docs, train(docs.where(~held), id_col, text_col, lang_col), id_col, text_col).withColumn("held_out", held)

@@ -156,6 +156,31 @@ def test_languages_of_odd_tables(docs, odd):
     assert G.identify(odd.limit(0)).count() == 0
 
 
+def test_languages_of_any_length_are_learned(spark):
+    """Only short texts, only long ones, a letter after a long run without, a null id, and more than 64 languages."""
+    r = random.Random(3)
+    vocab = {lang: ["".join(r.choice(letters) for _ in range(r.randrange(3, 9))) for _ in range(60)] for lang, letters in (("short", "abcdefgh"), ("long", "ijklmnop"), ("late", "qrstuvwx"), ("null", "éèàçùôîâ"))}
+    say = lambda lang, n: " ".join(r.choice(vocab[lang]) for _ in range(n))
+    rows = [(4 * i, say("short", 9)[:90], "short") for i in range(200)] + [(4 * i + 1, say("long", 1500), "long") for i in range(60)]
+    rows += [(4 * i + 2, "😀1 " * 3000 + say("late", 300), "late") for i in range(60)] + [(None, say("null", 40), "null")] * 50 + [(9000 + i, "12 34", "digits") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert set(G.train(df)) == set(vocab)
+    out = [(x["lang_pred"], x["lang"]) for x in G.identify(df.where("doc_id is not null and lang <> 'digits'")).join(df, "doc_id").collect() if x["lang"] != "null"]
+    assert sum(a == b for a, b in out) / len(out) > 0.95
+    got = {x["lang_pred"] for x in G.identify(df).where("doc_id is null").collect()}
+    assert got == {"null"}
+    many = spark.createDataFrame([(i, f"{chr(0x4e00 + i) * 40}", f"l{i}") for i in range(90)], "doc_id long, text string, lang string")
+    d = G.train(many)
+    assert set(d) == {f"l{i}" for i in range(90)}
+    assert all(x["lang_pred"] == f"l{x['doc_id']}" for x in G.classify(many, d).collect())
+
+
+def test_repeated_rows_do_not_hide_a_language(spark):
+    same = spark.range(100_000).selectExpr("1L as doc_id", "'the same words again and again' as text", "'en' as lang")
+    few = spark.createDataFrame([(i, f"andere woorden {i} zijn hier", "en") for i in range(2, 12)], "doc_id long, text string, lang string")
+    assert b"andere" in G.train(same.union(few))["en"]
+
+
 # 4
 
 
