@@ -388,3 +388,26 @@ def test_pipeline_of_odd_tables(spark, odd, tmp_path):
     for name, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty if name != "tokens" else empty, str(tmp_path))
         assert empty.count() == 0
+
+
+def test_pipeline_keeps_rows_of_null_id(spark, odd):
+    """The odd tables and one whose hot key is null."""
+    key = lambda r: tuple(map(str, r))
+    many = odd.unionByName(spark.range(50).selectExpr("cast(null as long) as doc_id", "concat('words of row ', id) as text", "'en' as lang", "'a' as source", "15L as n_chars", "'x' as id", "1.5D as score"))
+    for df in (odd, many):
+        kept = corpus_pipeline.near_duplicates(spark, df, DATA).where("doc_id is null").collect()
+        assert sorted(kept, key=key) == sorted(df.where("doc_id is null").select(*corpus_pipeline.COLUMNS).collect(), key=key)
+        assert kept
+
+
+@needs_model
+def test_pipeline_of_odd_tables_keeps_the_null_id(spark, odd, tmp_path, monkeypatch):
+    for t in TABLES:
+        if t not in ("documents", "labels"):
+            os.symlink(f"{DATA}/{t}.parquet", tmp_path / f"{t}.parquet")
+    odd.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(2, 1, 0), (4, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    stages = [s for s in corpus_pipeline.STAGES if s[0] in ("lines", "near_duplicates", "tokens")]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", stages)
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert [r["n_tokens"] > 0 for r in out if r["doc_id"] is None] == [True]
