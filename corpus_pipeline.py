@@ -2,7 +2,7 @@
 
 1. quality: documents that the co-trained classifier rejects go (labels come from the folder of the tables).
 2. lines: lines that resemble an earlier line go; documents of which nothing is left go.
-3. near_duplicates: of each group of linked documents the one of smallest id stays; so does every row of null id.
+3. near_duplicates: of each group of linked documents the one of smallest id stays, once; so does every row of null id.
 4. mix: documents are sampled so that source, language and topic weights are tempered.
 5. tokens: what is left is encoded to pieces.
 """
@@ -45,9 +45,14 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows of null doc_id take no part in the join and all stay."""
-    first = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return _only(docs, first).unionByName(docs.where("doc_id is null").select(*COLUMNS))
+    """One row for each kept doc_id: of rows that repeat it, the least by the other columns in the order of COLUMNS, nulls
+    first. Rows of null doc_id take no part in the join and all stay."""
+    first = stored(jaccard_components(docs).where("doc_id = component_id").groupBy("doc_id").count(), "firsts")
+    once = _only(docs, first.where("count = 1").select("doc_id"))
+    # Few ids repeat: only their texts are grouped, and each task brings one row of an id at most.
+    row = F.min(F.struct(*COLUMNS[1:])).alias("row")
+    again = _only(docs, first.where("count > 1").select("doc_id")).groupBy("doc_id").agg(row).select("doc_id", "row.*")
+    return once.unionByName(again.select(*COLUMNS)).unionByName(docs.where("doc_id is null").select(*COLUMNS))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

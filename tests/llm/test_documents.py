@@ -411,3 +411,15 @@ def test_pipeline_of_odd_tables_keeps_the_null_id(spark, odd, tmp_path, monkeypa
     monkeypatch.setattr(corpus_pipeline, "STAGES", stages)
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert [r["n_tokens"] > 0 for r in out if r["doc_id"] is None] == [True]
+
+
+def test_pipeline_keeps_one_of_repeated_rows(spark, odd):
+    out = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, odd, DATA).collect()]
+    assert sorted(out, key=str) == sorted(set(ODD), key=str)
+    first, near = " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(1, 61))
+    rows = [(7, first, "en", None, 9)] * 3 + [(7, first, "en", "b", 9), (7, first, "en", "a", 9), (8, near, "en", "a", 9), (8, near, "en", "a", 9), (9, "on its own", "en", "a", 9), (9, "by itself", "en", "a", 9)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, DOCS).repartition(3)
+        out = corpus_pipeline.near_duplicates(spark, df, DATA)
+        assert out.columns == corpus_pipeline.COLUMNS
+        assert sorted(tuple(r) for r in out.collect()) == [(7, first, "en", None, 9), (9, "by itself", "en", "a", 9)]
