@@ -1,4 +1,4 @@
-"""License scans: winnowed fingerprints pick candidates, banded alignment reports coverage and spans."""
+"""License scans: winnowed fingerprints, or single words of short templates, pick candidates, banded alignment reports coverage and spans."""
 
 from __future__ import annotations
 
@@ -29,6 +29,8 @@ TEMPLATES = {
     "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
 }
 GRAM, WINDOW, BAND = 3, 4, 12
+#: Templates of at most so many words are found by single words: a quarter of them missing can leave no gram whole.
+SHORT = 16
 #: Bytes of a word: ASCII letters and digits and all bytes beyond ASCII.
 _WORD = np.array([48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)])
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
@@ -74,24 +76,42 @@ class Index:
     keys: np.ndarray  # sorted fingerprints
     owner: np.ndarray  # their templates
     place: np.ndarray  # and places in them
+    single: Index | None = None  # the same of short templates, by single words
 
 
-def build_index(templates: Mapping[str, str]) -> Index:
-    """The inverted index of the templates' winnowed fingerprints."""
+def build_index(templates: Mapping[str, str], coverage: float = 0.75) -> Index:
+    """The inverted index of the templates: winnowed fingerprints of long ones, single words of those up to SHORT words.
+
+    Where n words have at most m missing at `coverage`, any m + 1 of them have one that isn't: the m + 1 longest words of a
+    short template, which are seldom common ones, meet every occurrence, wherever words are changed, dropped or put in."""
     names, hashed, keys, owner, place = sorted(templates), [], [], [], []
+    one: list[tuple[np.uint64, int, int]] = []
     for i, name in enumerate(names):
         raw = np.frombuffer(templates[name].encode(), np.uint8)
-        h = tokens(raw, np.array([0, len(raw)]))[0]
+        h, starts, ends, _ = tokens(raw, np.array([0, len(raw)]))
         if len(h) < GRAM:
             raise ValueError(f"{name}: fewer than {GRAM} words")
         hashed.append(h)
+        if len(h) <= SHORT:
+            missing = len(h) - needed(len(h), coverage)
+            one += [(h[at], i, int(at)) for at in np.argsort(starts - ends, kind="stable")[: missing + 1]]
+            continue
         g = grams(h)
         for at in winnow(g):
             keys.append(g[at])
             owner.append(i)
             place.append(int(at))
-    order = np.argsort(np.array(keys, np.uint64), kind="stable")
-    return Index(names, hashed, np.array(keys, np.uint64)[order], np.array(owner)[order], np.array(place)[order])
+
+    def index(keys: list, owner: list, place: list, single: Index | None = None) -> Index:
+        order = np.argsort(np.array(keys, np.uint64), kind="stable")
+        return Index(names, hashed, np.array(keys, np.uint64)[order], np.array(owner, np.int64)[order], np.array(place, np.int64)[order], single)
+
+    return index(keys, owner, place, index(*([x[k] for x in one] for k in range(3))))
+
+
+def needed(n: int, coverage: float) -> int:
+    """The fewest of n words that reach `coverage`, as scan_text compares."""
+    return next((k for k in range(1, n + 1) if k / n >= coverage), n)
 
 
 def align(a: np.ndarray, b: np.ndarray, shift: int, band: int = BAND) -> list[tuple[int, int]]:
@@ -139,24 +159,23 @@ def align(a: np.ndarray, b: np.ndarray, shift: int, band: int = BAND) -> list[tu
 def scan_text(h: np.ndarray, index: Index, coverage: float, hits: tuple[np.ndarray, np.ndarray] | None = None) -> list[tuple[str, float, int, int, int]]:
     """(license, coverage, matched words, first word, last word) of the templates in one text, by its word hashes.
 
-    Fingerprint hits of a template that lie within half a band of diagonals, or half the template, make one candidate; the
-    band is half of a short template. Among
-    reported matches whose spans overlap, one whose matched words are all of a longer match's span goes: the notice
-    inside a header is part of the header."""
+    `hits` are templates and diagonals of the text, as candidates() gives them. Those of a long template that lie within
+    half a band of diagonals make one candidate; each diagonal of a short one is a candidate, and its band is half of its
+    words. Among reported matches whose spans overlap, one whose matched words are all of a longer match's span goes: the
+    notice inside a header is part of the header. So does a short template's match that overlaps a longer one of its own."""
     if hits is None:
-        hits = find_hits(grams(h), index)
-    at, entry = hits
+        hits = candidates(h, np.zeros(len(h), np.int64), index, coverage)[1:]
+    tmpl, shift = hits
     found: list[tuple[str, float, int, int, int]] = []
-    if not len(at):
+    if not len(tmpl):
         return found
-    tmpl, shift = index.owner[entry], at - index.place[entry]
     order = np.lexsort((shift, tmpl))
     tmpl, shift = tmpl[order], shift[order]
     last = None
     for t, s in zip(tmpl, shift, strict=True):
         a = index.words[t]
         band = min(BAND, len(a) // 2)
-        if last and last[0] == t and s - last[1] <= band // 2:
+        if last and last[0] == t and s - last[1] <= (0 if len(a) <= SHORT else band // 2):
             continue
         last = (t, s)
         lo, hi = max(0, s - band), min(len(h), s + len(a) + band)
@@ -164,16 +183,19 @@ def scan_text(h: np.ndarray, index: Index, coverage: float, hits: tuple[np.ndarr
         share = len({i for i, _ in pairs}) / len(a)
         if share >= coverage:
             found.append((index.names[t], share, len(pairs), int(lo + pairs[0][1]), int(lo + pairs[-1][1])))
-    found = sorted(set(found), key=lambda f: (-f[2], f[3], f[0]))
+    found = sorted(set(found), key=lambda f: (-f[2], f[3], f[0], f[4]))
+    short = {n for n, a in zip(index.names, index.words, strict=True) if len(a) <= SHORT}
     kept: list[tuple[str, float, int, int, int]] = []
     for f in found:
-        if not any(g[3] <= f[3] and f[4] <= g[4] for g in kept):
+        if not any(g[3] <= f[3] and f[4] <= g[4] or g[0] == f[0] and f[0] in short and f[3] <= g[4] and g[3] <= f[4] for g in kept):
             kept.append(f)
     return sorted(kept, key=lambda f: (f[3], f[4], f[0]))
 
 
 def find_hits(g: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
     """Places of grams that are fingerprints, and the index entries they meet: one for each template that has it."""
+    if not len(index.keys):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     lo = np.searchsorted(index.keys, g, side="left")
     known = index.keys[np.minimum(lo, len(index.keys) - 1)] == g
     at = np.flatnonzero(known)
@@ -181,6 +203,30 @@ def find_hits(g: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(at, many), np.repeat(lo[at], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
 
 
+def candidates(h: np.ndarray, owner: np.ndarray, index: Index, coverage: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word of the text, template, diagonal from the start of `h`) of each hit, given the words of texts in a row and the
+    text of each. A hit of a single word needs as many words of its template in its band as coverage asks for; fewer can't align."""
+    at, entry = find_hits(grams(h), index)
+    inside = owner[at] == owner[at + GRAM - 1] if len(at) else np.zeros(0, bool)
+    at, entry = at[inside], entry[inside]
+    found = [(at, index.owner[entry], at - index.place[entry])]
+    at, entry = find_hits(h, index.single)
+    tmpl, shift = index.single.owner[entry], at - index.single.place[entry]
+    for t in np.unique(tmpl):
+        a = index.words[t]
+        band = min(BAND, len(a) // 2)
+        every = np.flatnonzero(tmpl == t)
+        for k in range(0, len(every), 1 << 16):  # in parts, for texts that are one word again and again
+            mine = every[k : k + (1 << 16)]
+            near = shift[mine, None] + np.arange(-band, len(a) + band)
+            there = (near >= 0) & (near < len(h))
+            near = np.clip(near, 0, len(h) - 1)
+            there &= owner[near] == owner[at[mine], None]
+            mine = mine[(there & np.isin(h[near], a)).sum(axis=1) >= needed(len(a), coverage)]
+            found.append((at[mine], tmpl[mine], shift[mine]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
 FOUND = "license string, coverage double, n_matched int, start_pos int, end_pos int, matched string"
 
 
@@ -195,20 +241,18 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, id_
     schema = f"{id_col} long, {FOUND}"
     names = [x.split()[0] for x in schema.split(", ")]
     types = [pa.int64(), pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
-    index = build_index(templates)
+    index = build_index(templates, coverage)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             buf, off = utf8(batch.column("text"))
             h, starts, ends, owner = tokens(buf, off)
-            at, entry = find_hits(grams(h), index)
-            inside = owner[at] == owner[at + GRAM - 1] if len(at) else np.zeros(0, bool)
-            at, entry = at[inside], entry[inside]
+            at, tmpl, shift = candidates(h, owner, index, coverage)
             ids, rows = batch.column("id").to_pylist(), []
             for d in np.unique(owner[at]):
                 lo, hi = np.searchsorted(owner, [d, d + 1])
                 mine = (at >= lo) & (at < hi)
-                for name, share, n, first, last in scan_text(h[lo:hi], index, coverage, (at[mine] - lo, entry[mine])):
+                for name, share, n, first, last in scan_text(h[lo:hi], index, coverage, (tmpl[mine], shift[mine] - lo)):
                     a, b = int(starts[lo + first]), int(ends[lo + last])
                     raw = buf[off[d] : b].tobytes()
                     text = raw[a - off[d] :].decode("utf-8", "replace")

@@ -109,6 +109,51 @@ def test_licenses_are_found_and_placed(spark, odd):
     assert L.scan_licenses(odd.limit(0)).count() == 0
 
 
+def test_short_licenses_are_found_with_edits_at_each_place(spark):
+    """One word changed, dropped or put in, at each place, as far as coverage allows; brute force over all diagonals."""
+    rows, want = [(0, "Released under an MIT License."), (1, "Licensed under the Apache Software License, Version 2.0.")], {(0, "mit-notice"), (1, "apache-2.0")}
+    for name, text in L.TEMPLATES.items():
+        words = re.findall(r"[A-Za-z0-9]+", text)
+        if len(words) > L.SHORT:
+            continue
+        for at in range(len(words)):
+            edits = [words[:at] + ["qq"] + words[at:]]
+            if (len(words) - 1) / len(words) >= 0.75:
+                edits += [words[:at] + ["qq"] + words[at + 1 :], words[:at] + words[at + 1 :]]
+            if (len(words) - 2) / len(words) >= 0.75:
+                edits += [[w for i, w in enumerate(words) if i not in (at, (at + 3) % len(words))]]
+            for e in edits:
+                want.add((len(rows), name))
+                rows.append((len(rows), f"some text {' '.join(e)} and more of it"))
+    out = L.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    text, got = dict(rows), [(r["doc_id"], r["license"]) for r in out]
+    # Nothing but a template that shares the span may stand beside or in place of the one that was edited.
+    assert len(set(got)) == len(got)
+    missing = sorted(want - set(got))
+    index = L.build_index(L.TEMPLATES)
+    for i, name in missing:
+        rival = max(r["n_matched"] for r in out if r["doc_id"] == i)
+        assert rival >= L.needed(len(index.words[index.names.index(name)]), 0.75), text[i]
+    assert not {m for m in missing if m[1] in ("mit-notice", "apache-2.0", "all-rights-reserved", "cc-by-nc-4.0")}
+    assert all(text[r["doc_id"]][r["start_pos"] : r["end_pos"]] == r["matched"] for r in out)
+
+
+def test_short_candidates_equal_all_diagonals():
+    r = random.Random(9)
+    index = L.build_index(L.TEMPLATES)
+    hashed = lambda text: L.tokens(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))[0]
+    for _ in range(300):
+        words = ["x", "y"] * 3
+        for name in r.choices([n for n, a in zip(index.names, index.words, strict=True) if len(a) <= L.SHORT], k=2):
+            w = re.findall(r"[a-z0-9]+", L.TEMPLATES[name].lower())
+            words += [x for y in w for x in ([y] if r.random() > 0.12 else r.choice(([], ["q"], [y, "q"], [y, y])))] + ["z"] * r.randrange(4)
+        h = hashed(" ".join(words))
+        got = L.scan_text(h, index, 0.75)
+        pairs = [(t, s) for t, a in enumerate(index.words) if len(a) <= L.SHORT for s in range(-len(a), len(h))]
+        every = L.scan_text(h, index, 0.75, tuple(np.array(x) for x in zip(*pairs, strict=True)))
+        assert {f[0] for f in every} == {f[0] for f in got}
+
+
 # 2
 
 
