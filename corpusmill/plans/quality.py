@@ -56,14 +56,23 @@ def legacy_judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").groupBy(ok.alias("accepted")).agg(F.count("*").alias("n"))
 
 
-def cited_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _cited(spark: SparkSession, sf_dir: str, text: F.Column, answer: F.Column) -> DataFrame:
     """Benchmark items that cite two documents, one of them unknown now and then."""
-    chunks = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("chunk_id"), F.substring("text", 1, 200).alias("text"))
-    rows = table(spark, sf_dir, "benchmark").select("item_id", F.substring("text", 1, 80).alias("answer"), F.array(F.concat(F.lit("d"), (F.col("item_id") * 3).cast("string")), F.concat(F.lit("d"), (F.col("item_id") - 5).cast("string"))).alias("citations"))
+    chunks = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("chunk_id"), text.alias("text"))
+    rows = table(spark, sf_dir, "benchmark").select("item_id", answer.alias("answer"), F.array(F.concat(F.lit("d"), (F.col("item_id") * 3).cast("string")), F.concat(F.lit("d"), (F.col("item_id") - 5).cast("string"))).alias("citations"))
     out = qa.cited_text(rows, chunks, "item_id")
     return out.select("item_id", F.sha2("cited", 256).alias("cited_sha"), F.round(qa.lexical_overlap(F.col("answer"), F.col("cited")), 6).alias("lex"))
 
 
+def cited_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By the starts of texts; cited_overlap_whole takes all of them."""
+    return _cited(spark, sf_dir, F.substring("text", 1, 200), F.substring("text", 1, 80))
+
+
+def cited_overlap_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cited(spark, sf_dir, F.col("text"), F.col("text"))
+
+
 def json_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     obj = F.concat(F.lit('{"label":"L'), (k % 5).cast("string"), F.lit('","s":{"x":'), (k % 9).cast("string"), F.lit("}}"))
@@ -152,7 +161,7 @@ def model_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (citation_validation, confidence_routes, confidence_profile, judged, legacy_judged, cited_overlap, json_parsing, verdicts, exact_matches, bleu_scores, backfilled, missing_extra, unprocessed_orders, action_checks, communicated, one_stop_pairs, interval_hits, option_products, user_lookup, model_outcomes)
+    for f in (citation_validation, confidence_routes, confidence_profile, judged, legacy_judged, cited_overlap, cited_overlap_whole, json_parsing, verdicts, exact_matches, bleu_scores, backfilled, missing_extra, unprocessed_orders, action_checks, communicated, one_stop_pairs, interval_hits, option_products, user_lookup, model_outcomes)
 }
 _REPLIES = """r as (select l_orderkey, l_linenumber, l_partkey, (l_orderkey * 7 + l_linenumber) % 11 as m, printf('%.2f', l_discount + 0.8::double)::double as conf from lineitem)"""
 ORACLES = {
@@ -178,6 +187,9 @@ select k % 2 >= 1 and k % 6 >= 4 and k % 5 + 1 >= 3 and k % 4 + 2 >= 3 and (k %
     "cited_overlap": """
 with b as (select item_id, substr(text, 1, 80) as a from benchmark),
 t as (select item_id, a, coalesce(concat_ws(chr(10), (select substr(text, 1, 200) from documents where doc_id = item_id * 3), (select substr(text, 1, 200) from documents where doc_id = item_id - 5)), '') as c from b)
+select item_id, sha256(c) as cited_sha, round(case when c = '' then 0 when length(a) = 0 then 0 else len(list_filter(string_split(a, ''), lambda x: contains(c, x))) / length(a) end, 6) as lex from t""",
+    "cited_overlap_whole": """
+with t as (select item_id, text as a, coalesce(concat_ws(chr(10), (select text from documents where doc_id = item_id * 3), (select text from documents where doc_id = item_id - 5)), '') as c from benchmark)
 select item_id, sha256(c) as cited_sha, round(case when c = '' then 0 when length(a) = 0 then 0 else len(list_filter(string_split(a, ''), lambda x: contains(c, x))) / length(a) end, 6) as lex from t""",
     "json_parsing": """
 select case when o_orderkey % 4 <> 3 then 'L' || o_orderkey % 5 end as label, case when o_orderkey % 4 <> 3 then o_orderkey % 9 end::int as x, count(*) as n from orders group by all""",

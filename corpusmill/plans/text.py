@@ -34,13 +34,22 @@ def text_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def think_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    head, tail = F.substring("text", 1, 60), F.substring("text", 61, 120)
+def _tagged(spark: SparkSession, sf_dir: str, head: F.Column, tail: F.Column) -> DataFrame:
     t = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("<think>"), head, F.lit("</think>"), tail)).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("<think>"), head, F.lit("\n"), tail)).otherwise(F.concat(head, F.lit("<Reasoning>x\ny</Reasoning>"), tail))
     rows = table(spark, sf_dir, "documents").select("doc_id", t.alias("t"))
     return rows.select("doc_id", F.sha2(X.drop_think(F.col("t")), 256).alias("dropped"), F.sha2(X.drop_reasoning(F.col("t")), 256).alias("reasoned"), F.sha2(X.after_think(F.col("t")), 256).alias("after"), X.unclosed_think(F.col("t")).alias("unclosed"))
 
 
+def think_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By the starts of texts; think_tags_whole takes all of them."""
+    return _tagged(spark, sf_dir, F.substring("text", 1, 60), F.substring("text", 61, 120))
+
+
+def think_tags_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first half of a text stands in the tags, the second half behind them."""
+    return _tagged(spark, sf_dir, F.expr("substring(text, 1, length(text) div 2)"), F.expr("substring(text, length(text) div 2 + 1)"))
+
+
 def code_fences(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.concat(F.lit("Here:\n```rust\nfn f"), F.col("item_id").cast("string"), F.lit("() {}\n```\n"), "text")
     rows = table(spark, sf_dir, "benchmark").select("item_id", t.alias("t"))
@@ -61,7 +70,7 @@ def average_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").groupBy("lang").agg(F.round(F.avg(F.length("text")), 1).alias("avg_chars"), F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (chunk_stats, chunk_rows, text_profile, text_clean, think_tags, code_fences, paragraph_packs, tagged_chunks, average_length)}
+QUERIES = {f.__name__: f for f in (chunk_stats, chunk_rows, text_profile, text_clean, think_tags, think_tags_whole, code_fences, paragraph_packs, tagged_chunks, average_length)}
 _STRIP = r"regexp_replace({0}, '^[\s\x0b\x1c-\x1f]+|[\s\x0b\x1c-\x1f]+$', '', 'g')"
 _STRIP_T = _STRIP.format("t")
 ORACLES = {
@@ -94,6 +103,13 @@ x as (select doc_id, case when doc_id % 3 = 0 then '<think>' || h || '</think>'
 select doc_id, sha256({_STRIP.format(r"regexp_replace(regexp_replace(t, '(?s)<think>.*?</think>', '', 'g'), '\n\s*\n\s*\n', chr(10) || chr(10), 'g')")}) as dropped,
 sha256({_STRIP.format("regexp_replace(regexp_replace(t, '(?si)<think>.*?</think>', '', 'g'), '(?si)<reasoning>.*?</reasoning>', '', 'g')")}) as reasoned,
 sha256({_STRIP.format("string_split(t, '</think>')[-1]")}) as after, contains(t, '<think>') and not contains(t, '</think>') as unclosed from x
+""",
+    "think_tags_whole": rf"""
+with d as (select doc_id, substr(text, 1, length(text) // 2) as h, substr(text, length(text) // 2 + 1) as l from documents),
+x as (select doc_id, case when doc_id % 3 = 0 then '<think>' || h || '</think>' || l when doc_id % 3 = 1 then '<think>' || h || chr(10) || l else h || '<Reasoning>x' || chr(10) || 'y</Reasoning>' || l end as t from d)
+select doc_id, sha256({_STRIP.format(r"regexp_replace(regexp_replace(t, '(?s)<think>.*?</think>', '', 'g'), '\n\s*\n\s*\n', chr(10) || chr(10), 'g')")}) as dropped,
+sha256({_STRIP.format("regexp_replace(regexp_replace(t, '(?si)<think>.*?</think>', '', 'g'), '(?si)<reasoning>.*?</reasoning>', '', 'g')")}) as reasoned,
+sha256({_STRIP.format("string_split(t, '</think>')[-1]")}) as after, contains(t, '<think>') and not contains(t, '</think>') as unclosed from x
 """,
     "code_fences": rf"""
 with x as (select item_id, 'Here:' || chr(10) || '```rust' || chr(10) || 'fn f' || item_id || '() {{}}' || chr(10) || '```' || chr(10) || text as t from benchmark)
