@@ -39,7 +39,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Then the heaviest set that holds a token, the one that near copies vary, leads in the same way. The rest meet in posting lists that are skipped by block, by size and position, and are verified exactly.
 
     A null id: n_shingles and component_id null, no links. Null text: as empty. Rows that repeat an id: one row each,
-    one component. Columns of any other name are ignored. An empty table: no rows.
+    one component, by the links of all their texts. Columns of any other name are ignored. An empty table: no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     found = stored(shared_sets(rows.where("id is not null"), document_sets(k), num, den, keep_all=True), "sets")
@@ -49,14 +49,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     first = stored(alive.groupBy("digest", "n").agg(F.min("key1").alias("b")), "classes")
     same = alive.join(first, ["digest", "n"]).selectExpr("key1 as a", "b").where("a <> b")
     near = stored(components(star.union(same)), "near")
-    asked = alive.join(first, ["digest", "n"]).where("key1 = b").select(F.col("key1").alias("id"), "n", "tokens", "weight").dropDuplicates(["id"])
-    asked = stored(asked.join(near, "id", "left").selectExpr("id", "coalesce(component, id) as label", "n", "tokens", "weight"), "asked")
+    # A class is asked under an id of its own: one document id may stand for the classes of several texts.
+    asked = alive.join(first, ["digest", "n"]).where("key1 = b").selectExpr("greatest(xxhash64(digest, n), -9223372036854775807L) as id", "b as doc", "n", "tokens", "weight").dropDuplicates(["id"])
+    asked = stored(asked.join(near.withColumnRenamed("id", "doc"), "doc", "left").selectExpr("id", "doc", "coalesce(component, doc) as label", "n", "tokens", "weight"), "asked")
     listed = cross_lists(asked, num, den)
     wide = components(hub_links(listed, asked, num, den), "label", "other").selectExpr("id as label", "component as wider")
     left = listed.join(wide, "label", "left").selectExpr("id", "coalesce(wider, label) as label", "n", "transform(s, x -> x.tok) as tokens", "cast(0 as float) as weight")
     left = cross_lists(left, num, den).selectExpr("id", "label", "n", "transform(s, x -> x.tok) as tokens")
     far = components(prefix_pairs(left, num, den).selectExpr("la as label", "lb as other").unionByName(wide.selectExpr("label", "wider as other")), "label", "other").selectExpr("id as component", "component as wider")
-    merged = near.unionByName(asked.selectExpr("id", "label as component")).distinct().join(far, "component", "left").selectExpr("id as key1", "coalesce(wider, component) as component_id")
+    merged = near.unionByName(asked.selectExpr("doc as id", "label as component")).distinct().join(far, "component", "left").selectExpr("id as key1", "coalesce(wider, component) as component_id")
     out = found.select("key1", "n").join(merged, "key1", "left").selectExpr(f"key1 as {id_col}", "n as n_shingles", "coalesce(component_id, key1) as component_id")
     lost = rows.where("id is null").selectExpr(f"id as {id_col}", "cast(null as long) as n_shingles", "cast(null as long) as component_id")
     return out.unionByName(lost)

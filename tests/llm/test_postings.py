@@ -127,3 +127,20 @@ def test_lines_of_odd_tables(spark):
     rows = [(None, "a b c d e f"), (1, None), (2, "a b c d e f\nx"), (3, "a b c d e f"), (4, "\n\n")]
     got = {r[0]: (r[1], r[2]) for r in dedup_lines(spark.createDataFrame(rows, schema)).collect()}
     assert got == {None: ("a b c d e f", 0), 1: (None, 0), 2: ("a b c d e f\nx", 0), 3: ("", 1), 4: ("\n\n", 0)}
+
+
+def test_one_id_of_several_texts_keeps_the_links_of_each(spark):
+    """Each text of an id has near copies of its own; brute force over rows."""
+    r = random.Random(8)
+    rows: list[tuple[int, str]] = []
+    for g in range(40):
+        for k in range(3):
+            base = [f"g{g}k{k}w{i}" for i in range(60)]
+            rows.append((100 * g, " ".join(base)))
+            for c in range(2):
+                at = r.randrange(60)
+                rows.append((100 * g + 10 * k + c + 1, " ".join(base[:at] + ["x"] + base[at + 1 :])))
+    r.shuffle(rows)
+    out = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()
+    assert len(out) == len(rows)
+    assert all(x["component_id"] == x["doc_id"] // 100 * 100 for x in out)
