@@ -90,33 +90,32 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return h
 
 
-def shingles(h: np.ndarray, seg: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and segment of each run of `k` words in a segment; a segment of fewer words gives one hash of its whole sequence."""
+def shingles(h: np.ndarray, seg: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two independent hashes and the segment of each run of `k` words in a segment; a segment of fewer words gives one run,
+    its whole sequence."""
     n = len(h)
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    outs, segs = [], []
+    empty = np.zeros(0, np.uint64)
+    outs, others, segs = [empty], [empty], [np.zeros(0, np.int64)]
+
+    def add(at: np.ndarray, c: int, seg: np.ndarray) -> None:
+        for out, factor in ((outs, K2), (others, K3)):
+            s = h[at].copy()
+            for j in range(1, c):
+                s *= factor
+                s += h[at + j]
+            out.append(mix(s + np.uint64(c)))
+        segs.append(seg[at])
+
     with np.errstate(over="ignore"):
         if n >= k:
-            s = np.zeros(n - k + 1, np.uint64)
-            for j in range(k):
-                s = s * K2 + h[j : n - k + 1 + j]
-            ok = seg[: n - k + 1] == seg[k - 1 :]
-            outs.append(mix(s[ok] + np.uint64(k)))
-            segs.append(seg[: n - k + 1][ok])
-        first = np.flatnonzero(np.concatenate([[True], seg[1:] != seg[:-1]]))
+            add(np.flatnonzero(seg[: n - k + 1] == seg[k - 1 :]), k, seg)
+        first = np.flatnonzero(np.concatenate([[True], seg[1:] != seg[:-1]])) if n else np.zeros(0, np.int64)
         count = np.diff(np.concatenate([first, [n]]))
         for c in range(1, k):
             at = first[count == c]
             if len(at):
-                s = np.zeros(len(at), np.uint64)
-                for j in range(c):
-                    s = s * K2 + h[at + j]
-                outs.append(mix(s + np.uint64(c)))
-                segs.append(seg[at])
-    if not outs:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(outs), np.concatenate(segs)
+                add(at, c, seg)
+    return np.concatenate(outs), np.concatenate(others), np.concatenate(segs)
 
 
 def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:

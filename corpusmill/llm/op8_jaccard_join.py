@@ -10,19 +10,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.kernels import lower_ascii, shingles, slices, span_hashes, utf8, words
-from corpusmill.llm.postings import Sets, cross_lists, hub_links, prefix_pairs, shared_sets
+from corpusmill.llm.postings import Sets, cross_lists, hub_links, least_overlap, prefix_pairs, shared_sets, slice_bytes
 from corpusmill.llm.shared import components, stored
 
 
-def document_sets(k: int):
+def document_sets(k: int, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[Sets]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=limit):
             buf, off = utf8(batch.column("text"))
             buf = lower_ascii(buf)
             starts, ends, doc = words(buf, off)
-            tokens, owner = shingles(span_hashes(buf, starts, ends), doc, k)
             ids = batch.column("id").to_numpy().astype(np.int64)
-            yield ids, np.zeros(len(ids), np.int64), tokens, owner
+            yield ids, np.zeros(len(ids), np.int64), *shingles(span_hashes(buf, starts, ends), doc, k)
 
     return run
 
@@ -42,15 +41,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     one component, by the links of all their texts. Columns of any other name are ignored. An empty table: no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    found = stored(shared_sets(rows.where("id is not null"), document_sets(k), num, den, keep_all=True), "sets")
+    found = stored(shared_sets(rows.where("id is not null"), document_sets(k, slice_bytes(docs.sparkSession)), num, den, keep_all=True), "sets")
     alive = found.where("tokens is not null")
     lead = alive.selectExpr("batch as lead_batch", "idx as lead_idx", "key1 as b", "n as nb")
-    star = alive.join(lead, ["lead_batch", "lead_idx"]).where(f"{den} * lead_overlap >= {num} * (n + nb - lead_overlap)").selectExpr("key1 as a", "b")
-    first = stored(alive.groupBy("digest", "n").agg(F.min("key1").alias("b")), "classes")
-    same = alive.join(first, ["digest", "n"]).selectExpr("key1 as a", "b").where("a <> b")
-    near = stored(components(star.union(same)), "near")
+    star = alive.join(lead, ["lead_batch", "lead_idx"]).where(f"{den} * lead_overlap >= {num} * (n + nb - lead_overlap) and {least_overlap(num, den, 'lead_overlap')}").selectExpr("key1 as a", "b")
     # A class is asked under an id of its own: one document id may stand for the classes of several texts.
-    asked = alive.join(first, ["digest", "n"]).where("key1 = b").selectExpr("greatest(xxhash64(digest, n), -9223372036854775807L) as id", "b as doc", "n", "tokens", "weight").dropDuplicates(["id"])
+    equal = ["digest", "digest2", "n"]
+    first = stored(alive.groupBy(*equal).agg(F.min("key1").alias("b")).withColumn("id", F.monotonically_increasing_id()), "classes")
+    same = alive.join(first, equal).selectExpr("key1 as a", "b").where("a <> b")
+    near = stored(components(star.union(same)), "near")
+    asked = alive.join(first, equal).where("key1 = b").selectExpr("id", "b as doc", "n", "tokens", "weight").dropDuplicates(["id"])
     asked = stored(asked.join(near.withColumnRenamed("id", "doc"), "doc", "left").selectExpr("id", "doc", "coalesce(component, doc) as label", "n", "tokens", "weight"), "asked")
     listed = cross_lists(asked, num, den)
     wide = components(hub_links(listed, asked, num, den), "label", "other").selectExpr("id as label", "component as wider")

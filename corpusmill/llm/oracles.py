@@ -20,10 +20,10 @@ select n.doc_id, n.n as n_shingles, min(r.r) as component_id from n join r on r.
 _OP9 = rf"""
 with l as (select doc_id, text, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i from documents),
 d as (select doc_id, i, {_WORDS.format(_LOW.replace("text", "line"))} as w from l),
-s as (select distinct doc_id, i, unnest({_GRAMS}) as g from d),
-n as (select doc_id, i, count(*) as n from s group by all),
-c as (select a.doc_id, a.i, b.doc_id as od, b.i as oi, count(*) as c from s a join s b using (g) where b.doc_id < a.doc_id or (b.doc_id = a.doc_id and b.i < a.i) group by all),
-gone as (select distinct c.doc_id, c.i from c join n x on x.doc_id = c.doc_id and x.i = c.i join n y on y.doc_id = od and y.i = oi where 4 * c >= 3 * (x.n + y.n - c)),
+b as (select distinct doc_id, i, 's' as kind, unnest({_GRAMS}) as g from d where len(w) >= 20 union all select distinct doc_id, i, 'w', unnest(w) from d where len(w) <= 26),
+s as (select *, count(*) over (partition by doc_id, i, kind) as n from b),
+c as (select a.doc_id, a.i, b.doc_id as od, b.i as oi, kind, any_value(a.n) as x, any_value(b.n) as y, count(*) as c from s a join s b using (kind, g) where (b.doc_id < a.doc_id or (b.doc_id = a.doc_id and b.i < a.i)) and 4 * least(a.n, b.n) >= 3 * greatest(a.n, b.n) group by all),
+gone as (select distinct doc_id, i from c where 4 * c >= 3 * (x + y - c)),
 k as (select l.doc_id, any_value(l.text) as text, count(gone.i) as m, string_agg(l.line, chr(10) order by l.i) filter (gone.i is null) as kept from l left join gone on gone.doc_id = l.doc_id and gone.i = l.i group by 1)
 select doc_id, case when m = 0 then text when regexp_matches(coalesce(kept, ''), '[^\x20\x09-\x0D]') then kept else '' end as text, m as n_lines_removed from k
 """

@@ -11,7 +11,11 @@ set, a lower bound of the overlap with it.
 
 Bounds: a row per batch and non-empty range, at most one per token. A token that more than HOT sets of a batch hold is
 known to be shared: but for its first entry its batch keeps it, so that a range gets at most HOT + 1 entries of a token
-from a batch. 48 bits: two sets of a and b tokens have a wrong match with a chance of a * b / 2^48.
+from a batch.
+
+Sets are called equal by a digest of 128 bits: sums of two independent, finalised 64-bit hashes of each token. The 48 bits
+only count overlaps of unequal sets, which need t / (1 - t) common tokens or more (`least_overlap`; three at 3/4), so one
+wrong match makes no link of its own: it takes a pair that is one token short, and then has a chance of a * b / 2^48.
 """
 
 from __future__ import annotations
@@ -20,10 +24,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.kernels import ranges, spans
+from corpusmill.llm.kernels import K1, K3, SLICE_BYTES, mix, ranges, spans
 from corpusmill.llm.shared import stored
 
 ENTRIES, DIRECTORY, KEPT, HOTS = 0, 1, 2, 3
@@ -77,7 +81,8 @@ Sets = tuple[np.ndarray, ...]
 
 
 def deal(sets: Callable[[Iterator[pa.RecordBatch]], Iterator[Sets]], parts: int, sized: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For mapInArrow. `sets` yields (key1, key2, token hashes, set number of each): keys by set number, both int64.
+    """For mapInArrow. `sets` yields (key1, key2, token hashes, other hashes of the same tokens, set number of each): keys by
+    set number, both int64.
     With `sized` the second key is the number of tokens that a set has in all, those not given included, and `sets` yields
     two more arrays: sets come in ascending order of this pair, over all batches, and a token's first set is the first in
     that order."""
@@ -85,19 +90,25 @@ def deal(sets: Callable[[Iterator[pa.RecordBatch]], Iterator[Sets]], parts: int,
     def part_of(entries: np.ndarray) -> np.ndarray:
         return ((entries >> np.uint64(16)) * np.uint64(parts)) >> np.uint64(48) if parts < 1 << 16 else (entries >> np.uint64(32)) % np.uint64(parts)
 
-    def one(number: int, key1: np.ndarray, key2: np.ndarray, tokens: np.ndarray, owner: np.ndarray, *order: np.ndarray) -> pa.RecordBatch:
-        entries = np.sort((tokens & ~_IDX) | owner.astype(np.uint64))
+    def one(number: int, key1: np.ndarray, key2: np.ndarray, tokens: np.ndarray, other: np.ndarray, owner: np.ndarray, *order: np.ndarray) -> pa.RecordBatch:
+        entries = (tokens & ~_IDX) | owner.astype(np.uint64)
+        by = np.argsort(entries)
+        entries = entries[by]
         if len(entries):
-            entries = entries[np.concatenate([[True], entries[1:] != entries[:-1]])]
+            once = np.concatenate([[True], entries[1:] != entries[:-1]])
+            entries, by = entries[once], by[once]
         idx = (entries & _IDX).astype(np.int64)
         size = key2 if sized else np.bincount(idx, minlength=len(key1)).astype(np.int64)
+        digests = []
         with np.errstate(over="ignore"):
-            digest = np.zeros(len(key1), np.uint64)
-            np.add.at(digest, idx, (entries | _IDX) * np.uint64(0x9E3779B97F4A7C15))
+            for h, seed in () if sized else ((tokens, K1), (other, K3)):
+                digests.append(np.zeros(len(key1), np.uint64))
+                np.add.at(digests[-1], idx, mix(h[by] + seed))
+        digest, digest2 = digests or [np.zeros(len(key1), np.uint64)] * 2
         name = batch_name(number, key1, key2)
         head = np.array([x[0] for x in order] or [name, 0], np.int64).tobytes()
         tok = entries >> np.uint64(16)
-        rows = [(parts + name % parts, DIRECTORY, name, np.concatenate([key1, key2, size, digest.view(np.int64)]).tobytes())]
+        rows = [(parts + name % parts, DIRECTORY, name, np.concatenate([key1, key2, size, digest.view(np.int64), digest2.view(np.int64)]).tobytes())]
         first = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]])) if len(tok) else np.zeros(0, np.int64)
         count = np.diff(np.concatenate([first, [len(tok)]]))
         if (hot := count > HOT).any():
@@ -121,14 +132,14 @@ def deal(sets: Callable[[Iterator[pa.RecordBatch]], Iterator[Sets]], parts: int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = 0
-        for key1, key2, tokens, owner, *more in sets(batches):
+        for key1, key2, tokens, other, owner, *more in sets(batches):
             if len(key1) > MOST_SETS:
                 order = np.argsort(owner, kind="stable")
-                tokens, owner = tokens[order], owner[order]
+                tokens, other, owner = tokens[order], other[order], owner[order]
             for a in range(0, len(key1), MOST_SETS):
                 lo, hi = np.searchsorted(owner, [a, a + MOST_SETS]) if len(key1) > MOST_SETS else (0, len(owner))
                 cut = slice(a, a + MOST_SETS)
-                yield one(number, key1[cut], key2[cut], tokens[lo:hi], owner[lo:hi] - a, *[x[cut] for x in more])
+                yield one(number, key1[cut], key2[cut], tokens[lo:hi], other[lo:hi], owner[lo:hi] - a, *[x[cut] for x in more])
                 number += 1
 
     return run
@@ -175,8 +186,8 @@ def match(rows: pa.Table) -> pa.Table:
     return pa.concat_tables([through.cast(_ROW_PA), back])
 
 
-_SETS = "batch long, idx int, key1 long, key2 long, n long, digest long, tokens array<long>, lead_batch long, lead_idx int, lead_overlap long, weight float"
-_SETS_PA = pa.schema([("batch", pa.int64()), ("idx", pa.int32()), ("key1", pa.int64()), ("key2", pa.int64()), ("n", pa.int64()), ("digest", pa.int64()), ("tokens", pa.list_(pa.int64())), ("lead_batch", pa.int64()), ("lead_idx", pa.int32()), ("lead_overlap", pa.int64()), ("weight", pa.float32())])
+_SETS = "batch long, idx int, key1 long, key2 long, n long, digest long, digest2 long, tokens array<long>, lead_batch long, lead_idx int, lead_overlap long, weight float"
+_SETS_PA = pa.schema([("batch", pa.int64()), ("idx", pa.int32()), ("key1", pa.int64()), ("key2", pa.int64()), ("n", pa.int64()), ("digest", pa.int64()), ("digest2", pa.int64()), ("tokens", pa.list_(pa.int64())), ("lead_batch", pa.int64()), ("lead_idx", pa.int32()), ("lead_overlap", pa.int64()), ("weight", pa.float32())])
 
 
 def gather(num: int, den: int, keep_all: bool) -> Callable[[pa.Table], pa.Table]:
@@ -186,7 +197,7 @@ def gather(num: int, den: int, keep_all: bool) -> Callable[[pa.Table], pa.Table]
         kinds, name = rows.column("kind").to_numpy(), rows.column("batch")[0].as_py()
         bodies = rows.column("body")
         head = np.frombuffer(bodies[int(np.flatnonzero(kinds == DIRECTORY)[0])].as_py(), np.int64)
-        key1, key2, size, digest = head.reshape(4, len(head) // 4)
+        key1, key2, size, digest, digest2 = head.reshape(5, len(head) // 5)
         own, names = [], {name: 0}
         for i, kind in enumerate(kinds):
             if kind == DIRECTORY:
@@ -237,7 +248,7 @@ def gather(num: int, den: int, keep_all: bool) -> Callable[[pa.Table], pa.Table]
         has = lead_of[out] >= 0
         return pa.table(
             [
-                pa.array(np.full(len(out), name)), pa.array(out.astype(np.int32)), pa.array(key1[out]), pa.array(key2[out]), pa.array(size[out]), pa.array(digest[out]), tokens,
+                pa.array(np.full(len(out), name)), pa.array(out.astype(np.int32)), pa.array(key1[out]), pa.array(key2[out]), pa.array(size[out]), pa.array(digest[out]), pa.array(digest2[out]), tokens,
                 pa.array(by_code[np.maximum(lead_of[out], 0) >> 16], mask=~has), pa.array((np.maximum(lead_of[out], 0) & 0xFFFF).astype(np.int32), mask=~has), pa.array(lead_n[out], mask=~has), pa.array(weight[out].astype(np.float32)),
             ],
             schema=_SETS_PA,
@@ -246,6 +257,12 @@ def gather(num: int, den: int, keep_all: bool) -> Callable[[pa.Table], pa.Table]
     return run
 
 
+def slice_bytes(spark: SparkSession) -> int:
+    """Bytes of text of a batch: they grow with the number of ranges, so that a row, of which there is one for each batch and
+    range, keeps many tokens; up to what a Python worker can hold."""
+    return min(12 * SLICE_BYTES, max(SLICE_BYTES, 2048 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def shared_sets(docs: DataFrame, sets: Callable[[Iterator[pa.RecordBatch]], Iterator[Sets]], num: int, den: int, keep_all: bool = False, sized: bool = False) -> DataFrame:
     """Sets of `docs` of whose n tokens num/den or more are in other sets too; columns as _SETS, tokens
     from the rarest to the most common.
@@ -258,6 +275,11 @@ def shared_sets(docs: DataFrame, sets: Callable[[Iterator[pa.RecordBatch]], Iter
     return back.groupBy("batch").applyInArrow(gather(num, den, keep_all), _SETS)
 
 
+def least_overlap(num: int, den: int, overlap: str = "overlap") -> str:
+    """What the overlap of two unequal sets must meet, whatever their sizes: |A | B| is larger by one at least."""
+    return f"{den - num} * {overlap} >= {num}"
+
+
 def cross_lists(sets: DataFrame, num: int, den: int) -> DataFrame:
     """(id, label, n, s): sets of `sets` (id, label, n, tokens, weight) that hold num/den of their n tokens in common with sets
     of other labels, s listing these tokens as (df, tok, hub): their document frequency and, of the sets that hold the
@@ -273,25 +295,40 @@ def hub_links(listed: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
     """(label, other): labels that a link joins, by the overlaps of `cross_lists` sets with their tokens' hubs. The counts are
     lower bounds, so every link is one; a hub of many near copies is found without listing their pairs."""
     counts = listed.select("id", "label", "n", F.explode("s.hub").alias("hub")).where("hub <> id").groupBy("id", "label", "n", "hub").agg(F.count("*").alias("overlap"))
-    close = counts.where(f"{den} * overlap >= {num} * n")
+    close = counts.where(f"{den} * overlap >= {num} * n and {least_overlap(num, den)}")
     other = sets.selectExpr("id as hub", "label as other", "n as nh")
     return close.join(other, "hub").where(f"{den} * overlap >= {num} * (n + nh - overlap)").select("label", "other")
 
 
+#: Entries of a posting list that one task takes at most, on the average: longer lists are cut into a grid of comparisons.
+SPLIT = 4096
+
+
 def _postings(listed: DataFrame, num: int, den: int) -> DataFrame:
-    """Prefix tokens of `listed`, one row each, with the part of the token."""
-    ordered = {"open", "o1", "o2"} <= set(listed.columns)
-    need = f"cast(ceil(n * {num} / {den}D) as int)"
-    extra = ["open", "o1", "o2"] if ordered else ["true as open", "-id as o1", "0L as o2"]
-    pre = listed.selectExpr("id", "label", "n", *extra, "size(tokens) as c", f"posexplode(slice(tokens, 1, greatest(0, size(tokens) - {need} + 1))) as (at, tok)").selectExpr("id", "label", "n", "open", "o1", "o2", "tok", "cast(at as long) + n - c as pos")
+    """Keys of `listed`, one row each, with the part of the key: prefix tokens, and of sets of which `paired` is true pairs of
+    them. Unequal sets have two tokens or more in common, the first two of which are in prefixes that are one longer.
+
+    A key's sets are cut into blocks of SPLIT, and a pair of blocks is a cell (ci, cj): a set of block m goes to each cell
+    that has m on either side, and is compared with the sets of the other block there."""
+    cols = set(listed.columns)
+    extra = ["open", "o1", "o2"] if {"open", "o1", "o2"} <= cols else ["true as open", "-id as o1", "0L as o2"]
+    paired = "paired" if "paired" in cols else "false"
+    pre = listed.selectExpr("id", "label", "n", *extra, "size(tokens) as c", f"{paired} as paired", f"slice(tokens, 1, greatest(0, size(tokens) - cast(ceil(n * {num} / {den}D) as int) + 1 + cast({paired} as int))) as pre")
+    single = "transform(pre, (t, i) -> struct(i as at, t as tok))"
+    double = "flatten(transform(pre, (t, i) -> transform(slice(pre, i + 2, greatest(0, size(pre) - i - 1)), u -> struct(i as at, xxhash64(t, u) as tok))))"
+    keys = pre.selectExpr("id", "label", "n", "open", "o1", "o2", "c", f"inline(case when paired then {double} else {single} end)").selectExpr("id", "label", "n", "open", "o1", "o2", "tok", "cast(at as long) + n - c as pos")
+    # At most one row here for every SPLIT keys; stored, so that its size is known when the join is planned.
+    long = stored(keys.groupBy("tok").agg(F.count("*").alias("f")).where(f"f > {SPLIT}").selectExpr("tok", f"cast(ceil(f / {SPLIT}D) as int) as blocks"), "long")
+    dealt = keys.join(long, "tok", "left").selectExpr("id", "label", "n", "open", "o1", "o2", "tok", "pos", "coalesce(blocks, 1) as blocks", "cast(pmod(xxhash64(id, 5), coalesce(blocks, 1)) as int) as m")
+    dealt = dealt.withColumn("j", F.explode(F.expr("sequence(0, blocks - 1)"))).selectExpr("id", "label", "n", "open", "o1", "o2", "tok", "pos", "m", "least(m, j) as ci", "greatest(m, j) as cj")
     parts = 4 * int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return pre.withColumn("part", F.expr(f"pmod(xxhash64(tok), {parts}L)"))
+    return dealt.withColumn("part", F.expr(f"pmod(xxhash64(tok, ci, cj), {parts}L)"))
 
 
 def _verified(found: DataFrame, listed: DataFrame, num: int, den: int) -> DataFrame:
     body = listed.select("id", "label", "n", "tokens")
     both = found.join(body.selectExpr("id as a", "label as la", "n as na", "tokens as ta"), "a").join(body.selectExpr("id as b", "label as lb", "n as nb", "tokens as tb"), "b")
-    return both.selectExpr("a", "b", "la", "lb", "na", "nb", "cast(size(array_intersect(ta, tb)) as long) as overlap").where(f"{den} * overlap >= {num} * (na + nb - overlap)").select("a", "b", "la", "lb")
+    return both.selectExpr("a", "b", "la", "lb", "na", "nb", "cast(size(array_intersect(ta, tb)) as long) as overlap").where(f"{den} * overlap >= {num} * (na + nb - overlap) and {least_overlap(num, den)}").select("a", "b", "la", "lb")
 
 
 def prefix_pairs(listed: DataFrame, num: int, den: int) -> DataFrame:
@@ -299,12 +336,12 @@ def prefix_pairs(listed: DataFrame, num: int, den: int) -> DataFrame:
     den * |intersection| >= num * |union|, verified; a < b.
 
     `tokens` are those that sets of other labels hold too, in order of rarity, which is the same for all sets; n counts the
-    others as well, which are rarer still. A set's prefix has n - ceil(num/den n) + 1 tokens, the uncommon ones first.
+    others as well, which are rarer still. Sets are unequal, as sets of tokens. A set's prefix has n - ceil(num/den n) + 1 tokens, the uncommon ones first.
     Posting lists of prefix tokens are sorted by size and cut into blocks; a block is skipped for a block whose length
     filter or positional bound its sizes and positions can't meet. `listed` should be a stored table: it is read thrice.
 
     If `listed` has columns open and o1, o2, an order, a is the later one of a pair and only pairs whose later one is open
-    are looked for.
+    are looked for. If it has a column paired, sets of it meet by two common tokens; sets of unlike `paired` don't meet.
     """
     found = _postings(listed, num, den).groupBy("part").applyInArrow(_candidates(num, den), "a long, b long, many long").select("a", "b").distinct()
     return _verified(found, listed, num, den)
@@ -337,13 +374,13 @@ def _candidates(num: int, den: int, best: int = 0) -> Callable[[pa.Table], pa.Ta
         return np.stack([both[0, first], both[1, first], np.add.reduceat(both[2], first)])
 
     def run(rows: pa.Table) -> pa.Table:
-        tok, ids, label, n, pos, is_open, o1, o2 = (rows.column(c).to_numpy() for c in ("tok", "id", "label", "n", "pos", "open", "o1", "o2"))
+        tok, ids, label, n, pos, is_open, o1, o2, m, ci, cj = (rows.column(c).to_numpy() for c in ("tok", "id", "label", "n", "pos", "open", "o1", "o2", "m", "ci", "cj"))
         # The order as a number within these rows.
         place = np.unique(np.stack([o1, o2]), axis=1, return_inverse=True)[1].ravel()
-        order = np.lexsort((ids, n, tok))
-        tok, ids, label, n, pos, is_open, place = tok[order], ids[order], label[order], n[order], pos[order], is_open[order], place[order]
+        order = np.lexsort((ids, n, cj, ci, tok))
+        tok, ids, label, n, pos, is_open, place, m, ci, cj = (x[order] for x in (tok, ids, label, n, pos, is_open, place, m, ci, cj))
         near = pos <= n + (-2 * num * n) // (num + den)  # n - ceil(2t / (1 + t) n)
-        cut = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]]))
+        cut = np.flatnonzero(np.concatenate([[True], (tok[1:] != tok[:-1]) | (ci[1:] != ci[:-1]) | (cj[1:] != cj[:-1])]))
         pairs: list[np.ndarray] = []
         held = 0
         for lo, hi in spans(cut, len(tok)):
@@ -364,6 +401,8 @@ def _candidates(num: int, den: int, best: int = 0) -> Callable[[pa.Table], pa.Ta
                     x, y = slice(a, a2), slice(b, b2)
                     ok = near[x][:, None] & (label[x][:, None] != label[y][None, :]) & (den * n[x][:, None] >= num * n[y][None, :])
                     ok &= (num + den) * np.minimum(left[a - lo : a2 - lo][:, None], left[b - lo : b2 - lo][None, :]) >= num * (n[x][:, None] + n[y][None, :])
+                    if ci[lo] != cj[lo]:
+                        ok &= m[x][:, None] != m[y][None, :]
                     second = place[x][:, None] > place[y][None, :]
                     ok &= np.where(second, is_open[x][:, None], is_open[y][None, :])
                     i, j = np.nonzero(ok)

@@ -95,24 +95,96 @@ def test_components_by_rounds_and_by_task(spark, limit):
     assert got == {x: find(parent, x) for x in parent}
 
 
+def words_of(line: str) -> list[str]:
+    return re.findall(r"[^\x20\x09-\x0D]+", line.translate(FOLD))
+
+
+def resembles(a: str, b: str, short: int = 20) -> bool:
+    """By words if neither line has more than 4/3 of `short`, by shingles if both have `short` or more."""
+    x, y = words_of(a), words_of(b)
+    by_words = max(len(x), len(y)) <= short * 4 // 3 and linked(frozenset(x), frozenset(y))
+    return by_words or (min(len(x), len(y)) >= short and linked(sets_of(a), sets_of(b)))
+
+
 def brute_lines(rows) -> dict[int, tuple[str | None, int]]:
-    seen: list[frozenset] = []
+    seen: list[str] = []
     out = {}
     for i, t in sorted(rows, key=lambda x: x[0]):
         kept, gone = [], 0
         for line in (t or "").split("\n"):
-            s = sets_of(line)
-            if s and any(linked(s, o) for o in seen):
+            if line in seen and words_of(line) or any(resembles(line, o) for o in dict.fromkeys(seen)):
                 gone += 1
             else:
                 kept.append(line)
-            if s:
-                seen.append(s)
+            seen.append(line)
         text = "\n".join(kept)
         out[i] = (t if not gone else text if re.search(r"[^\x20\x09-\x0D]", text) else "", gone)
     return out
 
 
+def short_lines(seed: int) -> list[tuple[int, str]]:
+    """Lines of 1 to 40 words out of few, and copies of them with words changed, dropped, put in and moved."""
+    r = random.Random(seed)
+    vocab = [f"v{i}" for i in range(60)]
+    base = [[r.choice(vocab) for _ in range(r.randrange(1, 40))] for _ in range(60)]
+    rows = []
+    for i in range(70):
+        lines = []
+        for _ in range(4):
+            w = list(r.choice(base)) if r.random() < 0.7 else [r.choice(vocab) for _ in range(r.randrange(1, 30))]
+            for _ in range(r.randrange(4)):
+                at = r.randrange(len(w))
+                match r.randrange(4):
+                    case 0:
+                        w[at] = r.choice(vocab)
+                    case 1 if len(w) > 1:
+                        del w[at]
+                    case 2:
+                        w.insert(at, r.choice(vocab))
+                    case _:
+                        r.shuffle(w) if len(w) < 9 else None
+            lines.append(" ".join(w))
+        rows.append((i, "\n".join(lines)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [2, 3])
+def test_lines_of_few_words_are_exact(spark, seed):
+    rows = short_lines(seed)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: (r["text"], r["n_lines_removed"]) for r in dedup_lines(df).collect()}
+    assert got == brute_lines(rows)
+
+
+def test_long_posting_lists_are_cut_into_cells(spark, monkeypatch):
+    """Blocks of four sets: the grid of comparisons finds what one list does."""
+    from corpusmill.llm import postings
+
+    monkeypatch.setattr(postings, "SPLIT", 4)
+    rows = short_lines(5)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: (r["text"], r["n_lines_removed"]) for r in dedup_lines(df).collect()} == brute_lines(rows)
+    docs = corpus(6)
+    df = spark.createDataFrame([(i, t) for i, t in docs], "doc_id long, text string")
+    assert {r[0]: (r[1], r[2]) for r in jaccard_components(df).collect()} == brute_components(docs)
+
+
+def test_colliding_tokens_make_no_copies(spark, monkeypatch):
+    """All 48 bits of every token are the same: sets are told apart by their digests, and single tokens link nothing."""
+    from corpusmill.llm import op8_jaccard_join as op8
+
+    whole = op8.shingles
+
+    def colliding(h, seg, k):
+        a, b, owner = whole(h, seg, k)
+        return a & op8.np.uint64(0xFFFF), b, owner
+
+    monkeypatch.setattr(op8, "shingles", colliding)
+    rows = [(i, f"a{i % 10} b c") for i in range(30)] + [(100 + i, f"only{i}") for i in range(20)]
+    out = {r[0]: (r[1], r[2]) for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == brute_components(rows)
+
+
 @pytest.mark.parametrize("seed", [1, 4])
 def test_lines_are_exact(spark, seed):
     rows = corpus(seed)
