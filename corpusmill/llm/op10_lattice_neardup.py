@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.kernels import K1, mix, spans
+from corpusmill.llm.kernels import K1, mix, ranges, spans
 from corpusmill.llm.shared import components, stored
 
 #: Tables, cells probed in each besides the own one, and lattice units that a unit vector's whole length is stretched to.
@@ -51,28 +55,37 @@ def minimal_vectors() -> np.ndarray:
     return np.array(out)
 
 
+_STEPS = minimal_vectors()
+
+
+@functools.lru_cache(maxsize=1024)
+def projection(table: int, dim: int) -> np.ndarray:
+    """A table's eight random orthogonal directions of `dim` coordinates."""
+    return np.linalg.qr(np.random.default_rng(1000 + table).standard_normal((max(dim, 8), 8)))[0][:dim]
+
+
 def cell_codes(vectors: np.ndarray, tables: int, probes: int, stretch: float) -> np.ndarray:
-    """(rows, tables, 1 + probes) codes of each unit vector's own cell and of the neighbouring cells nearest to it."""
+    """(rows, tables, 1 + probes) codes of each unit vector's own cell and of the neighbouring cells nearest to it; those of
+    vectors of another length differ."""
     n, dim = vectors.shape
-    steps = minimal_vectors()
+    steps = _STEPS
     out = np.zeros((n, tables, 1 + probes), np.int64)
     weights = mix(np.arange(1, 9, dtype=np.uint64) * K1) | np.uint64(1)
     for t in range(tables):
-        q, _ = np.linalg.qr(np.random.default_rng(1000 + t).standard_normal((max(dim, 8), 8)))
-        x = vectors @ q[:dim] * (stretch * np.sqrt(dim / 8))  # eight of dim coordinates: of length stretch, on the average
+        x = vectors @ projection(t, dim) * (stretch * np.sqrt(dim / 8))  # eight of dim coordinates: of length stretch, on the average
         own = decode_e8(x)
         # |x - own - s| is least for the steps s along the error: |s|^2 is the same for all.
         near = np.argpartition(-((x - own) @ steps.T), probes, axis=1)[:, :probes] if probes else np.zeros((n, 0), np.int64)
         points = np.concatenate([own[:, None, :], own[:, None, :] + steps[near]], axis=1)
         with np.errstate(over="ignore"):
             h = ((points * 2).astype(np.int64).view(np.uint64) * weights).sum(axis=-1, dtype=np.uint64)
-            out[:, t] = mix(h + np.uint64(t + 1) * K1).view(np.int64)
+            out[:, t] = mix(h + np.uint64(t + 1) * K1 + mix(np.full(1, dim, np.uint64))).view(np.int64)
     return out
 
 
 def unit(v: np.ndarray) -> np.ndarray:
-    """Rows at length 1, first brought to a size whose square neither overflows nor vanishes."""
-    v = v / np.abs(v).max(axis=1, keepdims=True)
+    """Rows at length 1, first brought by a power of two to a size whose square neither overflows nor vanishes."""
+    v = np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1])
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
@@ -85,34 +98,38 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     gives counts by class and a spanning forest of its links, never pairs.
 
     Found are the pairs that share a cell in some table, nearly all at such cosines; none below `cosine` are linked.
-    Vectors that are null, empty, zero, of another length than most, or with null or non-finite components link with
-    nothing. A null id: no links, component_id null, kept false. Rows that repeat an id count as that many vectors and
-    have a component in common. Other columns are ignored; an empty table gives no rows.
+    Vectors that are null, empty, zero, or with null or non-finite components link with nothing; vectors of unlike lengths
+    don't link with each other. Equal vectors are known by a digest of 128 bits. A null id: no links, component_id null,
+    kept false. Rows that repeat an id count as that many vectors and have a component in common. Other columns are
+    ignored; an empty table gives no rows.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
     if dict(rows.dtypes)["v"] != "array<float>":
         rows = rows.withColumn("v", F.col("v").cast("array<double>"))
     kind = dict(rows.dtypes)["v"]
-    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    fine = rows.where("id is not null and v is not null and size(v) > 0").where(~F.exists("v", lambda x: x.isNull() | F.isnan(x)) & (norm > 0) & (norm < F.lit(float("inf"))))
-    dims = fine.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    if not dims:
-        return rows.selectExpr(f"id as {id_col}", "0L as n_links", "id as component_id", "id is not null as kept")
-    dim = dims[0]["d"]
-    fine = fine.where(F.size("v") == dim).selectExpr("id", "v", "xxhash64(v) as h", "xxhash64(v, 7) as g")
+    finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    fine = rows.where("id is not null and v is not null").where(finite & F.exists("v", lambda x: x != 0)).selectExpr("id", "v", "xxhash64(v) as h", "xxhash64(7, v) as g")
     ids = stored(fine.select("id", "h", "g"), "ids")
     classes = stored(fine.groupBy("h", "g").agg(F.min("id").alias("cls"), F.count("*").alias("many"), F.first("v").alias("v")), "classes")
 
-    def keyed(batches):
+    def by_length(v: pa.Array | pa.ChunkedArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places and unit vectors of each length among lists."""
+        v = v.combine_chunks() if isinstance(v, pa.ChunkedArray) else v
+        flat, length = np.asarray(v.flatten(), np.float64), np.asarray(pc.list_value_length(v), np.int64)
+        starts = np.cumsum(length) - length
+        for d in np.unique(length):
+            at = np.flatnonzero(length == d)
+            yield at, unit(flat[ranges(starts[at], length[at])].reshape(len(at), d))
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = tables * (1 + probes)
         for batch in batches:
-            v = unit(np.asarray(batch.column("v").flatten(), np.float64).reshape(len(batch), dim))
-            codes = cell_codes(v, tables, probes, stretch)
-            width = tables * (1 + probes)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("cls"), batch.column("many"), batch.column("v"), pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1) * width, pa.int32()), pa.array(codes.ravel()))],
-                names=["cls", "many", "v", "codes"],
-            )
+            codes = np.zeros((len(batch), width), np.int64)
+            for at, v in by_length(batch.column("v")):
+                codes[at] = cell_codes(v, tables, probes, stretch).reshape(len(at), width)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1) * width, pa.int32()), pa.array(codes.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("cls"), batch.column("many"), batch.column("v"), lists], names=["cls", "many", "v", "codes"])
 
     coded = stored(classes.select("cls", "many", "v").mapInArrow(keyed, f"cls long, many long, v {kind}, codes array<long>"), "codes")
     # Members and visits of each cell; only cells that more than their one member visits matter.
@@ -130,9 +147,13 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     placed = role.groupBy("cls", "part").agg(F.collect_list("place").alias("places")).join(coded.selectExpr("cls + 0L as cls", "many", "v", "codes"), "cls")
 
     def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        found = [compare_equal_length(table.take(pa.array(at)), v) for at, v in by_length(table.column("v"))]
+        return pa.concat_tables(found)
+
+    def compare_equal_length(table: pa.Table, v: np.ndarray) -> pa.Table:
         table = table.combine_chunks()
         cls, many = table.column("cls").to_numpy(), table.column("many").to_numpy()
-        v = unit(np.asarray(table.column("v").combine_chunks().flatten(), np.float64).reshape(len(cls), dim))
         codes = np.asarray(table.column("codes").combine_chunks().flatten(), np.int64).reshape(len(cls), tables, step)
         places = table.column("places").combine_chunks()
         owner = np.repeat(np.arange(len(cls)), np.diff(places.offsets.to_numpy()))

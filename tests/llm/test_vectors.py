@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 
 from corpusmill.llm.op10_lattice_neardup import cell_codes, decode_e8, minimal_vectors, near_duplicates, unit
 
@@ -18,15 +19,16 @@ def test_lattice_points_are_nearest():
     assert (own[:, None] <= ((x[:, None] - p[:, None] - steps[None]) ** 2).sum(axis=2) + 1e-12).all()
 
 
-def pairs_at(rng, n: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    u = unit(rng.normal(size=(n, 64)))
-    w = rng.normal(size=(n, 64))
+def pairs_at(rng, n: int, cosine: float, dim: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    u = unit(rng.normal(size=(n, dim)))
+    w = rng.normal(size=(n, dim))
     w = unit(w - (w * u).sum(axis=1, keepdims=True) * u)
     return u, cosine * u + np.sqrt(1 - cosine**2) * w
 
 
-def test_recall_of_cells():
-    u, v = pairs_at(np.random.default_rng(1), 2000, 0.9)
+@pytest.mark.parametrize("dim", [8, 32, 64, 384, 768])
+def test_recall_of_cells(dim):
+    u, v = pairs_at(np.random.default_rng(1), 2000, 0.9, dim)
     a, b = cell_codes(u, 6, 3, 1.8), cell_codes(v, 6, 3, 1.8)
     met = ((a[:, :, :1] == b) | (b[:, :, :1] == a)).any(axis=(1, 2))
     assert met.mean() > 0.95
@@ -56,5 +58,12 @@ def test_against_all_pairs(spark):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in out.values())
 
 
+def test_vectors_of_any_size_and_length(spark):
+    rows = [[1e200, 1e200], [1e200, 1e200], [1e-200, 0.0], [1e-200, 0.0], [5e-324, 0.0], [3.0], [2.0], [-1.0], [1.0, 0.0, 0.0], [1.0, 0.1, 0.0], [1.0] * 20, [1.0] * 20, [1e308] * 9, [1e-308] * 9]
+    out = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near_duplicates(spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")).collect()}
+    want = {0: (1, 0), 1: (1, 0), 2: (2, 2), 3: (2, 2), 4: (2, 2), 5: (1, 5), 6: (1, 5), 7: (0, 7), 8: (1, 8), 9: (1, 8), 10: (1, 10), 11: (1, 10), 12: (1, 12), 13: (1, 12)}
+    assert out == want
+
+
 def test_empty(spark):
     assert near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
