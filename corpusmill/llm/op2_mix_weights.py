@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
 import numpy as np
@@ -16,6 +17,8 @@ MOST_CELLS = 200_000
 # Topics by pattern, the first one that a text matches; none: general.
 TOPICS = (("legal", r"(?i)licen[sc]e|rights reserved|copyright"), ("contact", r"[\w.]@[\w.]"), ("code", r"""[{};]|= ?["']|==|\(\)"""))
 DIMS = ("source", "lang", "topic")
+#: Marginals are met up to this share of all weight.
+TOLERANCE = 1e-10
 NONE = "\0none"
 
 
@@ -34,11 +37,12 @@ def tempered(shares: Mapping[str, float], alpha: float) -> dict[str, float]:
     return {k: v / total for k, v in raised.items()}
 
 
-def rake(mass: np.ndarray, groups: Sequence[np.ndarray], targets: Sequence[np.ndarray], rounds: int = 200, tolerance: float = 1e-10) -> np.ndarray:
+def rake(mass: np.ndarray, groups: Sequence[np.ndarray], targets: Sequence[np.ndarray], rounds: int = 200, tolerance: float = TOLERANCE) -> np.ndarray:
     """Iterative proportional fitting: factors of cells such that mass * factor meets each dimension's target shares.
 
     groups[d][i] is cell i's value in dimension d; targets[d] sums to one. Values without mass are left out of their
-    dimension's targets. Ends at the tolerance, or after `rounds` if the marginals contradict each other over the cells."""
+    dimension's targets. Ends at the tolerance, or after `rounds` with a warning if the marginals contradict each other over
+    the cells."""
     weight = mass / mass.sum()
     start = weight.copy()
     fitted = []
@@ -53,6 +57,8 @@ def rake(mass: np.ndarray, groups: Sequence[np.ndarray], targets: Sequence[np.nd
             weight = weight * np.divide(t, have, out=np.zeros_like(t), where=have > 0)[g]
         if worst < tolerance:
             break
+    else:
+        _report(worst if rounds else 0.0)
     return np.divide(weight, start, out=np.zeros_like(weight), where=start > 0)
 
 
@@ -67,45 +73,65 @@ def calibrate(mass: np.ndarray, factor: np.ndarray, share: float) -> np.ndarray:
     for _ in range(200):
         mid = (lo + hi) / 2
         lo, hi = (mid, hi) if (mass * np.minimum(1, mid * factor)).sum() < want else (lo, mid)
-    return np.minimum(1, hi * factor)
+    return np.round(np.minimum(1, hi * factor), DIGITS)
+
+
+#: Scales that one pass over the cells tries, and digits that a probability is rounded to: both ways to rake agree on them.
+SCALES, DIGITS = 64, 9
 
 
 def _rake_frames(cells: DataFrame, targets: Mapping[str, Mapping[str, float]] | None, alpha: float, share: float, rounds: int) -> DataFrame:
-    """The same by DataFrames, for any number of cells: one stored table a round."""
+    """The same by DataFrames, for any number of cells. Cells stay as they are; what a step stores is one factor for each value
+    of a dimension, of which a cell's weight is the product."""
+    spark, cells = cells.sparkSession, stored(cells, "cells")
     total = cells.agg(F.sum("mass")).first()[0]
-    cells = cells.withColumn("w", F.col("mass") / total)
-    spark = cells.sparkSession
-    marginals = {}
+    factors, marginals = {}, {}
     for d in DIMS:
-        have = cells.groupBy(d).agg(F.sum("w").alias("h"))
+        have = cells.groupBy(d).agg((F.sum("mass") / total).alias("h"))
         goal = have.withColumn("t", F.pow("h", F.lit(alpha))) if not targets or d not in targets else have.join(spark.createDataFrame(list(targets[d].items()), f"{d} string, t double"), d, "left").fillna(0.0, ["t"])
         norm = goal.agg(F.sum("t")).first()[0]
         marginals[d] = stored(goal.selectExpr(d, f"t / {norm!r}D as t"), "target")
-    cells = stored(cells, "cells")
+        factors[d] = marginals[d].selectExpr(d, f"1D as f_{d}")
+
+    def weighted() -> DataFrame:
+        out = cells
+        for d in DIMS:
+            out = out.join(factors[d], d)
+        return out.withColumn("factor", F.col("f_source") * F.col("f_lang") * F.col("f_topic"))
+
+    worst = 0.0
     for _ in range(rounds):
         worst = 0.0
         for d in DIMS:
-            ratio = cells.groupBy(d).agg(F.sum("w").alias("h")).join(marginals[d], d).selectExpr(d, "case when h > 0 then t / h else 0 end as r", "abs(h - t) as off")
-            ratio = stored(ratio, "ratio")
-            worst = max(worst, ratio.agg(F.max("off")).first()[0])
-            cells = stored(cells.join(ratio.select(d, "r"), d).withColumn("w", F.col("w") * F.col("r")).drop("r"), "cells")
-        if worst < 1e-10:
+            have = weighted().groupBy(d).agg(F.sum(F.col("mass") / total * F.col("factor")).alias("h"))
+            step = have.join(marginals[d], d).join(factors[d], d).selectExpr(d, f"f_{d} * case when h > 0 then t / h else 0 end as f_{d}", "abs(h - t) as off")
+            step = stored(step, "factors")
+            worst = max(worst, step.agg(F.max("off")).first()[0])
+            factors[d] = step.drop("off")
+        if worst < TOLERANCE:
             break
-    cells = cells.withColumn("factor", F.when(F.col("mass") > 0, F.col("w") * total / F.col("mass")).otherwise(0.0))
+    _report(worst)
+    cells = stored(weighted().select(*DIMS, "mass", "factor"), "weighted")
     want, lo, hi = share * total, 0.0, 1.0
     reach = cells.where("factor > 0").agg(F.sum("mass")).first()[0] or 0
     if want >= reach:
         return cells.select(*DIMS, "factor", (F.col("factor") > 0).cast("double").alias("prob"))
 
-    def at(scale: float) -> float:
-        return cells.agg(F.sum(F.col("mass") * F.least(F.lit(1.0), F.col("factor") * scale))).first()[0]
+    def at(*scales: float) -> list[float]:
+        return list(cells.agg(*[F.sum(F.col("mass") * F.least(F.lit(1.0), F.col("factor") * x)).alias(f"s{i}") for i, x in enumerate(scales)]).first())
 
-    while at(hi) < want:
+    while at(hi)[0] < want:
         hi *= 2
-    for _ in range(40):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if at(mid) < want else (lo, mid)
-    return cells.select(*DIMS, "factor", F.least(F.lit(1.0), F.col("factor") * hi).alias("prob"))
+    for _ in range(9):
+        tried = [lo + (hi - lo) * i / SCALES for i in range(1, SCALES)]
+        below = sum(x < want for x in at(*tried))
+        lo, hi = ([lo] + tried)[below], (tried + [hi])[below]
+    return cells.select(*DIMS, "factor", F.round(F.least(F.lit(1.0), F.col("factor") * hi), DIGITS).alias("prob"))
+
+
+def _report(off: float) -> None:
+    if off >= TOLERANCE:
+        warnings.warn(f"raking ended with a marginal off by {off:.3g} of all weight: the targets contradict each other over the cells", stacklevel=3)
 
 
 def mix_weights(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, share: float = 0.5, alpha: float = 0.7, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", rounds: int = 200, most_cells: int = MOST_CELLS, carry: list[str] | None = None) -> DataFrame:
@@ -115,7 +141,8 @@ def mix_weights(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | No
     `targets` (a share for each value, by dimension; a dimension not given: its own shares to the power `alpha`, which
     lifts small values). prob is min(1, scale * weight), with the scale at which a `share` of all words is expected to
     stay. kept compares prob with a uniform number made of seed and id, so that a run can be repeated and sharded.
-    Values that the targets leave out get weight 0.
+    Values that the targets leave out get weight 0. Targets that contradict each other give a warning with what is left.
+    Cells are few as a rule and raked on the driver, up to `most_cells` by count; beyond, by DataFrames to the same result.
 
     Nulls in source or lang are a value of their own, shown as null; null text has no words and its own cell's probability.
     `docs` needs the columns source and lang; a topic column is used if there is one. A null id draws one number of its
@@ -125,6 +152,8 @@ def mix_weights(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | No
     rows = docs if "topic" in docs.columns else with_topic(docs, text_col)
     own = [c for c in docs.columns if c in (carry or ()) and c not in (id_col, *DIMS)]
     rows = rows.select(F.col(id_col), *[F.col(c).alias(f"__c_{c}") for c in own], *[F.coalesce(F.col(d).cast("string"), F.lit(NONE)).alias(d) for d in DIMS], F.coalesce(F.regexp_count(F.col(text_col), F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long").alias("n_tokens"))
+    if not own:
+        rows = stored(rows, "words")  # texts are read once: what is left of them is small
     cells = stored(rows.groupBy(*DIMS).agg(F.sum("n_tokens").cast("double").alias("mass")), "cells")
     n = cells.count()
     spark = docs.sparkSession

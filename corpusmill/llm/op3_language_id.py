@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,7 +20,6 @@ ALL_BYTES, LEAST_BYTES = 16 << 20, 4_096
 SHORT_BYTES = 64
 #: Bytes that aren't letters of ASCII, in lower case, to spaces.
 _TABLE = bytes((b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32) for b in range(256))
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def plain(text: str) -> bytes:
@@ -85,7 +83,7 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
         for batch in slices(batches):
             rows = []
             for text in batch.column("text").to_pylist():
-                body = plain(text) if text and names and _LETTER.search(text) else b""
+                body = plain(text) if text and names and any(map(str.isalpha, text)) else b""
                 if not body:
                     rows.append(("und", 0.0, False, None, 0))
                     continue

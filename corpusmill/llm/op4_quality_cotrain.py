@@ -194,7 +194,8 @@ def batch_features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", labelled: int = LABELLED, pool: int = POOL) -> Model | None:
-    """Fit on a bounded sample: about `labelled` labelled documents and `pool` others, by the hashes of their ids. Labels that
+    """Fit on a bounded sample: about `labelled` labelled documents and `pool` others, by the hashes of their ids. Rows that
+    repeat an id count as one, the least by text, source, language and length. Labels that
     are null, other than 0 and 1, or contradict each other don't count. None if only one class has labels."""
     own = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("double").alias("y")).where("id is not null and y in (0, 1)")
     own = own.groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("top")).where("y = top").select("id", "y")
@@ -206,8 +207,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     sample = F.broadcast(own.where(below(labelled, n_own)))  # about `labelled` rows: the bound
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), *META).where("id is not null")
-    first = _features(rows.join(sample, "id"), ["id", "y"], "id", "text").collect()
-    rest = _features(rows.where(below(pool, n_docs)).join(sample, "id", "left_anti"), ["id"], "id", "text").collect()
+    # Of rows that repeat an id the least one counts, found before anything is gathered: an id brings one row.
+    least = F.min(F.struct("text", *META)).alias("row")
+    first = _features(rows.join(sample, "id").groupBy("id", "y").agg(least).select("id", "y", "row.*"), ["id", "y"], "id", "text").collect()
+    rest = _features(rows.where(below(pool, n_docs)).join(sample, "id", "left_anti").groupBy("id").agg(least).select("id", "row.*"), ["id"], "id", "text").collect()
     order = lambda r: (int(mix(np.array([r["id"]], np.int64).view(np.uint64) * K1 + K3)[0]), r["id"])
     first, rest = sorted(first, key=order), sorted(rest, key=order)
     if len({r["y"] for r in first}) < 2:

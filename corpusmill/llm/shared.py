@@ -15,13 +15,17 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which driver and executors share. Only where it is unset, as in tests, a local one is made."""
+    """The folder of spark.checkpoint.dir, which driver and executors share. Where it is unset, a session of one machine, as in
+    tests, gets a temporary folder; on a cluster, whose executors don't see the driver's folders, that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = current.get() if current.isDefined() else f"file://{tempfile.mkdtemp(prefix='corpusmill-')}"
-        if not current.isDefined():
-            spark.sparkContext.setCheckpointDir(found)
+        if current.isDefined():
+            return current.get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = f"file://{tempfile.mkdtemp(prefix='corpusmill-')}"
+        spark.sparkContext.setCheckpointDir(found)
     return found
 
 
