@@ -97,24 +97,24 @@ def shingles(h: np.ndarray, seg: np.ndarray, k: int) -> tuple[np.ndarray, np.nda
     empty = np.zeros(0, np.uint64)
     outs, others, segs = [empty], [empty], [np.zeros(0, np.int64)]
 
-    def add(at: np.ndarray, c: int, seg: np.ndarray) -> None:
+    def add(at: np.ndarray, c: int) -> None:
         for out, factor in ((outs, K2), (others, K3)):
-            s = h[at].copy()
+            s = h[: n - c + 1].copy()
             for j in range(1, c):
                 s *= factor
-                s += h[at + j]
-            out.append(mix(s + np.uint64(c)))
+                s += h[j : n - c + 1 + j]
+            out.append(mix(s[at] + np.uint64(c)))
         segs.append(seg[at])
 
     with np.errstate(over="ignore"):
         if n >= k:
-            add(np.flatnonzero(seg[: n - k + 1] == seg[k - 1 :]), k, seg)
+            add(np.flatnonzero(seg[: n - k + 1] == seg[k - 1 :]), k)
         first = np.flatnonzero(np.concatenate([[True], seg[1:] != seg[:-1]])) if n else np.zeros(0, np.int64)
         count = np.diff(np.concatenate([first, [n]]))
         for c in range(1, k):
             at = first[count == c]
             if len(at):
-                add(at, c, seg)
+                add(at, c)
     return np.concatenate(outs), np.concatenate(others), np.concatenate(segs)
 
 

@@ -15,7 +15,7 @@ from corpusmill.llm.shared import stored
 
 
 #: Words of a line from which on it is compared by shingles. Lines of up to SHORT * den / num words are compared by words.
-SHORT = 20
+SHORT = 12
 
 
 def line_sets(k: int, short: int, word_most: int, limit: int):
@@ -65,7 +65,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     of any length has partners both shorter and longer. A line without words is never removed.
 
     Equal sets form classes; of a class all but the first line go, and all of them if an earlier class resembles it,
-    whether that one stays or not. A second pass over the classes leaves those that share enough tokens with other
+    whether that one stays or not. A second pass over the classes of shingles leaves those that share enough with other
     classes, and names the earliest class of each token: where that one resembles the line, the matter is settled. So it
     is for lines that resemble one of their few likeliest partners. The rest meet through prefixes in order of rarity,
     by one shingle or by two words, with length and positional filters (`prefix_pairs`), and are verified exactly.
@@ -77,9 +77,11 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = stored(lines.groupBy(*equal).agg(F.min("at").alias("first")).withColumn("class", F.monotonically_increasing_id()), "classes")
     asked = lines.join(classes.withColumnRenamed("first", "at"), [*equal, "at"]).selectExpr("class as id", "n", "at.key1 as o1", "at.key2 as o2", "tokens").dropDuplicates(["id"])
     asked = stored(asked, "asked")
-    ranked = asked.repartitionByRange("o1", "o2").sortWithinPartitions("o1", "o2")
+    ranked = asked.where("o2 % 2 = 0").repartitionByRange("o1", "o2").sortWithinPartitions("o1", "o2")
     own = shared_sets(ranked, class_sets, num, den, sized=True).selectExpr("key1 as id", "n", "tokens", "batch", "idx", "lead_batch", "lead_idx", "lead_overlap")
-    listed = stored(own.join(asked.selectExpr("id", "o1", "o2"), "id"), "listed")
+    own = own.join(asked.selectExpr("id", "o1", "o2"), "id")
+    # Nearly every word is in some other line: a second pass would leave sets of words as they are.
+    listed = stored(own.unionByName(asked.where("o2 % 2 = 1"), allowMissingColumns=True), "listed")
     # The first class of a line's tokens: if it resembles the line, the line goes, and is asked about no more.
     lead = listed.selectExpr("batch as lead_batch", "idx as lead_idx", "id as b", "n as nb")
     led = listed.join(lead, ["lead_batch", "lead_idx"]).where(f"id <> b and {den} * lead_overlap >= {num} * (n + nb - lead_overlap) and {least_overlap(num, den, 'lead_overlap')}").select("id").distinct()
@@ -104,8 +106,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = repeated_lines(docs, id_col, text_col, k, num, den, short)
     drop = gone.groupBy(F.col(id_col).alias("__gone_id")).agg(F.collect_list("line").alias("__gone"))
     out = docs.drop("n_lines_removed").join(drop, F.col(id_col).cast("long") == F.col("__gone_id"), "left")
-    lines = F.split(F.col(text_col), "\n", -1)
-    places = F.array_except(F.sequence(F.lit(0).cast("long"), (F.size(lines) - 1).cast("long")), "__gone")
-    kept = F.array_join(F.transform(places, lambda i: F.get(lines, i.cast("int"))), "\n")
-    text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.when(F.regexp_like(kept, F.lit("[^\\x20\\x09-\\x0D]")), kept).otherwise(F.lit("")))
-    return out.withColumn("n_lines_removed", F.coalesce(F.size("__gone"), F.lit(0)).cast("long")).withColumn(text_col, text).drop("__gone", "__gone_id")
+    # Each step a column of its own: lines are split once, and taken by their places in linear time.
+    out = out.withColumn("__lines", F.when(F.col("__gone").isNotNull(), F.split(F.col(text_col), "\n", -1)))
+    places = F.array_except(F.sequence(F.lit(0).cast("long"), (F.size("__lines") - 1).cast("long")), "__gone")
+    out = out.withColumn("__kept", F.array_join(F.transform(places, lambda i: F.get("__lines", i.cast("int"))), "\n"))
+    text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.when(F.regexp_like("__kept", F.lit("[^\\x20\\x09-\\x0D]")), F.col("__kept")).otherwise(F.lit("")))
+    return out.withColumn("n_lines_removed", F.coalesce(F.size("__gone"), F.lit(0)).cast("long")).withColumn(text_col, text).drop("__gone", "__gone_id", "__lines", "__kept")

@@ -20,7 +20,7 @@ select n.doc_id, n.n as n_shingles, min(r.r) as component_id from n join r on r.
 _OP9 = rf"""
 with l as (select doc_id, text, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i from documents),
 d as (select doc_id, i, {_WORDS.format(_LOW.replace("text", "line"))} as w from l),
-b as (select distinct doc_id, i, 's' as kind, unnest({_GRAMS}) as g from d where len(w) >= 20 union all select distinct doc_id, i, 'w', unnest(w) from d where len(w) <= 26),
+b as (select distinct doc_id, i, 's' as kind, unnest({_GRAMS}) as g from d where len(w) >= 12 union all select distinct doc_id, i, 'w', unnest(w) from d where len(w) <= 16),
 s as (select *, count(*) over (partition by doc_id, i, kind) as n from b),
 c as (select a.doc_id, a.i, b.doc_id as od, b.i as oi, kind, any_value(a.n) as x, any_value(b.n) as y, count(*) as c from s a join s b using (kind, g) where (b.doc_id < a.doc_id or (b.doc_id = a.doc_id and b.i < a.i)) and 4 * least(a.n, b.n) >= 3 * greatest(a.n, b.n) group by all),
 gone as (select distinct doc_id, i from c where 4 * c >= 3 * (x + y - c)),

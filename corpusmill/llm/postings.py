@@ -301,7 +301,7 @@ def hub_links(listed: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
 
 
 #: Entries of a posting list that one task takes at most, on the average: longer lists are cut into a grid of comparisons.
-SPLIT = 4096
+SPLIT = 512
 
 
 def _postings(listed: DataFrame, num: int, den: int) -> DataFrame:

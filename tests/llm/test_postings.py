@@ -99,7 +99,7 @@ def words_of(line: str) -> list[str]:
     return re.findall(r"[^\x20\x09-\x0D]+", line.translate(FOLD))
 
 
-def resembles(a: str, b: str, short: int = 20) -> bool:
+def resembles(a: str, b: str, short: int = 12) -> bool:
     """By words if neither line has more than 4/3 of `short`, by shingles if both have `short` or more."""
     x, y = words_of(a), words_of(b)
     by_words = max(len(x), len(y)) <= short * 4 // 3 and linked(frozenset(x), frozenset(y))
