@@ -41,11 +41,17 @@ def info_communicated(info: Column, messages: Column) -> Column:
     return F.exists(messages, lambda m: (m["role"] == "assistant") & F.contains(F.replace(F.lower(m["content"]), F.lit(","), F.lit("")), F.lower(info)))
 
 
+def arrival_day(day: Column, arrive: Column) -> Column:
+    """The day of arrival: the next one for a time that ends in +1."""
+    return F.date_add(day.cast("date"), F.when(F.contains(arrive, F.lit("+1")), 1).otherwise(0))
+
+
 def one_stop(first: DataFrame, second: DataFrame, on: str, via: str, arrive: str, depart: str, day: str) -> DataFrame:
-    """Pairs of legs: the second starts where the first ends, on its arrival day, not before it arrives."""
-    a = first.select(*[F.col(c).alias(f"a_{c}") for c in first.columns])
+    """Pairs of legs: the second starts where the first ends, on its arrival day, not before it arrives. Times are texts
+    `HH:MM:SS`, those of the next day with +1 behind, and are compared as texts; days are dates. The join is on place and day."""
+    a = first.select(*[F.col(c).alias(f"a_{c}") for c in first.columns]).withColumn("__day", arrival_day(F.col(f"a_{day}"), F.col(f"a_{arrive}")))
     b = second.select(*[F.col(c).alias(f"b_{c}") for c in second.columns])
-    return a.join(b, (F.col(f"a_{via}") == F.col(f"b_{on}")) & (F.col(f"a_{day}") == F.col(f"b_{day}")) & (F.col(f"b_{depart}") >= F.col(f"a_{arrive}")))
+    return a.join(b, (F.col(f"a_{via}") == F.col(f"b_{on}")) & (F.col("__day") == F.col(f"b_{day}")) & (F.col(f"b_{depart}") >= F.col(f"a_{arrive}"))).drop("__day")
 
 
 def within(points: DataFrame, spans: DataFrame, key: str, point: str, start: str, end: str, width: int) -> DataFrame:

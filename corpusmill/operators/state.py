@@ -5,66 +5,76 @@ A task's actions are one record's worth of data, so a task is folded whole in on
 
 from __future__ import annotations
 
-import hashlib
 import json
-from collections.abc import Callable, Mapping
-from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-State = dict[str, Any]
-Tool = Callable[..., Any]
+from corpusmill.operators.domains.store import Domain, Store, Tables, canonical
 
 
-def canonical(value: Any) -> str:
-    """JSON with sorted keys and no spaces."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
-
-
-def state_hash(state: State) -> str:
-    return hashlib.sha256(canonical(state).encode()).hexdigest()
-
-
-def apply_action(tools: Mapping[str, Tool], state: State, name: str, args: Mapping[str, Any]) -> tuple[str, bool]:
-    """The tool's response as text, and whether it failed. A tool that fails leaves the state as it was."""
-    before = json.dumps(state)
+def _same_reply(got: str, want: str) -> bool:
+    """Texts, or the JSON of them, are equal; two refusals are, whatever they say."""
+    if got.startswith("Error") or want.startswith("Error"):
+        return got.startswith("Error") and want.startswith("Error")
     try:
-        out = tools[name](state, **args)
-        return out if isinstance(out, str) else canonical(out), False
-    except Exception as e:  # noqa: BLE001
-        state.clear()
-        state.update(json.loads(before))
-        return f"Error: {f'unknown tool {name}' if name not in tools else e}", True
+        return got == want or json.loads(got) == json.loads(want)
+    except ValueError:
+        return False
+
 
+def fold(actions: DataFrame, base: Tables, domain: Domain, task: str = "task_id", order: str = "pos", name: str = "name", args: str = "arguments", side: str | None = None, reply: str | None = None) -> DataFrame:
+    """(task, n_actions, n_errors, n_differ, checks, responses, state_hash, changes): every task's actions, in order, each task
+    on a state of its own over the shared base.
 
-def fold(actions: DataFrame, start: State, tools: Mapping[str, Tool], task: str = "task_id", order: str = "pos", name: str = "name", args: str = "arguments") -> DataFrame:
-    """(task, n_actions, n_errors, responses, state_hash): every task's actions, in order, on its own copy of the start state."""
-    frozen = json.dumps(start)
+    `side` names a column with the requestor of an action, whose tools alone are known to it; `reply` one with the response
+    that a log has, of which n_differ counts those that a replay doesn't give, null where there is none. Assertions among
+    the actions give `checks`, an error counts as false, and not `responses`. Arguments that are no JSON object are an
+    error. changes is the JSON of all records that differ from the base; state_hash, its digest."""
     kind = actions.schema[task].dataType.simpleString()
+    cols = [c for c in (side, reply) if c]
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        state, replies, bad = json.loads(frozen), [], 0
-        for r in rows.sort_values(order, kind="stable").itertuples():
+        store, replies, checks, bad, differ = Store(base), [], [], 0, 0
+        for r in rows.sort_values(order, kind="stable").to_dict("records"):
             try:
-                given = json.loads(getattr(r, args) or "{}")
-                reply, failed = apply_action(tools, state, getattr(r, name), given)
-            except ValueError as e:
-                reply, failed = f"Error: {e}", True
-            replies.append(reply)
+                given = json.loads(r[args] or "{}")
+                got, failed = domain.step(store, r[name], given, r[side] if side else None)
+            except (TypeError, ValueError) as e:
+                got, failed = f"Error: {e}", True
+            tool = domain.tools.get(r[name])
+            if tool and tool.kind == "assert":
+                checks.append(not failed and got == "true")
+                continue
+            replies.append(got)
             bad += failed
-        return pd.DataFrame({task: [key[0]], "n_actions": [len(rows)], "n_errors": [bad], "responses": [replies], "state_hash": [state_hash(state)]})
+            if reply and isinstance(r[reply], str):
+                differ += not _same_reply(got, r[reply])
+        return pd.DataFrame({task: [key[0]], "n_actions": [len(rows)], "n_errors": [bad], "n_differ": [differ], "checks": [checks], "responses": [replies], "state_hash": [store.digest()], "changes": [canonical(store.changes())]})
 
-    return actions.select(task, order, name, args).groupBy(task).applyInPandas(run, f"{task} {kind}, n_actions long, n_errors long, responses array<string>, state_hash string")
+    shape = f"{task} {kind}, n_actions long, n_errors long, n_differ long, checks array<boolean>, responses array<string>, state_hash string, changes string"
+    return actions.select(task, order, name, args, *cols).groupBy(task).applyInPandas(run, shape)
 
 
 def end_state_reward(gold: DataFrame, model: DataFrame, task: str = "task_id") -> DataFrame:
-    """(task, db_match): whether the model's actions lead to the gold actions' state; a task without model actions fails."""
-    return gold.select(task, F.col("state_hash").alias("want")).join(model.select(task, F.col("state_hash").alias("got")), task, "left").select(task, F.coalesce(F.col("want") == F.col("got"), F.lit(False)).alias("db_match"))
+    """(task, db_match, checks_hold): whether the model's actions lead to the gold actions' state, and whether all assertions
+    of its log hold; a task without model actions fails both."""
+    got = model.select(task, F.col("state_hash").alias("got"), F.forall("checks", lambda c: c).alias("holds"))
+    return gold.select(task, F.col("state_hash").alias("want")).join(got, task, "left").select(task, F.coalesce(F.col("want") == F.col("got"), F.lit(False)).alias("db_match"), F.coalesce("holds", F.lit(False)).alias("checks_hold"))
+
 
+def outputs_told(outputs: Column, replies: Column) -> Column:
+    """Whether each required output is in some reply of the agent, case and commas of the reply aside."""
+    return F.forall(outputs, lambda o: F.exists(replies, lambda r: F.contains(F.replace(F.lower(r), F.lit(","), F.lit("")), F.lower(o))))
 
-def combined_reward(basis: Column, scores: Mapping[str, Column], ended_well: Column) -> Column:
+
+def assertions_met(verdicts: Column) -> Column:
+    """1 if the judge found every assertion met, also if there are none; else 0."""
+    return F.when(F.forall(F.coalesce(verdicts, F.array().cast("array<boolean>")), lambda v: F.coalesce(v, F.lit(False))), 1.0).otherwise(0.0)
+
+
+def combined_reward(basis: Column, scores: dict[str, Column], ended_well: Column) -> Column:
     """The product of the scores that the basis names; 0 for a run that was stopped early."""
     out = F.lit(1.0)
     for name, score in scores.items():
@@ -72,112 +82,17 @@ def combined_reward(basis: Column, scores: Mapping[str, Column], ended_well: Col
     return F.when(ended_well, out).otherwise(0.0)
 
 
+def one_kind_of_content(text: Column, n_calls: Column) -> Column:
+    """Whether a message has text or tool calls, and not both."""
+    has_text = F.coalesce(F.trim(text) != "", F.lit(False))
+    return has_text != F.coalesce(n_calls > 0, F.lit(False))
+
+
 def protocol_breaks(turns: DataFrame, conv: str, order: str, role: str, n_calls: str) -> DataFrame:
-    """(conv, n_calls, n_replies, ok): whether as many tool turns follow as tools were called."""
-    out = turns.groupBy(conv).agg(F.coalesce(F.sum(n_calls), F.lit(0)).alias("n_calls"), F.count_if(F.col(role) == "tool").alias("n_replies"))
-    return out.withColumn("ok", F.col("n_calls") == F.col("n_replies"))
-
-
-def need(found: Any, what: str) -> Any:
-    if found is None:
-        raise ValueError(f"{what} not found")
-    return found
-
-
-# Tasks: a list of things to do for users.
-
-
-def create_task(state: State, user_id: str, title: str, description: str = "") -> dict:
-    user = need(state["users"].get(user_id), "user")
-    made = {"task_id": f"task_{len(state['tasks']) + 1}", "title": title, "description": description, "status": "pending"}
-    state["tasks"][made["task_id"]] = made
-    user["tasks"].append(made["task_id"])
-    return made
-
-
-def update_task_status(state: State, task_id: str, status: str) -> dict:
-    if status not in ("pending", "completed"):
-        raise ValueError("invalid status")
-    found = need(state["tasks"].get(task_id), "task")
-    found["status"] = status
-    return found
-
-
-TASK_TOOLS: dict[str, Tool] = {"create_task": create_task, "update_task_status": update_task_status, "get_users": lambda state: sorted(state["users"])}
-
-# Shop: orders of users, items by product variant.
-
-
-def _order(state: State, order_id: str, status: str) -> dict:
-    order = need(state["orders"].get(order_id), "order")
-    if order["status"] != status:
-        raise ValueError(f"order is not {status}")
-    return order
-
-
-def cancel_order(state: State, order_id: str, reason: str) -> dict:
-    """A pending order; every payment is refunded, on a gift card at once."""
-    if reason not in ("no longer needed", "ordered by mistake"):
-        raise ValueError("invalid reason")
-    order = _order(state, order_id, "pending")
-    methods = state["users"][order["user_id"]]["payment_methods"]
-    refunds = [{"type": "refund", "amount": p["amount"], "method": p["method"]} for p in order["payments"]]
-    for r in refunds:
-        if methods[r["method"]]["kind"] == "gift_card":
-            methods[r["method"]]["balance"] = round(methods[r["method"]]["balance"] + r["amount"], 2)
-    order["payments"] += refunds
-    order["status"], order["cancel_reason"] = "cancelled", reason
-    return order
-
-
-def change_address(state: State, order_id: str, address: dict) -> dict:
-    order = _order(state, order_id, "pending")
-    order["address"] = address
-    return order
-
-
-def swap_items(state: State, order_id: str, item_ids: list, new_item_ids: list, method: str) -> dict:
-    """Items of a pending order for other variants of the same products; the difference is charged or refunded."""
-    order = _order(state, order_id, "pending")
-    if len(item_ids) != len(new_item_ids):
-        raise ValueError("as many new items as old ones are needed")
-    have = [i["item_id"] for i in order["items"]]
-    if any(item_ids.count(i) > have.count(i) for i in item_ids):
-        raise ValueError("item not in the order")
-    card, total = need(state["users"][order["user_id"]]["payment_methods"].get(method), "payment method"), 0.0
-    for old, new in zip(item_ids, new_item_ids, strict=True):
-        item = next(i for i in order["items"] if i["item_id"] == old)
-        variant = need(state["products"][item["product_id"]]["variants"].get(new), "variant")
-        if not variant["available"]:
-            raise ValueError("variant not available")
-        total += variant["price"] - item["price"]
-        item.update(item_id=new, price=variant["price"])
-    total = round(total, 2)
-    if card["kind"] == "gift_card":
-        if card["balance"] < total:
-            raise ValueError("balance too low")
-        card["balance"] = round(card["balance"] - total, 2)
-    order["payments"].append({"type": "payment" if total > 0 else "refund", "amount": abs(total), "method": method})
-    return order
-
-
-def return_items(state: State, order_id: str, item_ids: list, method: str) -> dict:
-    order = _order(state, order_id, "delivered")
-    have = [i["item_id"] for i in order["items"]]
-    if any(item_ids.count(i) > have.count(i) for i in item_ids):
-        raise ValueError("item not in the order")
-    card = need(state["users"][order["user_id"]]["payment_methods"].get(method), "payment method")
-    if card["kind"] != "gift_card" and method != order["payments"][0]["method"]:
-        raise ValueError("refund to a gift card or the way of payment only")
-    order.update(status="return requested", return_items=sorted(item_ids), return_method=method)
-    return order
-
-
-def find_user(state: State, email: str) -> str:
-    return need(next((k for k, u in sorted(state["users"].items()) if u["email"].lower() == email.lower()), None), "user")
-
-
-SHOP_TOOLS: dict[str, Tool] = {
-    "cancel_order": cancel_order, "change_address": change_address, "swap_items": swap_items, "return_items": return_items, "find_user": find_user,
-    "get_order": lambda state, order_id: need(state["orders"].get(order_id), "order"), "get_product": lambda state, product_id: need(state["products"].get(product_id), "product"),
-}
+    """(conv, n_calls, n_replies, ok): whether as many tool turns follow as tools were called, right behind the turn that called
+    them. A conversation's turns are one window."""
+    w = Window.partitionBy(conv).orderBy(order)
+    is_tool = F.col(role) == "tool"
+    block = F.sum(F.when(is_tool, 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    each = turns.withColumn("__b", block).groupBy(conv, "__b").agg(F.coalesce(F.sum(F.when(~is_tool, F.col(n_calls))), F.lit(0)).alias("__c"), F.count_if(is_tool).alias("__r"))
+    return each.groupBy(conv).agg(F.sum("__c").alias("n_calls"), F.sum("__r").alias("n_replies"), F.bool_and(F.col("__c") == F.col("__r")).alias("ok"))

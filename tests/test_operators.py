@@ -13,7 +13,7 @@ from corpusmill.functions import diff as D
 from corpusmill.functions import jsonish as J
 from corpusmill.functions import text as X
 from corpusmill.functions.scoring import bleu4, comb, pass_at_k
-from corpusmill.operators import chunking, packing, qa, resume, similarity, split, state
+from corpusmill.operators import chunking, packing, qa, resume, similarity, split
 from corpusmill.sources import files
 from corpusmill.streaming import sessions
 
@@ -159,35 +159,6 @@ def test_diff_chunks_lose_nothing(spark):
     assert all(len(c) <= 200 for c in chunks) and list(dict.fromkeys(x for c in chunks for x in c.split("\n"))) == lines
 
 
-SHOP = {
-    "users": {"u1": {"email": "Ann@x.org", "payment_methods": {"g": {"kind": "gift_card", "balance": 10.0}, "c": {"kind": "card"}}}},
-    "products": {"p": {"variants": {"i1": {"price": 5.0, "available": True}, "i2": {"price": 7.5, "available": True}, "i3": {"price": 1.0, "available": False}}}},
-    "orders": {"o1": {"user_id": "u1", "status": "pending", "address": {}, "items": [{"item_id": "i1", "product_id": "p", "price": 5.0}], "payments": [{"type": "payment", "amount": 5.0, "method": "g"}]}, "o2": {"user_id": "u1", "status": "delivered", "items": [{"item_id": "i2", "product_id": "p", "price": 7.5}], "payments": [{"type": "payment", "amount": 7.5, "method": "c"}]}},
-}
-
-
-def test_folds_and_rewards(spark):
-    act = lambda t, pos, name, **a: (t, pos, name, json.dumps(a))
-    gold = [act(1, 0, "swap_items", order_id="o1", item_ids=["i1"], new_item_ids=["i2"], method="g"), act(2, 0, "return_items", order_id="o2", item_ids=["i2"], method="c"), act(3, 0, "cancel_order", order_id="o1", reason="no longer needed"), act(4, 0, "get_order", order_id="o1")]
-    model = [act(1, 1, "swap_items", order_id="o1", item_ids=["i1"], new_item_ids=["i2"], method="g"), act(1, 0, "find_user", email="ann@X.org"), act(2, 0, "swap_items", order_id="o1", item_ids=["i1"], new_item_ids=["i3"], method="g"), act(3, 0, "cancel_order", order_id="o1", reason="bored"), act(4, 0, "no_such_tool")]
-    schema = "task_id int, pos int, name string, arguments string"
-    g, m = (state.fold(spark.createDataFrame(x, schema), SHOP, state.SHOP_TOOLS) for x in (gold, model))
-    out = {r[0]: r[1] for r in state.end_state_reward(g, m).collect()}
-    assert out == {1: True, 2: False, 3: False, 4: True}
-    rows = {r["task_id"]: r for r in m.collect()}
-    assert rows[1]["responses"][0] == "u1" and rows[1]["n_errors"] == 0
-    assert [rows[i]["n_errors"] for i in (2, 3, 4)] == [1, 1, 1] and rows[2]["state_hash"] == state.state_hash(SHOP)
-    score = values(spark, [(["db"], True), (["db", "said"], True), ([], True), (["said"], False)], "b array<string>, w boolean", state.combined_reward(F.col("b"), {"db": F.lit(1), "said": F.lit(0)}, F.col("w")))
-    assert [s[0] for s in score] == [1.0, 0.0, 1.0, 0.0]
-
-
-def test_task_tools():
-    db = {"users": {"u": {"tasks": []}}, "tasks": {}}
-    assert state.apply_action(state.TASK_TOOLS, db, "create_task", {"user_id": "u", "title": "t"})[1] is False
-    assert state.apply_action(state.TASK_TOOLS, db, "update_task_status", {"task_id": "task_1", "status": "odd"}) == ("Error: invalid status", True)
-    assert db["users"]["u"]["tasks"] == ["task_1"]
-
-
 def test_streams(spark, tmp_path):
     schema = "q string, i int, ts timestamp"
     src = tmp_path / "in"
