@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,17 +20,97 @@ def fenced_json(c: Column) -> Column:
     return F.nullif(F.regexp_extract(c, "(?s)```(?:json)?\\s*(.*?)```", 1), F.lit(""))
 
 
+def parsed(c: Column) -> Column:
+    """JSON as VARIANT; null for what is no JSON, and for JSON null."""
+    v = F.try_parse_json(c)
+    return F.when(~F.is_variant_null(v), v)
+
+
 def first_parsed(*candidates: Column) -> Column:
     """The first candidate that is JSON, as VARIANT."""
-    return F.coalesce(*[F.try_parse_json(c) for c in candidates])
+    return F.coalesce(*[parsed(c) for c in candidates])
+
+
+def after(c: Column, mark: str) -> Column:
+    """What follows the first `mark`; null without one."""
+    at = F.instr(c, mark)
+    return F.when(at > 0, F.substring(c, at + len(mark), F.length(c)))
+
+
+#: What a judge may put before its object.
+JUDGE_MARKS = ("```json", "```", "JSON:", "json:", "{", "Response:")
 
 
 def judge_json(c: Column) -> Column:
-    """Four strategies: the whole reply, its brace slice, the longest prefix that ends in a brace, objects nested once."""
+    """Four strategies: the whole reply; its brace slice; the object right behind the first of each mark, up to the last
+    brace; the first parsable of the objects that nest once at most."""
+    behind = [F.when(F.startswith(strip(after(c, m)), F.lit("{")), brace_slice(strip(after(c, m)))) for m in JUDGE_MARKS]
     nested = F.regexp_extract_all(c, F.lit("(\\{[^{}]*(?:\\{[^{}]*\\}[^{}]*)*\\})"), F.lit(1))
-    ends = F.transform(F.sequence(F.size(F.split(c, "\\}", -1)) - 1, F.lit(0), F.lit(-1)), lambda i: F.concat(F.array_join(F.slice(F.split(c, "\\}", -1), F.lit(1), i), "}"), F.lit("}")))
-    prefix = F.try_element_at(F.filter(F.transform(ends, brace_slice), lambda p: F.try_parse_json(p).isNotNull()), F.lit(1))
-    return first_parsed(strip(c), brace_slice(c), prefix, F.try_element_at(F.filter(nested, lambda p: F.try_parse_json(p).isNotNull()), F.lit(1)))
+    return first_parsed(strip(c), brace_slice(c), *behind, F.try_element_at(F.filter(nested, lambda p: parsed(p).isNotNull()), F.lit(1)))
+
+
+def balanced_object(c: Column) -> Column:
+    """From the first { to the } that balances it, braces in strings counted too; a text that starts with { is left as it is,
+    as is one that has no balance. Pieces between closing braces are folded, not characters."""
+    tail = F.substring(c, F.instr(c, "{"), F.length(c))
+    pieces = F.split(tail, "\\}", -1)
+    opened = F.transform(F.slice(pieces, F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(0))), lambda p: F.length(p) - F.length(F.replace(p, F.lit("{"), F.lit(""))))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("seen"), F.lit(0).alias("end"))
+
+    def step(acc: Column, n: Column) -> Column:
+        depth, seen = acc["depth"] + n - 1, acc["seen"] + 1
+        return F.struct(depth.alias("depth"), seen.alias("seen"), F.when((acc["end"] == 0) & (depth == 0), seen).otherwise(acc["end"]).alias("end"))
+
+    end = F.aggregate(opened, start, step, lambda a: a["end"])
+    return F.when((F.instr(c, "{") > 1) & (end > 0), F.concat(F.array_join(F.slice(pieces, F.lit(1), end), "}"), F.lit("}"))).otherwise(c)
+
+
+def markdown_json(c: Column) -> Column:
+    """The first JSON value that is the whole text, its json fence, any fenced block, or a run of whole lines, as text; null
+    without one. Only the last needs Python: a decoder starts at each line and must stop at the end of one."""
+
+    @F.pandas_udf("string")
+    def lines_json(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import json
+
+        decoder = json.JSONDecoder()
+
+        def find(text: str | None) -> str | None:
+            at = 0
+            while text is not None and at <= len(text):
+                begin = at
+                while begin < len(text) and text[begin] in " \t\r\n":
+                    begin += 1
+                try:
+                    value, end = decoder.raw_decode(text, begin)
+                    stop = text.find("\n", end)
+                    if value is not None and not text[end : stop if stop >= 0 else len(text)].strip(" \t\r"):
+                        return text[begin:end]
+                except ValueError:
+                    pass
+                feed = text.find("\n", at)
+                at = feed + 1 if feed >= 0 else len(text) + 1
+            return None
+
+        for batch in batches:
+            yield batch.map(find)
+
+    bare = strip(c)
+    bare = F.when(F.startswith(bare, F.lit("```json")), strip(F.substring(bare, F.lit(8), F.length(bare)))).otherwise(bare)
+    bare = F.when(F.endswith(bare, F.lit("```")), strip(F.substring(bare, F.lit(1), F.length(bare) - 3))).otherwise(bare)
+    block = strip(F.nullif(F.regexp_extract(c, "(?s)```(?:\\w+\\n)?(.*?)```", 1), F.lit("")))
+    quick = F.coalesce(*[F.when(parsed(x).isNotNull(), x) for x in (c, bare, block)])
+    return F.coalesce(quick, lines_json(F.when(quick.isNull(), c)))
+
+
+def canonical(c: Column) -> Column:
+    """JSON text with sorted keys and no spaces; null for what is no JSON. Equal texts are deeply equal values."""
+    return F.try_parse_json(c).cast("string")
+
+
+def deep_equal(a: Column, b: Column) -> Column:
+    """Whether two JSON texts hold equal values: keys in any order, lists in order. What is no JSON equals nothing."""
+    return F.coalesce(canonical(a) == canonical(b), F.lit(False))
 
 
 def field(v: Column, name: str, kind: str) -> Column:
@@ -60,11 +143,19 @@ def generous_confidence(c: Column, model: Column) -> Column:
     return F.when(v.isNull(), loose).when((given == 0) & real, inferred).otherwise(given)
 
 
-def verdict(c: Column) -> Column:
-    """PASS, FAIL or another word of the one verdict line; FAIL without one or with several; FAIL_INFRA for runaway replies."""
-    lines = F.regexp_extract_all(c, F.lit("(?mi)^\\s*(?:FINAL_)?VERDICT:\\s*(\\w+)\\s*$"), F.lit(1))
-    runaway = (F.length(c) > 50_000) | (F.size(F.split(c, "\n", -1)) > 1000)
-    return F.when(runaway, "FAIL_INFRA").when(F.size(lines) == 1, F.upper(F.element_at(lines, 1))).otherwise("FAIL")
+def verdict(c: Column, tier: Column | None = None) -> Column:
+    """The verdict of the one line that gives one of four; without exactly one such line FAIL, and in tier 3 FAIL_INFRA. So
+    for runaway replies, of more than 50,000 characters and more than 1000 lines."""
+    lines = F.regexp_extract_all(c, F.lit("(?mi)^(?:FINAL_)?VERDICT:\\s*(PASS|FAIL|FAIL_INFRA|SKIPPED_CONTEXT_OVERFLOW)\\s*$"), F.lit(1))
+    runaway = (F.length(strip(c)) > 50_000) & (F.size(F.split(strip(c), "\n", -1)) > 1000)
+    lost = F.lit("FAIL") if tier is None else F.when(tier == 3, "FAIL_INFRA").otherwise("FAIL")
+    return F.when(~runaway & (F.size(lines) == 1), F.upper(F.try_element_at(lines, F.lit(1)))).otherwise(lost)
+
+
+def verdict_reason(c: Column) -> Column:
+    """What follows the line start REASON:, else the whole reply."""
+    found = F.regexp_extract(c, "(?ms)^REASON:\\s*(.*)\\z", 1)
+    return F.when(F.regexp_like(c, F.lit("(?m)^REASON:")), strip(found)).otherwise(strip(c))
 
 
 def ndjson_content(c: Column) -> Column:
@@ -79,3 +170,39 @@ def canonical_hash(m: Column) -> Column:
 
 def trim_keys(m: Column) -> Column:
     return F.transform_keys(m, lambda k, _: strip(k))
+
+
+def tool_call(c: Column) -> Column:
+    """(name, arguments) of an action that is a call: a JSON object with a name and an object of arguments, or text of the
+    form name(key=value, ...) whose values are literals. arguments is JSON with sorted keys. Null for any other text, and
+    for arguments that can't be read."""
+
+    @F.pandas_udf("string")
+    def keywords(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import ast
+        import json
+
+        def read(text: str | None) -> str | None:
+            if text is None:
+                return None
+            try:
+                call = ast.parse(f"f({text})", mode="eval").body
+                if not isinstance(call, ast.Call):
+                    return None
+                found = {k.arg: ast.literal_eval(k.value) for k in call.keywords}
+                return json.dumps(found, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+            except (SyntaxError, ValueError, TypeError, RecursionError):
+                return None
+
+        for batch in batches:
+            yield batch.map(read)
+
+    text = strip(c)
+    v = parsed(text)
+    name, given = field(v, "name", "string"), F.try_variant_get(v, "$.arguments", "variant")
+    by_json = F.when(name.isNotNull() & F.startswith(given.cast("string"), F.lit("{")), F.struct(name.alias("name"), given.cast("string").alias("arguments")))
+    form = "(?sU)^(\\w+)\\s*\\((.*)\\)$"
+    called = F.nullif(F.regexp_extract(text, form, 1), F.lit(""))
+    # The Python side sees only texts of that form.
+    values = keywords(F.when(called.isNotNull() & by_json.isNull(), F.regexp_extract(text, form, 2)))
+    return F.coalesce(by_json, F.when(values.isNotNull(), F.struct(called.alias("name"), values.alias("arguments"))))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusmill.functions.text import strip
+
 # Phrases and codes by which compiler messages about borrowing, moves and lifetimes are known.
 BORROW_PHRASES = (
     "cannot borrow", "borrowed value", "borrow later used here", "does not live long enough", "doesn't live long enough", "lifetime may not live long enough", "borrow checker", "temporary value dropped while borrowed",
@@ -21,19 +23,40 @@ def is_borrow_error(message: Column) -> Column:
 
 
 def function_name(signature: Column) -> Column:
-    """The name after `fn`; null without one."""
-    return F.nullif(F.regexp_extract(signature, "\\bfn\\s+([A-Za-z_][A-Za-z0-9_]*)", 1), F.lit(""))
+    """The name after `fn`, attributes and line comments taken out; null without one."""
+    bare = F.regexp_replace(F.regexp_replace(signature, "#\\[.*?\\]", ""), "//.*?\n", "")
+    return F.nullif(F.regexp_extract(bare, "(?U)fn\\s+(\\w+)", 1), F.lit(""))
 
 
 def has_signature(code: Column, signature: Column) -> Column:
-    name = function_name(signature)
-    return F.coalesce(F.regexp_like(code, F.concat(F.lit("\\bfn\\s+"), name, F.lit("\\s*[(<]"))), F.lit(False))
+    """Whether the code declares a function of the signature's name. Empty code or signature: no."""
+    return F.coalesce(F.regexp_like(code, F.concat(F.lit("(?U)fn\\s+\\Q"), function_name(signature), F.lit("\\E\\s*[(<]"))), F.lit(False))
+
+
+def enforced_signature(code: Column, signature: Column) -> Column:
+    """Code without the signature's function, rebuilt: its imports, the signature, and as body what stands between its first
+    opening and its last closing brace. Left as it is if it has the function, or if the signature names none."""
+    lines = F.filter(F.split(code, "\\r?\n", -1), lambda x: strip(x) != "")
+    imports = F.filter(F.transform(lines, strip), lambda x: F.startswith(x, F.lit("use ")))
+    others = F.filter(lines, lambda x: ~F.startswith(strip(x), F.lit("use ")) & ~F.startswith(strip(x), F.lit("```")))
+    body = strip(F.array_join(others, "\n"))
+    body = F.when(F.contains(body, F.lit("{")), F.substring(body, F.instr(body, "{") + 1, F.length(body))).otherwise(body)
+    body = strip(F.when(F.contains(body, F.lit("}")), F.regexp_extract(body, "(?s)^(.*)\\}", 1)).otherwise(body))
+    head = F.filter(F.transform(F.split(F.regexp_replace(strip(signature), ";+$", ""), "\\r?\n", -1), lambda x: F.rtrim(x)), lambda x: strip(x) != "")
+    none = F.array().cast("array<string>")
+    parts = F.concat(F.when(F.size(imports) > 0, F.concat(imports, F.array(F.lit("")))).otherwise(none), head, F.array(F.lit("{")), F.when(body != "", F.array(body)).otherwise(none), F.array(F.lit("}")))
+    rebuilt = F.array_join(parts, "\n")
+    return F.when((code == "") | has_signature(code, signature) | ~has_signature(rebuilt, signature), code).otherwise(rebuilt)
 
 
 def uses_api(code: Column, api: Column) -> Column:
-    """The last part of the name, as a word, a method or a path, or in a use line."""
-    base = F.regexp_replace(F.element_at(F.split(api, "::", -1), -1), "[^A-Za-z0-9_]", "")
-    return (base != "") & F.regexp_like(code, F.concat(F.lit("\\b"), base, F.lit("\\b")))
+    """The name or its last part as a whole word, a method or path call of that part, or a use line with it in any case."""
+    base = F.element_at(F.split(api, "::", -1), -1)
+    quoted = lambda c: F.concat(F.lit("\\Q"), c, F.lit("\\E"))
+    word = lambda c: F.regexp_like(code, F.concat(F.lit("(?U)\\b"), quoted(c), F.lit("\\b")))
+    called = F.regexp_like(code, F.concat(F.lit("(\\.|::)"), quoted(base), F.lit("\\s*\\(")))
+    used = F.regexp_like(code, F.concat(F.lit("(?i)use\\s+.*"), quoted(base)))
+    return F.coalesce((api != "") & (code != "") & (word(api) | word(base) | called | used), F.lit(False))
 
 
 def wrap_tests(test: Column) -> Column:

@@ -79,15 +79,42 @@ def unclosed_think(c: Column) -> Column:
     return F.contains(c, F.lit("<think>")) & ~F.contains(c, F.lit("</think>"))
 
 
+def before(c: Column, mark: str) -> Column:
+    """What comes before the first `mark`, or everything."""
+    return F.substring_index(c, mark, 1)
+
+
 def assistant_reply(c: Column) -> Column:
-    """The last ChatML assistant block if there is one, without special tokens."""
-    tail = F.element_at(F.split(c, "<\\|im_start\\|>assistant|<\\|assistant\\|>", -1), -1)
-    return strip(F.regexp_replace(F.regexp_replace(tail, "(?s)<\\|im_end\\|>.*", ""), "<\\|[^|]*\\|>", ""))
+    """What follows the last assistant tag, up to the next user tag or the closing one. Without an assistant tag: the text
+    less closed system and user blocks and less prompts of the plain `User: ... Assistant:` forms."""
+    tagged = before(before(F.substring_index(c, "<|assistant|>", -1), "<|user|>"), "</|assistant|>")
+    plain = c
+    for opening, closing in (("<\\|system\\|>", "</\\|system\\|>"), ("<\\|user\\|>", "</\\|user\\|>"), ("User:", "Assistant:"), ("Human:", "Assistant:")):
+        plain = F.regexp_replace(plain, f"(?s){opening}.*?{closing}", "")
+    return strip(F.when(F.contains(c, F.lit("<|assistant|>")), tagged).otherwise(plain))
+
+
+def code_lines(c: Column) -> Column:
+    """Lines that look like code, for replies without fences: from the first import or function on, up to a lone closing
+    brace that is the fifth line or a later one; before that, imports and functions start it. Null if none do."""
+    shape = "struct<taken: array<string>, open: boolean, done: boolean>"
+    start = F.struct(F.array().cast("array<string>").alias("taken"), F.lit(False).alias("open"), F.lit(False).alias("done")).cast(shape)
+
+    def step(acc: Column, line: Column) -> Column:
+        begins = F.regexp_like(line, F.lit("^\\s*(use\\s|fn\\s+\\w)"))
+        takes = ~acc["done"] & (acc["open"] | begins)
+        taken = F.when(takes, F.concat(acc["taken"], F.array(line))).otherwise(acc["taken"])
+        ends = takes & ~begins & (strip(line) == "}") & (F.size(taken) > 3)
+        return F.struct(taken.alias("taken"), (acc["open"] | begins).alias("open"), (acc["done"] | ends).alias("done")).cast(shape)
+
+    taken = F.aggregate(F.split(strip(c), "\n", -1), start, step, lambda a: a["taken"])
+    return F.when(F.size(taken) > 0, F.array_join(taken, "\n"))
 
 
 def fenced_code(c: Column, lang: str = "rust") -> Column:
-    """The first fenced block; null without one."""
-    return F.when(F.regexp_like(c, F.lit(f"(?s)```(?:{lang})?\\s*.*?```")), strip(F.regexp_extract(c, f"(?s)```(?:{lang})?\\s*(.*?)```", 1)))
+    """The first fenced block; without one the lines that look like code; without those the whole reply."""
+    fenced = F.regexp_like(c, F.lit(f"(?s)```(?:{lang})?\\s*.*?```"))
+    return F.when(fenced, strip(F.regexp_extract(c, f"(?s)```(?:{lang})?\\s*(.*?)```", 1))).otherwise(F.coalesce(code_lines(c), c))
 
 
 def drop_fences(c: Column, lang: str = "rust") -> Column:
@@ -141,6 +168,8 @@ def fill_placeholders(template: Column, values: dict[str, Column]) -> Column:
 
 
 def budgeted(head: Column, content: Column, foot: Column, limit: int, spare: int = 50) -> Column:
-    """head + content + foot within `limit` characters, the content cut and marked if it must be."""
+    """head + content + foot; if that is longer than `limit`, the content is cut to what is left, less `spare`, and marked."""
     room = F.greatest(F.lit(0), F.lit(limit - spare) - F.length(head) - F.length(foot))
-    return F.concat(head, F.when(F.length(content) > room, F.concat(F.substring(content, F.lit(1), room), F.lit("..."))).otherwise(content), foot)
+    cut = F.when(F.length(content) > room, F.concat(F.substring(content, F.lit(1), room), F.lit("...[truncated]"))).otherwise(content)
+    whole = F.concat(head, content, foot)
+    return F.when(F.length(whole) <= limit, whole).otherwise(F.concat(head, cut, foot))

@@ -76,15 +76,18 @@ def cited_overlap_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     obj = F.concat(F.lit('{"label":"L'), (k % 5).cast("string"), F.lit('","s":{"x":'), (k % 9).cast("string"), F.lit("}}"))
-    reply = F.when(k % 4 == 0, obj).when(k % 4 == 1, F.concat(F.lit("ok\n"), obj, F.lit("\nbye"))).when(k % 4 == 2, F.concat(obj, F.lit(" and {oops}"))).otherwise(F.lit("nothing {"))
+    reply = F.when(k % 4 == 0, obj).when(k % 4 == 1, F.concat(F.lit("ok\n"), obj, F.lit("\nbye"))).when(k % 4 == 2, F.concat(F.lit("{x} Response: "), obj)).otherwise(F.lit("nothing {"))
     v = J.judge_json(reply)
     return table(spark, sf_dir, "orders").select(J.field(v, "label", "string").alias("label"), J.field(v, "s.x", "int").alias("x")).groupBy("label", "x").agg(F.count("*").alias("n"))
 
 
 def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
-    reply = F.when(k % 4 == 0, "text\nVERDICT: pass\n").when(k % 4 == 1, "FINAL_VERDICT: FAIL").when(k % 4 == 2, "VERDICT: PASS\nVERDICT: FAIL").otherwise("none")
-    return table(spark, sf_dir, "orders").groupBy(J.verdict(reply).alias("verdict")).agg(F.count("*").alias("n"))
+    lines = F.array(*[F.lit(x) for x in ("text\nVERDICT: pass\n", "FINAL_VERDICT: FAIL", "VERDICT: PASS\nVERDICT: FAIL", "none", "VERDICT: MAYBE", " VERDICT: PASS", "verdict:\tskipped_context_overflow\nREASON: long\nand more")])
+    reply = F.when(k % 50 == 8, F.repeat(F.lit("again and again and again and again and again\n"), 1200)).when(k % 50 == 9, F.concat(F.repeat(F.lit("word "), 10_500), F.lit("\nVERDICT: PASS"))).otherwise(F.get(lines, (k % 7).cast("int")))
+    rows = table(spark, sf_dir, "orders").select(reply.alias("reply"), (k % 3 + 1).alias("tier"))
+    out = rows.select("tier", J.verdict(F.col("reply"), F.col("tier")).alias("verdict"), F.sha2(J.verdict_reason(F.col("reply")), 256).alias("reason_sha"))
+    return out.groupBy("tier", "verdict", "reason_sha").agg(F.count("*").alias("n"))
 
 
 def exact_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +136,9 @@ def communicated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def one_stop_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as legs: a user's location classes, hours as times."""
-    legs = table(spark, sf_dir, "events").select("event_id", (F.col("user_id") % 7).alias("dest"), (F.col("event_id") % 7).alias("orig"), F.to_date("ts").alias("day"), F.hour(F.col("ts").cast("timestamp")).alias("dep"), (F.hour(F.col("ts").cast("timestamp")) + 2).alias("arr"))
+    hour = F.hour(F.col("ts").cast("timestamp"))
+    at = lambda h: F.format_string("%02d:00:00", h)
+    legs = table(spark, sf_dir, "events").select("event_id", (F.col("user_id") % 7).alias("dest"), (F.col("event_id") % 7).alias("orig"), F.to_date("ts").alias("day"), at(hour).alias("dep"), F.when(hour < 22, at(hour + 2)).otherwise(F.concat(at(hour - 22), F.lit("+1"))).alias("arr"))
     return joins.one_stop(legs, legs, "orig", "dest", "arr", "dep", "day").groupBy("a_day").agg(F.count("*").alias("n")).select(F.col("a_day").cast("string").alias("day"), "n")
 
 
@@ -193,7 +198,12 @@ with t as (select item_id, text as a, coalesce(concat_ws(chr(10), (select text f
 select item_id, sha256(c) as cited_sha, round(case when c = '' then 0 when length(a) = 0 then 0 else len(list_filter(string_split(a, ''), lambda x: contains(c, x))) / length(a) end, 6) as lex from t""",
     "json_parsing": """
 select case when o_orderkey % 4 <> 3 then 'L' || o_orderkey % 5 end as label, case when o_orderkey % 4 <> 3 then o_orderkey % 9 end::int as x, count(*) as n from orders group by all""",
-    "verdicts": "select case when o_orderkey % 4 = 0 then 'PASS' else 'FAIL' end as verdict, count(*) as n from orders group by 1",
+    "verdicts": r"""
+with r as (select o_orderkey % 3 + 1 as tier, case when o_orderkey % 50 = 8 then repeat('again and again and again and again and again' || chr(10), 1200) when o_orderkey % 50 = 9 then repeat('word ', 10500) || chr(10) || 'VERDICT: PASS' else
+  ['text' || chr(10) || 'VERDICT: pass' || chr(10), 'FINAL_VERDICT: FAIL', 'VERDICT: PASS' || chr(10) || 'VERDICT: FAIL', 'none', 'VERDICT: MAYBE', ' VERDICT: PASS', 'verdict:' || chr(9) || 'skipped_context_overflow' || chr(10) || 'REASON: long' || chr(10) || 'and more'][o_orderkey % 7 + 1] end as t from orders),
+v as (select tier, trim(t, ' ' || chr(9) || chr(10)) as t, regexp_extract_all(t, '(?mi)^(?:FINAL_)?VERDICT:\s*(PASS|FAIL|FAIL_INFRA|SKIPPED_CONTEXT_OVERFLOW)\s*$', 1) as f from r)
+select tier, case when len(f) = 1 and not (length(t) > 50000 and len(string_split(t, chr(10))) > 1000) then upper(f[1]) when tier = 3 then 'FAIL_INFRA' else 'FAIL' end as verdict,
+sha256(case when contains(t, chr(10) || 'REASON: ') then split_part(t, chr(10) || 'REASON: ', 2) else t end) as reason_sha, count(*) as n from v group by all""",
     "exact_matches": "select count(*) as same, count(*) filter (o_orderstatus = o_orderpriority[1]) as other from orders",
     "bleu_scores": r"""
 with c as (select item_id, regexp_extract_all(text, '\w+|[^\w\s]') as r0, text, case when item_id % 3 = 0 then text else replace(text, 'er', 'x') end as cand from benchmark),
@@ -218,8 +228,8 @@ select i as l_linenumber, count(*) filter (exists (select 1 from c where c.o = l
 with u as (select conv_id, turn, substr(text, 1, 6) as info from conversations where role = 'user')
 select conv_id, turn, exists (select 1 from conversations m where m.conv_id = u.conv_id and m.role = 'assistant' and contains(replace(lower(m.text), ',', ''), lower(u.info))) as told from u""",
     "one_stop_pairs": """
-with l as (select event_id, user_id % 7 as dest, event_id % 7 as orig, ts::date as day, hour(ts) as dep, hour(ts) + 2 as arr from events)
-select a.day::varchar as day, count(*) as n from l a join l b on a.dest = b.orig and a.day = b.day and b.dep >= a.arr group by 1""",
+with l as (select event_id, user_id % 7 as dest, event_id % 7 as orig, ts::date as day, printf('%02d:00:00', hour(ts)) as dep, printf('%02d:00:00', (hour(ts) + 2) % 24) || case when hour(ts) >= 22 then '+1' else '' end as arr from events)
+select a.day::varchar as day, count(*) as n from l a join l b on a.dest = b.orig and a.day + case when a.arr like '%+1' then 1 else 0 end = b.day and b.dep >= a.arr group by 1""",
     "interval_hits": """
 select k, count(*) as n from (select l_suppkey as k, l_partkey as p from lineitem) l join (select p_partkey % 10 + 1 as k, p_partkey as s, p_partkey + p_size as e from part) using (k) where p between s and e group by 1""",
     "option_products": "select r, n from (select r_name as r from region union all select null) a, (select n_name as n from nation where n_nationkey < 6 union all select null) b",

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from corpusmill.plans import metrics, quality, records, text
+from corpusmill.plans import metrics, quality, records, replies, text
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for module in (text, records, quality, metrics):
+for module in (text, records, quality, metrics, replies):
     QUERIES |= module.QUERIES
     ORACLES |= module.ORACLES
