@@ -118,6 +118,17 @@ def shingles(h: np.ndarray, seg: np.ndarray, k: int) -> tuple[np.ndarray, np.nda
     return np.concatenate(outs), np.concatenate(others), np.concatenate(segs)
 
 
+def stable_order(key: np.ndarray) -> np.ndarray:
+    """The places of non-negative integers in ascending order, ties in their own: one plain sort of key and place together
+    where both fit 64 bits."""
+    bits = max(1, int(len(key)).bit_length())
+    if not len(key) or int(key.max()) >> (64 - bits):
+        return np.argsort(key, kind="stable")
+    both = (key.astype(np.uint64) << np.uint64(bits)) | np.arange(len(key), dtype=np.uint64)
+    both.sort()
+    return (both & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
 def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for `counts` items of each range, one after the other."""
     counts = np.asarray(counts, np.int64)

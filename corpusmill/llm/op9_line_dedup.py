@@ -40,7 +40,9 @@ def line_sets(k: int, short: int, word_most: int, limit: int):
             doc = np.searchsorted(off, cuts[:-1], side="right") - 1
             first = np.searchsorted(cuts, off[:-1])
             number = np.arange(len(doc)) - first[doc] if len(doc) else np.zeros(0, np.int64)
-            used, owner = np.unique(owner, return_inverse=True)
+            there = np.zeros(2 * len(doc), bool)
+            there[owner] = True
+            used, owner = np.flatnonzero(there), np.cumsum(there)[owner] - 1
             ids = batch.column("id").to_numpy().astype(np.int64)
             yield ids[doc[used >> 1]], 2 * number[used >> 1].astype(np.int64) + (used & 1), tokens, other, owner
 

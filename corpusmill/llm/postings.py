@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.kernels import K1, K3, SLICE_BYTES, mix, ranges, spans
+from corpusmill.llm.kernels import K1, K3, SLICE_BYTES, mix, ranges, spans, stable_order
 from corpusmill.llm.shared import stored
 
 ENTRIES, DIRECTORY, KEPT, HOTS = 0, 1, 2, 3
@@ -174,7 +174,7 @@ def match(rows: pa.Table) -> pa.Table:
     level = np.repeat(np.minimum(8 * np.log2(np.maximum(runs, 1)), MOST_COMMON - 1).astype(np.uint8), runs)
     if hots:
         level[np.isin(tok, np.unique(np.concatenate(hots)))] = MOST_COMMON
-    at = np.argsort(row[src], kind="stable")
+    at = stable_order(row[src])
     lead, tok, src, level = lead[at], tok[at], src[at], level[at]
     out_row, cuts = np.unique(row[src], return_index=True)
     bodies = []
@@ -199,24 +199,29 @@ def gather(num: int, den: int, keep_all: bool) -> Callable[[pa.Table], pa.Table]
         head = np.frombuffer(bodies[int(np.flatnonzero(kinds == DIRECTORY)[0])].as_py(), np.int64)
         key1, key2, size, digest, digest2 = head.reshape(5, len(head) // 5)
         own, names = [], {name: 0}
-        for i, kind in enumerate(kinds):
+        # Of a token that came both ways the wider search's answer counts: it comes first, and the sort is stable.
+        for i in stable_order(kinds == KEPT):
+            kind = kinds[i]
             if kind == DIRECTORY:
                 continue
             body = bodies[i].as_py()
             if kind == KEPT:
                 n = len(body) // 10
                 tok, idx = unpack(body[: 8 * n])
-                own.append((tok, idx, np.zeros(n, np.int64), np.frombuffer(body[8 * n :], np.uint16), np.zeros(n, np.int8), np.full(n, MOST_COMMON, np.uint8)))
+                own.append((tok, idx, np.zeros(n, np.int64), np.frombuffer(body[8 * n :], np.uint16), np.full(n, MOST_COMMON, np.uint8)))
             else:
                 n = int(np.frombuffer(body[:8], np.int64)[0])
                 tok, idx = unpack(body[8 : 8 + 8 * n])
                 code = unplanes(body[8 + 8 * n :], n, 4, np.uint32)
                 lead = np.frombuffer(body, np.uint16, n, 8 + 12 * n)
                 known = np.array([names.setdefault(int(x), len(names)) for x in np.frombuffer(body, np.int64, -1, 8 + 15 * n)], np.int64)
-                own.append((tok, idx, known[code], lead, np.full(n, -1, np.int8), np.frombuffer(body, np.uint8, n, 8 + 14 * n)))
-        cols = [np.concatenate(c) for c in zip(*own, strict=True)] if own else [np.zeros(0, np.int64)] * 6
-        tok, idx, lead_batch, lead, rank, level = cols
-        order = np.lexsort((rank, tok, idx))  # of a token that came both ways, the wider search's answer
+                own.append((tok, idx, known[code], lead, np.frombuffer(body, np.uint8, n, 8 + 14 * n)))
+        cols = [np.concatenate(c) for c in zip(*own, strict=True)] if own else [np.zeros(0, np.int64)] * 5
+        tok, idx, lead_batch, lead, level = cols
+        key = (idx.astype(np.uint64) << np.uint64(48)) | tok.astype(np.uint64)
+        order = np.argsort(key)
+        twice = np.flatnonzero(key[order[1:]] == key[order[:-1]])  # a token comes both ways at most
+        order[twice], order[twice + 1] = np.minimum(order[twice], order[twice + 1]), np.maximum(order[twice], order[twice + 1])
         tok, idx, lead_batch, lead, level = tok[order], idx[order].astype(np.int64), lead_batch[order], lead[order], level[order]
         if len(tok):
             once = np.concatenate([[True], (tok[1:] != tok[:-1]) | (idx[1:] != idx[:-1])])
@@ -226,12 +231,14 @@ def gather(num: int, den: int, keep_all: bool) -> Callable[[pa.Table], pa.Table]
         weight = np.bincount(idx, level.astype(float), minlength=len(size)) / np.maximum(size, 1)
         take = alive[idx] if len(idx) else np.zeros(0, bool)
         tok, idx, lead_batch, lead, level = tok[take], idx[take], lead_batch[take], lead[take], level[take]
-        order = np.lexsort((tok, level, idx))  # rarest first
+        order = stable_order((idx << 8) | level)  # rarest first, then as before: by token
         tok, idx, lead_batch, lead = tok[order], idx[order], lead_batch[order], lead[order]
         # Overlap with each first set but the set itself; the best one, ties to the smaller reference.
         ref = (lead_batch.astype(np.int64) << 16) | lead.astype(np.int64)
         other = ref != idx  # names[name] is 0
-        pair, many = np.unique(np.stack([idx[other], ref[other]]), axis=1, return_counts=True) if other.any() else (np.zeros((2, 0), np.int64), np.zeros(0, np.int64))
+        # A set's number has 16 bits, a batch's here fewer than 32.
+        pair, many = np.unique((idx[other].astype(np.uint64) << np.uint64(48)) | ref[other].astype(np.uint64), return_counts=True)
+        pair = np.stack([pair >> np.uint64(48), pair & np.uint64(2**48 - 1)]).astype(np.int64)
         best = np.lexsort((pair[1], -many, pair[0]))
         lead_of = np.full(len(size), -1, np.int64)
         lead_n = np.zeros(len(size), np.int64)
