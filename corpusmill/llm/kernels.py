@@ -77,16 +77,15 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     if not len(starts):
         return h
     padded = np.concatenate([buf, np.zeros(8, np.uint8)])
-    windows = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    words_at = np.ndarray(len(padded) - 7, np.uint64, padded, strides=(1,))  # the eight bytes from each place on
     masks = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [2**64 - 1], np.uint64)
-    live, at = np.arange(len(starts)), starts
-    left = size
+    live, at, left = slice(None), starts, size
     with np.errstate(over="ignore"):
-        while len(live):
-            x = np.ascontiguousarray(windows[at]).view(np.uint64).ravel() & masks[np.minimum(left, 8)]
-            h[live] = mix((h[live] ^ x) * K1 + K2)
-            more = left > 8
-            live, at, left = live[more], at[more] + 8, left[more] - 8
+        while len(at):
+            h[live] = mix((h[live] ^ (words_at[at] & masks[np.minimum(left, 8)])) * K1 + K2)
+            more = np.flatnonzero(left > 8)
+            live = more if isinstance(live, slice) else live[more]
+            at, left = at[more] + 8, left[more] - 8
     return h
 
 

@@ -52,17 +52,27 @@ def unplanes(body: memoryview | bytes, n: int, width: int, dtype: type) -> np.nd
     return out.view(dtype).ravel()
 
 
-def pack(entries: np.ndarray) -> bytes:
-    """Sorted (token << 16 | set) words as token steps and set numbers, 8 bytes each before compression."""
-    tokens = entries >> np.uint64(16)
+def packed(tokens: np.ndarray, idx: np.ndarray, cuts: np.ndarray) -> list[bytes]:
+    """Runs of ascending tokens with their set numbers, a run from each of `cuts` on: token steps and numbers by place, 8
+    bytes an entry before compression."""
     steps = np.diff(tokens, prepend=np.uint64(0))
-    return planes(steps, 6) + planes((entries & _IDX).astype(np.uint16), 2)
+    steps[cuts] = tokens[cuts]
+    table = np.empty((len(tokens), 8), np.uint8)
+    table[:, :6] = steps.view(np.uint8).reshape(-1, 8)[:, :6]
+    table[:, 6:] = idx.astype(np.uint16).view(np.uint8).reshape(-1, 2)
+    return [table[x:y].T.tobytes() for x, y in spans(cuts, len(tokens))]
 
 
-def unpack(body: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = len(body) // 8
-    view = memoryview(body)
-    return np.cumsum(unplanes(view[: 6 * n], n, 6, np.uint64)).astype(np.uint64), unplanes(view[6 * n :], n, 2, np.uint16)
+def unpacked(bodies: list[bytes | memoryview]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens and set numbers of such runs, one after the other, and the number of entries of each."""
+    count = np.array([len(x) // 8 for x in bodies], np.int64)
+    table = np.concatenate([np.frombuffer(x, np.uint8).reshape(8, -1).T for x in bodies] or [np.zeros((0, 8), np.uint8)])
+    steps = np.zeros((len(table), 8), np.uint8)
+    steps[:, :6] = table[:, :6]
+    total = np.cumsum(steps.view(np.uint64).ravel(), dtype=np.uint64)
+    starts = np.cumsum(count) - count
+    before = np.where(starts > 0, total[np.maximum(starts, 1) - 1] if len(total) else np.uint64(0), np.uint64(0))
+    return total - np.repeat(before, count), np.ascontiguousarray(table[:, 6:]).view(np.uint16).ravel(), count
 
 
 def batch_name(number: int, *arrays: np.ndarray) -> int:
@@ -114,7 +124,8 @@ def deal(sets: Callable[[Iterator[pa.RecordBatch]], Iterator[Sets]], parts: int,
         if (hot := count > HOT).any():
             at = ranges(first[hot], count[hot])
             lead = np.repeat(entries[first[hot]] & _IDX, count[hot]).astype(np.uint16)
-            rows.append((parts + name % parts, KEPT, name, pack(entries[at]) + lead.tobytes()))
+            mine = entries[at]
+            rows.append((parts + name % parts, KEPT, name, packed(mine >> np.uint64(16), mine & _IDX, np.zeros(1, np.int64))[0] + lead.tobytes()))
             gone = np.zeros(len(entries), bool)
             gone[at] = True
             gone[first[hot]] = False
@@ -127,7 +138,7 @@ def deal(sets: Callable[[Iterator[pa.RecordBatch]], Iterator[Sets]], parts: int,
             order = np.argsort(part, kind="stable")
             entries, part = entries[order], part[order]
         cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
-        rows += [(int(part[a]), ENTRIES, name, head + pack(entries[a:b])) for a, b in spans(cut, len(part))]
+        rows += [(int(p), ENTRIES, name, head + body) for p, body in zip(part[cut], packed(entries >> np.uint64(16), entries & _IDX, cut), strict=True)]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _ROW_PA.types, strict=True)], schema=_ROW_PA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,11 +167,8 @@ def match(rows: pa.Table) -> pa.Table:
     heads = np.array([np.frombuffer(x.as_py(), np.int64, 2) for x in mine.column("body")])
     mine = mine.take(pa.array(np.lexsort((mine.column("batch").to_numpy(), heads[:, 1], heads[:, 0]))))
     names = mine.column("batch").to_numpy()
-    parts = [unpack(x.as_py()[16:]) for x in mine.column("body")]
-    tok = np.concatenate([p[0] for p in parts])
-    idx = np.concatenate([p[1] for p in parts])
-    row = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
-    del parts
+    tok, idx, count = unpacked([memoryview(x.as_py())[16:] for x in mine.column("body")])
+    row = np.repeat(np.arange(len(count)), count)
     order = np.argsort(tok, kind="stable")  # ties stay in the order of batch and set
     tok = tok[order]
     same = tok[1:] == tok[:-1]
@@ -178,8 +186,7 @@ def match(rows: pa.Table) -> pa.Table:
     lead, tok, src, level = lead[at], tok[at], src[at], level[at]
     out_row, cuts = np.unique(row[src], return_index=True)
     bodies = []
-    for a, b in spans(cuts, len(src)):
-        body = pack((tok[a:b] << np.uint64(16)) | idx[src[a:b]].astype(np.uint64))
+    for (a, b), body in zip(spans(cuts, len(src)), packed(tok, idx[src], cuts), strict=True):
         lead_batch, code = np.unique(names[row[lead[a:b]]], return_inverse=True)
         bodies.append(np.int64(b - a).tobytes() + body + planes(code.astype(np.uint32), 4) + idx[lead[a:b]].astype(np.uint16).tobytes() + level[a:b].tobytes() + lead_batch.tobytes())
     back = pa.table([pa.array(names[out_row]), pa.array(np.full(len(bodies), ENTRIES, np.int32)), pa.array(names[out_row]), pa.array(bodies, pa.binary())], schema=_ROW_PA)
@@ -198,26 +205,22 @@ def gather(num: int, den: int, keep_all: bool) -> Callable[[pa.Table], pa.Table]
         bodies = rows.column("body")
         head = np.frombuffer(bodies[int(np.flatnonzero(kinds == DIRECTORY)[0])].as_py(), np.int64)
         key1, key2, size, digest, digest2 = head.reshape(5, len(head) // 5)
-        own, names = [], {name: 0}
-        # Of a token that came both ways the wider search's answer counts: it comes first, and the sort is stable.
-        for i in stable_order(kinds == KEPT):
-            kind = kinds[i]
-            if kind == DIRECTORY:
-                continue
-            body = bodies[i].as_py()
-            if kind == KEPT:
-                n = len(body) // 10
-                tok, idx = unpack(body[: 8 * n])
-                own.append((tok, idx, np.zeros(n, np.int64), np.frombuffer(body[8 * n :], np.uint16), np.full(n, MOST_COMMON, np.uint8)))
-            else:
-                n = int(np.frombuffer(body[:8], np.int64)[0])
-                tok, idx = unpack(body[8 : 8 + 8 * n])
-                code = unplanes(body[8 + 8 * n :], n, 4, np.uint32)
-                lead = np.frombuffer(body, np.uint16, n, 8 + 12 * n)
-                known = np.array([names.setdefault(int(x), len(names)) for x in np.frombuffer(body, np.int64, -1, 8 + 15 * n)], np.int64)
-                own.append((tok, idx, known[code], lead, np.frombuffer(body, np.uint8, n, 8 + 14 * n)))
-        cols = [np.concatenate(c) for c in zip(*own, strict=True)] if own else [np.zeros(0, np.int64)] * 5
-        tok, idx, lead_batch, lead, level = cols
+        # Of a token that came both ways the wider search's answer counts: it comes first.
+        found = [bodies[int(i)].as_py() for i in np.flatnonzero(kinds == ENTRIES)]
+        kept = [bodies[int(i)].as_py() for i in np.flatnonzero(kinds == KEPT)]
+        sizes = [int.from_bytes(x[:8], "little") for x in found] + [len(x) // 10 for x in kept]
+        tok, idx, _ = unpacked([x[8 : 8 + 8 * n] for x, n in zip(found, sizes, strict=False)] + [x[: 8 * n] for x, n in zip(kept, sizes[len(found) :], strict=True)])
+        names, batches, leads, levels = {name: 0}, [], [], []
+        for x, n in zip(found, sizes, strict=False):
+            known = np.array([names.setdefault(int(b), len(names)) for b in np.frombuffer(x, np.int64, -1, 8 + 15 * n)], np.int64)
+            batches.append(known[unplanes(memoryview(x)[8 + 8 * n :], n, 4, np.uint32)])
+            leads.append(np.frombuffer(x, np.uint16, n, 8 + 12 * n))
+            levels.append(np.frombuffer(x, np.uint8, n, 8 + 14 * n))
+        for x, n in zip(kept, sizes[len(found) :], strict=True):
+            batches.append(np.zeros(n, np.int64))
+            leads.append(np.frombuffer(x, np.uint16, n, 8 * n))
+            levels.append(np.full(n, MOST_COMMON, np.uint8))
+        lead_batch, lead, level = (np.concatenate(c or [np.zeros(0, np.int64)]) for c in (batches, leads, levels))
         key = (idx.astype(np.uint64) << np.uint64(48)) | tok.astype(np.uint64)
         order = np.argsort(key)
         twice = np.flatnonzero(key[order[1:]] == key[order[:-1]])  # a token comes both ways at most
