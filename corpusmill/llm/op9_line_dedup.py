@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.kernels import K2, lower_ascii, mix, shingles, slices, span_hashes, utf8, words
-from corpusmill.llm.postings import Sets, best_partners, least_overlap, prefix_pairs, shared_sets, slice_bytes
+from corpusmill.llm.postings import Sets, best_partners, least_overlap, long_keys, prefix_pairs, shared_sets, slice_bytes
 from corpusmill.llm.shared import stored
 
 
@@ -76,25 +76,27 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sets = line_sets(k, short, short * den // num, slice_bytes(docs.sparkSession))
     equal = ["digest", "digest2", "n"]
     lines = stored(shared_sets(rows, sets, num, den).select(*equal, F.struct("key1", "key2").alias("at"), "tokens"), "lines")
-    classes = stored(lines.groupBy(*equal).agg(F.min("at").alias("first")).withColumn("class", F.monotonically_increasing_id()), "classes")
-    asked = lines.join(classes.withColumnRenamed("first", "at"), [*equal, "at"]).selectExpr("class as id", "n", "at.key1 as o1", "at.key2 as o2", "tokens").dropDuplicates(["id"])
-    asked = stored(asked, "asked")
+    classes = lines.groupBy(*equal).agg(F.min(F.struct("at", "tokens")).alias("m")).select(*equal, "m.at.*", "m.tokens")
+    classes = stored(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
+    asked = classes.selectExpr("class as id", "n", "key1 as o1", "key2 as o2", "tokens")
     ranked = asked.where("o2 % 2 = 0").repartitionByRange("o1", "o2").sortWithinPartitions("o1", "o2")
     own = shared_sets(ranked, class_sets, num, den, sized=True).selectExpr("key1 as id", "n", "tokens", "batch", "idx", "lead_batch", "lead_idx", "lead_overlap")
     own = own.join(asked.selectExpr("id", "o1", "o2"), "id")
     # Nearly every word is in some other line: a second pass would leave sets of words as they are.
-    listed = stored(own.unionByName(asked.where("o2 % 2 = 1"), allowMissingColumns=True), "listed")
+    own = own.unionByName(asked.where("o2 % 2 = 1"), allowMissingColumns=True)
+    listed = stored(own.selectExpr("*", "id as label", "o2 % 2 = 1 as paired"), "listed")
+    long = long_keys(listed, num, den)
     # The first class of a line's tokens: if it resembles the line, the line goes, and is asked about no more.
     lead = listed.selectExpr("batch as lead_batch", "idx as lead_idx", "id as b", "n as nb")
     led = listed.join(lead, ["lead_batch", "lead_idx"]).where(f"id <> b and {den} * lead_overlap >= {num} * (n + nb - lead_overlap) and {least_overlap(num, den, 'lead_overlap')}").select("id").distinct()
     led = stored(led, "led")
     for last in (False, True):
         # First the likeliest partners alone, which settles most lines of many near copies; then all pairs of the others.
-        left = listed.join(led.withColumn("led", F.lit(True)), "id", "left").selectExpr("id", "id as label", "n", "o1", "o2", "o2 % 2 = 1 as paired", "led is null as open", "tokens")
-        left = stored(left, "left")
-        led = stored((prefix_pairs if last else best_partners)(left, num, den).selectExpr("a as id").union(led).distinct(), "led")
+        left = listed.join(led.withColumn("led", F.lit(True)), "id", "left").withColumn("open", F.col("led").isNull())
+        led = stored((prefix_pairs if last else best_partners)(left, num, den, long, listed).selectExpr("a as id").union(led).distinct(), "led")
     later = led.selectExpr("id as class")
-    gone = lines.select(*equal, "at").join(classes, equal).join(later.withColumn("later", F.lit(True)), "class", "left").where("later or at <> first")
+    first = classes.select(*equal, "class", F.struct("key1", "key2").alias("first"))
+    gone = lines.select(*equal, "at").join(first, equal).join(later.withColumn("later", F.lit(True)), "class", "left").where("later or at <> first")
     return gone.selectExpr(f"at.key1 as {id_col}", "at.key2 div 2 as line").distinct()
 
 

@@ -314,22 +314,31 @@ def hub_links(listed: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
 SPLIT = 512
 
 
-def _postings(listed: DataFrame, num: int, den: int) -> DataFrame:
-    """Keys of `listed`, one row each, with the part of the key: prefix tokens, and of sets of which `paired` is true pairs of
-    them. Unequal sets have two tokens or more in common, the first two of which are in prefixes that are one longer.
-
-    A key's sets are cut into blocks of SPLIT, and a pair of blocks is a cell (ci, cj): a set of block m goes to each cell
-    that has m on either side, and is compared with the sets of the other block there."""
+def _keys(listed: DataFrame, num: int, den: int) -> DataFrame:
+    """Keys of `listed`, one row each: prefix tokens, and of sets of which `paired` is true pairs of them. Unequal sets have two
+    tokens or more in common, the first two of which are in prefixes that are one longer."""
     cols = set(listed.columns)
     extra = ["open", "o1", "o2"] if {"open", "o1", "o2"} <= cols else ["true as open", "-id as o1", "0L as o2"]
     paired = "paired" if "paired" in cols else "false"
     pre = listed.selectExpr("id", "label", "n", *extra, "size(tokens) as c", f"{paired} as paired", f"slice(tokens, 1, greatest(0, size(tokens) - cast(ceil(n * {num} / {den}D) as int) + 1 + cast({paired} as int))) as pre")
     single = "transform(pre, (t, i) -> struct(i as at, t as tok))"
     double = "flatten(transform(pre, (t, i) -> transform(slice(pre, i + 2, greatest(0, size(pre) - i - 1)), u -> struct(i as at, xxhash64(t, u) as tok))))"
-    keys = pre.selectExpr("id", "label", "n", "open", "o1", "o2", "c", f"inline(case when paired then {double} else {single} end)").selectExpr("id", "label", "n", "open", "o1", "o2", "tok", "cast(at as long) + n - c as pos")
-    # At most one row here for every SPLIT keys; stored, so that its size is known when the join is planned.
-    long = stored(keys.groupBy("tok").agg(F.count("*").alias("f")).where(f"f > {SPLIT}").selectExpr("tok", f"cast(ceil(f / {SPLIT}D) as int) as blocks"), "long")
-    dealt = keys.join(long, "tok", "left").selectExpr("id", "label", "n", "open", "o1", "o2", "tok", "pos", "coalesce(blocks, 1) as blocks", "cast(pmod(xxhash64(id, 5), coalesce(blocks, 1)) as int) as m")
+    return pre.selectExpr("id", "label", "n", "open", "o1", "o2", "c", f"inline(case when paired then {double} else {single} end)").selectExpr("id", "label", "n", "open", "o1", "o2", "tok", "cast(at as long) + n - c as pos")
+
+
+def long_keys(listed: DataFrame, num: int, den: int) -> DataFrame:
+    """(tok, blocks) of keys with more than SPLIT sets: one row for every SPLIT keys at most. Stored, so that its size is known
+    when a join with it is planned."""
+    counts = _keys(listed, num, den).groupBy("tok").agg(F.count("*").alias("f")).where(f"f > {SPLIT}")
+    return stored(counts.selectExpr("tok", f"cast(ceil(f / {SPLIT}D) as int) as blocks"), "long")
+
+
+def _postings(listed: DataFrame, long: DataFrame, num: int, den: int) -> DataFrame:
+    """Keys of `listed`, one row for each of their cells, with the part of the cell.
+
+    A key's sets are cut into blocks of SPLIT, and a pair of blocks is a cell (ci, cj): a set of block m goes to each cell
+    that has m on either side, and is compared with the sets of the other block there."""
+    dealt = _keys(listed, num, den).join(long, "tok", "left").selectExpr("id", "label", "n", "open", "o1", "o2", "tok", "pos", "coalesce(blocks, 1) as blocks", "cast(pmod(xxhash64(id, 5), coalesce(blocks, 1)) as int) as m")
     dealt = dealt.withColumn("j", F.explode(F.expr("sequence(0, blocks - 1)"))).selectExpr("id", "label", "n", "open", "o1", "o2", "tok", "pos", "m", "least(m, j) as ci", "greatest(m, j) as cj")
     parts = 4 * int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return dealt.withColumn("part", F.expr(f"pmod(xxhash64(tok, ci, cj), {parts}L)"))
@@ -341,29 +350,32 @@ def _verified(found: DataFrame, listed: DataFrame, num: int, den: int) -> DataFr
     return both.selectExpr("a", "b", "la", "lb", "na", "nb", "cast(size(array_intersect(ta, tb)) as long) as overlap").where(f"{den} * overlap >= {num} * (na + nb - overlap) and {least_overlap(num, den)}").select("a", "b", "la", "lb")
 
 
-def prefix_pairs(listed: DataFrame, num: int, den: int) -> DataFrame:
+def prefix_pairs(listed: DataFrame, num: int, den: int, long: DataFrame | None = None, body: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b, la, lb) of `listed` (id, label, n, tokens) with unequal labels and
     den * |intersection| >= num * |union|, verified; a < b.
 
     `tokens` are those that sets of other labels hold too, in order of rarity, which is the same for all sets; n counts the
     others as well, which are rarer still. Sets are unequal, as sets of tokens. A set's prefix has n - ceil(num/den n) + 1 tokens, the uncommon ones first.
     Posting lists of prefix tokens are sorted by size and cut into blocks; a block is skipped for a block whose length
-    filter or positional bound its sizes and positions can't meet. `listed` should be a stored table: it is read thrice.
+    filter or positional bound its sizes and positions can't meet. `listed` should be a stored table, unless its `long_keys`
+    and, with the same ids, labels, sizes and tokens, a stored `body` are given.
 
     If `listed` has columns open and o1, o2, an order, a is the later one of a pair and only pairs whose later one is open
     are looked for. If it has a column paired, sets of it meet by two common tokens; sets of unlike `paired` don't meet.
     """
-    found = _postings(listed, num, den).groupBy("part").applyInArrow(_candidates(num, den), "a long, b long, many long").select("a", "b").distinct()
-    return _verified(found, listed, num, den)
+    posted = _postings(listed, long_keys(listed, num, den) if long is None else long, num, den)
+    found = posted.groupBy("part").applyInArrow(_candidates(num, den), "a long, b long, many long").select("a", "b").distinct()
+    return _verified(found, listed if body is None else body, num, den)
 
 
-def best_partners(listed: DataFrame, num: int, den: int, k: int = 8) -> DataFrame:
+def best_partners(listed: DataFrame, num: int, den: int, long: DataFrame | None = None, body: DataFrame | None = None, k: int = 8) -> DataFrame:
     """As `prefix_pairs`, but of each open set only the pairs with the `k` earlier sets that seem to have most prefix tokens in
     common with it: by the sum over parts of the tokens, of which each names its own `k`."""
-    found = _postings(listed, num, den).groupBy("part").applyInArrow(_candidates(num, den, best=k), "a long, b long, many long")
+    posted = _postings(listed, long_keys(listed, num, den) if long is None else long, num, den)
+    found = posted.groupBy("part").applyInArrow(_candidates(num, den, best=k), "a long, b long, many long")
     sums = found.groupBy("a", "b").agg(F.sum("many").alias("many"))
     top = sums.groupBy("a").agg(F.slice(F.sort_array(F.collect_list(F.struct("many", "b")), asc=False), 1, k).alias("t"))
-    return _verified(top.selectExpr("a + 0L as a", "explode(t.b) as b"), listed, num, den)
+    return _verified(top.selectExpr("a + 0L as a", "explode(t.b) as b"), listed if body is None else body, num, den)
 
 
 #: Entries of a block of a posting list.
