@@ -27,18 +27,27 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 MIX_SHARE = 0.9
 
 
+#: Every stage takes any table with the columns of documents; doc_id is an integer, and a text that is no integer can't be cast.
+
+
 def _only(docs: DataFrame, keep: DataFrame) -> DataFrame:
     """Rows of docs whose doc_id is in `keep` (doc_id alone, distinct). Kept ids are far smaller than texts, but not bounded: a join."""
     return docs.join(keep, "doc_id", "left_semi").select(*COLUMNS)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts, each row judged by itself: score of its text and metadata at least the threshold.
+    Null and empty texts and null metadata are scored as such; rows of null id, and rows that repeat, like any other. Without
+    labels of both classes all rows stay. Ties don't arise. An empty table gives none."""
     scores = score_quality(docs, table(spark, sf_dir, "labels"), carry=COLUMNS)
     return scores.where("accepted").select(*COLUMNS)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """n_chars follows the text. A document that had no word before stays as it was."""
+    """Documents without the lines that resemble an earlier line, by id and line; n_chars follows the text. A document of which
+    nothing is left goes; one that had no word before, null or empty texts among them, stays as it was, as does a row of
+    null id, which is not compared. Rows that repeat an id lose the same lines: of lines that tie the first one stays, which
+    is one line of that id in each of its rows."""
     out = dedup_lines(docs.select(*COLUMNS))
     out = out.where("not (n_lines_removed > 0 and text = '')")
     return out.withColumn("n_chars", F.when(F.col("n_lines_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
@@ -56,10 +65,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows that are drawn: by a number made of the id, the same for all rows of it, against the probability of their
+    source, language and topic. Null values of these are values of their own; rows of null id share one number; null and
+    empty texts weigh nothing and are drawn like the others of their cell. An empty table gives none."""
     return mix_weights(docs, share=MIX_SHARE, carry=COLUMNS).where("kept").select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, token_ids, round_trip) of every row: null text has null ids, empty text none. Rows that repeat and
+    rows of null id are encoded like any other. Ties go to the longest piece."""
     return encode_documents(docs)
 
 
