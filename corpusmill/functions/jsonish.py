@@ -20,15 +20,32 @@ def fenced_json(c: Column) -> Column:
     return F.nullif(F.regexp_extract(c, "(?s)```(?:json)?\\s*(.*?)```", 1), F.lit(""))
 
 
+def is_json(c: Column) -> Column:
+    """Whether the whole text is one JSON value. Spark's parsers stop behind the first value and do not mind what follows: so
+    the text must be one value inside a list and inside an object, which nothing that has more can be."""
+    listed = F.json_array_length(F.concat(F.lit("["), c, F.lit("]")))
+    named = F.json_object_keys(F.concat(F.lit('{"v":'), c, F.lit("}")))
+    return F.coalesce((listed == 1) & named.isNotNull(), F.lit(False))
+
+
+def strict_json(c: Column) -> Column:
+    """JSON as VARIANT; null for what is no JSON as a whole."""
+    return F.when(is_json(c), F.try_parse_json(c))
+
+
 def parsed(c: Column) -> Column:
     """JSON as VARIANT; null for what is no JSON, and for JSON null."""
-    v = F.try_parse_json(c)
-    return F.when(~F.is_variant_null(v), v)
+    return F.try_parse_json(json_text(c))
+
+
+def json_text(c: Column) -> Column:
+    """The text if it is JSON other than null."""
+    return F.when(is_json(c) & (strip(c) != "null"), c)
 
 
 def first_parsed(*candidates: Column) -> Column:
-    """The first candidate that is JSON, as VARIANT."""
-    return F.coalesce(*[parsed(c) for c in candidates])
+    """The first candidate that is JSON, as VARIANT: later ones are not looked at, and one is parsed."""
+    return F.try_parse_json(F.coalesce(*[json_text(c) for c in candidates]))
 
 
 def after(c: Column, mark: str) -> Column:
@@ -46,7 +63,7 @@ def judge_json(c: Column) -> Column:
     brace; the first parsable of the objects that nest once at most."""
     behind = [F.when(F.startswith(strip(after(c, m)), F.lit("{")), brace_slice(strip(after(c, m)))) for m in JUDGE_MARKS]
     nested = F.regexp_extract_all(c, F.lit("(\\{[^{}]*(?:\\{[^{}]*\\}[^{}]*)*\\})"), F.lit(1))
-    return first_parsed(strip(c), brace_slice(c), *behind, F.try_element_at(F.filter(nested, lambda p: parsed(p).isNotNull()), F.lit(1)))
+    return first_parsed(strip(c), brace_slice(c), *behind, F.try_element_at(F.filter(nested, is_json), F.lit(1)))
 
 
 def balanced_object(c: Column) -> Column:
@@ -99,13 +116,13 @@ def markdown_json(c: Column) -> Column:
     bare = F.when(F.startswith(bare, F.lit("```json")), strip(F.substring(bare, F.lit(8), F.length(bare)))).otherwise(bare)
     bare = F.when(F.endswith(bare, F.lit("```")), strip(F.substring(bare, F.lit(1), F.length(bare) - 3))).otherwise(bare)
     block = strip(F.nullif(F.regexp_extract(c, "(?s)```(?:\\w+\\n)?(.*?)```", 1), F.lit("")))
-    quick = F.coalesce(*[F.when(parsed(x).isNotNull(), x) for x in (c, bare, block)])
+    quick = F.coalesce(*[json_text(x) for x in (c, bare, block)])
     return F.coalesce(quick, lines_json(F.when(quick.isNull(), c)))
 
 
 def canonical(c: Column) -> Column:
     """JSON text with sorted keys and no spaces; null for what is no JSON. Equal texts are deeply equal values."""
-    return F.try_parse_json(c).cast("string")
+    return strict_json(c).cast("string")
 
 
 def deep_equal(a: Column, b: Column) -> Column:
@@ -125,13 +142,13 @@ def has_field(v: Column, name: str) -> Column:
 def strict_confidence(c: Column) -> Column:
     """The field of the JSON reply, of a fenced block, a bare "confidence": n, else 0."""
     number = F.regexp_extract(c, '"confidence":\\s*([0-9]+\\.?[0-9]*)', 1)
-    return F.coalesce(field(F.try_parse_json(strip(c)), "confidence", "double"), field(F.try_parse_json(fenced_json(c)), "confidence", "double"), F.nullif(number, F.lit("")).cast("double"), F.lit(0.0))
+    return F.coalesce(field(parsed(strip(c)), "confidence", "double"), field(parsed(fenced_json(c)), "confidence", "double"), F.nullif(number, F.lit("")).cast("double"), F.lit(0.0))
 
 
 def generous_confidence(c: Column, model: Column) -> Column:
     """The reply's confidence; if it is 0 or missing on a real answer, one inferred from citations or length; for a reply that
     isn't JSON a number found in it, or 0.7 for a long one that doesn't decline."""
-    v = F.try_parse_json(strip(c))
+    v = strict_json(strip(c))
     gemma = F.contains(F.lower(model), F.lit("gemma"))
     answer = field(v, "answer", "string")
     given = F.coalesce(field(v, "confidence", "double"), F.lit(0.0))

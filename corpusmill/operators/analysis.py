@@ -130,6 +130,11 @@ def perplexity(df: DataFrame, nll: str) -> DataFrame:
 
 
 def cheapest_capable(jobs: DataFrame, models: DataFrame, need: str, has: str, model: str, key: str) -> DataFrame:
-    """For each job the model of least sufficient capability; ties by name. Models are a small table by nature."""
-    ok = jobs.join(F.broadcast(models), F.col(has) >= F.col(need))
-    return ok.groupBy(key).agg(F.min_by(model, F.struct(has, model)).alias(model))
+    """For each job the model of least sufficient capability; ties by name; no row for a job that none can do. Needs and
+    capabilities are put in one order, in which the next model behind a job is its own: no join of unequal keys."""
+    asked = jobs.select(F.col(need).alias("__x")).distinct()
+    points = asked.select("__x", F.lit(None).cast("string").alias("__m"), F.lit(0).alias("__kind")).unionByName(models.groupBy(F.col(has).alias("__x")).agg(F.min(model).alias("__m")).select("__x", "__m", F.lit(1).alias("__kind")))
+    # Distinct needs and models, not jobs, are one window.
+    w = Window.orderBy(F.col("__x"), F.col("__kind")).rowsBetween(0, Window.unboundedFollowing)
+    chosen = points.withColumn(model, F.first("__m", ignorenulls=True).over(w)).where("__kind = 0").select("__x", model)
+    return jobs.join(chosen, jobs[need] == chosen["__x"]).where(F.col(model).isNotNull()).select(key, model)

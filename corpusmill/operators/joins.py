@@ -62,12 +62,18 @@ def within(points: DataFrame, spans: DataFrame, key: str, point: str, start: str
     return p.join(s, [key, "__b"]).where(F.col(point).between(F.col(start), F.col(end))).drop("__b")
 
 
-def combinations(sets: dict[str, DataFrame], optional: bool = True) -> DataFrame:
-    """All choices of one value of each set, or of none of it; each set is a small table with one column of its name."""
+def combinations(sets: dict[str, DataFrame], optional: bool = True, valid: Column | None = None, name_of_parts: str | None = None) -> DataFrame:
+    """All choices of one value of each set, or of none of it, that are `valid`; each set is a table with one column of its name.
+    `name_of_parts` adds the values chosen, sorted. A product has as many rows as its sets multiply to; Spark broadcasts a
+    set whose size it knows to be small."""
     out = None
     for name, df in sets.items():
         one = df.select(name).union(df.sparkSession.createDataFrame([(None,)], f"{name} {df.schema[name].dataType.simpleString()}")) if optional else df.select(name)
-        out = one if out is None else out.crossJoin(F.broadcast(one))
+        out = one if out is None else out.crossJoin(one)
+    if valid is not None:
+        out = out.where(valid)
+    if name_of_parts:
+        out = out.withColumn(name_of_parts, F.array_sort(F.filter(F.array(*[F.col(n).cast("string") for n in sets]), lambda x: x.isNotNull())))
     return out
 
 

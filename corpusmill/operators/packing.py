@@ -6,27 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.arrays import attention, padded
-from corpusmill.operators.split import global_rank
+from corpusmill.operators.split import running_sum
 
 
 def pack_blocks(rows: DataFrame, order: str, ids: str, block: int) -> DataFrame:
-    """(block_no, input_ids): all rows' tokens in order, as one run cut into blocks of `block`; the short rest goes.
-
-    A row's offset comes from a sum over ranges, not from one window over all rows; a row is cut where blocks end, so that
-    pieces and not tokens are shuffled."""
-    from pyspark.sql import Window
-
-    sized = global_rank(rows.select(order, ids).where(F.size(ids) > 0), order, name="__rank").withColumn("__n", F.size(ids).cast("long"))
-    sized = sized.withColumn("__g", F.floor((F.col("__rank") - 1) / 4096))
-    sums = sized.groupBy("__g").agg(F.sum("__n").alias("__s"))
-    starts = sums.withColumn("__start", F.coalesce(F.sum("__s").over(Window.orderBy("__g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("__g", "__start")
-    inner = Window.partitionBy("__g").orderBy("__rank").rowsBetween(Window.unboundedPreceding, -1)
-    off = sized.join(starts, "__g").withColumn("__off", F.col("__start") + F.coalesce(F.sum("__n").over(inner), F.lit(0)))
+    """(block_no, input_ids): all rows' tokens in order, as one run cut into blocks of `block`; the short rest goes. `order`
+    names each row.
+
+    A row's offset comes from sums over ranges of the order, not from one window over all rows; a row is cut where blocks
+    end, so that pieces and not tokens are shuffled."""
+    kept = rows.select(order, F.col(ids).alias("__ids")).where(F.size("__ids") > 0).withColumn("__n", F.size("__ids").cast("long"))
+    # Offsets of numbers alone: the tokens join them where they are.
+    starts = running_sum(kept.select(order, "__n"), "__n", order, name="__off").select(order, "__off")
+    off = kept.join(starts, order)
     first, last = F.floor(F.col("__off") / block), F.floor((F.col("__off") + F.col("__n") - 1) / block)
     pieces = off.withColumn("block_no", F.explode(F.sequence(first, last)))
     lo = F.greatest(F.lit(0), F.col("block_no") * block - F.col("__off"))
     hi = F.least(F.col("__n"), (F.col("block_no") + 1) * block - F.col("__off"))
-    pieces = pieces.select("block_no", F.struct(F.col("__off").alias("o"), F.slice(F.col(ids), (lo + 1).cast("int"), (hi - lo).cast("int")).alias("t")).alias("p"))
+    pieces = pieces.select("block_no", F.struct(F.col("__off").alias("o"), F.slice(F.col("__ids"), (lo + 1).cast("int"), (hi - lo).cast("int")).alias("t")).alias("p"))
     packed = pieces.groupBy("block_no").agg(F.flatten(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["t"])).alias("input_ids"))
     return packed.where(F.size("input_ids") == block)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.functions.jsonish import strict_json
 from corpusmill.functions.text import sanitize, strip, truthy
 
 # Field aliases in order of precedence.
@@ -33,7 +34,7 @@ def normalize_json(lines: DataFrame, value_col: str = "value", default_system: s
     user = F.when(as_list, truthy(F.get_json_object(value_col, "$[0]"))).otherwise(F.coalesce(*[get(n) for n in USER_FIELDS]))
     assistant = F.when(as_list, truthy(F.get_json_object(value_col, "$[1].answer"))).otherwise(F.coalesce(*[get(n) for n in ASSISTANT_FIELDS]))
     system = F.when(as_list, F.lit(default_system)).otherwise(F.coalesce(get("system"), F.lit(default_system)))
-    reason = F.when(F.try_parse_json(F.col(value_col)).isNull(), "malformed").when(user.isNull() | assistant.isNull(), "missing user/assistant fields")
+    reason = F.when(strict_json(F.col(value_col)).isNull(), "malformed").when(user.isNull() | assistant.isNull(), "missing user/assistant fields")
     return lines.select(*keep, strip(system).alias("system"), sanitize(user).alias("user"), sanitize(assistant).alias("assistant"), reason.alias("reject_reason"))
 
 

@@ -21,18 +21,28 @@ def tf_idf(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return raw.join(length, id_col).select(id_col, "term", (F.col("w") / F.col("len")).alias("weight"))
 
 
-def retrieve(queries: DataFrame, docs: DataFrame, query_id: str, doc_id: str, text_col: str, k: int = 5) -> DataFrame:
+def retrieve(queries: DataFrame, docs: DataFrame, query_id: str, doc_id: str, text_col: str, k: int = 5, digits: int = 9) -> DataFrame:
     """(query, doc, sim, rank): the k documents of highest cosine for each query, ties by the smaller id; the idf is that of
-    the documents, queries weighed by it. Queries and documents meet by term; documents without a common term don't appear."""
-    w = tf_idf(docs, doc_id, text_col)
+    the documents, queries weighed by it. Similarities are compared to `digits` digits, which is where sums in another
+    order may differ. Documents without a common term don't appear.
+
+    Documents are split into words once. Queries are a stated set and small beside the documents: their terms with weights
+    are joined to the documents' words, so that only words that some query has go on; of each query a task keeps the k best
+    of its own documents, and these alone are shuffled to the query."""
     terms = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit("(?U)(\\b\\w\\w+\\b)"), F.lit(1))
-    qtf = queries.select(query_id, F.explode(terms).alias("term")).groupBy(query_id, "term").agg(F.count("*").alias("tf"))
+    tf = docs.select(doc_id, F.explode(terms).alias("term")).groupBy(doc_id, "term").agg(F.count("*").alias("tf"))
+    df = tf.groupBy("term").agg(F.count("*").alias("df"))
     n = docs.agg(F.count("*").alias("n"))
-    df = docs.select(doc_id, F.explode(F.array_distinct(terms)).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    qw = qtf.join(df, "term").crossJoin(F.broadcast(n)).withColumn("w", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1))
+    idf = df.join(n, how="cross").select("term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
+    raw = tf.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
+    # A document's length needs all of its words, its dot products only those that queries have.
+    qtf = queries.select(query_id, F.explode(terms).alias("term")).groupBy(query_id, "term").agg(F.count("*").alias("tf"))
+    qw = qtf.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
     qlen = qw.groupBy(query_id).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"))
-    qn = qw.join(qlen, query_id).select(query_id, "term", (F.col("w") / F.col("len")).alias("qw"))
-    sims = qn.join(w, "term").groupBy(query_id, doc_id).agg(F.round(F.sum(F.col("qw") * F.col("weight")), 6).alias("sim"))
+    asked = qw.join(qlen, query_id).groupBy("term").agg(F.collect_list(F.struct(F.col(query_id).alias("q"), (F.col("w") / F.col("len")).alias("x"))).alias("asked"))
+    per_doc = raw.join(asked, "term", "left").groupBy(doc_id).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"), F.collect_list(F.when(F.col("asked").isNotNull(), F.struct("w", "asked"))).alias("hits"))
+    each = per_doc.where(F.size("hits") > 0).select(doc_id, "len", F.explode("hits").alias("h")).select(doc_id, "len", F.col("h.w").alias("w"), F.explode("h.asked").alias("a"))
+    sims = each.groupBy(doc_id, F.col("a.q").alias(query_id)).agg(F.round(F.sum(F.col("w") / F.col("len") * F.col("a.x")), digits).alias("sim"))
     order = Window.partitionBy(query_id).orderBy(F.col("sim").desc(), F.col(doc_id))
     return sims.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
@@ -71,7 +81,7 @@ def cosine_pairs(docs: DataFrame, id_col: str, text_col: str, threshold: float =
     heavy = w.withColumn("before", F.coalesce(F.sum(F.col("weight") * F.col("weight")).over(by), F.lit(0.0))).where(F.col("before") <= 1 - threshold * threshold + 1e-9)
     cand = heavy.select(F.col(id_col).alias("x"), "term").join(w.select(F.col(id_col).alias("y"), "term"), "term").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     wa, wb = w.select(F.col(id_col).alias("a"), "term", F.col("weight").alias("wa")), w.select(F.col(id_col).alias("b"), "term", F.col("weight").alias("wb"))
-    sims = cand.join(wa, "a").join(wb, ["b", "term"]).groupBy("a", "b").agg(F.round(F.sum(F.col("wa") * F.col("wb")), 6).alias("sim"))
+    sims = cand.join(wa, "a").join(wb, ["b", "term"]).groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("sim"))
     return sims.where(F.col("sim") >= threshold)
 
 
@@ -88,17 +98,28 @@ def ratio(a: Column, b: Column) -> Column:
 
 
 def fuzzy_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.85, block: Column | None = None) -> DataFrame:
-    """(a, b) with a < b whose texts' ratio reaches the threshold. Pairs come from length bands that the ratio allows, and
-    from equal `block` values if given."""
-    import math
-
-    base = df.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.length(F.lower(F.trim(text_col))).alias("n"), (block if block is not None else F.lit(0)).alias("k")).where("n > 0")
-    # 2m / (n1 + n2) >= threshold with m <= min: lengths differ by a factor of (2 - threshold) / threshold at most.
-    span = math.log((2 - threshold) / threshold)
-    banded = base.withColumn("band", F.floor(F.log("n") / span))
-    other = banded.select(F.col("i").alias("j"), F.col("t").alias("u"), F.col("n").alias("m"), F.col("k"), F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
-    close = banded.join(other, ["k", "band"]).where((F.col("i") < F.col("j")) & (F.least("n", "m") * 2 >= threshold * (F.col("n") + F.col("m"))))
-    return close.where(ratio(F.col("t"), F.col("u")) >= threshold).select(F.col("i").alias("a"), F.col("j").alias("b"))
+    """(a, b) with a < b whose texts' ratio reaches the threshold; with `block` only pairs of equal blocks.
+
+    The matching blocks of two texts are a common part of their multisets of characters, so 2 * |A & B| / (|A| + |B|) over
+    multisets bounds the ratio from above. Characters, each numbered by its occurrence, are ordered by rarity; a pair that
+    can reach the threshold shares one in the prefixes that this leaves, and is of fitting lengths. Candidates are counted
+    exactly, and only those within the bound are compared by sequence."""
+    base = df.select(F.col(id_col).alias("i"), F.lower(F.trim(text_col)).alias("t"), F.col(text_col).alias("raw"), (block if block is not None else F.lit(0)).alias("k")).where("t <> ''").withColumn("n", F.length("t"))
+    chars = base.select("i", "k", "n", F.explode(F.split("t", "")).alias("c")).where("c <> ''").groupBy("i", "k", "n", "c").agg(F.count("*").alias("m"))
+    marks = chars.select("i", "k", "n", F.explode(F.sequence(F.lit(1), F.col("m").cast("int"))).alias("o"), "c").select("i", "k", "n", F.concat("c", F.col("o").cast("string")).alias("g"))
+    rare = marks.groupBy("k", "g").agg(F.count("*").alias("f"))
+    ordered = marks.join(rare, ["k", "g"]).groupBy("i", "k", "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("f", "g"))), lambda x: x["g"]).alias("s"))
+    # Overlap of at least threshold * (n + m) / 2, with the smallest partner that fits: m >= n * threshold / (2 - threshold).
+    need = F.ceil(F.col("n") * threshold / (2 - threshold) - 1e-9)
+    prefix = ordered.select("i", "k", "n", F.explode(F.slice("s", F.lit(1), F.greatest(F.lit(1), (F.size("s") - need + 1).cast("int")))).alias("g"))
+    other = prefix.select(F.col("i").alias("j"), "k", F.col("n").alias("m"), "g")
+    fits = (F.col("i") < F.col("j")) & (F.least("n", "m") * 2 >= threshold * (F.col("n") + F.col("m")) - 1e-9)
+    met = prefix.join(other, ["k", "g"]).where(fits).select("i", "j").distinct()
+    sides = lambda at, s: ordered.select(F.col("i").alias(at), F.col("s").alias(s))
+    close = met.join(sides("i", "sa"), "i").join(sides("j", "sb"), "j").where(2 * F.size(F.array_intersect("sa", "sb")) >= threshold * (F.size("sa") + F.size("sb")) - 1e-9).select("i", "j")
+    texts = lambda at, t: base.select(F.col("i").alias(at), F.col("raw").alias(t))
+    both = close.join(texts("i", "ta"), "i").join(texts("j", "tb"), "j")
+    return both.where(ratio(F.col("ta"), F.col("tb")) >= threshold).select(F.col("i").alias("a"), F.col("j").alias("b"))
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -113,8 +134,10 @@ def cosine(a: Column, b: Column) -> Column:
 ANCHORS = 4096
 
 
-def hard_negatives(anchors: DataFrame, corpus: DataFrame, id_col: str, vector: str, label: str, n: int = 3, skip: int = 0) -> DataFrame:
-    """(anchor, negative, sim, rank): the `n` most similar vectors of other labels after the first `skip`. A stated set of
+def hard_negatives(anchors: DataFrame, corpus: DataFrame, id_col: str, vector: str, label: str, n: int = 3, skip: int = 0, least: float = -1.0, most: float = 1.0, margin: float = 0.0, digits: int = 9) -> DataFrame:
+    """(anchor, negative, sim, rank): the `n` most similar vectors of other labels after the first `skip`, of those with a
+    similarity from `least` to `most`, and with a `margin` only those that are less similar than the anchor's best vector of
+    its own label by as much or more. Similarities count to `digits` digits, ties go to the smaller id. A stated set of
     anchors against the whole corpus, in blocks: a pass for every ANCHORS of them, on the average."""
     blocks = max(1, -(-anchors.count() // ANCHORS))
     out = None
@@ -122,7 +145,12 @@ def hard_negatives(anchors: DataFrame, corpus: DataFrame, id_col: str, vector: s
         mine = anchors.where(F.pmod(F.xxhash64(id_col), F.lit(blocks)) == block)
         a = mine.select(F.col(id_col).alias("anchor"), F.col(vector).alias("va"), F.col(label).alias("la"))
         c = corpus.select(F.col(id_col).alias("negative"), F.col(vector).alias("vn"), F.col(label).alias("ln"))
-        sims = c.join(F.broadcast(a), F.col("la") != F.col("ln")).select("anchor", "negative", F.round(cosine(F.col("va"), F.col("vn")), 6).alias("sim"))
+        met = c.join(F.broadcast(a), F.lit(True)).where("anchor <> negative")
+        sims = met.where("la <> ln").select("anchor", "negative", F.round(cosine(F.col("va"), F.col("vn")), digits).alias("sim"))
+        sims = sims.where(F.col("sim").between(least, most))
+        if margin > 0:
+            own = met.where("la = ln").groupBy("anchor").agg(F.round(F.max(cosine(F.col("va"), F.col("vn"))), digits).alias("__own"))
+            sims = sims.join(own, "anchor", "left").where(F.col("__own").isNull() | (F.col("sim") <= F.col("__own") - margin)).drop("__own")
         w = Window.partitionBy("anchor").orderBy(F.col("sim").desc(), "negative")
         best = sims.withColumn("rank", F.row_number().over(w)).where((F.col("rank") > skip) & (F.col("rank") <= skip + n))
         out = best if out is None else out.unionByName(best)

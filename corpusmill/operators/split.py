@@ -6,6 +6,7 @@ from their range's offset.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,28 +18,57 @@ def shuffle_key(seed: int, key: Column) -> Column:
     return F.sha2(F.concat(F.lit(f"{seed}:"), key.cast("string")), 256)
 
 
-#: Ranges that a global order is cut into, and values sampled to cut it.
-RANGES, SAMPLED = 64, 8192
+#: Rows of a range of a global order, on the average; ranges at most, as a square; keys sampled for each range.
+ROWS, SIDE, SAMPLED = 200_000, 64, 20
 
 
-def global_rank(df: DataFrame, *order: str, name: str = "rank") -> DataFrame:
-    """Adds 1, 2, ... over all rows in ascending order of columns. A sample of the first column gives the cuts of ranges, so a
-    row's range follows from its value alone; rows are numbered within a range from the number of rows before it. Any
-    sample gives the same ranks."""
-    key = F.col(order[0])
+def _ranged(df: DataFrame, order: tuple[str, ...]) -> tuple[DataFrame, bool]:
+    """Adds __p, the number of a row's range, and says whether there are several: ranges ascend in the order of all its columns,
+    and grow in number with the rows. The cuts are whole keys, from a bounded sample that is taken once, so that a row's
+    range follows from its key alone however often the plan runs. A row finds it in two steps of at most SIDE comparisons."""
     n = df.count()
-    sample = sorted(r[0] for r in df.select(key).where(key.isNotNull()).sample(min(1.0, SAMPLED / max(n, 1)), 7).limit(4 * SAMPLED).collect())
-    cuts = sorted({sample[i * len(sample) // RANGES] for i in range(1, RANGES)}) if sample else []
-    at = F.lit(0)
-    for i, cut in enumerate(cuts):
-        at = F.when(key >= F.lit(cut), i + 1).otherwise(at)
-    placed = df.withColumn("__p", F.coalesce(at, F.lit(0)))
-    counts = placed.groupBy("__p").agg(F.count("*").alias("__n"))
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("__p", "__off")
-    local = placed.withColumn("__r", F.row_number().over(Window.partitionBy("__p").orderBy(*order)))
+    parts = min(SIDE * SIDE, -(-n // ROWS))
+    if parts <= 1:
+        return df.withColumn("__p", F.lit(0)), False
+    keys = df.select(*order).sample(min(1.0, SAMPLED * parts / n), 7).limit(2 * SAMPLED * parts).collect()
+    first = lambda k: tuple((x is not None, x) if x is not None else (False, 0) for x in k)
+    keys = sorted({tuple(k) for k in keys}, key=first)
+    cuts = [keys[i * len(keys) // parts] for i in range(1, parts)] if keys else []
+    cuts = sorted(set(cuts), key=first)
+    side = max(1, math.isqrt(len(cuts)) + 1)
+    kinds = [df.schema[c].dataType for c in order]
+    lit = lambda k: F.struct(*[F.lit(x).cast(t).alias(c) for c, x, t in zip(order, k, kinds, strict=True)])
+    key = F.struct(*order)
+    below = lambda some: F.size(F.filter(some, lambda c: c <= key))
+    groups = [cuts[i : i + side] for i in range(0, len(cuts), side)]
+    if not groups:
+        return df.withColumn("__p", F.lit(0)), False
+    coarse = df.withColumn("__g", below(F.array(*[lit(g[0]) for g in groups])))
+    fine = below(F.get(F.array(*[F.array(*[lit(c) for c in g]) for g in groups]), F.col("__g") - 1))
+    return coarse.withColumn("__p", F.when(F.col("__g") == 0, 0).otherwise((F.col("__g") - 1) * side + fine)).drop("__g"), True
+
+
+def running_sum(df: DataFrame, value: str, *order: str, name: str = "before") -> DataFrame:
+    """Adds the sum of `value` over all rows before this one, in ascending order of columns. Within a range by a window, before
+    it by the sums of the ranges."""
+    placed, several = _ranged(df, order)
+    inner = Window.partitionBy("__p").orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+    local = placed.withColumn("__r", F.coalesce(F.sum(value).over(inner), F.lit(0)))
+    if not several:
+        return local.withColumn(name, F.col("__r")).drop("__p", "__r")
+    sums = placed.groupBy("__p").agg(F.sum(value).alias("__s"))
+    # One row for each range: SIDE * SIDE at most.
+    offsets = sums.withColumn("__off", F.coalesce(F.sum("__s").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("__p", "__off")
     return local.join(F.broadcast(offsets), "__p").withColumn(name, F.col("__r") + F.col("__off")).drop("__p", "__r", "__off")
 
 
+def global_rank(df: DataFrame, *order: str, name: str = "rank") -> DataFrame:
+    """Adds 1, 2, ... over all rows in ascending order of columns, nulls first. Rows are dealt to ranges of the order and
+    numbered within a range from the number of rows before it."""
+    counted = running_sum(df.withColumn("__one", F.lit(1).cast("long")), "__one", *order, name="__b")
+    return counted.withColumn(name, (F.col("__b") + 1).cast("long")).drop("__one", "__b")
+
+
 def seeded_shuffle(df: DataFrame, key: str, seed: int = 42, name: str = "position") -> DataFrame:
     return global_rank(df.withColumn("__k", shuffle_key(seed, F.col(key))), "__k", key, name=name).drop("__k")
 
@@ -76,12 +106,20 @@ def round_robin(df: DataFrame, order: str, choices: list[str], name: str = "choi
 
 def interleave(df: DataFrame, source: str, order: str, weights: Mapping[str, float]) -> DataFrame:
     """Sources merged at rates `weights` until the first is used up: the r-th row of a source stands at (r - 1/2) / weight.
-    Adds slot."""
+    Adds slot. A source is numbered by ranges of its order, however large it is."""
     w = F.create_map(*[F.lit(x) for k, v in weights.items() for x in (k, float(v))])
-    ranked = df.where(F.col(source).isin(list(weights))).withColumn("__r", F.row_number().over(Window.partitionBy(source).orderBy(order)))
-    slotted = ranked.withColumn("slot", (F.col("__r") - 0.5) / w[F.col(source)]).drop("__r")
-    ends = slotted.groupBy(source).agg(F.max("slot").alias("__end")).agg(F.min("__end").alias("__end"))
-    return slotted.crossJoin(F.broadcast(ends)).where(F.col("slot") <= F.col("__end")).drop("__end")
+    mine = df.where(F.col(source).isin(list(weights)))
+    before = mine.groupBy(source).agg(F.count("*").alias("__n"))
+    ranked = global_rank(mine, source, order, name="__i")
+    # Sources are as few as the weights; each one's rows follow each other in the rank.
+    starts = {r[0]: r[1] for r in before.collect()}
+    offset, at = {}, 0
+    for name in sorted(starts, key=lambda s: s.encode()):
+        offset[name], at = at, at + starts[name]
+    end = min(((n - 0.5) / weights[s] for s, n in starts.items()), default=0.0)
+    off = F.create_map(*[F.lit(x) for k, v in offset.items() for x in (k, v)]) if offset else F.create_map().cast("map<string,int>")
+    slotted = ranked.withColumn("slot", (F.col("__i") - off[F.col(source)] - 0.5) / w[F.col(source)]).drop("__i")
+    return slotted.where(F.col("slot") <= F.lit(end))
 
 
 def normalized_weights(df: DataFrame, col: str) -> DataFrame:

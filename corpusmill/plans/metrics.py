@@ -127,8 +127,10 @@ def trial_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def uniformity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users as files: their kinds of events are not uniform, the shape of the properties is."""
     e = table(spark, sf_dir, "events")
-    return A.uniform_config(e.where("event_type = 'view'"), "user_id", F.col("event_type"))
+    kinds, shapes = A.uniform_config(e, "user_id", F.col("event_type")), A.uniform_config(e, "user_id", F.regexp_replace("props", "[0-9]+", "0"))
+    return kinds.select(F.lit("kinds").alias("what"), "*").unionByName(shapes.select(F.lit("shapes").alias("what"), "*"))
 
 
 def metric_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +146,7 @@ def attempt_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def capable_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") / 50).alias("need"))
-    models = table(spark, sf_dir, "nation").where("n_nationkey < 8").select(F.col("n_name").alias("model"), (F.col("n_nationkey") / 7).alias("has"))
+    models = table(spark, sf_dir, "nation").select(F.col("n_name").alias("model"), (F.col("n_nationkey") / 24).alias("has"))
     return A.cheapest_capable(jobs, models, "need", "has", "model", "p_partkey")
 
 
@@ -152,9 +154,14 @@ def text_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.perplexity(table(spark, sf_dir, "part").withColumn("nll", F.col("p_size") / 10), "nll").select(F.round("perplexity", 6).alias("perplexity"))
 
 
+def _e5(sim: Column | str) -> Column:
+    """Hundred thousandths, cut: the same in any engine where nine digits are."""
+    return F.floor((F.col(sim) if isinstance(sim, str) else sim) * 100000).alias("sim_e5")
+
+
 def retrieved(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = table(spark, sf_dir, "benchmark").select("item_id", "text")
-    return similarity.retrieve(q, table(spark, sf_dir, "documents").select("doc_id", "text"), "item_id", "doc_id", "text", 3).select("item_id", "doc_id", F.round("sim", 5).alias("sim"))
+    return similarity.retrieve(q, table(spark, sf_dir, "documents").select("doc_id", "text"), "item_id", "doc_id", "text", 3).select("item_id", "doc_id", _e5("sim"))
 
 
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,9 +169,13 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = table(spark, sf_dir, "benchmark").select("item_id", "text")
-    docs = b.unionByName(b.select((F.col("item_id") + 1000).alias("item_id"), F.concat("text", F.lit(" extra")).alias("text")))
-    return similarity.cosine_pairs(docs, "item_id", "text", 0.9).select("a", "b", F.round("sim", 5).alias("sim"))
+    return similarity.cosine_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text").select("a", "b", _e5(F.round("sim", 9)))
+
+
+def near_dup_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that a pass in order keeps: one goes if a kept earlier one resembles it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return similarity.greedy_keep(similarity.cosine_pairs(docs, "doc_id", "text"), docs, "doc_id")
 
 
 def greedy_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +187,7 @@ def greedy_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
-    return similarity.hard_negatives(e.where("vec_id % 20 = 0"), e, "vec_id", "embedding", "label", 3).select("anchor", "negative", F.round("sim", 5).alias("sim"))
+    return similarity.hard_negatives(e.where("vec_id % 20 = 0"), e, "vec_id", "embedding", "label", 3, skip=1, least=-0.5, most=0.95, margin=0.02).select("anchor", "negative", _e5("sim"))
 
 
 def triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,7 +197,8 @@ def triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ids(text: Column) -> Column:
-    return F.transform(word_list(text), lambda w: F.crc32(w.cast("binary")).cast("long") % 30000)
+    """A number for each word, by its length."""
+    return F.transform(word_list(text), lambda w: F.length(w).cast("long") * 997 % 30000)
 
 
 def packed_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,7 +208,7 @@ def packed_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def masked_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.slice(_ids(F.col("text")), 1, 40).alias("ids"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", _ids(F.col("text")).alias("ids"))
     rows = rows.withColumn("ids", R.cut_with_eos(F.col("ids"), 1, 32)).withColumn("labels", R.masked_labels(F.col("ids"), F.lit(5)))
     out = packing.collate(rows, "conv_id", "ids", "labels", 0)
     total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x)
@@ -226,9 +238,14 @@ def combinations_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select("n", "k", S.comb(F.col("n"), F.col("k")).alias("comb"))
 
 
+def _changed(n: int) -> Column:
+    """The whole text with every n-th word doubled."""
+    return F.array_join(F.transform(F.split("text", " "), lambda w, i: F.when(i % n == 0, F.concat(w, F.lit(" "), w)).otherwise(w)), " ")
+
+
 def order_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = table(spark, sf_dir, "benchmark").select("item_id", "text")
-    return b.select("item_id", F.round(similarity.ratio(F.col("text"), F.reverse("text")), 6).alias("ratio"), F.round(similarity.rouge_l(F.col("text"), F.substring("text", 1, 60)), 6).alias("rouge_l"), F.round(similarity.sari(F.col("text"), F.substring("text", 1, 60), F.substring("text", 20, 60)), 6).alias("sari"))
+    return b.select("item_id", F.round(similarity.ratio(F.col("text"), F.reverse("text")), 6).alias("ratio"), F.round(similarity.rouge_l(F.col("text"), _changed(3)), 6).alias("rouge_l"), F.round(similarity.sari(F.col("text"), _changed(3), _changed(4)), 6).alias("sari"))
 
 
 def fuzzy_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,7 +257,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         pass_hat, pass_hat_by_model, pass_hat_shared, pass_at_unbiased, hit_rates, best_scores, agent_summary, model_stats, type_shares, type_rollup, bucket_means, action_pivot, mode_deltas, failures, turn_costs, majorities, attempts, overall, merged_intervals, ranking,
-        trial_counts, uniformity, metric_check, attempt_state, capable_models, text_perplexity, retrieved, exact_dedup, near_dup_pairs, greedy_dedup, hard_negatives, triplets, packed_blocks, masked_batches, diff_facts, diff_line_numbers, combinations_table, order_ratio, fuzzy_dups,
+        trial_counts, uniformity, metric_check, attempt_state, capable_models, text_perplexity, retrieved, exact_dedup, near_dup_pairs, near_dup_keep, greedy_dedup, hard_negatives, triplets, packed_blocks, masked_batches, diff_facts, diff_line_numbers, combinations_table, order_ratio, fuzzy_dups,
     )
 }
 _T = "t as (select event_id, user_id as task, event_type = 'purchase' as ok, case when event_type = 'purchase' then 1 else 0 end::double as reward, case when event_id % 4 <> 0 then round(value, 2) end as cost, 'm' || event_id % 3 as llm, case when event_id % 2 = 0 then 'default' else 'solo' end as mode, event_id % 5 as trial, event_type, value from events)"
@@ -280,23 +297,42 @@ with o as (select n_name, s_suppkey % 3 as d, avg(s_acctbal / 10000) as p1, min(
 a as (select n_name, case when count(p1) = 3 then avg(p1) end as o1, case when count(p1) = 3 then avg(p4) end as o4 from o group by 1)
 select n_name, round(o1, 6) as overall_1, round(o4, 6) as overall_4, round(case when o1 > 0 then o4 / o1 end, 6) as consistency, row_number() over (order by o1 is null, o1 desc, n_name)::int as rank from a""",
     "trial_counts": "with n as (select o_custkey, count(*) as n from orders group by 1) select c_custkey as o_custkey, coalesce(n, 0) as n_runs from customer left join n on o_custkey = c_custkey where coalesce(n, 0) <> 10",
-    "uniformity": "select count(distinct event_type) <= 1 as uniform, count(distinct user_id) as n_files from events where event_type = 'view'",
+    "uniformity": "select 'kinds' as what, count(distinct event_type) <= 1 as uniform, count(distinct user_id) as n_files from events union all select 'shapes', count(distinct regexp_replace(props, '[0-9]+', '0', 'g')) <= 1, count(distinct user_id) from events",
     "metric_check": "with a as (select o_custkey, count(*) as v from orders group by 1), b as (select o_custkey, count(*) as v from orders where o_orderstatus <> 'P' group by 1) select o_custkey, a.v as submitted, b.v as computed from a full join b using (o_custkey) where a.v is distinct from b.v",
     "attempt_state": """
 with a as (select l_orderkey, l_linenumber as n, bool_or(l_linestatus = 'F') as ok from lineitem where (l_orderkey + l_linenumber) % 5 <> 0 group by all), r as (select *, row_number() over (partition by l_orderkey order by n) as i from a)
 select l_orderkey, max(n) as last_attempt, max(n) filter (ok) as last_complete from r where i = n group by 1""",
-    "capable_models": "select p_partkey, arg_min(n_name, n_nationkey) as model from part join nation on n_nationkey < 8 and n_nationkey / 7 >= p_size / 50 group by 1",
+    "capable_models": "select p_partkey, arg_min(n_name, n_nationkey) as model from part join nation on n_nationkey / 24 >= p_size / 50 group by 1",
     "text_perplexity": "select round(exp(avg(p_size / 10)), 6) as perplexity from part",
     "retrieved": f"""with {_TFIDF},
 qt as (select item_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}\\p{{N}}_]{{2,}}')) as term from benchmark), qf as (select item_id, term, count(*) as tf from qt group by all), qr as (select item_id, term, tf * (ln((1 + n.n) / (1 + df)) + 1) as w from qf join df using (term), n),
-ql as (select item_id, sqrt(sum(w * w)) as l from qr group by 1), q as (select item_id, term, w / l as qw from qr join ql using (item_id)), s as (select item_id, doc_id, round(sum(qw * w), 6) as sim from q join w using (term) group by all)
-select item_id, doc_id, round(sim, 5) as sim from s qualify row_number() over (partition by item_id order by sim desc, doc_id) <= 3""",
+ql as (select item_id, sqrt(sum(w * w)) as l from qr group by 1), q as (select item_id, term, w / l as qw from qr join ql using (item_id)), s as (select item_id, doc_id, round(sum(qw * w), 9) as sim from q join w using (term) group by all)
+select item_id, doc_id, floor(sim * 100000)::bigint as sim_e5 from s qualify row_number() over (partition by item_id order by sim desc, doc_id) <= 3""",
     "exact_dedup": "select min(doc_id) as doc_id from documents group by text",
-    "near_dup_pairs": """with documents as (select item_id as doc_id, text from benchmark union all select item_id + 1000, text || ' extra' from benchmark),""" + _TFIDF + """
-select a.doc_id as a, b.doc_id as b, round(round(sum(a.w * b.w), 6), 5) as sim from w a join w b on a.term = b.term and a.doc_id < b.doc_id group by all having round(sum(a.w * b.w), 6) >= 0.9""",
+    "near_dup_pairs": "with " + _TFIDF + """
+select a.doc_id as a, b.doc_id as b, floor(round(sum(a.w * b.w), 9) * 100000)::bigint as sim_e5 from w a join w b on a.term = b.term and a.doc_id < b.doc_id group by all having sum(a.w * b.w) >= 0.92""",
+    "near_dup_keep": "with recursive " + _TFIDF + """,
+p as (select a.doc_id as a, b.doc_id as b from w a join w b on a.term = b.term and a.doc_id < b.doc_id group by all having sum(a.w * b.w) >= 0.92),
+d as (select doc_id, row_number() over (order by doc_id) as i from documents), e as (select b.i as b, list(a.i) as before from p join d a on a.doc_id = p.a join d b on b.doc_id = p.b group by 1),
+f as (select 0::bigint as i, []::bigint[] as kept union all select f.i + 1, case when list_has_any(kept, coalesce(before, [])) then kept else list_append(kept, f.i + 1) end from f left join e on e.b = f.i + 1 where f.i < (select max(i) from d))
+select d.doc_id from d where list_contains((select kept from f order by i desc limit 1), d.i)""",
+    "greedy_dedup": """
+with recursive p as (select p_partkey as k, p_size % 3 = 0 as hits, row_number() over (order by p_partkey) as r from part),
+f as (select 0::bigint as r, []::bigint[] as live union all
+  select f.r + 1, case when list_contains(live, k - 1) or list_contains(live, k - 3) then list_filter(live, lambda x: x >= k - 2) else case when hits then list_append(list_filter(live, lambda x: x >= k - 2), k) else list_append(list_filter(live, lambda x: x >= k - 2), -k) end end
+  from f join p on p.r = f.r + 1)
+select k as i from (select f.r, live, p.k from f join p on p.r = f.r) where list_contains(live, k) or list_contains(live, -k)""",
+    "packed_blocks": r"""
+with w as (select doc_id, unnest(w) as x, generate_subscripts(w, 1) as i from (select doc_id, regexp_extract_all(text, '\S+') as w from documents)), r as (select length(x) * 997 % 30000 as id, row_number() over (order by doc_id, i) - 1 as r from w),
+b as (select r // 512 as block_no, sum(id)::bigint as id_sum, arg_min(id, r)::bigint as first_id, arg_max(id, r)::bigint as last_id, count(*) as n from r group by 1) select block_no, id_sum, first_id, last_id from b where n = 512""",
+    "masked_batches": r"""
+with t as (select conv_id, turn, list_append(list_transform(regexp_extract_all(text, '\S+'), lambda x: length(x) * 997 % 30000), 1)[1:32] as ids from conversations),
+m as (select conv_id, turn, ids, max(len(ids)) over (partition by conv_id) as n from t)
+select conv_id, turn, n::int as n, list_sum(ids)::bigint as ids_sum, (coalesce(list_sum(ids[6:]), 0) - 100 * least(5, len(ids)) - 100 * (n - len(ids)))::bigint as labels_sum, len(ids)::bigint as mask_sum from m""",
     "hard_negatives": """
-with s as (select a.vec_id as anchor, b.vec_id as negative, round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 6) as sim from embeddings a join embeddings b on a.label <> b.label where a.vec_id % 20 = 0)
-select anchor, negative, round(sim, 5) as sim from s qualify row_number() over (partition by anchor order by sim desc, negative) <= 3""",
+with m as (select a.vec_id as anchor, b.vec_id as negative, a.label = b.label as own, round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 9) as sim from embeddings a join embeddings b on a.vec_id <> b.vec_id where a.vec_id % 20 = 0),
+o as (select anchor, max(sim) as best from m where own group by 1), s as (select m.* from m left join o using (anchor) where not own and sim between -0.5 and 0.95 and (best is null or sim <= best - 0.02::double))
+select anchor, negative, floor(sim * 100000)::bigint as sim_e5 from s qualify row_number() over (partition by anchor order by sim desc, negative) between 2 and 4""",
     "triplets": """
 select round(avg((list_cosine_similarity(a.embedding::double[], p.embedding::double[]) > list_cosine_similarity(a.embedding::double[], n.embedding::double[]))::int), 6) as accuracy, count(*) as n
 from embeddings a join embeddings p on p.vec_id = a.vec_id + 1 join embeddings n on n.vec_id = a.vec_id + 2""",

@@ -65,11 +65,6 @@ def _cited(spark: SparkSession, sf_dir: str, text: F.Column, answer: F.Column) -
 
 
 def cited_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By the starts of texts; cited_overlap_whole takes all of them."""
-    return _cited(spark, sf_dir, F.substring("text", 1, 200), F.substring("text", 1, 80))
-
-
-def cited_overlap_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cited(spark, sf_dir, F.col("text"), F.col("text"))
 
 
@@ -129,7 +124,7 @@ def action_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def communicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
-    info = turns.where("role = 'user'").select("conv_id", "turn", F.substring("text", 1, 6).alias("info"))
+    info = turns.where("role = 'user'").select("conv_id", "turn", F.element_at(F.split("text", " "), -1).alias("info"))
     msgs = turns.groupBy("conv_id").agg(F.collect_list(F.struct("role", F.col("text").alias("content"))).alias("m"))
     return info.join(msgs, "conv_id").select("conv_id", "turn", joins.info_communicated(F.col("info"), F.col("m")).alias("told"))
 
@@ -149,9 +144,11 @@ def interval_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def option_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions and nations, neither left out twice: a choice without a region needs a nation."""
     r = table(spark, sf_dir, "region").select(F.col("r_name").alias("r"))
-    n = table(spark, sf_dir, "nation").where("n_nationkey < 6").select(F.col("n_name").alias("n"))
-    return joins.combinations({"r": r, "n": n})
+    n = table(spark, sf_dir, "nation").select(F.col("n_name").alias("n"))
+    out = joins.combinations({"r": r, "n": n}, valid=F.coalesce("r", "n").isNotNull(), name_of_parts="parts")
+    return out.withColumn("parts", F.array_join("parts", "|"))
 
 
 def user_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,7 +163,7 @@ def model_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (citation_validation, confidence_routes, confidence_profile, judged, legacy_judged, cited_overlap, cited_overlap_whole, json_parsing, verdicts, exact_matches, bleu_scores, backfilled, missing_extra, unprocessed_orders, action_checks, communicated, one_stop_pairs, interval_hits, option_products, user_lookup, model_outcomes)
+    for f in (citation_validation, confidence_routes, confidence_profile, judged, legacy_judged, cited_overlap, json_parsing, verdicts, exact_matches, bleu_scores, backfilled, missing_extra, unprocessed_orders, action_checks, communicated, one_stop_pairs, interval_hits, option_products, user_lookup, model_outcomes)
 }
 _REPLIES = """r as (select l_orderkey, l_linenumber, l_partkey, (l_orderkey * 7 + l_linenumber) % 11 as m, printf('%.2f', l_discount + 0.8::double)::double as conf from lineitem)"""
 ORACLES = {
@@ -190,10 +187,6 @@ select k as o_orderkey, round(t, 2) as composite_score, k % 3 <> 2 and k % 7 <>
 with j as (select o_orderkey as k from orders)
 select k % 2 >= 1 and k % 6 >= 4 and k % 5 + 1 >= 3 and k % 4 + 2 >= 3 and (k % 6 + k % 5 + 1 + k % 4 + 2 + k % 3 + 3) / 4 >= 3.5 as accepted, count(*) as n from j group by 1""",
     "cited_overlap": """
-with b as (select item_id, substr(text, 1, 80) as a from benchmark),
-t as (select item_id, a, coalesce(concat_ws(chr(10), (select substr(text, 1, 200) from documents where doc_id = item_id * 3), (select substr(text, 1, 200) from documents where doc_id = item_id - 5)), '') as c from b)
-select item_id, sha256(c) as cited_sha, round(case when c = '' then 0 when length(a) = 0 then 0 else len(list_filter(string_split(a, ''), lambda x: contains(c, x))) / length(a) end, 6) as lex from t""",
-    "cited_overlap_whole": """
 with t as (select item_id, text as a, coalesce(concat_ws(chr(10), (select text from documents where doc_id = item_id * 3), (select text from documents where doc_id = item_id - 5)), '') as c from benchmark)
 select item_id, sha256(c) as cited_sha, round(case when c = '' then 0 when length(a) = 0 then 0 else len(list_filter(string_split(a, ''), lambda x: contains(c, x))) / length(a) end, 6) as lex from t""",
     "json_parsing": """
@@ -225,14 +218,14 @@ select 'missing' as side, count(*) as n, sum(k)::bigint as k_sum from a where k
 with l as (select l_orderkey as o, l_linenumber as i, l_returnflag as f, l_partkey % 5 as p, l_suppkey % 3 as s from lineitem), c as (select * from l where i % 2 = 0)
 select i as l_linenumber, count(*) filter (exists (select 1 from c where c.o = l.o and c.f = l.f and c.p = l.p and (l.i % 3 = 0 or c.s = l.s))) as n_matched, count(*) as n from l where o in (select o from c) group by 1""",
     "communicated": """
-with u as (select conv_id, turn, substr(text, 1, 6) as info from conversations where role = 'user')
+with u as (select conv_id, turn, string_split(text, ' ')[-1] as info from conversations where role = 'user')
 select conv_id, turn, exists (select 1 from conversations m where m.conv_id = u.conv_id and m.role = 'assistant' and contains(replace(lower(m.text), ',', ''), lower(u.info))) as told from u""",
     "one_stop_pairs": """
 with l as (select event_id, user_id % 7 as dest, event_id % 7 as orig, ts::date as day, printf('%02d:00:00', hour(ts)) as dep, printf('%02d:00:00', (hour(ts) + 2) % 24) || case when hour(ts) >= 22 then '+1' else '' end as arr from events)
 select a.day::varchar as day, count(*) as n from l a join l b on a.dest = b.orig and a.day + case when a.arr like '%+1' then 1 else 0 end = b.day and b.dep >= a.arr group by 1""",
     "interval_hits": """
 select k, count(*) as n from (select l_suppkey as k, l_partkey as p from lineitem) l join (select p_partkey % 10 + 1 as k, p_partkey as s, p_partkey + p_size as e from part) using (k) where p between s and e group by 1""",
-    "option_products": "select r, n from (select r_name as r from region union all select null) a, (select n_name as n from nation where n_nationkey < 6 union all select null) b",
+    "option_products": "select r, n, case when r is null then n when n is null then r else least(r, n) || '|' || greatest(r, n) end as parts from (select r_name as r from region union all select null) a, (select n_name as n from nation union all select null) b where r is not null or n is not null",
     "user_lookup": "select c_custkey, c_name from customer where c_nationkey = 3 and lower(c_mktsegment) = 'building'",
     "model_outcomes": """
 with a as (select o_orderkey as k, o_orderstatus = 'F' as x from orders), b as (select l_orderkey as k, bool_or(l_returnflag = 'R') as y from lineitem group by 1), j as (select coalesce(x, false) as x, coalesce(y, false) as y from a full join b using (k))

@@ -38,7 +38,7 @@ def message_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def instruction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("instruction"), F.when(F.col("item_id") % 2 == 0, F.lit("  ")).otherwise(F.substring("text", 1, 20)).alias("input"), F.lit("done").alias("output"))
+    rows = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("instruction"), F.when(F.col("item_id") % 2 == 0, F.lit("  ")).otherwise(F.col("text")).alias("input"), F.lit("done").alias("output"))
     pair = R.instruction_pair(rows, ("item_id", "instruction", "input", "output"))
     return pair.select("item_id", F.sha2("user", 256).alias("user_sha"), F.sha2(R.instruction_text(F.col("instruction"), F.col("input"), F.col("output")), 256).alias("cpt_sha"), F.sha2("text", 256).alias("text_sha"))
 
@@ -49,7 +49,7 @@ def flipped_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def output_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "benchmark").select("item_id", F.substring("text", 1, 10).alias("output1"), F.when(F.col("item_id") % 3 == 0, F.substring("text", 5, 10)).alias("output2"), F.lit("z").alias("output10"))
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("output1"), F.when(F.col("item_id") % 3 == 0, F.reverse("text")).alias("output2"), F.lit("z").alias("output10"))
     return R.unpivot_outputs(items, "item_id")
 
 
@@ -86,7 +86,7 @@ def round_robin_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def interleaved(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    return split.interleave(docs, "lang", "doc_id", {"en": 0.5, "fr": 0.3, "de": 0.2}).select("doc_id", "lang", F.round("slot", 6).alias("slot"))
+    return split.interleave(docs, "lang", "doc_id", {"en": 0.4, "fr": 0.3, "de": 0.2, "es": 0.1}).select("doc_id", "lang", F.round("slot", 6).alias("slot"))
 
 
 def pending_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,14 +117,14 @@ length({_S.format("assistant")})::int as n_target from s""",
 select conv_id, sha256(coalesce(max_by(text, turn) filter (role = 'user'), '-')) as user_sha, sha256(coalesce(max_by(text, turn) filter (role = 'assistant'), '-')) as assistant_sha, count(*)::int as n_messages,
 sha256(coalesce(string_agg(upper(role[1]) || role[2:] || ': ' || text, chr(10) order by turn) filter (role <> 'system'), '')) as transcript_sha from conversations group by conv_id""",
     "instruction_rows": rf"""
-with r as (select item_id, text as i, case when item_id % 2 = 0 then '  ' else substr(text, 1, 20) end as g from benchmark),
+with r as (select item_id, text as i, case when item_id % 2 = 0 then '  ' else text end as g from benchmark),
 u as (select *, {_S.format("i || chr(10) || g")} as u from r)
 select item_id, sha256(u) as user_sha, sha256(i || case when trim(g) <> '' then chr(10) || chr(10) || 'Input: ' || g else '' end || chr(10) || chr(10) || 'Response: done') as cpt_sha, sha256('<|user|>' || u || '<|end|><|assistant|>done<|end|>') as text_sha from u""",
     "flipped_turns": """
 with i as (select case role when 'user' then 'assistant' when 'assistant' then 'user' else role end as role, row_number() over (partition by conv_id order by turn) - 1 as x from conversations)
 select role, count(*) as n, sum(x)::bigint as idx_sum from i group by role""",
     "output_unpivot": """
-select item_id, 1 as output_no, substr(text, 1, 10) as output_text from benchmark union all select item_id, 2, substr(text, 5, 10) from benchmark where item_id % 3 = 0 union all select item_id, 10, 'z' from benchmark""",
+select item_id, 1 as output_no, text as output_text from benchmark union all select item_id, 2, reverse(text) from benchmark where item_id % 3 = 0 union all select item_id, 10, 'z' from benchmark""",
     "task_ids": "select lower(c_mktsegment) as intent, 'p' || c_custkey % 3 as persona, (c_custkey % 4 + 1)::int as num_issues, count(*) as n from customer group by all",
     "seeded_order": "select doc_id, row_number() over (order by sha256('42:' || doc_id), doc_id) as position from documents",
     "ratio_splits": """
@@ -135,7 +135,7 @@ select doc_id, case when p <= floor(n * 0.8::double) then 'train' when p <= floo
     "latest_orders": "select o_custkey, o_orderkey, row_number() over (partition by o_custkey order by epoch(o_orderdate)::bigint desc, o_orderkey)::int as rank from orders qualify rank <= 12",
     "round_robin_models": "select item_id, ['a', 'b', 'c'][((row_number() over (order by item_id)) - 1) % 3 + 1] as model from benchmark",
     "interleaved": """
-with r as (select doc_id, lang, (row_number() over (partition by lang order by doc_id) - 0.5::double) / case lang when 'en' then 0.5::double when 'fr' then 0.3::double else 0.2::double end as slot from documents where lang in ('en', 'fr', 'de'))
+with r as (select doc_id, lang, (row_number() over (partition by lang order by doc_id) - 0.5::double) / case lang when 'en' then 0.4::double when 'fr' then 0.3::double when 'de' then 0.2::double else 0.1::double end as slot from documents where lang in ('en', 'fr', 'de', 'es'))
 select doc_id, lang, round(slot, 6) as slot from r where slot <= (select min(m) from (select max(slot) as m from r group by lang))""",
     "pending_trials": "select c_custkey as task_id, t.trial::int as trial, t.seed::int as seed from customer, (values (0, 10), (1, 11), (2, 12)) t(trial, seed) where not (c_custkey % 3 = 0 and t.trial = 1)",
 }

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from corpusmill.plans import domains, metrics, quality, records, replies, text
+from corpusmill.plans import domains, evaluation, metrics, quality, records, replies, text
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for module in (text, records, quality, metrics, replies, domains):
+for module in (text, records, quality, metrics, replies, domains, evaluation):
     QUERIES |= module.QUERIES
     ORACLES |= module.ORACLES

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusmill.functions.jsonish import strict_json
+
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Strict: blank lines are skipped, a malformed one fails the query."""
@@ -20,7 +22,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None
 def read_jsonl_tolerant(spark: SparkSession, path: str) -> DataFrame:
     """(value, parsed, ok): every non-blank line, with its VARIANT if it is JSON."""
     lines = spark.read.text(path).where(F.trim("value") != "")
-    return lines.withColumn("parsed", F.try_parse_json("value")).withColumn("ok", F.col("parsed").isNotNull())
+    return lines.withColumn("parsed", strict_json(F.col("value"))).withColumn("ok", F.col("parsed").isNotNull())
 
 
 def read_json_document(spark: SparkSession, path: str, key: str = "data") -> DataFrame:

@@ -87,8 +87,9 @@ def test_reject_reasons_keep_their_order(spark):
         (json.dumps({**ok, "provenance": "extrapolated", "disclaimer": " "}), "missing_disclaimer_for_extrapolation"), (json.dumps({**ok, "citations": []}), "no_citations"), (json.dumps({**ok, "citations": "c1"}), "no_citations"),
         (json.dumps({**ok, "confidence": 2}), "bad_confidence"), (json.dumps({**ok, "confidence": True}), None), (json.dumps({**ok, "citations": ["zz"]}), "no_context_citation_overlap"), (" " + json.dumps(ok) + "\n", None),
     ]
-    got = values(spark, [(c, ["c1", "c2"]) for c, _ in cases], "r string, c array<string>", qa.reject_reason(F.col("r"), F.col("c")))
-    assert [g[0] for g in got] == [w for _, w in cases]
+    rows = spark.createDataFrame([(i, c, ["c1", "c2"]) for i, (c, _) in enumerate(cases)], "i int, answer_raw string, context_chunk_ids array<string>")
+    got = {r["i"]: r["reject_reason"] for r in qa.validate(rows, ("i",)).collect()}
+    assert [got[i] for i in range(len(cases))] == [w for _, w in cases]
 
 
 def test_combinatorics(spark):
@@ -174,3 +175,30 @@ def test_streams(spark, tmp_path):
     q = sessions.windowed_counts(spark.readStream.schema(schema).json(str(src)), "ts", "q").writeStream.format("memory").queryName("counts").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.sql("select sum(n) from counts").first()[0] == 5
+
+
+def test_orders_of_many_ranges(spark, monkeypatch):
+    """Ranges of thirty rows, keys that repeat, nulls: ranks and sums as of one window."""
+    r = random.Random(9)
+    monkeypatch.setattr(split, "ROWS", 30)
+    rows = [(r.choice([None, *range(20)]), r.choice("abc"), i, r.randrange(5)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "a int, b string, i int, v long").repartition(7)
+    order = sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, x[1], x[2]))
+    want, before = {}, 0
+    for n, (_, _, i, v) in enumerate(order):
+        want[i] = (n + 1, before)
+        before += v
+    ranked = split.global_rank(df, "a", "b", "i")
+    sums = split.running_sum(df, "v", "a", "b", "i")
+    assert {x["i"]: x["rank"] for x in ranked.collect()} == {i: w[0] for i, w in want.items()}
+    assert {x["i"]: x["before"] for x in sums.collect()} == {i: w[1] for i, w in want.items()}
+    blocks = packing.pack_blocks(df.select("i", F.array_repeat("i", F.col("v").cast("int")).alias("ids")), "i", "ids", 64)
+    flat = [i for i, v in sorted((x[2], x[3]) for x in rows) for _ in range(v)]
+    assert {b["block_no"]: b["input_ids"] for b in blocks.collect()} == {k: flat[64 * k : 64 * k + 64] for k in range(len(flat) // 64)}
+
+
+def test_json_is_strict(spark):
+    texts = ['{"a": 1}', '{"a": 1} x', "1], [2", '1}, {"v": 2', "[1, 2]", "1, 2", "null", "", None, ' "t" ', "{a: 1}"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [tuple(r) for r in df.select(J.is_json(F.col("t")), J.parsed(F.col("t")).isNotNull()).collect()]
+    assert got == [(True, True)] + [(False, False)] * 3 + [(True, True), (False, False), (True, False)] + [(False, False)] * 2 + [(True, True), (False, False)]

@@ -21,7 +21,7 @@ def tables(spark, tmp_path_factory):
 
 def test_cited_overlap_of_whole_texts(spark, tables):
     to, start = tables
-    (row,) = QUERIES["cited_overlap_whole"](spark, to).collect()
+    (row,) = QUERIES["cited_overlap"](spark, to).collect()
     cited = f"{start}one end"
     answer = f"{start}xyz"
     assert row["cited_sha"] == hashlib.sha256(cited.encode()).hexdigest()
@@ -30,7 +30,7 @@ def test_cited_overlap_of_whole_texts(spark, tables):
 
 def test_think_tags_of_whole_texts(spark, tables):
     to, start = tables
-    out = {r["doc_id"]: r for r in QUERIES["think_tags_whole"](spark, to).collect()}
+    out = {r["doc_id"]: r for r in QUERIES["think_tags"](spark, to).collect()}
     for i, text in ((3, f"{start}one end"), (5, f"{start}third end")):
         half = len(text) // 2
         want = text[half:] if i % 3 == 0 else text
@@ -39,4 +39,4 @@ def test_think_tags_of_whole_texts(spark, tables):
 
 
 def test_they_read_every_document(spark):
-    assert QUERIES["think_tags_whole"](spark, DATA).count() == spark.read.parquet(f"{DATA}/documents.parquet").count()
+    assert QUERIES["think_tags"](spark, DATA).count() == spark.read.parquet(f"{DATA}/documents.parquet").count()
