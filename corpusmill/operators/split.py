@@ -58,8 +58,8 @@ def running_sum(df: DataFrame, value: str, *order: str, name: str = "before") ->
         return local.withColumn(name, F.col("__r")).drop("__p", "__r")
     sums = placed.groupBy("__p").agg(F.sum(value).alias("__s"))
     # One row for each range: SIDE * SIDE at most.
-    offsets = sums.withColumn("__off", F.coalesce(F.sum("__s").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("__p", "__off")
-    return local.join(F.broadcast(offsets), "__p").withColumn(name, F.col("__r") + F.col("__off")).drop("__p", "__r", "__off")
+    offsets = sums.withColumn("__range_start", F.coalesce(F.sum("__s").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("__p", "__range_start")
+    return local.join(F.broadcast(offsets), "__p").withColumn(name, F.col("__r") + F.col("__range_start")).drop("__p", "__r", "__range_start")
 
 
 def global_rank(df: DataFrame, *order: str, name: str = "rank") -> DataFrame:
