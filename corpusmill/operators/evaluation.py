@@ -172,12 +172,11 @@ def chunk_results(results: DataFrame, group: str, status: str, retries: str, sum
     map of category to behaviours, of successes only. A chunk that is UNKNOWN halves the confidence, one that is INVALID or
     in ERROR takes it to seven tenths; then the share of successes and 0.95 for each of their retries."""
     good = F.col(status) == "SUCCESS"
-    penalty = F.when(F.col(status) == "UNKNOWN", 0.5).when(F.col(status).isin("INVALID", "ERROR"), 0.7).otherwise(1.0)
     one = results.groupBy(group).agg(
-        F.count("*").alias("n_chunks"), F.count_if(~good).alias("n_failed"), F.exp(F.sum(F.log(penalty))).alias("__p"), F.coalesce(F.sum(F.when(good, F.col(retries))), F.lit(0)).alias("__r"),
+        F.count("*").alias("n_chunks"), F.count_if(~good).alias("n_failed"), F.count_if(F.col(status) == "UNKNOWN").alias("__u"), F.count_if(F.col(status).isin("INVALID", "ERROR")).alias("__e"), F.coalesce(F.sum(F.when(good, F.col(retries))), F.lit(0)).alias("__r"),
         *[F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(good, F.try_element_at(F.col(summary), F.lit(c))))))).alias(c) for c in categories],
     )
-    confidence = F.col("__p") * (F.col("n_chunks") - F.col("n_failed")) / F.col("n_chunks") * F.pow(F.lit(0.95), F.col("__r"))
+    confidence = F.pow(F.lit(0.5), F.col("__u")) * F.pow(F.lit(0.7), F.col("__e")) * (F.col("n_chunks") - F.col("n_failed")) / F.col("n_chunks") * F.pow(F.lit(0.95), F.col("__r"))
     return one.select(group, confidence.alias("confidence"), "n_chunks", "n_failed", *categories)
 
 

@@ -1,13 +1,14 @@
 """Transactional logs: an ordered fold over each task's actions, replayed, hashed and rewarded.
 
-A task's actions are one record's worth of data, so a task is folded whole in one Arrow group; tasks are spread by key.
+A task's actions are one record's worth of data, and its fold is a sequence; tasks are spread by key.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,9 +36,9 @@ def fold(actions: DataFrame, base: Tables, domain: Domain, task: str = "task_id"
     kind = actions.schema[task].dataType.simpleString()
     cols = [c for c in (side, reply) if c]
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def play(key: object, rows: list[dict]) -> tuple:
         store, replies, checks, bad, differ = Store(base), [], [], 0, 0
-        for r in rows.sort_values(order, kind="stable").to_dict("records"):
+        for r in rows:
             try:
                 given = json.loads(r[args] or "{}")
                 got, failed = domain.step(store, r[name], given, r[side] if side else None)
@@ -51,10 +52,39 @@ def fold(actions: DataFrame, base: Tables, domain: Domain, task: str = "task_id"
             bad += failed
             if reply and isinstance(r[reply], str):
                 differ += not _same_reply(got, r[reply])
-        return pd.DataFrame({task: [key[0]], "n_actions": [len(rows)], "n_errors": [bad], "n_differ": [differ], "checks": [checks], "responses": [replies], "state_hash": [store.digest()], "changes": [canonical(store.changes())]})
-
+        return key, len(rows), bad, differ, checks, replies, store.digest(), canonical(store.changes())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come by task and in order; a task may go on in the next batch."""
+        key, rows, out = None, [], []
+
+        def packed() -> pa.RecordBatch:
+            cols = list(zip(*out, strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [kept.type, *types], strict=True)], names=names)
+
+        kept = None
+        for batch in batches:
+            kept = batch.column(task) if kept is None else kept
+            for r in batch.to_pylist():
+                if rows and r[task] != key:
+                    out.append(play(key, rows))
+                    rows = []
+                key = r[task]
+                rows.append(r)
+            if len(out) >= 1000:
+                yield packed()
+                out = []
+        if rows:
+            out.append(play(key, rows))
+        if out:
+            yield packed()
+
+    names = [task, "n_actions", "n_errors", "n_differ", "checks", "responses", "state_hash", "changes"]
+    types = [pa.int64()] * 3 + [pa.list_(pa.bool_()), pa.list_(pa.string()), pa.string(), pa.string()]
     shape = f"{task} {kind}, n_actions long, n_errors long, n_differ long, checks array<boolean>, responses array<string>, state_hash string, changes string"
-    return actions.select(task, order, name, args, *cols).groupBy(task).applyInPandas(run, shape)
+    # One sorted stream a partition: tasks are many and short, and a call for each would cost more than its fold.
+    dealt = actions.select(task, order, name, args, *cols).repartition(task).sortWithinPartitions(task, order)
+    return dealt.mapInArrow(run, shape)
 
 
 def end_state_reward(gold: DataFrame, model: DataFrame, task: str = "task_id") -> DataFrame:

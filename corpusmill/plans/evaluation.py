@@ -275,7 +275,7 @@ c as (select model, count(*) as total, count(*) filter (ok) as success, count(*)
 select *, round(success / total, 6) as success_rate, round(signature_ok / total, 6) as signature_rate, round(api_used / total, 6) as api_rate, round(failed_borrow / failed, 6) as borrow_share, round(apis_solved / apis, 6) as api_coverage from c""",
     "chunk_confidence": """
 with l as (select l_orderkey as task, l_partkey % 6 as s, l_partkey % 2 as r, 'p' || l_suppkey % 3 as p, 'e' || l_suppkey % 2 as e from lineitem)
-select task, round(product(case when s = 3 then 0.5 when s > 3 then 0.7 else 1 end) * count(*) filter (s < 3) / count(*) * pow(0.95::double, coalesce(sum(r) filter (s < 3), 0)), 6) as confidence, count(*) as n_chunks, count(*) filter (s >= 3) as n_failed,
+select task, round(pow(0.5::double, count(*) filter (s = 3)) * pow(0.7::double, count(*) filter (s > 3)) * count(*) filter (s < 3) / count(*) * pow(0.95::double, coalesce(sum(r) filter (s < 3), 0)), 6) as confidence, count(*) as n_chunks, count(*) filter (s >= 3) as n_failed,
 coalesce(string_agg(distinct p, ',' order by p) filter (s < 3), '') as primary, 0::int as n_secondary, case when count(*) filter (s < 3) > 0 then 'e,' || string_agg(distinct e, ',' order by e) filter (s < 3) else '' end as edge_cases from l group by 1""",
     "datapoints": """
 with p as (select event_id, event_type, props, case when event_id % 3 = 0 then '{"k":1}' else replace(props, ' ', '') end as want from events),

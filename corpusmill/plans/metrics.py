@@ -311,17 +311,12 @@ select item_id, doc_id, floor(sim * 100000)::bigint as sim_e5 from s qualify row
     "exact_dedup": "select min(doc_id) as doc_id from documents group by text",
     "near_dup_pairs": "with " + _TFIDF + """
 select a.doc_id as a, b.doc_id as b, floor(round(sum(a.w * b.w), 9) * 100000)::bigint as sim_e5 from w a join w b on a.term = b.term and a.doc_id < b.doc_id group by all having sum(a.w * b.w) >= 0.92""",
-    "near_dup_keep": "with recursive " + _TFIDF + """,
-p as (select a.doc_id as a, b.doc_id as b from w a join w b on a.term = b.term and a.doc_id < b.doc_id group by all having sum(a.w * b.w) >= 0.92),
-d as (select doc_id, row_number() over (order by doc_id) as i from documents), e as (select b.i as b, list(a.i) as before from p join d a on a.doc_id = p.a join d b on b.doc_id = p.b group by 1),
-f as (select 0::bigint as i, []::bigint[] as kept union all select f.i + 1, case when list_has_any(kept, coalesce(before, [])) then kept else list_append(kept, f.i + 1) end from f left join e on e.b = f.i + 1 where f.i < (select max(i) from d))
-select d.doc_id from d where list_contains((select kept from f order by i desc limit 1), d.i)""",
     "greedy_dedup": """
 with recursive p as (select p_partkey as k, p_size % 3 = 0 as hits, row_number() over (order by p_partkey) as r from part),
-f as (select 0::bigint as r, []::bigint[] as live union all
-  select f.r + 1, case when list_contains(live, k - 1) or list_contains(live, k - 3) then list_filter(live, lambda x: x >= k - 2) else case when hits then list_append(list_filter(live, lambda x: x >= k - 2), k) else list_append(list_filter(live, lambda x: x >= k - 2), -k) end end
-  from f join p on p.r = f.r + 1)
-select k as i from (select f.r, live, p.k from f join p on p.r = f.r) where list_contains(live, k) or list_contains(live, -k)""",
+f as (select 0::bigint as r, null::bigint as k, []::bigint[] as live, false as kept union all
+  select f.r + 1, p.k, case when ok and hits then list_append(near, p.k) else near end, ok
+  from (select f.r, p.k, p.hits, list_filter(live, lambda x: x >= p.k - 2) as near, not (list_contains(live, p.k - 1) or list_contains(live, p.k - 3)) as ok from f join p on p.r = f.r + 1) f join p on p.r = f.r + 1)
+select k as i from f where kept""",
     "packed_blocks": r"""
 with w as (select doc_id, unnest(w) as x, generate_subscripts(w, 1) as i from (select doc_id, regexp_extract_all(text, '\S+') as w from documents)), r as (select length(x) * 997 % 30000 as id, row_number() over (order by doc_id, i) - 1 as r from w),
 b as (select r // 512 as block_no, sum(id)::bigint as id_sum, arg_min(id, r)::bigint as first_id, arg_max(id, r)::bigint as last_id, count(*) as n from r group by 1) select block_no, id_sum, first_id, last_id from b where n = 512""",

@@ -17,7 +17,7 @@ def test_matches_sql(spark, name):
 
 
 def test_all_but_these_have_sql():
-    assert set(QUERIES) - set(ORACLES) == {"order_ratio", "fuzzy_dups"}
+    assert set(QUERIES) - set(ORACLES) == {"near_dup_keep", "order_ratio", "fuzzy_dups"}
 
 
 def benchmark(spark) -> list[tuple[int, str]]:
@@ -45,6 +45,15 @@ def test_order_ratio_by_brute_force(spark):
         assert 0 <= out[i]["sari"] <= 100
 
 
+def test_near_dup_keep_by_brute_force(spark):
+    pairs = {(r["a"], r["b"]) for r in QUERIES["near_dup_pairs"](spark, DATA).collect()}
+    kept: list[int] = []
+    for (i,) in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id").orderBy("doc_id").collect():
+        if not any((j, i) in pairs for j in kept):
+            kept.append(i)
+    assert sorted(r["doc_id"] for r in QUERIES["near_dup_keep"](spark, DATA).collect()) == kept
+
+
 def test_fuzzy_dups_by_brute_force(spark):
     rows = benchmark(spark)
     rows += [(i + 1000, "Oh " + t) for i, t in rows]
