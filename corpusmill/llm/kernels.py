@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -15,6 +17,14 @@ K3 = np.uint64(0x94D049BB133111EB)
 SLICE_BYTES = 4 << 20
 
 
+def release() -> None:
+    """Give memory that is free back to the system. Python workers live on from stage to stage, and what one stage's arrays have
+    taken would else be kept beside the next one's."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # not every system's library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (splitmix64)."""
     with np.errstate(over="ignore"):

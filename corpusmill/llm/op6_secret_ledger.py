@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm.shared import stored
@@ -68,14 +68,14 @@ def matches(text: Column, rule: Rule, rank: int) -> Column:
     return F.when(asked, found).otherwise(F.array().cast(_SPANS))
 
 
-def scan_blobs(versions: DataFrame, ledger: DataFrame | None = None, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The ledger after a scan of `versions`: (blob, seen, spans), a row for each content ever seen.
+def unseen_scans(versions: DataFrame, ledger: DataFrame | None = None, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(blob, seen, spans) of the blobs of `versions` that some rule version has not read yet, after it has: a new row, or one
+    that takes the place of the ledger's.
 
     A blob's name is the SHA-256 of its UTF-8 bytes; null text counts as empty. `seen` names the rule versions that have
     read it. Each distinct blob is read once, and only by rule versions that its ledger row doesn't name; findings of a
     rule's older versions give way to those of its new one, and of a rule no longer given they stay. `versions` holds one
-    row for each historical version of each path, in any number of copies. Blobs of the ledger that `versions` lacks stay
-    as they are. An empty table gives the ledger as it was.
+    row for each historical version of each path, in any number of copies. An empty table gives no rows.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     blobs = versions.select(F.sha2(text.cast("binary"), 256).alias("blob"), text.alias("text")).groupBy("blob").agg(F.first("text").alias("text"))
@@ -97,12 +97,42 @@ def scan_blobs(versions: DataFrame, ledger: DataFrame | None = None, text_col: s
 
     stays = F.filter("old", lambda span: ~replaced(span))
     new = F.concat(stays, *[F.when(todo[r], matches(F.col("text"), r, i)).otherwise(F.array().cast(_SPANS)) for i, r in enumerate(rules)])
-    scanned = asked.select("blob", F.array_sort(F.array_union("had", names)).alias("seen"), F.array_sort(new).alias("spans"))
+    return asked.select("blob", F.array_sort(F.array_union("had", names)).alias("seen"), F.array_sort(new).alias("spans"))
+
+
+def scan_blobs(versions: DataFrame, ledger: DataFrame | None = None, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The ledger after a scan of `versions`: a row for each content ever seen. Blobs of the ledger that `versions` lacks, or that
+    all rule versions have read, stay as they are."""
+    scanned = unseen_scans(versions, ledger, text_col, rules)
     if ledger is None:
         return scanned
     return scanned.unionByName(ledger.select("blob", "seen", "spans").join(scanned.select("blob"), "blob", "left_anti"))
 
 
+def read_ledger(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """The ledger in a folder: of each blob the row of the newest run, or of the newest before a number. Null where no such run
+    has ended yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    runs = [x.getPath() for x in files.listStatus(folder)] if files.exists(folder) else []
+    # A run that did not end has no mark of success; its rows don't count.
+    done = [r.toString() for r in runs if files.exists(spark._jvm.org.apache.hadoop.fs.Path(r, "_SUCCESS")) and (before is None or int(r.getName().split("=")[1]) < before)]
+    if not done:
+        return None
+    rows = spark.read.option("basePath", path).parquet(*done)
+    return rows.groupBy("blob").agg(F.max_by(F.struct("seen", "spans"), "run").alias("r")).select("blob", "r.seen", "r.spans")
+
+
+def update_ledger(versions: DataFrame, path: str, run: int, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Scan what the ledger in the folder `path` has not seen, write it there as the rows of `run`, a number above those of
+    earlier runs, and return the ledger. A run writes only blobs that it has read; one that is made again puts its own
+    rows in place."""
+    spark = versions.sparkSession
+    scanned = unseen_scans(versions, read_ledger(spark, path, before=run), text_col, rules)
+    scanned.write.mode("overwrite").parquet(f"{path}/run={run}")
+    return read_ledger(spark, path)
+
+
 def findings_by_path(versions: DataFrame, ledger: DataFrame, path_col: str, text_col: str = "text") -> DataFrame:
     """(path, blob, spans) of each version's row: the findings of its blob, joined back to all paths that hold it."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.kernels import K1, ranges, slices, utf8
+from corpusmill.llm.kernels import K1, ranges, release, slices, utf8
 
 #: Where the public vocabulary lies; a parameter of every call, never part of the repository.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -234,6 +234,7 @@ def encode_documents(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id"
     schema = f"{id_col} long, n_tokens int, token_ids array<int>, round_trip boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         m = load(model)
         encoder = Encoder(m)
         for batch in slices(batches, limit=2 << 20):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.kernels import K1, K3, SLICE_BYTES, mix, ranges, spans, stable_order
+from corpusmill.llm.kernels import K1, K3, SLICE_BYTES, mix, ranges, release, spans, stable_order
 from corpusmill.llm.shared import stored
 
 ENTRIES, DIRECTORY, KEPT, HOTS = 0, 1, 2, 3
@@ -143,6 +143,7 @@ def deal(sets: Callable[[Iterator[pa.RecordBatch]], Iterator[Sets]], parts: int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = 0
+        release()
         for key1, key2, tokens, other, owner, *more in sets(batches):
             if len(key1) > MOST_SETS:
                 order = np.argsort(owner, kind="stable")
@@ -152,6 +153,7 @@ def deal(sets: Callable[[Iterator[pa.RecordBatch]], Iterator[Sets]], parts: int,
                 cut = slice(a, a + MOST_SETS)
                 yield one(number, key1[cut], key2[cut], tokens[lo:hi], other[lo:hi], owner[lo:hi] - a, *[x[cut] for x in more])
                 number += 1
+        release()
 
     return run
 

@@ -2,31 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which driver and executors share. Where it is unset, a session of one machine, as in
-    tests, gets a temporary folder; on a cluster, whose executors don't see the driver's folders, that is an error."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if current.isDefined():
-            return current.get()
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        found = f"file://{tempfile.mkdtemp(prefix='corpusmill-')}"
-        spark.sparkContext.setCheckpointDir(found)
-    return found
+from corpusmill.sources.scratch import fresh
 
 
 #: Shuffle files of a query go when it ends: the table that it wrote stands in for them.
@@ -36,23 +19,16 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet to the shared folder and read it again: lineage is cut, and a lost executor loses nothing. Dropped when the session's process ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/corpusmill/{name}-{uuid.uuid4().hex}"
+    path = fresh(spark, name)
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
         df.write.parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    atexit.register(_drop, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _drop(spark: SparkSession, path: str) -> None:
-    with contextlib.suppress(Exception):
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 #: The key as a new expression: a join on it then deals out both of its sides, which adaptive execution can split for a hub.
 _AGAIN = "u + 0L as u"
 

@@ -389,6 +389,27 @@ def test_ledger_scans_only_what_is_new(spark):
     assert again == {"a": [("assign", 0)], "b": [("assign", 0)], "c": [("access", 100)], "d": [("assign", 4)], "e": []}
 
 
+def test_ledger_of_a_folder_grows_by_what_is_new(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    rows = [(i, f"token=secret{i:04d}") for i in range(20)] * 3 + [(50, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert K.read_ledger(spark, path) is None
+    assert K.update_ledger(docs, path, 1).count() == 21
+    same = K.update_ledger(docs, path, 2)
+    assert spark.read.parquet(f"{path}/run=2").count() == 0 and same.count() == 21
+    more = docs.union(spark.createDataFrame([(60, "AKIA123456789012")], docs.schema))
+    assert K.update_ledger(more, path, 3).count() == 22 and spark.read.parquet(f"{path}/run=3").count() == 1
+    newer = tuple(K.Rule(r.kind, 2, "nothing at all", r.least) if r.kind == "assign" else r for r in K.RULES)
+    ledger = K.update_ledger(more, path, 4, rules=newer)
+    assert spark.read.parquet(f"{path}/run=4").count() == 22
+    kinds = {s["kind"] for r in ledger.collect() for s in r["spans"]}
+    assert kinds == {"access"}
+    os.remove(f"{path}/run=4/_SUCCESS")  # a run that did not end
+    assert {s["kind"] for r in K.read_ledger(spark, path).collect() for s in r["spans"]} == {"assign", "access"}
+    found = K.findings_by_path(more, K.update_ledger(more, path, 4, rules=newer), "doc_id").where("size(spans) > 0").collect()
+    assert [r["doc_id"] for r in found] == [60]
+
+
 # 7
 
 needs_model = pytest.mark.skipif(not os.path.exists(P.MODEL), reason="vocabulary files aren't here")
