@@ -110,8 +110,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = repeated_lines(docs, id_col, text_col, k, num, den, short)
     drop = gone.groupBy(F.col(id_col).alias("__gone_id")).agg(F.collect_list("line").alias("__gone"))
     out = docs.drop("n_lines_removed").join(drop, F.col(id_col).cast("long") == F.col("__gone_id"), "left")
-    # Each step a column of its own: lines are split once, and taken by their places in linear time.
-    out = out.withColumn("__lines", F.when(F.col("__gone").isNotNull(), F.split(F.col(text_col), "\n", -1)))
+    # Lines are split once, and taken by their places in linear time. The random number, which is never below 0, keeps the
+    # optimiser from putting the split in the place of its name, also inside the function that is called for each line.
+    out = out.withColumn("__lines", F.when(F.col("__gone").isNotNull() & (F.rand(0) >= 0), F.split(F.col(text_col), "\n", -1)))
     places = F.array_except(F.sequence(F.lit(0).cast("long"), (F.size("__lines") - 1).cast("long")), "__gone")
     out = out.withColumn("__kept", F.array_join(F.transform(places, lambda i: F.get("__lines", i.cast("int"))), "\n"))
     text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.when(F.regexp_like("__kept", F.lit("[^\\x20\\x09-\\x0D]")), F.col("__kept")).otherwise(F.lit("")))
