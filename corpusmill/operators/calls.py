@@ -7,21 +7,34 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Client = Callable[[str, str], str]
 
 
+#: Answers of a server that is busy or being replaced.
+BUSY = (502, 503, 504)
+
+
+class ServerError(Exception):
+    """A server's answer that is no reply, with its status."""
+
+    def __init__(self, status: int, text: str = "") -> None:
+        super().__init__(f"{status} {text}".strip())
+        self.status = status
+
+
 def with_retry(client: Client, tries: int = 3, wait: float = 1.0, transient: tuple[type[BaseException], ...] = (ConnectionError, TimeoutError)) -> Client:
-    """Transient failures are tried again after wait, 2 * wait, ... seconds; the last one is raised."""
+    """Transient failures, lost connections, time-outs and busy servers, are tried again after wait, 2 * wait, ... seconds; the
+    last one is raised, any other at once."""
 
     def call(prompt: str, model: str) -> str:
         for i in range(tries):
             try:
                 return client(prompt, model)
-            except transient:
-                if i == tries - 1:
+            except (ServerError, *transient) as e:
+                if i == tries - 1 or (isinstance(e, ServerError) and e.status not in BUSY):
                     raise
                 time.sleep(wait * 2**i)
         raise AssertionError
@@ -29,6 +42,23 @@ def with_retry(client: Client, tries: int = 3, wait: float = 1.0, transient: tup
     return call
 
 
+def with_round_robin(clients: list[Client]) -> Client:
+    """Endpoints in turn, within a task; one that fails passes the call on to the next, the last failure is raised."""
+    turn = {"at": 0}
+
+    def call(prompt: str, model: str) -> str:
+        first, turn["at"] = turn["at"], turn["at"] + 1
+        for i in range(len(clients)):
+            try:
+                return clients[(first + i) % len(clients)](prompt, model)
+            except Exception:  # noqa: BLE001
+                if i == len(clients) - 1:
+                    raise
+        raise AssertionError
+
+    return call
+
+
 def with_fallback(first: Client, second: Client) -> Client:
     """The second endpoint where the first one fails."""
 
@@ -83,6 +113,96 @@ def sampled(df: DataFrame, n: int, name: str = "sample") -> DataFrame:
     return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
 
 
+def reduced(replies: DataFrame, key: str, reply: str, order: str, how: str) -> DataFrame:
+    """(key, reply) of several replies to each key: `first` of them by order, `majority`, ties to the one seen first, or
+    `unanimous`, null where they differ."""
+    from corpusmill.operators.analysis import majority
+
+    if how == "first":
+        return replies.groupBy(key).agg(F.min_by(reply, order).alias(reply))
+    votes = majority(replies, key, reply, order)
+    if how == "majority":
+        return votes.select(key, F.col("winner").alias(reply))
+    if how == "unanimous":
+        return votes.select(key, F.when(F.col("unanimous"), F.col("winner")).alias(reply))
+    raise ValueError(f"unknown way {how!r}")
+
+
+def retried(df: DataFrame, prompt: str, model: str, client: Client, good: Callable[[str], bool], most: int = 3, reply: str = "reply") -> DataFrame:
+    """As `ask`, but a reply that isn't good is asked for again, up to `most` times in all; the last one stands."""
+
+    def until(text: str, name: str) -> str:
+        out = ""
+        for _ in range(most):
+            out = client(text, name)
+            if good(out):
+                break
+        return out
+
+    return ask(df, prompt, model, until, reply)
+
+
+def ask_cached(df: DataFrame, prompt: str, model: str, client: Client, path: str, run: int, reply: str = "reply") -> DataFrame:
+    """As `ask`, over a store of earlier replies in the folder `path`, by the hash of prompt and model: only what no earlier run
+    has asked goes to the client, and replies without an error are added under `run`, a number above those of earlier ones."""
+    spark = df.sparkSession
+    keyed = df.withColumn("__key", F.sha2(F.to_json(F.struct(F.col(prompt).alias("p"), F.col(model).alias("m"))), 256))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    known = None
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        known = spark.read.parquet(path).where(F.col("run") < run).select("__key", reply)
+    new = keyed.dropDuplicates(["__key"]) if known is None else keyed.dropDuplicates(["__key"]).join(known, "__key", "left_anti")
+    asked = ask(new.select("__key", prompt, model), prompt, model, client, reply)
+    asked.where("error is null").select("__key", reply).write.mode("overwrite").parquet(f"{path}/run={run}")
+    return keyed.join(spark.read.parquet(path).where(F.col("run") <= run).select("__key", reply), "__key", "left").drop("__key")
+
+
+# Typed calls: a prompt that says what form the reply must have, and the reply read in that form; null where it hasn't got it.
+
+
+def choice_prompt(instruction: Column, text: Column, options: Column) -> Column:
+    from corpusmill.functions.prompts import display_choices
+
+    return F.concat(instruction, F.lit("\n\nText:\n"), text, F.lit("\n\nChoices:\n"), display_choices(options)["text"], F.lit('\n\nReply with JSON: {"classification": "<letter>"}'))
+
+
+def chosen(reply: Column, options: Column) -> Column:
+    """The place, from 0, of the option whose letter the reply gives."""
+    from corpusmill.functions.jsonish import field, first_parsed, fenced_json
+    from corpusmill.functions.prompts import display_choices
+
+    return F.try_element_at(display_choices(options)["places"], F.upper(F.trim(field(first_parsed(reply, fenced_json(reply)), "classification", "string"))))
+
+
+def yes_no(reply: Column) -> Column:
+    """True for the first of two options, yes and no."""
+    return chosen(reply, F.array(F.lit("Yes"), F.lit("No"))) == 0
+
+
+def scored(reply: Column, least: int, most: int) -> Column:
+    """The whole number that the reply gives as its score, if it is in range."""
+    from corpusmill.functions.jsonish import field, fenced_json, first_parsed
+
+    n = field(first_parsed(reply, fenced_json(reply)), "score", "int")
+    return F.when(n.between(least, most), n)
+
+
+def read_object(reply: Column, required: list[str]) -> Column:
+    """(object, whole): the reply's JSON object as VARIANT, and whether it has all required fields."""
+    from corpusmill.functions.jsonish import fenced_json, first_parsed
+    from corpusmill.functions.prompts import whole_or_raw
+
+    v = first_parsed(reply, fenced_json(reply))
+    return F.struct(v.alias("object"), whole_or_raw(v, required).alias("whole"))
+
+
+def all_failed(df: DataFrame, error: str = "error") -> None:
+    """An error if there were calls and none of them came through."""
+    one = df.agg(F.count("*").alias("n"), F.count(error).alias("bad")).first()
+    if one["n"] and one["n"] == one["bad"]:
+        raise RuntimeError(f"all {one['n']} calls failed")
+
+
 def surviving(df: DataFrame, group: str, error: str = "error") -> DataFrame:
     """Replies without an error; a group of which none is left appears with `all_failed`."""
     good = df.where(F.col(error).isNull()).withColumn("all_failed", F.lit(False))

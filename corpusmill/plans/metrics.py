@@ -314,8 +314,8 @@ select a.doc_id as a, b.doc_id as b, floor(round(sum(a.w * b.w), 9) * 100000)::b
     "greedy_dedup": """
 with recursive p as (select p_partkey as k, p_size % 3 = 0 as hits, row_number() over (order by p_partkey) as r from part),
 f as (select 0::bigint as r, null::bigint as k, []::bigint[] as live, false as kept union all
-  select f.r + 1, p.k, case when ok and hits then list_append(near, p.k) else near end, ok
-  from (select f.r, p.k, p.hits, list_filter(live, lambda x: x >= p.k - 2) as near, not (list_contains(live, p.k - 1) or list_contains(live, p.k - 3)) as ok from f join p on p.r = f.r + 1) f join p on p.r = f.r + 1)
+  select r + 1, key, case when ok and hit then list_append(near, key) else near end, ok
+  from (select f.r, p.k as key, p.hits as hit, list_filter(live, lambda x: x >= p.k - 2) as near, not (list_contains(live, p.k - 1) or list_contains(live, p.k - 3)) as ok from f join p on p.r = f.r + 1))
 select k as i from f where kept""",
     "packed_blocks": r"""
 with w as (select doc_id, unnest(w) as x, generate_subscripts(w, 1) as i from (select doc_id, regexp_extract_all(text, '\S+') as w from documents)), r as (select length(x) * 997 % 30000 as id, row_number() over (order by doc_id, i) - 1 as r from w),

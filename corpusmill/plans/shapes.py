@@ -24,7 +24,7 @@ def _of(col: Column, *values: str) -> Column:
 def item_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark texts as items of four types, some fields empty."""
     k, t = F.col("item_id"), F.col("text")
-    prompt = P.item_prompt(_of(k, "debugging", "code_generation", "explain", ""), t, F.when(k % 2 == 0, F.upper(t)), F.when(k % 3 == 0, F.reverse(t)), _of(k, "rust", ""), F.when(k % 5 == 0, F.lit("anyhow")).otherwise(""), F.lit("none"))
+    prompt = P.item_prompt(_of(k, "debugging", "code_generation", "explain", ""), t, F.when(k % 2 == 0, F.concat(F.lit("fn "), t)), F.when(k % 3 == 0, F.reverse(t)), _of(k, "rust", ""), F.when(k % 5 == 0, F.lit("anyhow")).otherwise(""), F.lit("none"))
     return table(spark, sf_dir, "benchmark").select("item_id", F.sha2(prompt, 256).alias("prompt_sha"), F.sha2(P.task_file(F.lit("T"), t), 256).alias("task_sha"))
 
 
@@ -208,7 +208,7 @@ _NL = "chr(10)"
 ORACLES = {
     "item_prompts": """
 with i as (select item_id as k, text as t, ['debugging', 'code_generation', 'explain', ''][item_id % 4 + 1] as ty, ['rust', ''][item_id % 2 + 1] as l from benchmark),
-p as (select k, t, list_filter([case when ty <> '' then '**Task Type:** ' || ty end, case when k % 2 = 0 then '**Context Code:**' || chr(10) || '```' || l || chr(10) || upper(t) || chr(10) || '```' end,
+p as (select k, t, list_filter([case when ty <> '' then '**Task Type:** ' || ty end, case when k % 2 = 0 then '**Context Code:**' || chr(10) || '```' || l || chr(10) || 'fn ' || t || chr(10) || '```' end,
   case when k % 3 = 0 then '**Buggy Code:**' || chr(10) || '```' || l || chr(10) || reverse(t) || chr(10) || '```' end, case when k % 5 = 0 then '**Error Handling Pattern:** anyhow' end, '**Task:**' || chr(10) || t, case when k % 4 < 2 then '**Constraints:**' || chr(10) || 'none' end], lambda x: x is not null) as parts from i)
 select k as item_id, sha256(array_to_string(list_transform(parts, lambda x: x || chr(10)), chr(10))) as prompt_sha,
 sha256('# Task: T' || chr(10) || chr(10) || '## PR Information' || chr(10) || '**Title:** T' || chr(10) || chr(10) || '## Description' || chr(10) || t || chr(10) || chr(10) || '## Requirements' || chr(10) || 'Based on the PR description above, please implement the required changes.' || chr(10) || chr(10) || '**Please implement this feature.**' || chr(10)) as task_sha from p""",

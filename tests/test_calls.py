@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusmill.operators import calls
 
@@ -37,3 +38,65 @@ def test_clients():
     asked = []
     pick = calls.with_model_switch(lambda p, m: asked.append(m) or {"x": "0.2", "y": "0.9"}[m], ["x", "y"], float, 0.7, 3)
     assert pick("p", "x") == "0.9" and asked == ["x", "y"]
+
+
+def test_busy_servers_are_asked_again():
+    tries = []
+
+    def flaky(prompt, model):
+        tries.append(prompt)
+        if len(tries) < 3:
+            raise calls.ServerError(503)
+        return "ok"
+
+    assert calls.with_retry(flaky, 3, 0.0)("p", "m") == "ok" and len(tries) == 3
+
+    def refuses(prompt, model):
+        tries.append(prompt)
+        raise calls.ServerError(400)
+
+    tries.clear()
+    with pytest.raises(calls.ServerError):
+        calls.with_retry(refuses, 3, 0.0)("p", "m")
+    assert len(tries) == 1
+
+
+def test_round_robin_passes_on():
+    def down(prompt, model):
+        raise ConnectionError
+
+    client = calls.with_round_robin([lambda p, m: "a", down, lambda p, m: "c"])
+    assert [client("p", "m") for _ in range(4)] == ["a", "c", "c", "a"]
+
+
+def test_typed_calls(spark):
+    options = F.array(F.lit("cat"), F.lit("dog"))
+    df = spark.createDataFrame([('{"classification": "b"}', '{"score": 4}', '{"a": 1}'), ('```json\n{"classification": "A"}\n```', '{"score": 9}', '{"a": null}'), ("no", "4", "x")], "c string, s string, o string")
+    out = df.select(calls.chosen(F.col("c"), options), calls.yes_no(F.col("c")), calls.scored(F.col("s"), 1, 5), calls.read_object(F.col("o"), ["a"])["whole"]).collect()
+    assert [tuple(r) for r in out] == [(1, False, 4, True), (0, True, None, False), (None, None, None, False)]
+    prompt = df.limit(1).select(calls.choice_prompt(F.lit("Which?"), F.lit("woof"), options)).first()[0]
+    assert "A. cat\nB. dog" in prompt and prompt.startswith("Which?")
+
+
+def test_replies_are_reduced(spark):
+    df = spark.createDataFrame([(1, "x", 0), (1, "y", 1), (1, "y", 2), (2, "z", 0), (2, "z", 1)], "k int, reply string, i int")
+    got = {how: dict(tuple(r) for r in calls.reduced(df, "k", "reply", "i", how).collect()) for how in ("first", "majority", "unanimous")}
+    assert got == {"first": {1: "x", 2: "z"}, "majority": {1: "y", 2: "z"}, "unanimous": {1: None, 2: "z"}}
+    with pytest.raises(ValueError):
+        calls.reduced(df, "k", "reply", "i", "odd")
+
+
+def test_cache_asks_once(spark, tmp_path):
+    path = str(tmp_path / "cache")
+    df = spark.createDataFrame([("a", "m"), ("a", "m"), ("b", "m")], "p string, m string")
+    one = calls.ask_cached(df, "p", "m", lambda p, m: f"{p}1", path, 1)
+    assert sorted(r["reply"] for r in one.collect()) == ["a1", "a1", "b1"]
+    two = calls.ask_cached(df.union(spark.createDataFrame([("c", "m")], df.schema)), "p", "m", lambda p, m: f"{p}2", path, 2)
+    assert sorted(r["reply"] for r in two.collect()) == ["a1", "a1", "b1", "c2"]
+    assert spark.read.parquet(f"{path}/run=2").count() == 1
+
+
+def test_all_failed(spark):
+    with pytest.raises(RuntimeError):
+        calls.all_failed(spark.createDataFrame([("x",)], "error string"))
+    calls.all_failed(spark.createDataFrame([("x",), (None,)], "error string"))
