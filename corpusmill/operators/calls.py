@@ -146,15 +146,15 @@ def ask_cached(df: DataFrame, prompt: str, model: str, client: Client, path: str
     """As `ask`, over a store of earlier replies in the folder `path`, by the hash of prompt and model: only what no earlier run
     has asked goes to the client, and replies without an error are added under `run`, a number above those of earlier ones."""
     spark = df.sparkSession
-    keyed = df.withColumn("__key", F.sha2(F.to_json(F.struct(F.col(prompt).alias("p"), F.col(model).alias("m"))), 256))
+    keyed = df.withColumn("__hash", F.sha2(F.to_json(F.struct(F.col(prompt).alias("p"), F.col(model).alias("m"))), 256))
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     known = None
     if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        known = spark.read.parquet(path).where(F.col("run") < run).select("__key", reply)
-    new = keyed.dropDuplicates(["__key"]) if known is None else keyed.dropDuplicates(["__key"]).join(known, "__key", "left_anti")
-    asked = ask(new.select("__key", prompt, model), prompt, model, client, reply)
-    asked.where("error is null").select("__key", reply).write.mode("overwrite").parquet(f"{path}/run={run}")
-    return keyed.join(spark.read.parquet(path).where(F.col("run") <= run).select("__key", reply), "__key", "left").drop("__key")
+        known = spark.read.parquet(path).where(F.col("run") < run).select("__hash", reply)
+    new = keyed.dropDuplicates(["__hash"]) if known is None else keyed.dropDuplicates(["__hash"]).join(known, "__hash", "left_anti")
+    asked = ask(new.select("__hash", prompt, model), prompt, model, client, reply)
+    asked.where("error is null").select("__hash", reply).write.mode("overwrite").parquet(f"{path}/run={run}")
+    return keyed.join(spark.read.parquet(path).where(F.col("run") <= run).select("__hash", reply), "__hash", "left").drop("__hash")
 
 
 # Typed calls: a prompt that says what form the reply must have, and the reply read in that form; null where it hasn't got it.

@@ -10,15 +10,15 @@ from pyspark.sql import functions as F
 
 
 def tf_idf(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, term, weight): terms of two or more word characters, lower case, smooth idf ln((1 + n) / (1 + df)) + 1, rows of
-    length one."""
+    """(id, term, weight, df): terms of two or more word characters, lower case, smooth idf ln((1 + n) / (1 + df)) + 1, rows of
+    length one; df, how many documents have the term."""
     terms = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit("(?U)(\\b\\w\\w+\\b)"), F.lit(1))
     tf = docs.select(id_col, F.explode(terms).alias("term")).groupBy(id_col, "term").agg(F.count("*").alias("tf"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     n = docs.agg(F.count("*").alias("n"))
     raw = tf.join(df, "term").crossJoin(F.broadcast(n)).withColumn("w", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1))
     length = raw.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"))
-    return raw.join(length, id_col).select(id_col, "term", (F.col("w") / F.col("len")).alias("weight"))
+    return raw.join(length, id_col).select(id_col, "term", (F.col("w") / F.col("len")).alias("weight"), "df")
 
 
 def retrieve(queries: DataFrame, docs: DataFrame, query_id: str, doc_id: str, text_col: str, k: int = 5, digits: int = 9) -> DataFrame:
@@ -73,13 +73,16 @@ def greedy_keep(pairs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
 
 
 def cosine_pairs(docs: DataFrame, id_col: str, text_col: str, threshold: float = 0.92) -> DataFrame:
-    """(a, b, sim) with a < b and cosine of TF-IDF rows >= threshold. Documents meet by the heaviest terms of one of them that
-    carry more than 1 - threshold^2 of its length: without any of these a pair can't reach the threshold."""
+    """(a, b, sim) with a < b and cosine of TF-IDF rows >= threshold.
+
+    A document's terms are put in order of rarity, which is the same for all; its prefix ends where what is left is shorter
+    than the threshold. Two documents that have no term of both prefixes in common have all that they share in the rest of
+    one of them, and can't reach the threshold: so they meet by rare terms only."""
     w = tf_idf(docs, id_col, text_col)
-    by = Window.partitionBy(id_col).orderBy(F.col("weight").desc(), "term").rowsBetween(Window.unboundedPreceding, -1)
-    # Terms left out have a squared length of threshold^2 or less before the first one is kept.
-    heavy = w.withColumn("before", F.coalesce(F.sum(F.col("weight") * F.col("weight")).over(by), F.lit(0.0))).where(F.col("before") <= 1 - threshold * threshold + 1e-9)
-    cand = heavy.select(F.col(id_col).alias("x"), "term").join(w.select(F.col(id_col).alias("y"), "term"), "term").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    by = Window.partitionBy(id_col).orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.col("weight") * F.col("weight")).over(by), F.lit(0.0))
+    prefix = w.withColumn("before", before).where(1 - F.col("before") >= threshold * threshold - 1e-9).select(F.col(id_col).alias("x"), "term")
+    cand = prefix.select(F.col("x").alias("a"), "term").join(prefix.select(F.col("x").alias("b"), "term"), "term").where("a < b").select("a", "b").distinct()
     wa, wb = w.select(F.col(id_col).alias("a"), "term", F.col("weight").alias("wa")), w.select(F.col(id_col).alias("b"), "term", F.col("weight").alias("wb"))
     sims = cand.join(wa, "a").join(wb, ["b", "term"]).groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("sim"))
     return sims.where(F.col("sim") >= threshold)
