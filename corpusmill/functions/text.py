@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Python strips U+001C to U+001F as well.
 _SPACE = "[\\p{IsWhite_Space}\\x1c-\\x1f]"
+#: Fixed value: the characters that this matches.
+BLANKS = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
 
 def strip(c: Column) -> Column:
@@ -19,8 +21,8 @@ def truthy(c: Column) -> Column:
 
 
 def word_list(c: Column) -> Column:
-    """Words: runs of anything but white space."""
-    return F.regexp_extract_all(c, F.lit("([^\\p{IsWhite_Space}\\x1c-\\x1f]+)"), F.lit(1))
+    """Words: runs of anything but white space. Every kind of it becomes a blank, which texts are split at without a pattern."""
+    return F.filter(F.split(F.translate(c, BLANKS, " " * len(BLANKS)), " ", -1), lambda w: w != "")
 
 
 def token_list(c: Column) -> Column:

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.sources.scratch import fresh
+
 
 def tf_idf(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, term, weight, df): terms of two or more word characters, lower case, smooth idf ln((1 + n) / (1 + df)) + 1, rows of
@@ -78,7 +80,9 @@ def cosine_pairs(docs: DataFrame, id_col: str, text_col: str, threshold: float =
     A document's terms are put in order of rarity, which is the same for all; its prefix ends where what is left is shorter
     than the threshold. Two documents that have no term of both prefixes in common have all that they share in the rest of
     one of them, and can't reach the threshold: so they meet by rare terms only."""
-    w = tf_idf(docs, id_col, text_col)
+    spark, path = docs.sparkSession, fresh(docs.sparkSession, "tfidf")
+    tf_idf(docs, id_col, text_col).write.parquet(path)  # read four times
+    w = spark.read.parquet(path)
     by = Window.partitionBy(id_col).orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum(F.col("weight") * F.col("weight")).over(by), F.lit(0.0))
     prefix = w.withColumn("before", before).where(1 - F.col("before") >= threshold * threshold - 1e-9).select(F.col(id_col).alias("x"), "term")
