@@ -239,8 +239,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
         return rows.selectExpr(f"id as {id_col}", *[f"c_{f.name} as `{f.name}`" for f in own if f.name != id_col], "cast(null as double) as p_text", "cast(null as double) as p_meta", "cast(null as double) as score", "true as accepted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for batch in slices(batches):
+            release()
             a, b, c = model.score(*batch_features(batch))
             yield pa.RecordBatch.from_arrays([batch.column("id"), *[batch.column(f"c_{f.name}") for f in own if f.name != id_col], pa.array(a), pa.array(b), pa.array(c), pa.array(c >= threshold)], names=names)
 

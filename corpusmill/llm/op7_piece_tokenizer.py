@@ -234,10 +234,10 @@ def encode_documents(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id"
     schema = f"{id_col} long, n_tokens int, token_ids array<int>, round_trip boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         m = load(model)
         encoder = Encoder(m)
         for batch in slices(batches, limit=2 << 20):
+            release()
             column = batch.column("text")
             ids, off = encoder.encode(column.to_pylist())
             body, ends = decode(ids, off, m)

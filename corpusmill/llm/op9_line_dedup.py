@@ -110,10 +110,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = repeated_lines(docs, id_col, text_col, k, num, den, short)
     drop = gone.groupBy(F.col(id_col).alias("__gone_id")).agg(F.collect_list("line").alias("__gone"))
     out = docs.drop("n_lines_removed").join(drop, F.col(id_col).cast("long") == F.col("__gone_id"), "left")
-    # Lines are split once, taken by their places in linear time, and joined once. The random numbers, which are never below 0,
-    # keep the optimiser from putting either step in the place of its name: in the function that is called for each line, or
-    # in every use of the new text.
-    once = F.rand(0) >= 0
+    # Lines are split once, taken by their places in linear time, and joined once. The partition's number, which is never below
+    # 0, keeps the optimiser from putting either step in the place of its name: in the function that is called for each line,
+    # or in every use of the new text. (It knows that a random number isn't below 0, and drops that.)
+    once = F.spark_partition_id() >= 0
     out = out.withColumn("__lines", F.when(F.col("__gone").isNotNull() & once, F.split(F.col(text_col), "\n", -1)))
     places = F.array_except(F.sequence(F.lit(0).cast("long"), (F.size("__lines") - 1).cast("long")), "__gone")
     out = out.withColumn("__kept", F.when(once, F.array_join(F.transform(places, lambda i: F.get("__lines", i.cast("int"))), "\n")))
