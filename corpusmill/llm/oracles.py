@@ -56,4 +56,10 @@ string_agg(kind || ':' || s || ':' || e, ',' order by s, rank) filter (rank < 3)
 select doc_id, coalesce(a, 0) as n_assign, coalesce(b, 0) as n_access, coalesce(c, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans from d left join o using (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op6_secret_ledger": _OP6, "op8_jaccard_join": _OP8, "op9_line_dedup": _OP9, "op10_lattice_neardup": _OP10}
+_OP11 = r"""
+with d as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
+select doc_id, min(doc_id) over w as keep_id, count(*) over w as group_size, row_number() over (partition by t order by doc_id nulls last) = 1 as kept, sha256(t) as text_sha256
+from d window w as (partition by t)
+"""
+
+ORACLES: dict[str, str] = {"op6_secret_ledger": _OP6, "op8_jaccard_join": _OP8, "op9_line_dedup": _OP9, "op10_lattice_neardup": _OP10, "op11_exact_dedup": _OP11}
