@@ -62,4 +62,23 @@ select doc_id, min(doc_id) over w as keep_id, count(*) over w as group_size, row
 from d window w as (partition by t)
 """
 
-ORACLES: dict[str, str] = {"op6_secret_ledger": _OP6, "op8_jaccard_join": _OP8, "op9_line_dedup": _OP9, "op10_lattice_neardup": _OP10, "op11_exact_dedup": _OP11}
+_OP12 = rf"""
+with d as (select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source, {_LOW} as t from documents),
+w as (select row, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+k as (select lang, term, count(*) as n from w group by all having count(distinct row) >= 3),
+c as (select lang, source, term, count(*) as n from w group by all),
+g as (select distinct lang, source from d),
+v as (select lang, count(*) as v, sum(n)::bigint as total from k group by 1),
+t as (select g.lang, g.source, coalesce(any_value(v.v), 0) as v, coalesce(sum(c.n) filter (k.term is not null), 0)::bigint as total
+from g left join v using (lang) left join c on c.lang = g.lang and c.source = g.source left join k on k.lang = c.lang and k.term = c.term group by 1, 2),
+p as (select t.lang, t.source, k.term, coalesce(c.n, 0) as n, 1 + 1000000000 * (coalesce(c.n, 0) + 1) // (t.total + t.v) as p, 1 + 1000000000 * (k.n + 1) // (v.total + v.v) as q
+from t join k using (lang) join v using (lang) left join c on c.lang = t.lang and c.source = t.source and c.term = k.term),
+s as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p)::bigint as value from p a join p b using (lang, term) where a.source <> b.source group by all),
+o as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(s.value, 0) as value from g a join g b on a.lang = b.lang and a.source <> b.source
+left join s on s.lang = a.lang and s.source = a.source and s.item = b.source
+union all select lang, source, 'term', term, (p - q) * (p - q) // q from p where n > 0 and p > q),
+r as (select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank from o)
+select lang, source, part, item, value, rank from r where part = 'pair' or rank <= 200
+"""
+
+ORACLES: dict[str, str] = {"op6_secret_ledger": _OP6, "op8_jaccard_join": _OP8, "op9_line_dedup": _OP9, "op10_lattice_neardup": _OP10, "op11_exact_dedup": _OP11, "op12_source_divergence": _OP12}
