@@ -81,4 +81,23 @@ r as (select *, row_number() over (partition by lang, source, part order by valu
 select lang, source, part, item, value, rank from r where part = 'pair' or rank <= 200
 """
 
-ORACLES: dict[str, str] = {"op6_secret_ledger": _OP6, "op8_jaccard_join": _OP8, "op9_line_dedup": _OP9, "op10_lattice_neardup": _OP10, "op11_exact_dedup": _OP11, "op12_source_divergence": _OP12}
+_OP13 = rf"""
+with recursive t as (select list(c order by i) as steps from (select i, list_reduce(list_concat([i::ubigint], range(8)::ubigint[]), lambda x, y: case when x % 2 = 1 then xor(x >> 1, 3988292384::ubigint) else x >> 1 end) as c from range(256) r(i))),
+r as (select doc_id, {_LOW} as x, unnest(regexp_extract_all(x, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) as w from documents),
+d as (select doc_id, w, count(*) as n from r where length(w) >= 7 group by all),
+b as (select *, flatten(list_transform(string_split(coalesce(doc_id::varchar, '') || ':' || w, ''), lambda c: case when unicode(c) < 128 then [unicode(c)] else [195, unicode(c) - 64] end))::ubigint[] as s from d),
+h as (select w, n, xor(list_reduce(list_concat([4294967295::ubigint], s), lambda c, y: xor(steps[((xor(c, y) & 255::ubigint) + 1)::bigint], c >> 8)), 4294967295::ubigint) as h from b, t),
+e as (select case when h % 31 = 0 then w[:(h % length(w))::bigint] || w[(h % length(w))::bigint + 2:] else w end as word, n from h),
+k as (select word, sum(n)::bigint as n from e where length(word) >= 7 group by 1 having sum(n) >= 2),
+x as (select word, unnest(range(length(word))) as i from k),
+o as (select word, i, word[:i] || word[i + 2:] as cut from x),
+p as (select a.word as a, b.word as b from o a join o b using (i, cut) where a.word <> b.word and length(a.word) = length(b.word)
+union select o.word, k.word from o join k on k.word = o.cut union select k.word, o.word from o join k on k.word = o.cut),
+m as (select p.a as word, k.word as near, k.n, row_number() over (partition by p.a order by k.n desc, k.word) as rank, count(*) over (partition by p.a) as n_near from p join k on k.word = p.b),
+f as (select k.word, k.n, coalesce(m.n_near, 0) as n_near, case when m.n >= 10 * k.n then m.near end as form, case when m.n >= 10 * k.n then m.n end as form_n from k left join m on m.word = k.word and m.rank = 1),
+z as (select word, word as root from f union all select z.word, f.form from z join f on f.word = z.root where f.form is not null),
+y as (select z.word, z.root from z join f on f.word = z.root where f.form is null)
+select word, form, root, n, n_near, form_n from f join y using (word)
+"""
+
+ORACLES: dict[str, str] = {"op6_secret_ledger": _OP6, "op8_jaccard_join": _OP8, "op9_line_dedup": _OP9, "op10_lattice_neardup": _OP10, "op11_exact_dedup": _OP11, "op12_source_divergence": _OP12, "op13_spelling_variants": _OP13}

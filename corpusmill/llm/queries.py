@@ -19,6 +19,7 @@ from corpusmill.llm.op9_line_dedup import dedup_lines
 from corpusmill.llm.op10_lattice_neardup import near_duplicates
 from corpusmill.llm.op11_exact_dedup import exact_duplicates
 from corpusmill.llm.op12_source_divergence import divergence
+from corpusmill.llm.op13_spelling_variants import spelling_variants
 from corpusmill.sources.tables import table
 
 
@@ -70,10 +71,14 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_mix_weights, op3_language_id, op4_quality_cotrain, op5_media_sniff, op6_secret_ledger, op7_piece_tokenizer,
-        op8_jaccard_join, op9_line_dedup, op10_lattice_neardup, op11_exact_dedup, op12_source_divergence,
+        op8_jaccard_join, op9_line_dedup, op10_lattice_neardup, op11_exact_dedup, op12_source_divergence, op13_spelling_variants,
     )
 }
