@@ -21,7 +21,7 @@ CELL = 1024
 #: Bytes of normalised text in a chunk that is compared, and bytes from which a text is hashed in pieces by several tasks.
 CHUNK, HUGE = 1 << 16, 8 << 20
 #: Copies of one text that one comparison takes, and the most groups that get more than one comparison.
-COPIES, MOST_HOT = 4096, 100_000
+COPIES, MOST_HOT = 256, 100_000
 #: Bits of the map of repeated fingerprints: its size doesn't grow with the data.
 MAP_BITS = 1 << 26
 
