@@ -21,7 +21,7 @@ def document_sets(k: int, limit: int):
             buf = lower_ascii(buf)
             starts, ends, doc = words(buf, off)
             ids = batch.column("id").to_numpy().astype(np.int64)
-            yield ids, np.zeros(len(ids), np.int64), *shingles(span_hashes(buf, starts, ends), doc, k)
+            yield ids, *[np.zeros(len(ids), np.int64)] * 2, *shingles(span_hashes(buf, starts, ends), doc, k)
 
     return run
 

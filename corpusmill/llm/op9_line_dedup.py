@@ -19,8 +19,9 @@ SHORT = 12
 
 
 def line_sets(k: int, short: int, word_most: int, limit: int):
-    """Sets of lines, keyed by document and 2 * line number, plus 1 for the set of words of a line that has no more than
-    `word_most`; the other one holds the shingles of a line of `short` words or more. Between them a line has both."""
+    """Sets of lines, keyed by document, 2 * line number, plus 1 for the set of words of a line that has no more than
+    `word_most`, and hash of the text; the other one holds the shingles of a line of `short` words or more. Between them a
+    line has both."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[Sets]:
         for batch in slices(batches, limit=limit):
@@ -44,7 +45,8 @@ def line_sets(k: int, short: int, word_most: int, limit: int):
             there[owner] = True
             used, owner = np.flatnonzero(there), np.cumsum(there)[owner] - 1
             ids = batch.column("id").to_numpy().astype(np.int64)
-            yield ids[doc[used >> 1]], 2 * number[used >> 1].astype(np.int64) + (used & 1), tokens, other, owner
+            row = batch.column("row").to_numpy()
+            yield ids[doc[used >> 1]], 2 * number[used >> 1].astype(np.int64) + (used & 1), row[doc[used >> 1]], tokens, other, owner
 
     return run
 
@@ -55,11 +57,13 @@ def class_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[Sets]:
         tokens = batch.column("tokens")
         flat = tokens.flatten().to_numpy(zero_copy_only=False).astype(np.uint64) << np.uint64(16)
         owner = np.repeat(np.arange(len(batch)), np.diff(tokens.offsets.to_numpy()))
-        yield batch.column("id").to_numpy(), batch.column("n").to_numpy(), flat, flat, owner, batch.column("o1").to_numpy(), batch.column("o2").to_numpy()
+        ids = batch.column("id").to_numpy()
+        yield ids, batch.column("n").to_numpy(), np.zeros_like(ids), flat, flat, owner, batch.column("o1").to_numpy(), batch.column("o2").to_numpy()
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 3, den: int = 4, short: int = SHORT) -> DataFrame:
-    """(id, line) of each line (from 0, cut at line feeds) that an earlier line, by (id, line), resembles.
+    """(id, row, line) of each line (from 0, cut at line feeds) that an earlier line resembles, row being the 64-bit hash of its
+    text: rows that repeat an id have lines of their own. Lines are in order of id, line and row.
 
     Words are runs of anything but white space of ASCII, lower-cased in A-Z. Two lines resemble each other at den * |A & B| >=
     num * |A | B|, A and B being their sets of words if neither has more than `short` * den / num, or their sets of
@@ -72,14 +76,14 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     is for lines that resemble one of their few likeliest partners. The rest meet through prefixes in order of rarity,
     by one shingle or by two words, with length and positional filters (`prefix_pairs`), and are verified exactly.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null").withColumn("row", F.xxhash64("text"))
     sets = line_sets(k, short, short * den // num, slice_bytes(docs.sparkSession))
     equal = ["digest", "digest2", "n"]
-    lines = stored(shared_sets(rows, sets, num, den).select(*equal, F.struct("key1", "key2").alias("at"), "tokens"), "lines")
+    lines = stored(shared_sets(rows, sets, num, den).select(*equal, F.struct("key1", "key2", "key3").alias("at"), "tokens"), "lines")
     classes = lines.groupBy(*equal).agg(F.min(F.struct("at", "tokens")).alias("m")).select(*equal, "m.at.*", "m.tokens")
     classes = stored(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
     asked = classes.selectExpr("class as id", "n", "key1 as o1", "key2 as o2", "tokens")
-    ranked = asked.where("o2 % 2 = 0").repartitionByRange("o1", "o2").sortWithinPartitions("o1", "o2")
+    ranked = asked.where("o2 % 2 = 0").repartitionByRange("o1", "o2", "id").sortWithinPartitions("o1", "o2", "id")
     own = shared_sets(ranked, class_sets, num, den, sized=True).selectExpr("key1 as id", "n", "tokens", "batch", "idx", "lead_batch", "lead_idx", "lead_overlap")
     own = own.join(asked.selectExpr("id", "o1", "o2"), "id")
     # Nearly every word is in some other line: a second pass would leave sets of words as they are.
@@ -95,21 +99,23 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         left = listed.join(led.withColumn("led", F.lit(True)), "id", "left").withColumn("open", F.col("led").isNull())
         led = stored((prefix_pairs if last else best_partners)(left, num, den, long, listed).selectExpr("a as id").union(led).distinct(), "led")
     later = led.selectExpr("id as class")
-    first = classes.select(*equal, "class", F.struct("key1", "key2").alias("first"))
+    first = classes.select(*equal, "class", F.struct("key1", "key2", "key3").alias("first"))
     gone = lines.select(*equal, "at").join(first, equal).join(later.withColumn("later", F.lit(True)), "class", "left").where("later or at <> first")
-    return gone.selectExpr(f"at.key1 as {id_col}", "at.key2 div 2 as line").distinct()
+    return gone.selectExpr(f"at.key1 as {id_col}", "at.key3 as row", "at.key2 div 2 as line").distinct()
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 3, den: int = 4, short: int = SHORT) -> DataFrame:
     """`docs` with the repeated lines of `repeated_lines` taken out of `text_col` and, as n_lines_removed, their number (in
     place of a column of that name); documents of which no line with a word is left have empty text.
 
-    Nulls: null text stays null; a row with null id is not compared and stays whole. Rows that repeat an id: lines count
-    as one document's for the order, and lose the same line numbers. Long texts are whole; an empty table gives none.
+    Nulls: null text stays null; a row with null id is not compared and stays whole. Rows that repeat an id
+    are told apart by their texts, and lose only lines of their own; rows that repeat both lose the same lines. Long texts are
+    whole; an empty table gives none.
     """
     gone = repeated_lines(docs, id_col, text_col, k, num, den, short)
-    drop = gone.groupBy(F.col(id_col).alias("__gone_id")).agg(F.collect_list("line").alias("__gone"))
-    out = docs.drop("n_lines_removed").join(drop, F.col(id_col).cast("long") == F.col("__gone_id"), "left")
+    drop = gone.groupBy(F.col(id_col).alias("__gone_id"), F.col("row").alias("__gone_row")).agg(F.collect_list("line").alias("__gone"))
+    of_row = (F.col(id_col).cast("long") == F.col("__gone_id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("__gone_row"))
+    out = docs.drop("n_lines_removed").join(drop, of_row, "left")
     # Lines are split once, taken by their places in linear time, and joined once. The partition's number, which is never below
     # 0, keeps the optimiser from putting either step in the place of its name: in the function that is called for each line,
     # or in every use of the new text. (It knows that a random number isn't below 0, and drops that.)
@@ -118,4 +124,4 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     places = F.array_except(F.sequence(F.lit(0).cast("long"), (F.size("__lines") - 1).cast("long")), "__gone")
     out = out.withColumn("__kept", F.when(once, F.array_join(F.transform(places, lambda i: F.get("__lines", i.cast("int"))), "\n")))
     text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.when(F.regexp_like("__kept", F.lit("[^\\x20\\x09-\\x0D]")), F.col("__kept")).otherwise(F.lit("")))
-    return out.withColumn("n_lines_removed", F.coalesce(F.size("__gone"), F.lit(0)).cast("long")).withColumn(text_col, text).drop("__gone", "__gone_id", "__lines", "__kept")
+    return out.withColumn("n_lines_removed", F.coalesce(F.size("__gone"), F.lit(0)).cast("long")).withColumn(text_col, text).drop("__gone", "__gone_id", "__gone_row", "__lines", "__kept")

@@ -91,16 +91,16 @@ Sets = tuple[np.ndarray, ...]
 
 
 def deal(sets: Callable[[Iterator[pa.RecordBatch]], Iterator[Sets]], parts: int, sized: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For mapInArrow. `sets` yields (key1, key2, token hashes, other hashes of the same tokens, set number of each): keys by
-    set number, both int64.
+    """For mapInArrow. `sets` yields (key1, key2, key3, token hashes, other hashes of the same tokens, set number of each): keys by
+    set number, all int64.
     With `sized` the second key is the number of tokens that a set has in all, those not given included, and `sets` yields
-    two more arrays: sets come in ascending order of this pair, over all batches, and a token's first set is the first in
-    that order."""
+    two more arrays: sets come in ascending order of these two and the first key, over all batches, and a token's first set is
+    the first in that order."""
 
     def part_of(entries: np.ndarray) -> np.ndarray:
         return ((entries >> np.uint64(16)) * np.uint64(parts)) >> np.uint64(48) if parts < 1 << 16 else (entries >> np.uint64(32)) % np.uint64(parts)
 
-    def one(number: int, key1: np.ndarray, key2: np.ndarray, tokens: np.ndarray, other: np.ndarray, owner: np.ndarray, *order: np.ndarray) -> pa.RecordBatch:
+    def one(number: int, key1: np.ndarray, key2: np.ndarray, key3: np.ndarray, tokens: np.ndarray, other: np.ndarray, owner: np.ndarray, *order: np.ndarray) -> pa.RecordBatch:
         entries = (tokens & ~_IDX) | owner.astype(np.uint64)
         by = np.argsort(entries)
         entries = entries[by]
@@ -115,10 +115,10 @@ def deal(sets: Callable[[Iterator[pa.RecordBatch]], Iterator[Sets]], parts: int,
                 digests.append(np.zeros(len(key1), np.uint64))
                 np.add.at(digests[-1], idx, mix(h[by] + seed))
         digest, digest2 = digests or [np.zeros(len(key1), np.uint64)] * 2
-        name = batch_name(number, key1, key2)
-        head = np.array([x[0] for x in order] or [name, 0], np.int64).tobytes()
+        name = batch_name(number, key1, key2, key3)
+        head = np.array([x[0] for x in (*order, key1)] if order else [name, 0, 0], np.int64).tobytes()
         tok = entries >> np.uint64(16)
-        rows = [(parts + name % parts, DIRECTORY, name, np.concatenate([key1, key2, size, digest.view(np.int64), digest2.view(np.int64)]).tobytes())]
+        rows = [(parts + name % parts, DIRECTORY, name, np.concatenate([key1, key2, key3, size, digest.view(np.int64), digest2.view(np.int64)]).tobytes())]
         first = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]])) if len(tok) else np.zeros(0, np.int64)
         count = np.diff(np.concatenate([first, [len(tok)]]))
         if (hot := count > HOT).any():
@@ -144,14 +144,14 @@ def deal(sets: Callable[[Iterator[pa.RecordBatch]], Iterator[Sets]], parts: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = 0
         release()
-        for key1, key2, tokens, other, owner, *more in sets(batches):
+        for key1, key2, key3, tokens, other, owner, *more in sets(batches):
             if len(key1) > MOST_SETS:
                 order = np.argsort(owner, kind="stable")
                 tokens, other, owner = tokens[order], other[order], owner[order]
             for a in range(0, len(key1), MOST_SETS):
                 lo, hi = np.searchsorted(owner, [a, a + MOST_SETS]) if len(key1) > MOST_SETS else (0, len(owner))
                 cut = slice(a, a + MOST_SETS)
-                yield one(number, key1[cut], key2[cut], tokens[lo:hi], other[lo:hi], owner[lo:hi] - a, *[x[cut] for x in more])
+                yield one(number, key1[cut], key2[cut], key3[cut], tokens[lo:hi], other[lo:hi], owner[lo:hi] - a, *[x[cut] for x in more])
                 number += 1
         release()
 
@@ -166,10 +166,10 @@ def match(rows: pa.Table) -> pa.Table:
     mine = rows.filter(pa.array(kinds == ENTRIES))
     if not mine.num_rows:
         return through.cast(_ROW_PA)
-    heads = np.array([np.frombuffer(x.as_py(), np.int64, 2) for x in mine.column("body")])
-    mine = mine.take(pa.array(np.lexsort((mine.column("batch").to_numpy(), heads[:, 1], heads[:, 0]))))
+    heads = np.array([np.frombuffer(x.as_py(), np.int64, 3) for x in mine.column("body")])
+    mine = mine.take(pa.array(np.lexsort((mine.column("batch").to_numpy(), *heads.T[::-1]))))
     names = mine.column("batch").to_numpy()
-    tok, idx, count = unpacked([memoryview(x.as_py())[16:] for x in mine.column("body")])
+    tok, idx, count = unpacked([memoryview(x.as_py())[24:] for x in mine.column("body")])
     row = np.repeat(np.arange(len(count)), count)
     order = np.argsort(tok, kind="stable")  # ties stay in the order of batch and set
     tok = tok[order]
@@ -195,8 +195,8 @@ def match(rows: pa.Table) -> pa.Table:
     return pa.concat_tables([through.cast(_ROW_PA), back])
 
 
-_SETS = "batch long, idx int, key1 long, key2 long, n long, digest long, digest2 long, tokens array<long>, lead_batch long, lead_idx int, lead_overlap long, weight float"
-_SETS_PA = pa.schema([("batch", pa.int64()), ("idx", pa.int32()), ("key1", pa.int64()), ("key2", pa.int64()), ("n", pa.int64()), ("digest", pa.int64()), ("digest2", pa.int64()), ("tokens", pa.list_(pa.int64())), ("lead_batch", pa.int64()), ("lead_idx", pa.int32()), ("lead_overlap", pa.int64()), ("weight", pa.float32())])
+_SETS = "batch long, idx int, key1 long, key2 long, key3 long, n long, digest long, digest2 long, tokens array<long>, lead_batch long, lead_idx int, lead_overlap long, weight float"
+_SETS_PA = pa.schema([("batch", pa.int64()), ("idx", pa.int32()), ("key1", pa.int64()), ("key2", pa.int64()), ("key3", pa.int64()), ("n", pa.int64()), ("digest", pa.int64()), ("digest2", pa.int64()), ("tokens", pa.list_(pa.int64())), ("lead_batch", pa.int64()), ("lead_idx", pa.int32()), ("lead_overlap", pa.int64()), ("weight", pa.float32())])
 
 
 def gather(num: int, den: int, keep_all: bool) -> Callable[[pa.Table], pa.Table]:
@@ -206,7 +206,7 @@ def gather(num: int, den: int, keep_all: bool) -> Callable[[pa.Table], pa.Table]
         kinds, name = rows.column("kind").to_numpy(), rows.column("batch")[0].as_py()
         bodies = rows.column("body")
         head = np.frombuffer(bodies[int(np.flatnonzero(kinds == DIRECTORY)[0])].as_py(), np.int64)
-        key1, key2, size, digest, digest2 = head.reshape(5, len(head) // 5)
+        key1, key2, key3, size, digest, digest2 = head.reshape(6, len(head) // 6)
         # Of a token that came both ways the wider search's answer counts: it comes first.
         found = [bodies[int(i)].as_py() for i in np.flatnonzero(kinds == ENTRIES)]
         kept = [bodies[int(i)].as_py() for i in np.flatnonzero(kinds == KEPT)]
@@ -260,7 +260,7 @@ def gather(num: int, den: int, keep_all: bool) -> Callable[[pa.Table], pa.Table]
         has = lead_of[out] >= 0
         return pa.table(
             [
-                pa.array(np.full(len(out), name)), pa.array(out.astype(np.int32)), pa.array(key1[out]), pa.array(key2[out]), pa.array(size[out]), pa.array(digest[out]), pa.array(digest2[out]), tokens,
+                pa.array(np.full(len(out), name)), pa.array(out.astype(np.int32)), pa.array(key1[out]), pa.array(key2[out]), pa.array(key3[out]), pa.array(size[out]), pa.array(digest[out]), pa.array(digest2[out]), tokens,
                 pa.array(by_code[np.maximum(lead_of[out], 0) >> 16], mask=~has), pa.array((np.maximum(lead_of[out], 0) & 0xFFFF).astype(np.int32), mask=~has), pa.array(lead_n[out], mask=~has), pa.array(weight[out].astype(np.float32)),
             ],
             schema=_SETS_PA,
@@ -362,7 +362,7 @@ def prefix_pairs(listed: DataFrame, num: int, den: int, long: DataFrame | None =
     filter or positional bound its sizes and positions can't meet. `listed` should be a stored table, unless its `long_keys`
     and, with the same ids, labels, sizes and tokens, a stored `body` are given.
 
-    If `listed` has columns open and o1, o2, an order, a is the later one of a pair and only pairs whose later one is open
+    If `listed` has columns open and o1, o2, an order (ties by id), a is the later one of a pair and only pairs whose later one is open
     are looked for. If it has a column paired, sets of it meet by two common tokens; sets of unlike `paired` don't meet.
     """
     posted = _postings(listed, long_keys(listed, num, den) if long is None else long, num, den)
@@ -399,8 +399,11 @@ def _candidates(num: int, den: int, best: int = 0) -> Callable[[pa.Table], pa.Ta
 
     def run(rows: pa.Table) -> pa.Table:
         tok, ids, label, n, pos, is_open, o1, o2, m, ci, cj = (rows.column(c).to_numpy() for c in ("tok", "id", "label", "n", "pos", "open", "o1", "o2", "m", "ci", "cj"))
-        # The order as a number within these rows.
-        place = np.unique(np.stack([o1, o2]), axis=1, return_inverse=True)[1].ravel()
+        # The order as a number within these rows; sets that tie in it stand by id.
+        by = np.lexsort((ids, o2, o1))
+        step = np.concatenate([[False], (ids[by][1:] != ids[by][:-1]) | (o2[by][1:] != o2[by][:-1]) | (o1[by][1:] != o1[by][:-1])])
+        place = np.empty(len(by), np.int64)
+        place[by] = np.cumsum(step)
         order = np.lexsort((ids, n, cj, ci, tok))
         tok, ids, label, n, pos, is_open, place, m, ci, cj = (x[order] for x in (tok, ids, label, n, pos, is_open, place, m, ci, cj))
         near = pos <= n + (-2 * num * n) // (num + den)  # n - ceil(2t / (1 + t) n)

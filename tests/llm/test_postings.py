@@ -216,3 +216,23 @@ def test_one_id_of_several_texts_keeps_the_links_of_each(spark):
     out = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()
     assert len(out) == len(rows)
     assert all(x["component_id"] == x["doc_id"] // 100 * 100 for x in out)
+
+
+def test_unlike_texts_of_one_id_keep_their_own_lines(spark):
+    """Brute force over rows: lines in order of id, number and row; a row's hash settles ties."""
+    rows = [(3, "alpha beta gamma delta epsilon"), (7, "a line nobody else has at all"), (7, "alpha beta gamma delta epsilon")]
+    out = sorted(tuple(r) for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "text", "n_lines_removed").collect())
+    assert out == [(3, rows[0][1], 0), (7, "", 1), (7, rows[1][1], 0)]
+    r = random.Random(11)
+    rows = [(r.randrange(8), t) for _, t in short_lines(7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    hashes = {t: h for t, h in df.selectExpr("text", "xxhash64(text)").collect()}
+    lines = sorted({(i, n, hashes[t], line) for i, t in rows for n, line in enumerate(t.split("\n"))})
+    gone = {x[:3] for k, x in enumerate(lines) if words_of(x[3]) and any(resembles(x[3], y[3]) or x[3] == y[3] for y in lines[:k])}
+    want = []
+    for i, t in rows:
+        kept = [line for n, line in enumerate(t.split("\n")) if (i, n, hashes[t]) not in gone]
+        n = t.count("\n") + 1 - len(kept)
+        text = "\n".join(kept)
+        want.append((i, text if re.search(r"[^\x20\x09-\x0D]", text) or not n else "", n))
+    assert sorted(tuple(r) for r in dedup_lines(df).select("doc_id", "text", "n_lines_removed").collect()) == sorted(want)

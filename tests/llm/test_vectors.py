@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from corpusmill.llm.op10_lattice_neardup import cell_codes, decode_e8, minimal_vectors, near_duplicates, unit
+from corpusmill.llm.op10_lattice_neardup import cell_codes, decode_e8, minimal_vectors, near_duplicates, plan, unit
 
 
 def test_lattice_points_are_nearest():
@@ -27,11 +27,35 @@ def pairs_at(rng, n: int, cosine: float, dim: int = 64) -> tuple[np.ndarray, np.
 
 
 @pytest.mark.parametrize("dim", [8, 32, 64, 384, 768])
-def test_recall_of_cells(dim):
-    u, v = pairs_at(np.random.default_rng(1), 2000, 0.9, dim)
-    a, b = cell_codes(u, 6, 3, 1.8), cell_codes(v, 6, 3, 1.8)
+@pytest.mark.parametrize("n", [1000, 10**5, 10**7])
+def test_recall_of_cells(dim, n):
+    """At cosine 0.9 exactly, with the cells and tables that so many vectors get."""
+    tables, stretch = plan(n)
+    u, v = pairs_at(np.random.default_rng(1), 1500, 0.9, dim)
+    a, b = cell_codes(u, tables, 3, stretch), cell_codes(v, tables, 3, stretch)
     met = ((a[:, :, :1] == b) | (b[:, :, :1] == a)).any(axis=(1, 2))
-    assert met.mean() > 0.95
+    assert met.mean() > 0.93
+
+
+def compared(n: int, dim: int) -> float:
+    """Pairs that random vectors make: visits of each cell times its members, over all tables."""
+    tables, stretch = plan(n)
+    v = unit(np.random.default_rng(n).normal(size=(n, dim)))
+    codes = cell_codes(v, tables, 3, stretch)
+    total = 0
+    for t in range(tables):
+        cells, members = np.unique(codes[:, t, 0], return_counts=True)
+        at = np.minimum(np.searchsorted(cells, codes[:, t]), len(cells) - 1)
+        total += int(members[at][cells[at] == codes[:, t]].sum()) - n
+    return total
+
+
+@pytest.mark.parametrize("dim", [64, 384])
+def test_comparisons_grow_more_slowly_than_n_to_1_5(dim):
+    counts = [compared(n, dim) for n in (4000, 16000, 64000)]
+    for a, b in zip(counts[:-1], counts[1:], strict=True):
+        assert b / a < 4**1.5
+    assert counts[-1] < 64000**1.5
 
 
 def test_against_all_pairs(spark):
