@@ -46,8 +46,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that resemble an earlier line, by id and line; n_chars follows the text. A document of which
     nothing is left goes; one that had no word before, null or empty texts among them, stays as it was, as does a row of
-    null id, which is not compared. Rows that repeat an id lose the same lines: of lines that tie the first one stays, which
-    is one line of that id in each of its rows."""
+    null id, which is not compared. Rows that repeat an id are told apart by their texts and lose only lines of their own;
+    of equal rows each keeps what the first one keeps."""
     out = dedup_lines(docs.select(*COLUMNS))
     out = out.where("not (n_lines_removed > 0 and text = '')")
     return out.withColumn("n_chars", F.when(F.col("n_lines_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
