@@ -9,7 +9,7 @@ from corpusmill.operators import resume
 from corpusmill.sources import files as S
 from corpusmill.sources.scratch import fresh
 from corpusmill.sources.tables import table
-from corpusmill.streaming import sessions
+from corpusmill.streaming import memory, sessions
 
 
 def jsonl_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +118,20 @@ def accepted_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("question", "event_id")
 
 
+def remembered_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items as questions of a first run; a second one asks them again, some in other words, some by halves. Only what
+    resembles nothing accepted is taken."""
+    source, out = fresh(spark, "asked"), fresh(spark, "remembered")
+    b = table(spark, sf_dir, "benchmark")
+    first = b.selectExpr("item_id as question_id", "text as question")
+    again = b.selectExpr("item_id + 100000 as question_id", "if(item_id % 2 = 1, concat('Oh ', text), substring(text, 1, cast(length(text) div 2 as int))) as question")
+    for run in (first, again):
+        run.coalesce(1).write.mode("append").json(source)
+        stream = spark.readStream.schema("question_id long, question string").json(source).selectExpr("*", "lpad(cast(question_id as string), 19, '0') as at")
+        memory.accept_unlike(stream, out, f"{out}-state", "question_id", "question", "at").awaitTermination()
+    return spark.read.parquet(out).select("question_id", "question")
+
+
 def logged_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Task results through a stream into a log, each once, though the query runs twice."""
     source, out = fresh(spark, "tasks"), fresh(spark, "log")
@@ -130,7 +144,7 @@ def logged_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        jsonl_scan, tolerant_scan, json_document, result_items, csv_scan, routed_sink, appended_results, metrics_sink, text_folder, problem_samples, datapoint_kinds, run_files, accepted_stream, logged_stream,
+        jsonl_scan, tolerant_scan, json_document, result_items, csv_scan, routed_sink, appended_results, metrics_sink, text_folder, problem_samples, datapoint_kinds, run_files, accepted_stream, remembered_stream, logged_stream,
     )
 }
 ORACLES = {

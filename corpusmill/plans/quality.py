@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions import jsonish as J
 from corpusmill.functions import scoring as S
 from corpusmill.operators import joins, qa
+from corpusmill.operators.embeddings import fit_space, semantic_overlap
 from corpusmill.sources.tables import table
 
 
@@ -56,16 +57,27 @@ def legacy_judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").groupBy(ok.alias("accepted")).agg(F.count("*").alias("n"))
 
 
-def _cited(spark: SparkSession, sf_dir: str, text: F.Column, answer: F.Column) -> DataFrame:
-    """Benchmark items that cite two documents, one of them unknown now and then."""
-    chunks = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("chunk_id"), text.alias("text"))
+def _cited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items, some in capitals and with other white space, that cite two documents, one of them unknown now and then."""
+    chunks = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("chunk_id"), "text")
+    spaced = F.replace(F.col("text"), F.lit(" "), F.lit(" \n\t"))
+    answer = F.when(F.col("item_id") % 3 == 0, F.translate("text", "abcdefghijklm", "ABCDEFGHIJKLM")).when(F.col("item_id") % 3 == 1, spaced).otherwise(F.col("text"))
     rows = table(spark, sf_dir, "benchmark").select("item_id", answer.alias("answer"), F.array(F.concat(F.lit("d"), (F.col("item_id") * 3).cast("string")), F.concat(F.lit("d"), (F.col("item_id") - 5).cast("string"))).alias("citations"))
-    out = qa.cited_text(rows, chunks, "item_id")
-    return out.select("item_id", F.sha2("cited", 256).alias("cited_sha"), F.round(qa.lexical_overlap(F.col("answer"), F.col("cited")), 6).alias("lex"))
+    return qa.cited_text(rows, chunks, "item_id")
 
 
 def cited_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cited(spark, sf_dir, F.col("text"), F.col("text"))
+    return _cited(spark, sf_dir).select("item_id", F.sha2("cited", 256).alias("cited_sha"), F.round(qa.lexical_overlap(F.col("answer"), F.col("cited")), 6).alias("lex"))
+
+
+def grounding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers held to what they cite, by characters and by embeddings; every other answer is the start of its first citation."""
+    docs = table(spark, sf_dir, "documents")
+    answer = F.when(F.col("item_id") % 2 == 0, F.concat(F.substring("cited", 1, 400), F.lit(" "), F.substring("answer", 1, 40))).otherwise(F.col("answer"))
+    rows = _cited(spark, sf_dir).withColumn("answer", answer)
+    scored = semantic_overlap(fit_space(docs, "doc_id", "text"), rows, "item_id", "answer", "cited")
+    lex = qa.lexical_overlap(F.col("answer"), F.col("cited"))
+    return scored.select("item_id", F.round(lex, 6).alias("lex"), F.round("sem_sim", 4).alias("sem"), qa.grounded(lex, F.col("sem_sim")).alias("grounded"))
 
 
 def json_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +175,7 @@ def model_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (citation_validation, confidence_routes, confidence_profile, judged, legacy_judged, cited_overlap, json_parsing, verdicts, exact_matches, bleu_scores, backfilled, missing_extra, unprocessed_orders, action_checks, communicated, one_stop_pairs, interval_hits, option_products, user_lookup, model_outcomes)
+    for f in (citation_validation, confidence_routes, confidence_profile, judged, legacy_judged, cited_overlap, grounding, json_parsing, verdicts, exact_matches, bleu_scores, backfilled, missing_extra, unprocessed_orders, action_checks, communicated, one_stop_pairs, interval_hits, option_products, user_lookup, model_outcomes)
 }
 _REPLIES = """r as (select l_orderkey, l_linenumber, l_partkey, (l_orderkey * 7 + l_linenumber) % 11 as m, printf('%.2f', l_discount + 0.8::double)::double as conf from lineitem)"""
 ORACLES = {
@@ -186,9 +198,11 @@ select k as o_orderkey, round(t, 2) as composite_score, k % 3 <> 2 and k % 7 <>
     "legacy_judged": """
 with j as (select o_orderkey as k from orders)
 select k % 2 >= 1 and k % 6 >= 4 and k % 5 + 1 >= 3 and k % 4 + 2 >= 3 and (k % 6 + k % 5 + 1 + k % 4 + 2 + k % 3 + 3) / 4 >= 3.5 as accepted, count(*) as n from j group by 1""",
-    "cited_overlap": """
-with t as (select item_id, text as a, coalesce(concat_ws(chr(10), (select text from documents where doc_id = item_id * 3), (select text from documents where doc_id = item_id - 5)), '') as c from benchmark)
-select item_id, sha256(c) as cited_sha, round(case when c = '' then 0 when length(a) = 0 then 0 else len(list_filter(string_split(a, ''), lambda x: contains(c, x))) / length(a) end, 6) as lex from t""",
+    "cited_overlap": r"""
+with t as (select item_id, case item_id % 3 when 0 then translate(text, 'abcdefghijklm', 'ABCDEFGHIJKLM') when 1 then replace(text, ' ', ' ' || chr(10) || chr(9)) else text end as a,
+coalesce(concat_ws(chr(10), (select text from documents where doc_id = item_id * 3), (select text from documents where doc_id = item_id - 5)), '') as c from benchmark),
+n as (select item_id, c, lower(regexp_replace(a, '\s+', ' ', 'g')) as x, lower(regexp_replace(c, '\s+', ' ', 'g')) as y from t)
+select item_id, sha256(c) as cited_sha, round(case when c = '' then 0 when length(x) = 0 then 0 else len(list_filter(string_split(x, ''), lambda ch: contains(y, ch))) / length(x) end, 6) as lex from n""",
     "json_parsing": """
 select case when o_orderkey % 4 <> 3 then 'L' || o_orderkey % 5 end as label, case when o_orderkey % 4 <> 3 then o_orderkey % 9 end::int as x, count(*) as n from orders group by all""",
     "verdicts": r"""
