@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.functions import code as C
 from corpusmill.functions import prompts as P
 from corpusmill.functions import tiers as T
 from corpusmill.operators import lookups as L
+from corpusmill.operators import source
 from corpusmill.operators.joins import arrival_day
 from corpusmill.sources.tables import table
 
@@ -140,18 +140,35 @@ def source_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(
         F.lit("/// doc\npub fn part_"), n, F.lit("() {\n    let s = \"}{\"; // }\n"), F.expr("repeat('    call();\n', cast(p_partkey % 4 as int))"), F.lit("}\n\nimpl<T> Show for Box<T> {\n    fn show_"), n, F.lit("(&self) {}\n}\nmod inner {\n}\n")
     )
-    rows = table(spark, sf_dir, "part").select("p_partkey", text.alias("t"))
-    each = rows.select("p_partkey", F.explode(F.concat(C.function_spans(F.col("t"), ".rs"), C.function_spans(F.col("t"), ".rs", containers=True))).alias("s"))
-    return each.select("p_partkey", "s.name", F.col("s.start").alias("first"), F.col("s.end").alias("last"))
+    files = table(spark, sf_dir, "part").select("p_partkey", F.lit("src/a.rs").alias("path"), text.alias("text"))
+    return source.source_blocks(files, ["p_partkey"]).select("p_partkey", "name", "first", "last")
 
 
-def context_diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One line of a part's function changed."""
     n = F.col("p_partkey").cast("string")
     file = lambda x: F.concat(F.lit("use a;\n\nfn part_"), n, F.lit("() {\n    one();\n    "), x, F.lit("();\n}\n\nfn other() {}\n"))
     diff = F.lit("diff --git a/f.rs b/f.rs\n--- a/f.rs\n+++ b/f.rs\n@@ -4,2 +4,2 @@\n     one();\n-    old();\n+    new();")
-    rows = table(spark, sf_dir, "part").select("p_partkey", diff.alias("d"), F.create_map(F.lit("f.rs"), file(F.lit("old"))).alias("a"), F.create_map(F.lit("f.rs"), file(F.lit("new"))).alias("b"))
-    return rows.select("p_partkey", F.sha2(C.context_diff(F.col("d"), F.col("a"), F.col("b")), 256).alias("diff_sha"))
+    return table(spark, sf_dir, "part").select("p_partkey", diff.alias("diff"), F.create_map(F.lit("f.rs"), file(F.lit("old"))).alias("old"), F.create_map(F.lit("f.rs"), file(F.lit("new"))).alias("new"))
+
+
+def context_diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source.context_diff(_changes(spark, sf_dir), ["p_partkey"]).select("p_partkey", F.sha2("text", 256).alias("diff_sha"))
+
+
+def function_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of even key lose their other function, those of a third get one more, and a constant outside of all."""
+    k = F.col("p_partkey")
+    rows = _changes(spark, sf_dir)
+    first = F.when(k % 2 == 0, F.lit("fn gone() {}\n")).otherwise("")
+    added = F.when(k % 3 == 0, F.lit("\nconst N: u8 = 1;\nfn fresh() {\n}\n")).otherwise("")
+    old, new = F.concat(first, F.col("old")["f.rs"]), F.concat(F.col("new")["f.rs"], added)
+    more = F.concat(
+        F.when(k % 2 == 0, F.lit("\n@@ -1,1 +1,0 @@\n-fn gone() {}")).otherwise(""), F.when(k % 3 == 0, F.lit("\n@@ -9,0 +9,4 @@\n+\n+const N: u8 = 1;\n+fn fresh() {\n+}")).otherwise("")
+    )
+    head = F.when(k % 2 == 0, F.replace("diff", F.lit("-4,2"), F.lit("-5,2"))).otherwise(F.col("diff"))
+    made = rows.select("p_partkey", F.concat(head, more).alias("diff"), F.create_map(F.lit("f.rs"), old).alias("old"), F.create_map(F.lit("f.rs"), new).alias("new"))
+    return source.readable_diff(made, ["p_partkey"])
 
 
 def _patch(name: Column, added: Column) -> Column:
@@ -201,7 +218,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         item_prompts, choice_lists, object_checks, flipped_messages, provider_messages, communication_faults, iso_stamps, flight_search, phone_lookup, prefix_lookup, awaiting_bills, calculations, speed_grades, source_functions,
-        context_diffs, third_tiers, routed_verdicts, summary_checks,
+        context_diffs, function_versions, third_tiers, routed_verdicts, summary_checks,
     )
 }
 _NL = "chr(10)"
@@ -254,6 +271,12 @@ select k as p_partkey, 'part_' || k as name, 1 as first, 4 + c as last from p un
     "context_diffs": f"""
 select p_partkey, sha256('# Enhanced Git Diff with Full Function Context' || {_NL} || '# This diff shows complete functions/methods that contain changes' || {_NL} || '# to help understand the full context of modifications.' || {_NL} || {_NL} || 'diff --git a/f.rs b/f.rs' || {_NL} || '--- a/f.rs' || {_NL} || '+++ b/f.rs' || {_NL}
 || '@@ Function context: part_' || p_partkey || ' @@' || {_NL} || '@@ -3,4 +3,4 @@' || {_NL} || ' use a;' || {_NL} || ' ' || {_NL} || '     one();' || {_NL} || '-    old();' || {_NL} || '+    new();' || {_NL} || ' ' || {_NL} || ' fn other() {{}}' || {_NL}) as diff_sha from part""",
+    "function_versions": f"""
+with p as (select p_partkey as k, 'fn part_' || p_partkey || '() {{' || {_NL} || '    one();' || {_NL} || '    ' as a, '();' || {_NL} || '}}' as b from part)
+select k as p_partkey, 'f.rs' as path, 'function' as kind, 'part_' || k as name, 'modified' as status, a || 'old' || b as old_text, a || 'new' || b as new_text from p
+union all select k, 'f.rs', 'function', 'gone', 'deleted', 'fn gone() {{}}', null from p where k % 2 = 0
+union all select k, 'f.rs', 'function', 'fresh', 'new', null, 'fn fresh() {{' || {_NL} || '}}' from p where k % 3 = 0
+union all select k, 'f.rs', 'outside', null, 'new', null, 'const N: u8 = 1;' from p where k % 3 = 0""",
     "third_tiers": """
 with o as (select o_orderkey % 11 as a, o_orderkey % 7 as b from orders),
 v as (select case when a = 0 then 'FAIL|no changes made|1' when a = 1 then 'FAIL|raw: files|0' when a = 2 then 'FAIL|raw: added|0' when b in (0, 1) then 'FAIL_INFRA|no model summary|0' when b = 2 then 'FAIL|model summary not backed|0' when b in (3, 4) then 'FAIL|behaviours differ|0.8' else 'PASS|raw parity and behaviours match|0.95' end as v from o)

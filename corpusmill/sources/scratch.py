@@ -7,7 +7,7 @@ import contextlib
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,3 +36,10 @@ def fresh(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark)}/corpusmill/{name}-{uuid.uuid4().hex}"
     atexit.register(drop, spark, path)
     return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df` as a Parquet table in the shared folder: made once, however often it is read, and its lineage cut."""
+    path = fresh(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
