@@ -79,16 +79,16 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null").withColumn("row", F.xxhash64("text"))
     sets = line_sets(k, short, short * den // num, slice_bytes(docs.sparkSession))
     equal = ["digest", "digest2", "n"]
-    lines = stored(shared_sets(rows, sets, num, den).select(*equal, F.struct("key1", "key2", "key3").alias("at"), "tokens"), "lines")
+    lines = stored(shared_sets(rows, sets, num, den).select(*equal, F.struct("key1", "key2", "key3").alias("at"), "tokens"), "lines", "zstd")
     classes = lines.groupBy(*equal).agg(F.min(F.struct("at", "tokens")).alias("m")).select(*equal, "m.at.*", "m.tokens")
-    classes = stored(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
+    classes = stored(classes.withColumn("class", F.monotonically_increasing_id()), "classes", "zstd")
     asked = classes.selectExpr("class as id", "n", "key1 as o1", "key2 as o2", "tokens")
     ranked = asked.where("o2 % 2 = 0").repartitionByRange("o1", "o2", "id").sortWithinPartitions("o1", "o2", "id")
     own = shared_sets(ranked, class_sets, num, den, sized=True).selectExpr("key1 as id", "n", "tokens", "batch", "idx", "lead_batch", "lead_idx", "lead_overlap")
     own = own.join(asked.selectExpr("id", "o1", "o2"), "id")
     # Nearly every word is in some other line: a second pass would leave sets of words as they are.
     own = own.unionByName(asked.where("o2 % 2 = 1"), allowMissingColumns=True)
-    listed = stored(own.selectExpr("*", "id as label", "o2 % 2 = 1 as paired"), "listed")
+    listed = stored(own.selectExpr("*", "id as label", "o2 % 2 = 1 as paired"), "listed", "zstd")
     long = long_keys(listed, num, den)
     # The first class of a line's tokens: if it resembles the line, the line goes, and is asked about no more.
     lead = listed.selectExpr("batch as lead_batch", "idx as lead_idx", "id as b", "n as nb")

@@ -101,19 +101,23 @@ def deal(sets: Callable[[Iterator[pa.RecordBatch]], Iterator[Sets]], parts: int,
         return ((entries >> np.uint64(16)) * np.uint64(parts)) >> np.uint64(48) if parts < 1 << 16 else (entries >> np.uint64(32)) % np.uint64(parts)
 
     def one(number: int, key1: np.ndarray, key2: np.ndarray, key3: np.ndarray, tokens: np.ndarray, other: np.ndarray, owner: np.ndarray, *order: np.ndarray) -> pa.RecordBatch:
-        entries = (tokens & ~_IDX) | owner.astype(np.uint64)
-        by = np.argsort(entries)
-        entries = entries[by]
-        if len(entries):
-            once = np.concatenate([[True], entries[1:] != entries[:-1]])
-            entries, by = entries[once], by[once]
+        # One plain sort of all entries. Sets that hold a token twice are few: only theirs are looked up again for the digests.
+        every = (tokens & ~_IDX) | owner.astype(np.uint64)
+        entries, by = np.sort(every), slice(None)
+        if (again := entries[1:] == entries[:-1]).any():
+            twice = np.zeros(len(key1), bool)
+            twice[(entries[1:][again] & _IDX).astype(np.int64)] = True
+            slow = twice[owner]
+            at = np.flatnonzero(slow)
+            by = np.concatenate([np.flatnonzero(~slow), at[np.unique(every[at], return_index=True)[1]]])
+            entries = entries[np.concatenate([[True], ~again])]
         idx = (entries & _IDX).astype(np.int64)
         size = key2 if sized else np.bincount(idx, minlength=len(key1)).astype(np.int64)
         digests = []
         with np.errstate(over="ignore"):
             for h, seed in () if sized else ((tokens, K1), (other, K3)):
                 digests.append(np.zeros(len(key1), np.uint64))
-                np.add.at(digests[-1], idx, mix(h[by] + seed))
+                np.add.at(digests[-1], owner[by], mix(h[by] + seed))
         digest, digest2 = digests or [np.zeros(len(key1), np.uint64)] * 2
         name = batch_name(number, key1, key2, key3)
         head = np.array([x[0] for x in (*order, key1)] if order else [name, 0, 0], np.int64).tobytes()
@@ -171,7 +175,7 @@ def match(rows: pa.Table) -> pa.Table:
     names = mine.column("batch").to_numpy()
     tok, idx, count = unpacked([memoryview(x.as_py())[24:] for x in mine.column("body")])
     row = np.repeat(np.arange(len(count)), count)
-    order = np.argsort(tok, kind="stable")  # ties stay in the order of batch and set
+    order = stable_order(tok - tok.min()) if len(tok) else np.zeros(0, np.int64)  # ties stay in the order of batch and set
     tok = tok[order]
     same = tok[1:] == tok[:-1]
     shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])

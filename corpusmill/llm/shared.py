@@ -16,14 +16,15 @@ from corpusmill.sources.scratch import fresh
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` as Parquet to the shared folder and read it again: lineage is cut, and a lost executor loses nothing. Dropped when the session's process ends."""
+def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
+    """Write `df` as Parquet to the shared folder and read it again: lineage is cut, and a lost executor loses nothing. Dropped
+    when the session's process ends. Token lists take a quarter less as zstd."""
     spark = df.sparkSession
     path = fresh(spark, name)
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", codec).parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
