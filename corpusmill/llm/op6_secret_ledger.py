@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm.shared import stored
+from corpusmill.sources.scratch import fresh
 
 
 @dataclass(frozen=True)
@@ -38,11 +40,18 @@ RULES = (
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 30, 0, "eyJ"),
 )
 _SPANS = "array<struct<start:int,rank:int,kind:string,end:int>>"
+#: Findings whose places are summed in one go. An array grows by copying, so that runs of these keep a text of many linear.
+RUN = 128
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
 
 
 def matches(text: Column, rule: Rule, rank: int) -> Column:
     """Findings of a rule: leftmost, non-overlapping, too short ones dropped. Pieces between matches and matches alternate,
-    so the sums of their lengths are the places."""
+    so the sums of their lengths are the places: first where each run of RUN matches begins, then within the runs."""
     pattern = F.lit(rule.pattern)
     hits = F.regexp_extract_all(text, pattern, F.lit(0))
     sizes = F.arrays_zip(
@@ -50,7 +59,7 @@ def matches(text: Column, rule: Rule, rank: int) -> Column:
         F.transform(hits, F.length).alias("hit"),
         F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.measured)), F.length).alias("measured"),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
+    empty = F.array().cast(_SPANS)
 
     def step(acc: Column, x: Column) -> Column:
         at = acc["at"] + x["gap"]
@@ -58,7 +67,24 @@ def matches(text: Column, rule: Rule, rank: int) -> Column:
         one = F.array(F.struct(at.alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"), end.alias("end"))).cast(_SPANS)
         return F.struct(end.alias("at"), F.when(x["measured"] >= rule.least, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
 
-    found = F.aggregate(sizes, start, step, lambda acc: acc["out"])
+    def within(run: Column, start: Column) -> Column:
+        return F.aggregate(run, F.struct(start.alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
+
+    def length(run: Column) -> Column:
+        return F.aggregate(run, F.lit(0), lambda n, x: n + x["gap"] + F.coalesce(x["hit"], F.lit(0)))
+
+    def starts(runs: Column) -> Column:
+        first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(runs, first, lambda acc, r: F.struct((acc["at"] + length(r)).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+
+    def in_runs(all_sizes: Column) -> Column:
+        firsts = F.sequence(F.lit(0), F.floor((F.size(all_sizes) - 1) / RUN).cast("int"))
+        return F.transform(firsts, lambda i: F.slice(all_sizes, i * RUN + 1, RUN))
+
+    def all_runs(runs: Column) -> Column:
+        return _let(starts(runs), lambda at: F.flatten(F.transform(runs, lambda r, i: within(r, F.get(at, i)))))
+
+    found = _let(sizes, lambda x: _let(in_runs(x), all_runs))
     if rule.hint is None:
         asked = F.regexp_like(text, pattern)
     elif rule.hint.isalpha() or rule.hint.startswith("-"):
@@ -78,13 +104,16 @@ def unseen_scans(versions: DataFrame, ledger: DataFrame | None = None, text_col:
     row for each historical version of each path, in any number of copies. An empty table gives no rows.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    blobs = versions.select(F.sha2(text.cast("binary"), 256).alias("blob"), text.alias("text")).groupBy("blob").agg(F.first("text").alias("text"))
+    named = versions.select(F.sha2(text.cast("binary"), 256).alias("blob"), text.alias("text"))
     names = F.array(*[F.lit(r.name) for r in rules])
-    nothing = {"had": F.array().cast("array<string>"), "old": F.array().cast(_SPANS)}
     if ledger is None:
-        asked = blobs.withColumns(nothing)
+        asked = named.groupBy("blob").agg(F.first("text").alias("text")).withColumns({"had": F.array().cast("array<string>"), "old": F.array().cast(_SPANS)})
     else:
-        asked = blobs.join(ledger.select("blob", F.col("seen").alias("had"), F.col("spans").alias("old")), "blob", "left").withColumns({c: F.coalesce(c, empty) for c, empty in nothing.items()})
+        # Names alone tell what is left to read; texts that have been read go no further.
+        known = ledger.select("blob", F.col("seen").alias("had"), F.col("spans").alias("old"))
+        left = named.select("blob").distinct().join(known, "blob", "left").withColumns({"had": F.coalesce("had", F.array().cast("array<string>")), "old": F.coalesce("old", F.array().cast(_SPANS))})
+        left = stored(left.where(F.size(F.array_except(names, "had")) > 0), "unseen")
+        asked = named.join(left.select("blob"), "blob", "left_semi").groupBy("blob").agg(F.first("text").alias("text")).join(left, "blob")
     # Not called seen and spans: inside a lambda these names would mean the columns that are made here.
     asked = asked.where(F.size(F.array_except(names, "had")) > 0)
     todo = {r: ~F.array_contains("had", r.name) for r in rules}
@@ -133,6 +162,14 @@ def update_ledger(versions: DataFrame, path: str, run: int, text_col: str = "tex
     return read_ledger(spark, path)
 
 
+def next_run(spark: SparkSession, path: str) -> int:
+    """A number above those of all runs in the folder, ended or not."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in files.listStatus(folder)] if files.exists(folder) else []
+    return 1 + max((int(n.split("=")[1]) for n in names if n.startswith("run=")), default=0)
+
+
 def findings_by_path(versions: DataFrame, ledger: DataFrame, path_col: str, text_col: str = "text") -> DataFrame:
     """(path, blob, spans) of each version's row: the findings of its blob, joined back to all paths that hold it."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -140,9 +177,15 @@ def findings_by_path(versions: DataFrame, ledger: DataFrame, path_col: str, text
     return paths.join(ledger.select("blob", "spans"), "blob").select(path_col, "blob", "spans")
 
 
-def secret_digests(docs: DataFrame, ledger: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Counts and spans of each document, by way of the ledger. A null id is a path like any other; repeated rows one each."""
-    known = stored(scan_blobs(docs, ledger, text_col), "ledger")
+def secret_digests(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Counts and spans of each document, by way of the ledger in the folder `path`, or one of its own. A second run over the same
+    rows then has nothing to read: it is made, so that what the findings come from is a ledger that says so. A null id is a
+    path like any other; repeated rows one each."""
+    spark = docs.sparkSession
+    path = path or fresh(spark, "ledger")
+    first = next_run(spark, path)
+    for run in (first, first + 1):
+        known = update_ledger(docs, path, run, text_col)
     found = findings_by_path(docs, known, id_col, text_col)
 
     def listed(spans: Column) -> Column:
