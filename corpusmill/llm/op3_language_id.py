@@ -102,7 +102,7 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Train on the rows that are not held out, classify all; adds held_out (false for a null id). A language of which every
-    text is held out is not learned."""
-    held = F.coalesce(held_out(id_col), F.lit(False))
-    return classify(docs, train(docs.where(~held), id_col, text_col, lang_col), id_col, text_col).withColumn("held_out", held)
+    """Train on the rows that are not held out, classify all; adds held_out. Rows of null id are neither: they are classified, with
+    held_out false, but not learned from. A language of which every text is held out or of null id is not learned."""
+    learned = docs.where(~held_out(id_col))
+    return classify(docs, train(learned, id_col, text_col, lang_col), id_col, text_col).withColumn("held_out", F.coalesce(held_out(id_col), F.lit(False)))
