@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusmill.operators import state
 from corpusmill.operators.domains import DOMAINS, airline, shop, telecom
 from corpusmill.operators.domains.store import Tables
-from corpusmill.sources.tables import table
+from corpusmill.plans.tables import table
 
 _ADDRESS = {"address1": "1 A St", "address2": "", "city": "Bonn", "state": "NW", "country": "DE", "zip": "53111"}
 #: Small databases that all tasks of a query start from.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusmill.operators import evaluation as E
 from corpusmill.operators import similarity
 from corpusmill.plans.metrics import _trials
-from corpusmill.sources.tables import table
+from corpusmill.plans.tables import table
 
 
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:

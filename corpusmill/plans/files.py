@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusmill.operators import resume
 from corpusmill.sources import files as S
 from corpusmill.sources.scratch import fresh
-from corpusmill.sources.tables import table
+from corpusmill.plans.tables import table
 from corpusmill.streaming import memory, sessions
 
 

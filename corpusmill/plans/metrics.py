@@ -11,7 +11,7 @@ from corpusmill.functions import scoring as S
 from corpusmill.functions.text import word_list
 from corpusmill.operators import analysis as A
 from corpusmill.operators import packing, passk, similarity
-from corpusmill.sources.tables import table
+from corpusmill.plans.tables import table
 
 
 def _trials(spark: SparkSession, sf_dir: str) -> DataFrame:

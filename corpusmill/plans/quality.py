@@ -9,7 +9,7 @@ from corpusmill.functions import jsonish as J
 from corpusmill.functions import scoring as S
 from corpusmill.operators import joins, qa
 from corpusmill.operators.embeddings import fit_space, semantic_overlap
-from corpusmill.sources.tables import table
+from corpusmill.plans.tables import table
 
 
 def _replies(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.operators import records as R
 from corpusmill.operators import resume, split
-from corpusmill.sources.tables import table
+from corpusmill.plans.tables import table
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions import jsonish as J
 from corpusmill.functions import rust as S
 from corpusmill.functions import text as X
-from corpusmill.sources.tables import table
+from corpusmill.plans.tables import table
 
 
 def _sha(c: Column) -> Column:

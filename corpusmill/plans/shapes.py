@@ -10,7 +10,7 @@ from corpusmill.functions import tiers as T
 from corpusmill.operators import lookups as L
 from corpusmill.operators import source
 from corpusmill.operators.joins import arrival_day
-from corpusmill.sources.tables import table
+from corpusmill.plans.tables import table
 
 
 def _sha(c: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import text as X
 from corpusmill.operators.chunking import chunk_records, pack_paragraphs, tag_documents, word_chunks
-from corpusmill.sources.tables import table
+from corpusmill.plans.tables import table
 
 
 def chunk_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
