@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusmill.functions.arrays import let, once
 from corpusmill.functions.text import strip
 
 
@@ -116,7 +117,10 @@ def markdown_json(c: Column) -> Column:
     bare = F.when(F.startswith(bare, F.lit("```json")), strip(F.substring(bare, F.lit(8), F.length(bare)))).otherwise(bare)
     bare = F.when(F.endswith(bare, F.lit("```")), strip(F.substring(bare, F.lit(1), F.length(bare) - 3))).otherwise(bare)
     block = strip(F.nullif(F.regexp_extract(c, "(?s)```(?:\\w+\\n)?(.*?)```", 1), F.lit("")))
-    quick = F.coalesce(*[json_text(x) for x in (c, bare, block)])
+    # A text that is not opened like JSON is not parsed, and one that is the whole text is not tried as its fence again.
+    opened = lambda x: F.when(F.regexp_like(x, F.lit(r"^\s*[\[{\"\-\dtfn]")), json_text(x))
+    quick = let(F.struct(c.alias("c"), bare.alias("bare"), block.alias("block")), lambda x: F.coalesce(opened(x["c"]), F.when(x["bare"] != x["c"], opened(x["bare"])), opened(x["block"])))
+    quick = once(quick)
     return F.coalesce(quick, lines_json(F.when(quick.isNull(), c)))
 
 

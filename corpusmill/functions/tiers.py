@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusmill.functions.diff import changed_files, changed_lines, op_types, tier
+from corpusmill.functions.arrays import let
+from corpusmill.functions.diff import changed_files, changed_lines, file_blocks, op_type, tier
 from corpusmill.functions.jsonish import strict_json, verdict
 from corpusmill.functions.text import fold_behavior, strip
 
@@ -52,16 +53,21 @@ def _folded(diff: Column, sign: str) -> Column:
 def raw_mismatch(human: Column, model: Column) -> Column:
     """The first thing in which two diffs differ: files, kinds of change by file, added lines, removed lines; null if none. A
     diff that names files but has none that can be read is no match."""
-    unread = lambda d: F.contains(d, F.lit("diff --git")) & (F.size(changed_files(d)) == 0)
-    kinds = lambda d: F.transform(F.map_entries(op_types(d)), lambda e: F.concat(e["key"], F.lit("\t"), e["value"]))
-    return (
-        F.when((strip(human) == "") | (strip(model) == ""), "empty")
-        .when(unread(human) | unread(model), "unreadable")
-        .when(~_same(changed_files(human), changed_files(model)), "files")
-        .when(~_same(kinds(human), kinds(model)), "types")
-        .when(~_same(_folded(human, "+"), _folded(model, "+")), "added")
-        .when(~_same(_folded(human, "-"), _folded(model, "-")), "removed")
-    )
+    kinds = lambda d: F.transform(file_blocks(d), lambda b: F.concat(F.regexp_extract(b, "^diff --git a/\\S+ b/(\\S+)", 1), F.lit("\t"), op_type(b)))
+
+    def parts(d: Column) -> Column:
+        named = {"blank": strip(d) == "", "git": F.contains(d, F.lit("diff --git")), "files": changed_files(d), "kinds": kinds(d), "added": _folded(d, "+"), "removed": _folded(d, "-")}
+        return F.struct(*[c.alias(n) for n, c in named.items()])
+
+    def first_gap(x: Column) -> Column:
+        a, b = x["human"], x["model"]
+        unread = lambda p: p["git"] & (F.size(p["files"]) == 0)
+        gap = F.when(a["blank"] | b["blank"], "empty").when(unread(a) | unread(b), "unreadable")
+        for name, word in (("files", "files"), ("kinds", "types"), ("added", "added"), ("removed", "removed")):
+            gap = gap.when(~_same(a[name], b[name]), word)
+        return gap
+
+    return let(F.struct(parts(human).alias("human"), parts(model).alias("model")), first_gap)
 
 
 def summary_kept(reply: Column) -> Column:
@@ -75,7 +81,8 @@ def claims_backed(summary: Column, diff: Column) -> Column:
     words in the diff."""
     low = F.lower(diff)
     words = lambda b: F.array_except(F.split(b, " ", -1), F.array(*[F.lit(w) for w in EMPTY_WORDS]))
-    return F.forall(behaviors(summary, "primary"), lambda b: (F.length(b) < 10) | (F.size(words(b)) <= 2) | F.exists(words(b), lambda w: F.contains(low, w)))
+    named = lambda text, said: F.forall(said, lambda b: (F.length(b) < 10) | let(words(b), lambda ws: (F.size(ws) <= 2) | F.exists(ws, lambda w: F.contains(text, w))))
+    return let(F.struct(low.alias("low"), behaviors(summary, "primary").alias("said")), lambda x: named(x["low"], x["said"]))
 
 
 def missing_mentions(summary: Column) -> Column:
@@ -95,8 +102,9 @@ def summary_verdict(human: Column, model: Column) -> Column:
     """PASS if primary behaviours are the same and no error handling or edge case is lost; FAIL else; FAIL_INFRA where a summary
     is missing or unknown."""
     lost = lambda c: F.size(F.array_except(behaviors(human, c), behaviors(model, c))) > 0
+    primary = let(F.struct(behaviors(human, "primary").alias("a"), behaviors(model, "primary").alias("b")), lambda x: _same(x["a"], x["b"]))
     none = lambda s: F.coalesce(s, F.lit("")) == ""
-    return F.when(none(human) | none(model) | says_unknown(human) | says_unknown(model), "FAIL_INFRA").when(~_same(behaviors(human, "primary"), behaviors(model, "primary")) | lost("error_handling") | lost("edge_cases"), "FAIL").otherwise("PASS")
+    return F.when(none(human) | none(model) | says_unknown(human) | says_unknown(model), "FAIL_INFRA").when(~primary | lost("error_handling") | lost("edge_cases"), "FAIL").otherwise("PASS")
 
 
 def too_long_line(diff: Column) -> Column:
@@ -106,21 +114,31 @@ def too_long_line(diff: Column) -> Column:
 def third_tier(human: Column, model: Column, human_reply: Column, model_reply: Column) -> Column:
     """(verdict, reason, confidence) of the third tier for diffs that can be summarised whole: the raw diffs decide first, then
     the summaries that were given."""
-    a, b = summary_kept(human_reply), summary_kept(model_reply)
-    gap, told = raw_mismatch(human, model), summary_verdict(a, b)
+    known = F.struct(
+        summary_kept(human_reply).alias("a"), summary_kept(model_reply).alias("b"), raw_mismatch(human, model).alias("gap"), (strip(F.coalesce(human, F.lit(""))) == "").alias("no_human"),
+        (strip(F.coalesce(model, F.lit(""))) == "").alias("no_model"), (too_long_line(human) | too_long_line(model)).alias("long"),
+    )
+    return let(known, lambda x: _decided(x, human, model))
+
+
+def _decided(x: Column, human: Column, model: Column) -> Column:
+    a, b, gap = x["a"], x["b"], x["gap"]
     out = lambda v, r, c: F.struct(F.lit(v).alias("verdict") if isinstance(v, str) else v.alias("verdict"), F.lit(r).alias("reason") if isinstance(r, str) else r.alias("reason"), F.lit(float(c)).alias("confidence"))
     return (
-        F.when(strip(F.coalesce(human, F.lit(""))) == "", out("FAIL_INFRA", "no human diff", 0))
-        .when(strip(F.coalesce(model, F.lit(""))) == "", out("FAIL", "no changes made", 1))
-        .when(too_long_line(human) | too_long_line(model), out("FAIL_INFRA", "line too long", 0))
+        F.when(x["no_human"], out("FAIL_INFRA", "no human diff", 0))
+        .when(x["no_model"], out("FAIL", "no changes made", 1))
+        .when(x["long"], out("FAIL_INFRA", "line too long", 0))
         .when(gap.isNotNull(), out("FAIL", F.concat(F.lit("raw: "), gap), 0))
         .when(a.isNull(), out("FAIL_INFRA", "no human summary", 0))
         .when(b.isNull(), out("FAIL_INFRA", "no model summary", 0))
         .when(~claims_backed(a, human), out("FAIL", "human summary not backed", 0))
         .when(~claims_backed(b, model), out("FAIL", "model summary not backed", 0))
-        .when(told == "PASS", out("PASS", "raw parity and behaviours match", 0.95))
-        .when(told == "FAIL_INFRA", out("FAIL_INFRA", "unknown behaviour", 1))
-        .otherwise(out("FAIL", "behaviours differ", 0.8))
+        .otherwise(
+            let(
+                summary_verdict(a, b),
+                lambda told: F.when(told == "PASS", out("PASS", "raw parity and behaviours match", 0.95)).when(told == "FAIL_INFRA", out("FAIL_INFRA", "unknown behaviour", 1)).otherwise(out("FAIL", "behaviours differ", 0.8)),
+            )
+        )
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.functions.arrays import once
 from corpusmill.functions.text import strip, token_count, word_list
 
 
@@ -13,12 +14,21 @@ def word_chunks(docs: DataFrame, size: int = 380, overlap: int = 60, text_col: s
     A document without words has none. Adds idx, chunk, n_words; text_col goes."""
     stride = max(1, size - overlap)
     others = [c for c in docs.columns if c != text_col]
-    cut = docs.withColumn("__w", word_list(F.col(text_col))).where(F.size("__w") > 0)
+    cut = docs.withColumn("__w", once(word_list(F.col(text_col)))).where(F.size("__w") > 0)
     cut = cut.withColumn("__c", F.transform(F.sequence(F.lit(1), F.size("__w"), F.lit(stride)), lambda i: F.slice("__w", i, size)))
     out = cut.select(*others, F.posexplode("__c").alias("idx", "__p"))
     return out.select(*others, "idx", F.array_join("__p", " ").alias("chunk"), F.size("__p").cast("long").alias("n_words"))
 
 
+def word_windows(docs: DataFrame, size: int = 380, overlap: int = 60, text_col: str = "text") -> DataFrame:
+    """The same windows without their texts: adds idx and n_words, by arithmetic on the number of words; text_col goes."""
+    stride = max(1, size - overlap)
+    others = [c for c in docs.columns if c != text_col]
+    counted = docs.select(*others, once(F.size(word_list(F.col(text_col)))).alias("__n")).where("__n > 0")
+    out = counted.select(*others, "__n", F.explode(F.sequence(F.lit(0), F.floor((F.col("__n") - 1) / stride).cast("int"))).alias("idx"))
+    return out.select(*others, "idx", F.least(F.lit(size), F.col("__n") - F.col("idx") * stride).cast("long").alias("n_words"))
+
+
 def chunk_records(docs: DataFrame, id_col: str = "doc_id", size: int = 380, overlap: int = 60, text_col: str = "text") -> DataFrame:
     """(chunk_id, doc_id, idx, text, tokens) with ids `<doc>_<four digits or more>`."""
     out = word_chunks(docs.select(id_col, text_col), size, overlap, text_col)

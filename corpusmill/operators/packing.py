@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.arrays import attention, padded
 from corpusmill.operators.split import running_sum
+from corpusmill.sources.scratch import written
 
 
 def pack_blocks(rows: DataFrame, order: str, ids: str, block: int) -> DataFrame:
@@ -15,8 +16,8 @@ def pack_blocks(rows: DataFrame, order: str, ids: str, block: int) -> DataFrame:
 
     A row's offset comes from sums over ranges of the order, not from one window over all rows; a row is cut where blocks
     end, so that pieces and not tokens are shuffled."""
-    kept = rows.select(order, F.col(ids).alias("__ids")).where(F.size("__ids") > 0).withColumn("__n", F.size("__ids").cast("long"))
-    # Offsets of numbers alone: the tokens join them where they are.
+    # Tokens are made once: the offsets read their numbers, the blocks the tokens.
+    kept = written(rows.select(order, F.col(ids).alias("__ids"), F.size(ids).cast("long").alias("__n")), "tokens").where("__n > 0")
     starts = running_sum(kept.select(order, "__n"), "__n", order, name="__off").select(order, "__off")
     off = kept.join(starts, order)
     first, last = F.floor(F.col("__off") / block), F.floor((F.col("__off") + F.col("__n") - 1) / block)

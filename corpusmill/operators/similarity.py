@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.sources.scratch import fresh
+from corpusmill.sources.scratch import written
 
 
 def tf_idf(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -79,17 +82,50 @@ def cosine_pairs(docs: DataFrame, id_col: str, text_col: str, threshold: float =
 
     A document's terms are put in order of rarity, which is the same for all; its prefix ends where what is left is shorter
     than the threshold. Two documents that have no term of both prefixes in common have all that they share in the rest of
-    one of them, and can't reach the threshold: so they meet by rare terms only."""
-    spark, path = docs.sparkSession, fresh(docs.sparkSession, "tfidf")
-    tf_idf(docs, id_col, text_col).write.parquet(path)  # read four times
-    w = spark.read.parquet(path)
-    by = Window.partitionBy(id_col).orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum(F.col("weight") * F.col("weight")).over(by), F.lit(0.0))
-    prefix = w.withColumn("before", before).where(1 - F.col("before") >= threshold * threshold - 1e-9).select(F.col(id_col).alias("x"), "term")
-    cand = prefix.select(F.col("x").alias("a"), "term").join(prefix.select(F.col("x").alias("b"), "term"), "term").where("a < b").select("a", "b").distinct()
-    wa, wb = w.select(F.col(id_col).alias("a"), "term", F.col("weight").alias("wa")), w.select(F.col(id_col).alias("b"), "term", F.col("weight").alias("wb"))
-    sims = cand.join(wa, "a").join(wb, ["b", "term"]).groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("sim"))
-    return sims.where(F.col("sim") >= threshold)
+    one of them, and can't reach the threshold: so they meet by rare terms only. Where they meet first, what their weights
+    there and the lengths of what follows can still make bounds the cosine (Anastasiu and Karypis, 2014); a meeting that
+    is bounded below the threshold gives no candidate. Candidates are verified on the documents' arrays of term numbers."""
+    w = written(tf_idf(docs, id_col, text_col), "tfidf")
+    # Term numbers in order of rarity: hashes that break ties, behind the number of documents.
+    entry = F.struct("df", F.xxhash64("term").alias("t"), F.col("weight").alias("w"))
+    rows = written(w.groupBy(F.col(id_col).alias("x")).agg(F.array_sort(F.collect_list(entry)).alias("e")), "rows")
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("e")
+            size = np.asarray(pc.list_value_length(lists), np.int64)
+            t, weight = (lists.flatten().field(c).to_numpy(zero_copy_only=False) for c in ("t", "w"))
+            row = np.repeat(np.arange(len(size)), size)
+            starts = np.cumsum(size) - size
+            total = np.cumsum(weight * weight)
+            before = total - weight * weight
+            before -= before[starts[row]] if len(row) else before
+            keep = 1 - before >= threshold * threshold - 1e-9
+            rest = np.sqrt(np.maximum(1 - before - weight * weight, 0.0))
+            yield pa.RecordBatch.from_arrays([batch.column("x").take(pa.array(row[keep])), pa.array(t[keep]), pa.array(weight[keep]), pa.array(rest[keep])], names=["x", "t", "w", "rest"])
+
+    kind = dict(rows.dtypes)["x"]
+    prefix = written(rows.mapInArrow(prefixes, f"x {kind}, t long, w double, rest double"), "prefixes")
+    one, two = prefix.selectExpr("x as a", "t", "w as wa", "rest as ra"), prefix.selectExpr("x as b", "t + 0L as t", "w as wb", "rest as rb")
+    cand = one.join(two, "t").where(f"a < b and wa * wb + ra * rb >= {threshold - 1e-9}").select("a", "b").distinct()
+    body = rows.selectExpr("x", "transform(e, y -> y.t) as t", "transform(e, y -> y.w) as w")
+    both = cand.join(body.selectExpr("x as a", "t as ta", "w as wa"), "a").join(body.selectExpr("x as b", "t as tb", "w as wb"), "b")
+
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            side = lambda s: (batch.column(f"t{s}").flatten().to_numpy(zero_copy_only=False), batch.column(f"w{s}").flatten().to_numpy(zero_copy_only=False), np.asarray(pc.list_value_length(batch.column(f"t{s}")), np.int64))
+            (ta, wa, na), (tb, wb, nb) = side("a"), side("b")
+            term = np.concatenate([ta, tb])
+            pair = np.concatenate([np.repeat(np.arange(len(na)), na), np.repeat(np.arange(len(nb)), nb)])
+            weight = np.concatenate([wa, wb])
+            order = np.lexsort((term, pair))
+            term, pair, weight = term[order], pair[order], weight[order]
+            met = np.flatnonzero((term[1:] == term[:-1]) & (pair[1:] == pair[:-1]))
+            sim = np.bincount(pair[met], weight[met] * weight[met + 1], len(na))
+            keep = np.flatnonzero(sim >= threshold)
+            yield pa.RecordBatch.from_arrays([batch.column("a").take(pa.array(keep)), batch.column("b").take(pa.array(keep)), pa.array(sim[keep])], names=["a", "b", "sim"])
+
+    return both.select("a", "b", "ta", "wa", "tb", "wb").mapInArrow(verified, f"a {kind}, b {kind}, sim double")
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -141,27 +177,87 @@ def cosine(a: Column, b: Column) -> Column:
 ANCHORS = 4096
 
 
+def _unit_rows(batch: pa.RecordBatch, vector: str) -> tuple[np.ndarray, np.ndarray]:
+    """Places and unit vectors of the rows whose vector has a direction; vectors are of one length."""
+    lists = batch.column(vector)
+    size = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
+    at = np.flatnonzero(size > 0)
+    if not len(at):
+        return at, np.zeros((0, 0))
+    v = np.asarray(lists.take(pa.array(at)).flatten(), np.float64).reshape(len(at), -1)
+    norm = np.linalg.norm(v, axis=1)
+    fine = np.isfinite(norm) & (norm > 0)
+    return at[fine], v[fine] / norm[fine, None]
+
+
 def hard_negatives(anchors: DataFrame, corpus: DataFrame, id_col: str, vector: str, label: str, n: int = 3, skip: int = 0, least: float = -1.0, most: float = 1.0, margin: float = 0.0, digits: int = 9) -> DataFrame:
     """(anchor, negative, sim, rank): the `n` most similar vectors of other labels after the first `skip`, of those with a
     similarity from `least` to `most`, and with a `margin` only those that are less similar than the anchor's best vector of
-    its own label by as much or more. Similarities count to `digits` digits, ties go to the smaller id. A stated set of
-    anchors against the whole corpus, in blocks: a pass for every ANCHORS of them, on the average."""
+    its own label by as much or more. Similarities count to `digits` digits, ties go to the smaller id. Vectors that are null,
+    empty, zero or not finite, and null labels, take no part.
+
+    A stated set of anchors against the whole corpus, in blocks of ANCHORS on the average: a block is a matrix that all tasks
+    get, bounded by that number. A task multiplies its rows with it and keeps the best of each anchor, which alone are
+    shuffled."""
     blocks = max(1, -(-anchors.count() // ANCHORS))
+    scale = 10.0**digits
+    rounded = lambda x: np.floor(np.abs(x) * scale + 0.5) / scale * np.sign(x)
+    names = ["anchor", "negative", "sim"]
+    kinds = f"anchor {dict(anchors.dtypes)[id_col]}, negative {dict(corpus.dtypes)[id_col]}, sim double"
     out = None
     for block in range(blocks):
-        mine = anchors.where(F.pmod(F.xxhash64(id_col), F.lit(blocks)) == block)
-        a = mine.select(F.col(id_col).alias("anchor"), F.col(vector).alias("va"), F.col(label).alias("la"))
-        c = corpus.select(F.col(id_col).alias("negative"), F.col(vector).alias("vn"), F.col(label).alias("ln"))
-        met = c.join(F.broadcast(a), F.lit(True)).where("anchor <> negative")
-        sims = met.where("la <> ln").select("anchor", "negative", F.round(cosine(F.col("va"), F.col("vn")), digits).alias("sim"))
-        sims = sims.where(F.col("sim").between(least, most))
+        mine = anchors.where(F.pmod(F.xxhash64(id_col), F.lit(blocks)) == block).where(F.col(label).isNotNull()).select(id_col, vector, label).toArrow().combine_chunks()
+        batch = mine.to_batches()[0] if mine.num_rows else None
+        if batch is None:
+            continue
+        at, a = _unit_rows(batch, vector)
+        ids, labels = batch.column(id_col).take(pa.array(at)), batch.column(label).take(pa.array(at)).to_numpy(zero_copy_only=False)
+        keys = ids.to_numpy(zero_copy_only=False)
+
+        def compared(batches: Iterator[pa.RecordBatch], a=a, keys=keys, labels=labels) -> Iterator[tuple]:
+            for rows in batches:
+                at, v = _unit_rows(rows, vector)
+                if not len(at):
+                    continue
+                other, kind = (rows.column(c).take(pa.array(at)).to_numpy(zero_copy_only=False) for c in (id_col, label))
+                yield rounded(a @ v.T), (keys[:, None] != other[None]), (labels[:, None] == kind[None]), other
+
+        def own_best(batches: Iterator[pa.RecordBatch], compared=compared, n_anchors=len(keys)) -> Iterator[pa.RecordBatch]:
+            best = np.full(n_anchors, -np.inf)
+            for sims, unlike, same, _ in compared(batches):
+                best = np.maximum(best, np.where(unlike & same, sims, -np.inf).max(axis=1, initial=-np.inf))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(n_anchors)), pa.array(best)], names=["at", "best"])
+
+        rows = corpus.where(F.col(label).isNotNull()).select(id_col, vector, label)
+        limit = np.full(len(keys), most)
         if margin > 0:
-            own = met.where("la = ln").groupBy("anchor").agg(F.round(F.max(cosine(F.col("va"), F.col("vn"))), digits).alias("__own"))
-            sims = sims.join(own, "anchor", "left").where(F.col("__own").isNull() | (F.col("sim") <= F.col("__own") - margin)).drop("__own")
+            best = rows.mapInArrow(own_best, "at long, best double").groupBy("at").agg(F.max("best").alias("best")).toArrow()
+            own = np.full(len(keys), -np.inf)
+            own[best.column("at").to_numpy()] = best.column("best").to_numpy()
+            limit = np.where(np.isfinite(own), np.minimum(limit, own - margin), limit)
+
+        def nearest(batches: Iterator[pa.RecordBatch], compared=compared, keys=keys, ids=ids, limit=limit) -> Iterator[pa.RecordBatch]:
+            held = None
+            for sims, unlike, same, other in compared(batches):
+                ok = unlike & ~same & (sims >= least) & (sims <= limit[:, None])
+                sims = np.where(ok, sims, -np.inf)
+                k = min(n + skip, sims.shape[1])
+                kth = np.partition(sims, -k, axis=1)[:, -k]
+                i, j = np.nonzero(ok & (sims >= kth[:, None]))
+                new = (i, sims[i, j], other[j])
+                held = new if held is None else tuple(np.concatenate(x) for x in zip(held, new, strict=True))
+                order = np.lexsort((held[2], -held[1], held[0]))
+                held = tuple(x[order] for x in held)
+                first = np.searchsorted(held[0], held[0])
+                keep = np.arange(len(first)) - first < n + skip
+                held = tuple(x[keep] for x in held)
+            if held is not None:
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(held[0])), pa.array(held[2]), pa.array(held[1])], names=names)
+
         w = Window.partitionBy("anchor").orderBy(F.col("sim").desc(), "negative")
-        best = sims.withColumn("rank", F.row_number().over(w)).where((F.col("rank") > skip) & (F.col("rank") <= skip + n))
-        out = best if out is None else out.unionByName(best)
-    return out
+        part = rows.mapInArrow(nearest, kinds).withColumn("rank", F.row_number().over(w)).where((F.col("rank") > skip) & (F.col("rank") <= skip + n))
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else anchors.sparkSession.createDataFrame([], kinds + ", rank int")
 
 
 def triplet_accuracy(triplets: DataFrame, anchor: str, positive: str, negative: str) -> DataFrame:

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as X
-from corpusmill.operators.chunking import chunk_records, pack_paragraphs, tag_documents, word_chunks
+from corpusmill.operators.chunking import chunk_records, pack_paragraphs, tag_documents, word_windows, word_windows
 from corpusmill.plans.tables import table
 
 
 def chunk_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = word_chunks(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    chunks = word_windows(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
     return chunks.groupBy("lang").agg(F.count("*").alias("n_chunks"), F.countDistinct("doc_id").alias("n_docs"), F.sum("n_words").alias("n_words"), F.max("idx").alias("max_idx"))
 
 
