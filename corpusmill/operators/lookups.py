@@ -51,11 +51,10 @@ def bills_of_status(customers: DataFrame, bills: DataFrame, status: str) -> Data
 
 def calculated(expression: Column) -> Column:
     """The value of an arithmetic expression as text, to two digits; an error text for anything else."""
+    from corpusmill.operators.domains.store import calculate  # here, not in the function: workers don't have the package
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        from corpusmill.operators.domains.store import calculate
-
         def one(text: str | None) -> str | None:
             try:
                 return None if text is None else calculate(None, text)

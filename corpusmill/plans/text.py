@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as X
-from corpusmill.operators.chunking import chunk_records, pack_paragraphs, tag_documents, word_windows, word_windows
+from corpusmill.operators.chunking import chunk_records, pack_paragraphs, tag_documents, word_chunks, word_windows, word_windows
 from corpusmill.plans.tables import table
 
 
