@@ -104,22 +104,35 @@ def round_robin(df: DataFrame, order: str, choices: list[str], name: str = "choi
     return ranked.withColumn(name, F.element_at(F.array(*[F.lit(c) for c in choices]), ((F.col("__i") - 1) % len(choices)).cast("int") + 1)).drop("__i")
 
 
-def interleave(df: DataFrame, source: str, order: str, weights: Mapping[str, float]) -> DataFrame:
-    """Sources merged at rates `weights` until the first is used up: the r-th row of a source stands at (r - 1/2) / weight.
-    Adds slot. A source is numbered by ranges of its order, however large it is."""
+#: Parts of a mean gap that arrivals are counted in: whole numbers, whose sums are the same in any order.
+GAP = 1 << 20
+
+
+def arrival_gap(seed: int, *key: Column) -> Column:
+    """An exponential gap of mean GAP, rounded down, from the hash of a row's key."""
+    x = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in key])), 1, 13), 16, 10).cast("double")
+    return F.floor(-F.log((x + 0.5) / float(1 << 52)) * GAP).cast("long")
+
+
+def interleave(df: DataFrame, source: str, order: str, weights: Mapping[str, float], seed: int = 42) -> DataFrame:
+    """Sources merged by draws with probabilities `weights` until the first is used up; within a source rows stay in `order`, a
+    key that names each row. Adds slot: rows in its order, ties by source and key, are the merged sequence.
+
+    Each row arrives a gap after the one before it in its source, exponential and at the source's rate: of arrivals laid over
+    each other the next one is of a source with the probability of its weight, whatever came before. So running sums by
+    source make the draws, without a pass in sequence. Gaps are hashed from seed and key and summed as whole numbers: the
+    result does not depend on partitions. Sources without a weight, or of null order, take no part."""
     w = F.create_map(*[F.lit(x) for k, v in weights.items() for x in (k, float(v))])
-    mine = df.where(F.col(source).isin(list(weights)))
-    before = mine.groupBy(source).agg(F.count("*").alias("__n"))
-    ranked = global_rank(mine, source, order, name="__i")
-    # Sources are as few as the weights; each one's rows follow each other in the rank.
-    starts = {r[0]: r[1] for r in before.collect()}
+    mine = df.where(F.col(source).isin(list(weights)) & F.col(order).isNotNull()).withColumn("__gap", arrival_gap(seed, F.col(source), F.col(order)))
+    sums = mine.groupBy(source).agg(F.sum("__gap").alias("__s")).collect()  # sources are as few as the weights
     offset, at = {}, 0
-    for name in sorted(starts, key=lambda s: s.encode()):
-        offset[name], at = at, at + starts[name]
-    end = min(((n - 0.5) / weights[s] for s, n in starts.items()), default=0.0)
-    off = F.create_map(*[F.lit(x) for k, v in offset.items() for x in (k, v)]) if offset else F.create_map().cast("map<string,int>")
-    slotted = ranked.withColumn("slot", (F.col("__i") - off[F.col(source)] - 0.5) / w[F.col(source)]).drop("__i")
-    return slotted.where(F.col("slot") <= F.lit(end))
+    for name, total in sorted(((r[0], r[1]) for r in sums), key=lambda x: x[0].encode()):
+        offset[name], at = at, at + total
+    off = F.create_map(*[F.lit(x) for k, v in offset.items() for x in (k, v)]) if offset else F.create_map().cast("map<string,bigint>")
+    summed = running_sum(mine, "__gap", source, order, name="__before")
+    slotted = summed.withColumn("slot", (F.col("__before") + F.col("__gap") - off[F.col(source)]) / float(GAP) / w[F.col(source)])
+    end = min((r[1] / float(GAP) / weights[r[0]] for r in sums), default=0.0)
+    return slotted.where(F.col("slot") <= F.lit(end)).drop("__gap", "__before")
 
 
 def normalized_weights(df: DataFrame, col: str) -> DataFrame:

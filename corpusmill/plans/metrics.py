@@ -9,7 +9,7 @@ from corpusmill.functions import arrays as R
 from corpusmill.functions import diff as D
 from corpusmill.functions import scoring as S
 from corpusmill.functions.text import word_list
-from corpusmill.operators import analysis as A
+from corpusmill.operators import analysis as A, ngram_model
 from corpusmill.operators import packing, passk, similarity
 from corpusmill.plans.tables import table
 
@@ -150,8 +150,20 @@ def capable_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.cheapest_capable(jobs, models, "need", "has", "model", "p_partkey")
 
 
+def _nll(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents under a model of those whose id is not divisible by ten."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return ngram_model.text_nll(ngram_model.fit_ngrams(docs.where("doc_id % 10 <> 0"), "text"), docs, ["doc_id", "lang"], "text")
+
+
+def text_nll(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _nll(spark, sf_dir).select("doc_id", "n_words", F.round("nll", 4).alias("nll"))
+
+
 def text_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.perplexity(table(spark, sf_dir, "part").withColumn("nll", F.col("p_size") / 10), "nll").select(F.round("perplexity", 6).alias("perplexity"))
+    """Of each language, for the documents that the model was fitted to and for those held out."""
+    by = _nll(spark, sf_dir).groupBy("lang", (F.col("doc_id") % 10 == 0).alias("held_out")).agg(F.sum("n_words").alias("n"), F.sum("nll").alias("nll"))
+    return by.select("lang", "held_out", "n", F.round(ngram_model.perplexity(F.col("n"), F.col("nll")), 4).alias("perplexity"))
 
 
 def _e5(sim: Column | str) -> Column:
@@ -257,7 +269,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         pass_hat, pass_hat_by_model, pass_hat_shared, pass_at_unbiased, hit_rates, best_scores, agent_summary, model_stats, type_shares, type_rollup, bucket_means, action_pivot, mode_deltas, failures, turn_costs, majorities, attempts, overall, merged_intervals, ranking,
-        trial_counts, uniformity, metric_check, attempt_state, capable_models, text_perplexity, retrieved, exact_dedup, near_dup_pairs, near_dup_keep, greedy_dedup, hard_negatives, triplets, packed_blocks, masked_batches, diff_facts, diff_line_numbers, combinations_table, order_ratio, fuzzy_dups,
+        trial_counts, uniformity, metric_check, attempt_state, capable_models, text_nll, text_perplexity, retrieved, exact_dedup, near_dup_pairs, near_dup_keep, greedy_dedup, hard_negatives, triplets, packed_blocks, masked_batches, diff_facts, diff_line_numbers, combinations_table, order_ratio, fuzzy_dups,
     )
 }
 _T = "t as (select event_id, user_id as task, event_type = 'purchase' as ok, case when event_type = 'purchase' then 1 else 0 end::double as reward, case when event_id % 4 <> 0 then round(value, 2) end as cost, 'm' || event_id % 3 as llm, case when event_id % 2 = 0 then 'default' else 'solo' end as mode, event_id % 5 as trial, event_type, value from events)"
@@ -266,6 +278,19 @@ _TFIDF = """
 dt as (select doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{N}_]{2,}')) as term from documents), tf as (select doc_id, term, count(*) as tf from dt group by all),
 df as (select term, count(*) as df from tf group by 1), n as (select count(*) as n from documents),
 rw as (select doc_id, term, tf * (ln((1 + n.n) / (1 + df)) + 1) as w from tf join df using (term), n), ln_ as (select doc_id, sqrt(sum(w * w)) as l from rw group by 1), w as (select doc_id, term, w / l as w from rw join ln_ using (doc_id))"""
+_LEVEL = "{name} as (select *, sum(n) over (partition by c) as total, count(*) over (partition by c) as kinds from ({source}))"
+_NGRAMS = f"""
+with w as (select doc_id, lang, ['<s>', '<s>'] || regexp_extract_all(text, '[^\\s]+') || ['</s>'] as t from documents),
+g as (select doc_id, lang, t[i] as a, t[i + 1] as b, t[i + 2] as x from (select *, unnest(range(1, len(t) - 1)) as i from w)),
+{_LEVEL.format(name="k3", source="select a || ' ' || b as c, a, b, x, count(*) as n from g where doc_id % 10 <> 0 group by all")},
+{_LEVEL.format(name="k2", source="select b as c, b, x, count(*) as n from k3 group by all")},
+{_LEVEL.format(name="k1", source="select '' as c, x, count(*) as n from k2 group by all")},
+v as (select count(distinct x) + 1 as v, any_value(0.75 * kinds / total) as rest from k1),
+r3 as (select c, any_value(0.75 * kinds / total) as rest from k3 group by 1), r2 as (select c, any_value(0.75 * kinds / total) as rest from k2 group by 1),
+s as (select g.doc_id, g.lang, coalesce((k3.n - 0.75) / k3.total, 0) + coalesce(r3.rest, 1) * (coalesce((k2.n - 0.75) / k2.total, 0) + coalesce(r2.rest, 1) * (coalesce((k1.n - 0.75) / k1.total, 0) + v.rest / v.v)) as p
+from g cross join v left join k3 on k3.a = g.a and k3.b = g.b and k3.x = g.x left join r3 on r3.c = g.a || ' ' || g.b
+left join k2 on k2.b = g.b and k2.x = g.x left join r2 on r2.c = g.b left join k1 on k1.x = g.x)
+"""
 ORACLES = {
     "pass_hat": f"with {_T}, g as (select task, count(*) as n, count(*) filter (ok) as c from t group by 1), x as (select *, unnest(range(1, 5))::int as k from g) select k, round(avg(case when c < k then 0 else {_HAT} end), 6) as pass_hat_k, count(*) as n_tasks from x where n >= k group by k",
     "pass_hat_by_model": f"with {_T}, g as (select llm, mode, task, count(*) as n, count(*) filter (ok) as c from t group by all), x as (select *, unnest(range(1, 3))::int as k from g) select llm, mode, k, round(avg(case when c < k then 0 else {_HAT} end), 6) as pass_hat_k, count(*) as n_tasks from x where n >= k group by all",
@@ -303,7 +328,8 @@ select n_name, round(o1, 6) as overall_1, round(o4, 6) as overall_4, round(case
 with a as (select l_orderkey, l_linenumber as n, bool_or(l_linestatus = 'F') as ok from lineitem where (l_orderkey + l_linenumber) % 5 <> 0 group by all), r as (select *, row_number() over (partition by l_orderkey order by n) as i from a)
 select l_orderkey, max(n) as last_attempt, max(n) filter (ok) as last_complete from r where i = n group by 1""",
     "capable_models": "select p_partkey, arg_min(n_name, n_nationkey) as model from part join nation on n_nationkey / 24 >= p_size / 50 group by 1",
-    "text_perplexity": "select round(exp(avg(p_size / 10)), 6) as perplexity from part",
+    "text_nll": _NGRAMS + "select doc_id, count(*) as n_words, round(sum(-ln(p)), 4) as nll from s group by 1",
+    "text_perplexity": _NGRAMS + "select lang, doc_id % 10 = 0 as held_out, count(*) as n, round(exp(sum(-ln(p)) / count(*)), 4) as perplexity from s group by all",
     "retrieved": f"""with {_TFIDF},
 qt as (select item_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}\\p{{N}}_]{{2,}}')) as term from benchmark), qf as (select item_id, term, count(*) as tf from qt group by all), qr as (select item_id, term, tf * (ln((1 + n.n) / (1 + df)) + 1) as w from qf join df using (term), n),
 ql as (select item_id, sqrt(sum(w * w)) as l from qr group by 1), q as (select item_id, term, w / l as qw from qr join ql using (item_id)), s as (select item_id, doc_id, round(sum(qw * w), 9) as sim from q join w using (term) group by all)

@@ -135,7 +135,9 @@ select doc_id, case when p <= floor(n * 0.8::double) then 'train' when p <= floo
     "latest_orders": "select o_custkey, o_orderkey, row_number() over (partition by o_custkey order by epoch(o_orderdate)::bigint desc, o_orderkey)::int as rank from orders qualify rank <= 12",
     "round_robin_models": "select item_id, ['a', 'b', 'c'][((row_number() over (order by item_id)) - 1) % 3 + 1] as model from benchmark",
     "interleaved": """
-with r as (select doc_id, lang, (row_number() over (partition by lang order by doc_id) - 0.5::double) / case lang when 'en' then 0.4::double when 'fr' then 0.3::double when 'de' then 0.2::double else 0.1::double end as slot from documents where lang in ('en', 'fr', 'de', 'es'))
+with g as (select doc_id, lang, case lang when 'en' then 0.4::double when 'fr' then 0.3::double when 'de' then 0.2::double else 0.1::double end as w,
+floor(-ln((('0x' || substr(md5('42|' || lang || '|' || doc_id), 1, 13))::bigint::double + 0.5) / 4503599627370496::double) * 1048576)::bigint as gap from documents where lang in ('en', 'fr', 'de', 'es')),
+r as (select doc_id, lang, sum(gap) over (partition by lang order by doc_id)::bigint / 1048576::double / w as slot from g)
 select doc_id, lang, round(slot, 6) as slot from r where slot <= (select min(m) from (select max(slot) as m from r group by lang))""",
     "pending_trials": "select c_custkey as task_id, t.trial::int as trial, t.seed::int as seed from customer, (values (0, 10), (1, 11), (2, 12)) t(trial, seed) where not (c_custkey % 3 = 0 and t.trial = 1)",
 }
