@@ -169,9 +169,10 @@ def diff_lines(diffs: DataFrame, keys: list[str], diff: str = "diff") -> DataFra
 
 
 def _sides(diffs: DataFrame, keys: list[str], changed: DataFrame, old: str, new: str) -> DataFrame:
-    """(keys, f, side, path, text) of each file of a diff, before (-) and after (+). A side that a file doesn't have is empty."""
+    """(keys, f, side, path, text) of each file of a diff, before (-) and after (+). A side that a file doesn't have is empty;
+    a line feed at the end ends the last line and begins none."""
     files = changed.where("not binary").select(*keys, "f", "old_path", "new_path", "kind").distinct().join(diffs, keys)
-    side = lambda sign, path, held, gone: files.select(*keys, "f", F.lit(sign).alias("side"), F.col(path).alias("path"), F.when(F.col("kind") == gone, "").otherwise(F.coalesce(F.element_at(held, F.col(path)), F.lit(""))).alias("text"))
+    side = lambda sign, path, held, gone: files.select(*keys, "f", F.lit(sign).alias("side"), F.col(path).alias("path"), F.when(F.col("kind") == gone, "").otherwise(F.regexp_replace(F.coalesce(F.element_at(held, F.col(path)), F.lit("")), "\\n\\z", "")).alias("text"))
     return side("-", "old_path", old, "new").union(side("+", "new_path", new, "deleted"))
 
 
