@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import threading
 import time
-from collections.abc import Callable, Iterator
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import Future, ThreadPoolExecutor
 from typing import Any
 
 import pandas as pd
@@ -88,21 +91,69 @@ def with_model_switch(client: Client, models: list[str], confidence: Callable[[s
     return call
 
 
-def ask(df: DataFrame, prompt: str, model: str, client: Client, reply: str = "reply") -> DataFrame:
-    """Adds the reply and, where the call failed, error. Equal prompts to one model are asked once and joined back by hash."""
+class Bucket:
+    """Tokens that come in at `rate` a second, up to `size`; each call takes one, and waits for it."""
+
+    def __init__(self, rate: float, size: int) -> None:
+        self.rate, self.size, self.held, self.at, self.lock = rate, size, float(size), time.monotonic(), threading.Lock()
+
+    def take(self) -> None:
+        with self.lock:
+            now = time.monotonic()
+            self.held = min(self.size, self.held + (now - self.at) * self.rate) - 1
+            self.at = now
+            wait = -self.held / self.rate if self.held < 0 else 0.0
+        if wait:
+            time.sleep(wait)
+
+
+def in_order(call: Callable[[Any], Any], items: Iterable[Any], in_flight: int, per_second: float | None = None) -> Iterator[Any]:
+    """`call` of each item, in their order, up to `in_flight` of them at a time and `per_second` begun a second. What is open or
+    done and not yet taken is at most twice `in_flight`: items are read no faster than results are taken. A call that raises
+    does so where its result is taken."""
+    bucket = Bucket(per_second, max(1, in_flight)) if per_second else None
+
+    def one(item: Any) -> Any:
+        if bucket:
+            bucket.take()
+        return call(item)
+
+    with ThreadPoolExecutor(max_workers=max(1, in_flight)) as pool:
+        open_calls: deque[Future] = deque()
+        try:
+            for item in items:
+                open_calls.append(pool.submit(one, item))
+                if len(open_calls) >= 2 * in_flight:
+                    yield open_calls.popleft().result()
+            while open_calls:
+                yield open_calls.popleft().result()
+        finally:
+            for f in open_calls:
+                f.cancel()
+
+
+def ask(df: DataFrame, prompt: str, model: str, client: Client, reply: str = "reply", in_flight: int = 1, per_second: float | None = None) -> DataFrame:
+    """Adds the reply and, where the call failed, error. Equal prompts to one model are asked once and joined back by hash. A task
+    has up to `in_flight` calls open at a time, of which it begins `per_second`; a client is called from several threads then."""
     key = F.sha2(F.to_json(F.struct(F.col(prompt).alias("p"), F.col(model).alias("m"))), 256)
     keyed = df.withColumn("__key", key)
     once = keyed.groupBy("__key").agg(F.first(prompt).alias("p"), F.first(model).alias("m"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows: list[tuple[Any, ...]] = []
-            for r in batch.itertuples():
-                try:
-                    rows.append((r[1], client(r.p, r.m), None))
-                except Exception as e:  # noqa: BLE001
-                    rows.append((r[1], None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(rows, columns=["__key", reply, "error"])
+        def one(r: Any) -> tuple[Any, ...]:
+            try:
+                return r[1], client(r.p, r.m), None
+            except Exception as e:  # noqa: BLE001
+                return r[1], None, f"{type(e).__name__}: {e}"
+
+        held: list[tuple[Any, ...]] = []
+        for row in in_order(one, (r for batch in batches for r in batch.itertuples()), in_flight, per_second):
+            held.append(row)
+            if len(held) == 1000:
+                yield pd.DataFrame(held, columns=["__key", reply, "error"])
+                held = []
+        if held:
+            yield pd.DataFrame(held, columns=["__key", reply, "error"])
 
     asked = once.select("__key", "p", "m").mapInPandas(run, f"__key string, {reply} string, error string")
     return keyed.join(asked, "__key", "left").drop("__key")
