@@ -7,6 +7,7 @@ import math
 import random
 
 import pytest
+from conftest import DATA
 from pyspark.sql import functions as F
 
 from corpusmill.functions import diff as D
@@ -143,6 +144,38 @@ def test_greedy_pass_is_sequential(spark):
             kept.append(i)
     got = similarity.greedy_keep(spark.createDataFrame(sorted(pairs), "a long, b long"), spark.range(40), "id")
     assert sorted(x[0] for x in got.collect()) == kept
+    rounds = similarity.greedy_keep(spark.createDataFrame(sorted(pairs), "a long, b long"), spark.range(40), "id", links=3)
+    assert sorted(x[0] for x in rounds.collect()) == kept
+
+
+def test_greedy_pass_makes_its_pairs_once(spark):
+    """However many rounds a chain takes."""
+    made = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    chain = spark.range(12).selectExpr("id as a", "id + 1 as b").mapInArrow(noted, "a long, b long")
+    got = similarity.greedy_keep(chain, spark.range(13), "id", links=0)
+    assert sorted(x[0] for x in got.collect()) == list(range(0, 13, 2))
+    assert made.value == 12
+
+
+def test_parts_in_order_meet_by_their_steps(spark):
+    """By equal keys: no plan that compares each part with each other."""
+    from corpusmill.plans import metrics
+
+    seen = []
+    was = similarity.greedy_keep
+    try:
+        similarity.greedy_keep = lambda pairs, ids, id_col: seen.append(pairs) or ids
+        metrics.greedy_dedup(spark, DATA)
+    finally:
+        similarity.greedy_keep = was
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_fuzzy_pairs(spark):
