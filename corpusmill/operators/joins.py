@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -54,6 +54,19 @@ def one_stop(first: DataFrame, second: DataFrame, on: str, via: str, arrive: str
     return a.join(b, (F.col(f"a_{via}") == F.col(f"b_{on}")) & (F.col("__day") == F.col(f"b_{day}")) & (F.col(f"b_{depart}") >= F.col(f"a_{arrive}"))).drop("__day")
 
 
+def one_stop_counts(first: DataFrame, second: DataFrame, on: str, via: str, arrive: str, depart: str, day: str) -> DataFrame:
+    """(a_day, n): how many pairs `one_stop` has for each day of the first leg, without making them: legs are counted by place, day
+    and time, and each arrival takes the running count of the departures of its place and day that are not before it. A
+    window has a row for each time of a day and not for each leg."""
+    left = first.select(F.col(via).alias("p"), arrival_day(F.col(day), F.col(arrive)).alias("d"), F.col(arrive).alias("t"), F.col(day).alias("a_day")).groupBy("p", "d", "t", "a_day").agg(F.count("*").alias("m"))
+    right = second.select(F.col(on).alias("p"), F.col(day).cast("date").alias("d"), F.col(depart).alias("t")).groupBy("p", "d", "t").agg(F.count("*").alias("k"))
+    both = left.unionByName(right, allowMissingColumns=True).where("p is not null and d is not null and t is not null")
+    # A range has all rows of equal times.
+    later = Window.partitionBy("p", "d").orderBy(F.col("t").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    met = both.withColumn("s", F.coalesce(F.sum("k").over(later), F.lit(0))).where("m is not null and s > 0")
+    return met.groupBy("a_day").agg(F.sum(F.col("m") * F.col("s")).alias("n"))
+
+
 def within(points: DataFrame, spans: DataFrame, key: str, point: str, start: str, end: str, width: int) -> DataFrame:
     """Points inside closed spans of the same key. Spans are dealt to the blocks of `width` that they touch, so that the
     join is on key and block and not on an inequality alone."""

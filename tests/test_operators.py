@@ -14,7 +14,7 @@ from corpusmill.functions import diff as D
 from corpusmill.functions import jsonish as J
 from corpusmill.functions import text as X
 from corpusmill.functions.scoring import bleu4, comb, pass_at_k
-from corpusmill.operators import chunking, packing, qa, resume, similarity, split
+from corpusmill.operators import chunking, joins, packing, qa, resume, similarity, split
 from corpusmill.sources import files
 from corpusmill.streaming import sessions
 
@@ -235,3 +235,15 @@ def test_json_is_strict(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [tuple(r) for r in df.select(J.is_json(F.col("t")), J.parsed(F.col("t")).isNotNull()).collect()]
     assert got == [(True, True)] + [(False, False)] * 3 + [(True, True), (False, False), (True, False)] + [(False, False)] * 2 + [(True, True), (False, False)]
+
+
+def test_one_stop_counts_are_those_of_the_pairs(spark):
+    """By place, day and time; next-day arrivals, and nulls on either side, too."""
+    r = random.Random(4)
+    rows = [(i, r.choice([None, *range(3)]), r.choice([None, *range(3)]), r.choice([None, "2024-01-01", "2024-01-02", "2024-01-03"]), r.choice([None, "01:00:00", "09:30:00", "22:00:00"]), r.choice([None, "03:00:00", "09:30:00", "01:00:00+1"])) for i in range(300)]
+    legs = spark.createDataFrame(rows, "i int, orig int, dest int, day string, dep string, arr string").withColumn("day", F.col("day").cast("date"))
+    args = (legs, legs, "orig", "dest", "arr", "dep", "day")
+    want = {x.a_day: x.n for x in joins.one_stop(*args).groupBy("a_day").agg(F.count("*").alias("n")).collect()}
+    counts = joins.one_stop_counts(*args)
+    assert want and {x.a_day: x.n for x in counts.collect()} == want
+    assert "Join" not in counts._jdf.queryExecution().executedPlan().toString()
