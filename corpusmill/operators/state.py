@@ -6,6 +6,7 @@ A task's actions are one record's worth of data, and its fold is a sequence; tas
 from __future__ import annotations
 
 import json
+import pickle
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,6 +26,11 @@ def _same_reply(got: str, want: str) -> bool:
         return False
 
 
+#: Outcomes of calls that a partition remembers, bytes of the states they lead to, and outcomes after which it stops if fewer than half
+#: of its calls were known.
+REMEMBERED, REMEMBERED_BYTES, TRIED = 20_000, 64 << 20, 2_000
+
+
 def fold(actions: DataFrame, base: Tables, domain: Domain, task: str = "task_id", order: str = "pos", name: str = "name", args: str = "arguments", side: str | None = None, reply: str | None = None) -> DataFrame:
     """(task, n_actions, n_errors, n_differ, checks, responses, state_hash, changes): every task's actions, in order, each task
     on a state of its own over the shared base.
@@ -34,29 +40,66 @@ def fold(actions: DataFrame, base: Tables, domain: Domain, task: str = "task_id"
     the actions give `checks`, an error counts as false, and not `responses`. Arguments that are no JSON object are an
     error. changes is the JSON of all records that differ from the base; state_hash, its digest."""
     kind = actions.schema[task].dataType.simpleString()
+    nothing = pickle.dumps({})
     cols = [c for c in (side, reply) if c]
 
-    def play(key: object, rows: list[dict]) -> tuple:
-        store, replies, checks, bad, differ = Store(base), [], [], 0, 0
-        for r in rows:
-            try:
-                given = json.loads(r[args] or "{}")
-                got, failed = domain.step(store, r[name], given, r[side] if side else None)
-            except (TypeError, ValueError) as e:
-                got, failed = f"Error: {e}", True
-            tool = domain.tools.get(r[name])
+    def act(store: Store, what: str, given: str | None, who: str | None) -> tuple[str, bool]:
+        try:
+            return domain.step(store, what, json.loads(given or "{}"), who)
+        except (TypeError, ValueError) as e:
+            return f"Error: {e}", True
+
+    def recalled(memo: dict, at: bytes, what: str, given: str | None, who: str | None) -> tuple[bytes, str, bool]:
+        """The state that a call on state `at` leads to, with its outcome."""
+        known, states = memo["known"], memo["states"]
+        memo["calls"] += 1
+        came = known.get((at, what, given, who))
+        if came is None:
+            memo["misses"] += 1
+            store = states[at].copy() if at in states else Store(base)
+            got, failed = act(store, what, given, who)
+            # All that a tool can read: the records taken, in their order.
+            then = pickle.dumps(store.own)
+            if then not in states:
+                states[then] = store
+                memo["size"] += len(then)
+            came = known[at, what, given, who] = (then, got, failed)
+            if len(known) > REMEMBERED or memo["size"] > REMEMBERED_BYTES:
+                known.clear()
+                memo.update(states={then: store}, size=len(then))
+        return came
+
+    def play(key: object, calls: list, memo: dict) -> tuple:
+        at, replies, checks, bad, differ = nothing, [], [], 0, 0
+        store = Store(base) if memo["poor"] else None
+        for what, given, who, want in calls:
+            if store is None:
+                at, got, failed = recalled(memo, at, what, given, who)
+                if memo["misses"] > TRIED and 2 * memo["misses"] > memo["calls"]:
+                    store = memo["states"][at].copy() if at in memo["states"] else Store(base)
+                    memo.update(known={}, states={}, poor=True)
+            else:
+                got, failed = act(store, what, given, who)
+            tool = domain.tools.get(what)
             if tool and tool.kind == "assert":
                 checks.append(not failed and got == "true")
                 continue
             replies.append(got)
             bad += failed
-            if reply and isinstance(r[reply], str):
-                differ += not _same_reply(got, r[reply])
-        return key, len(rows), bad, differ, checks, replies, store.digest(), canonical(store.changes())
+            if isinstance(want, str):
+                differ += not _same_reply(got, want)
+        end = memo["known"].get(at) if store is None else None
+        if end is None:
+            last = store or memo["states"].get(at) or Store(base)
+            end = (last.digest(), canonical(last.changes()))
+            if store is None:
+                memo["known"][at] = end
+        return key, len(calls), bad, differ, checks, replies, *end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come by task and in order; a task may go on in the next batch."""
         key, rows, out = None, [], []
+        memo = {"known": {}, "states": {}, "calls": 0, "misses": 0, "size": 0, "poor": False}
 
         def packed() -> pa.RecordBatch:
             cols = list(zip(*out, strict=True))
@@ -65,17 +108,19 @@ def fold(actions: DataFrame, base: Tables, domain: Domain, task: str = "task_id"
         kept = None
         for batch in batches:
             kept = batch.column(task) if kept is None else kept
-            for r in batch.to_pylist():
-                if rows and r[task] != key:
-                    out.append(play(key, rows))
+            none = [None] * batch.num_rows
+            columns = [batch.column(c).to_pylist() if c else none for c in (task, name, args, side, reply)]
+            for k, *call in zip(*columns, strict=True):
+                if rows and k != key:
+                    out.append(play(key, rows, memo))
                     rows = []
-                key = r[task]
-                rows.append(r)
+                key = k
+                rows.append(call)
             if len(out) >= 1000:
                 yield packed()
                 out = []
         if rows:
-            out.append(play(key, rows))
+            out.append(play(key, rows, memo))
         if out:
             yield packed()
 
@@ -87,11 +132,11 @@ def fold(actions: DataFrame, base: Tables, domain: Domain, task: str = "task_id"
     return dealt.mapInArrow(run, shape)
 
 
-def end_state_reward(gold: DataFrame, model: DataFrame, task: str = "task_id") -> DataFrame:
-    """(task, db_match, checks_hold): whether the model's actions lead to the gold actions' state, and whether all assertions
-    of its log hold; a task without model actions fails both."""
-    got = model.select(task, F.col("state_hash").alias("got"), F.forall("checks", lambda c: c).alias("holds"))
-    return gold.select(task, F.col("state_hash").alias("want")).join(got, task, "left").select(task, F.coalesce(F.col("want") == F.col("got"), F.lit(False)).alias("db_match"), F.coalesce("holds", F.lit(False)).alias("checks_hold"))
+def end_state_reward(gold: DataFrame, model: DataFrame, task: str = "task_id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(task, db_match, checks_hold, keep): whether the model's actions lead to the gold actions' state, and whether all assertions
+    of its log hold; a task without model actions fails both. `keep` names columns of the model's to go along."""
+    got = model.select(task, F.col("state_hash").alias("got"), F.forall("checks", lambda c: c).alias("holds"), *keep)
+    return gold.select(task, F.col("state_hash").alias("want")).join(got, task, "left").select(task, F.coalesce(F.col("want") == F.col("got"), F.lit(False)).alias("db_match"), F.coalesce("holds", F.lit(False)).alias("checks_hold"), *keep)
 
 
 def outputs_told(outputs: Column, replies: Column) -> Column:

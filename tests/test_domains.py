@@ -253,3 +253,31 @@ def test_message_protocol(spark):
     rows = [("a", 0), ("", 1), ("a", 1), (None, 0), (" ", 2)]
     got = spark.createDataFrame(rows, "t string, n int").select(state.one_kind_of_content(F.col("t"), F.col("n"))).collect()
     assert [r[0] for r in got] == [True, True, False, False, True]
+
+
+@pytest.mark.parametrize("bounds", [(20_000, 64 << 20, 2_000), (3, 64 << 20, 10**9), (20_000, 200, 10**9), (20_000, 64 << 20, 2)])
+def test_a_fold_remembers_outcomes_and_gives_those_of_a_play(spark, monkeypatch, bounds):
+    """Within any bounds; and a call on a state that came before isn't played again."""
+    import random
+
+    for name, value in zip(("REMEMBERED", "REMEMBERED_BYTES", "TRIED"), bounds, strict=True):
+        monkeypatch.setattr(state, name, value)
+    r = random.Random(3)
+    items = {"order_id": "o1", "item_ids": ["i1"], "new_item_ids": ["i2"], "payment_method_id": "g"}
+    calls = [("modify_pending_order_items", items), ("cancel_pending_order", {"order_id": "o1", "reason": "no longer needed"}), ("cancel_pending_order", {"order_id": "o1", "reason": "odd"}), ("modify_pending_order_payment", {"order_id": "o1", "payment_method_id": "c"}), ("modify_pending_order_address", {"order_id": "o1", **ADDRESS}), ("get_order_details", {"order_id": "o1"})]
+    tasks = {k: [r.choice(calls) for _ in range(r.randrange(1, 6))] for k in range(300)}
+    played = spark.sparkContext.accumulator(0)
+    retail = copy.copy(DOMAINS["retail"])
+
+    def step(*args, **kwargs):
+        played.add(1)
+        return DOMAINS["retail"].step(*args, **kwargs)
+
+    object.__setattr__(retail, "step", step)
+    df = spark.createDataFrame([(k, i, n, json.dumps(a)) for k, c in tasks.items() for i, (n, a) in enumerate(c)], "task_id int, pos int, name string, arguments string")
+    out = {x.task_id: x for x in state.fold(df, SHOP, retail).collect()}
+    for k, steps in tasks.items():
+        db, came = play("retail", SHOP, *steps)
+        assert (out[k].n_errors, out[k].responses, out[k].state_hash) == (sum(f for _, f in came), [x for x, _ in came], db.digest())
+    if bounds[0] == 20_000 and bounds[2] == 2_000 and bounds[1] > 200:
+        assert played.value < len([c for s in tasks.values() for c in s]) / 2
