@@ -121,7 +121,7 @@ def shop_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
     actions and more the reward also asks that none failed; every seventh run was stopped early."""
     log = _shop_log(spark, sf_dir)
     gold, model = (state.fold(x, SHOP, DOMAINS["retail"]) for x in (log.where(f"pos < {3 * 10**15}"), log))
-    got = state.end_state_reward(gold, model).join(model.select("task_id", "n_actions", "n_errors"), "task_id")
+    got = state.end_state_reward(gold, model, keep=("n_actions", "n_errors"))
     basis = F.when(F.col("n_actions") > 2, F.array(F.lit("DB"), F.lit("ACTION"))).otherwise(F.array(F.lit("DB")))
     reward = state.combined_reward(basis, {"DB": F.col("db_match"), "ACTION": F.col("n_errors") == 0}, F.col("task_id") % 7 != 0)
     return got.select("task_id", "db_match", reward.alias("reward"))
