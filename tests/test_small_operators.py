@@ -104,3 +104,35 @@ def test_sari_and_rouge(spark):
         assert abs(got[i][0] - sari(s, p, t)) < 1e-9, (s, p, t)
         a, b = p.split(), t.split()
         assert abs(got[i][1] - 2 * lcs(a, b) / (len(a) + len(b))) < 1e-12
+
+
+def test_negatives_hold_few_similarities_at_once(spark, monkeypatch):
+    """The same rows however few; and a task that gets many rows needs little memory for them."""
+    r = random.Random(5)
+    e = spark.createDataFrame([(i, [r.gauss(0, 1) for _ in range(6)], r.randrange(4)) for i in range(400)], "vec_id long, v array<double>, label int").repartition(2)
+    args = (e.where("vec_id % 4 = 0"), e, "vec_id", "v", "label", 3)
+    rows = lambda: sorted(map(tuple, similarity.hard_negatives(*args, skip=1, least=-0.5, most=0.95, margin=0.02).collect()))
+    want = rows()
+    monkeypatch.setattr(similarity, "HELD", 700)
+    assert want and rows() == want
+
+    monkeypatch.undo()
+    peaks = []
+
+    class Caught:
+        """Runs a task's function here, and keeps the largest matrix that it rounds."""
+
+        floor = staticmethod(similarity.np.floor)
+
+    def floor(x):
+        peaks.append(x.size)
+        return Caught.floor(x)
+
+    many = e.crossJoin(spark.range(30)).selectExpr("vec_id + 1000 * id as vec_id", "v", "label")
+    batch = many.toArrow().combine_chunks().to_batches()[0]
+    monkeypatch.setattr(similarity.np, "floor", floor)
+    seen = []
+    monkeypatch.setattr(type(e), "mapInArrow", lambda self, f, shape, *a, **k: seen.append(f) or self.selectExpr("vec_id as anchor", "vec_id as negative", "0D as sim"))
+    similarity.hard_negatives(many.where("vec_id % 20 = 0"), many, "vec_id", "v", "label", 3)
+    list(seen[-1](iter([batch])))
+    assert peaks and max(peaks) <= similarity.HELD
