@@ -216,12 +216,13 @@ def tool_call(c: Column) -> Column:
                 return None
 
         for batch in batches:
-            yield batch.map(read)
+            found = {text: read(text) for text in batch.unique()}
+            yield batch.map(found.get)
 
     text = strip(c)
-    v = parsed(text)
-    name, given = field(v, "name", "string"), F.try_variant_get(v, "$.arguments", "variant")
-    by_json = F.when(name.isNotNull() & F.startswith(given.cast("string"), F.lit("{")), F.struct(name.alias("name"), given.cast("string").alias("arguments")))
+    call = lambda name, given: F.when(name.isNotNull() & F.startswith(given, F.lit("{")), F.struct(name.alias("name"), given.alias("arguments")))
+    # The text is parsed once, and only one that can be an object.
+    by_json = let(text, lambda t: F.when(F.startswith(t, F.lit("{")), let(parsed(t), lambda v: let(F.struct(field(v, "name", "string").alias("n"), F.try_variant_get(v, "$.arguments", "variant").cast("string").alias("a")), lambda x: call(x["n"], x["a"])))))
     form = "(?sU)^(\\w+)\\s*\\((.*)\\)$"
     called = F.nullif(F.regexp_extract(text, form, 1), F.lit(""))
     # The Python side sees only texts of that form.
