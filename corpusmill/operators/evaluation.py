@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.functions.arrays import let
 from corpusmill.functions.jsonish import canonical, field, parsed, strict_json
 from corpusmill.functions.text import strip
 from corpusmill.operators.analysis import rate
@@ -29,9 +30,11 @@ def kind_of_task(task_type: Column) -> Column:
 def judge_scores(output: Column, reply: Column, kind: str) -> Column:
     """A map of the kind's metrics from a judge's JSON reply: a metric that is missing or no number is 0; without a model's
     output all are."""
-    v = parsed(reply)
-    read = [F.when(F.coalesce(output, F.lit("")) == "", 0.0).otherwise(F.coalesce(field(v, m, "double"), F.lit(0.0))) for m in JUDGED[kind]]
-    return F.map_from_arrays(F.array(*[F.lit(m) for m in JUDGED[kind]]), F.array(*read))
+    none = F.array(*[F.lit(0.0) for _ in JUDGED[kind]])
+    read = lambda v: F.array(*[F.coalesce(field(v, m, "double"), F.lit(0.0)) for m in JUDGED[kind]])
+    # A reply is made and parsed once for all metrics.
+    scores = F.when(F.coalesce(output, F.lit("")) == "", none).otherwise(let(reply, lambda c: let(parsed(c), read)))
+    return F.map_from_arrays(F.array(*[F.lit(m) for m in JUDGED[kind]]), scores)
 
 
 def judged_outputs(outputs: DataFrame, task_type: str, output: str, reply: str) -> DataFrame:
