@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.arrays import once
 from corpusmill.functions.text import word_list
-from corpusmill.sources.scratch import written
+from corpusmill.sources.scratch import dealt_by, written
 
 START, END = "<s>", "</s>"
 
@@ -74,8 +74,9 @@ def gram_probabilities(model: NgramModel, grams: DataFrame) -> DataFrame:
 def text_nll(model: NgramModel, texts: DataFrame, keep: list[str], text_col: str, tokens: Callable[[Column], Column] = word_list) -> DataFrame:
     """(keep, n_words, nll) of texts, seen or not: negative log probability, the end of the text included. `keep` names a text;
     rows that repeat it are added up. Null texts count as empty, and have their end alone; an empty table gives no rows."""
-    grams = written(_grams(texts, keep, text_col, model.order, tokens).groupBy(*keep, "context", "word").agg(F.count("*").alias("m")), "grams")
-    p = gram_probabilities(model, grams)
+    # Made twice from the texts, which is less than to store them.
+    grams = _grams(dealt_by(texts.select(*keep, text_col), *keep), keep, text_col, model.order, tokens).groupBy(*keep, "context", "word").agg(F.count("*").alias("m"))
+    p = gram_probabilities(model, _grams(texts, [], text_col, model.order, tokens))
     by_text = grams.join(p.selectExpr("concat(context, '') as context", "word", "p"), ["context", "word"])
     return by_text.groupBy(*keep).agg(F.sum("m").alias("n_words"), F.sum(-F.log("p") * F.col("m")).alias("nll"))
 

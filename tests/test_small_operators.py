@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import random
+import re
 from fractions import Fraction
 
 from pyspark.sql import functions as F
 
 from corpusmill.functions import diff, jsonish, rust
-from corpusmill.operators import analysis, qa, records, resume, similarity, split
+from corpusmill.operators import analysis, evaluation, qa, records, resume, similarity, split
 from corpusmill.operators.calls import BUILDERS, builder
 from corpusmill.sources import files
 
@@ -136,3 +137,24 @@ def test_negatives_hold_few_similarities_at_once(spark, monkeypatch):
     similarity.hard_negatives(many.where("vec_id % 20 = 0"), many, "vec_id", "v", "label", 3)
     list(seen[-1](iter([batch])))
     assert peaks and max(peaks) <= similarity.HELD
+
+
+def test_replies_and_calls_are_parsed_once(spark):
+    """However many fields are read; a call's parse stands where it is asked for, and not again for each field."""
+    scores = evaluation.judge_scores(F.col("o"), F.col("r"), "generation")
+    call = jsonish.tool_call(F.col("r"))
+    assert [str(c).count("try_parse_json") for c in (scores, call)] == [1, 3]
+    rows = spark.createDataFrame([("x", '{"functional_correctness": 0.5, "syntax_validity": "n"}'), ("", '{"task_completion": 1}'), ("x", "no"), ("x", None)], "o string, r string")
+    none = {"functional_correctness": 0.0, "task_completion": 0.0, "syntax_validity": 0.0}
+    assert [x.s for x in rows.select(scores.alias("s")).collect()] == [none | {"functional_correctness": 0.5}, none, none, none]
+    calls = spark.createDataFrame([(' {"name": "f", "arguments": {"b": 1}}',), ("f(a=1)",), ("f(a=1)",), ('["name"]',), ('{"name": "f", "arguments": 3}',), ('{"name": null, "arguments": {}}',), (None,)], "r string")
+    assert [x.c and tuple(x.c) for x in calls.select(call.alias("c")).collect()] == [("f", '{"b":1}'), ("f", '{"a":1}'), ("f", '{"a":1}'), None, None, None, None]
+
+
+def test_words_are_counted_where_their_texts_lie(spark):
+    """No words by text cross between tasks."""
+    docs = spark.createDataFrame([(1, "aa bb aa"), (2, "bb cc"), (2, "bb")], "doc_id long, text string")
+    out = similarity.tf_idf(docs, "doc_id", "text")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(doc_id#\d+L?, term#", plan)
+    assert {(x.doc_id, x.term, x.df) for x in out.collect()} == {(1, "aa", 1), (1, "bb", 2), (2, "bb", 2), (2, "cc", 1)}
