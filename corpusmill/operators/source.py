@@ -28,6 +28,8 @@ NAMES = {
 }
 #: Comments, strings of both kinds, characters and lifetimes of Rust: what braces don't count in.
 OPAQUE = r"""(?s)//[^\n]*|/\*.*?(?:\*/|\z)|\br(#*)".*?(?:"\1|\z)|"(?:\\.|[^"\\])*+(?:"|\z)|'(?:\\.[^']?|[^\w'\\])'|'[^\W\d]\w*'?"""
+#: Characters of text in a task's windows, on average.
+PART = 4_000_000
 # Lines around a change outside of functions, and lines shown around a region.
 NEAR, AROUND = 5, 3
 HEADER = "# Enhanced Git Diff with Full Function Context\n# This diff shows complete functions/methods that contain changes\n# to help understand the full context of modifications.\n"
@@ -45,15 +47,29 @@ def masked(text: Column) -> Column:
 
 
 def source_lines(files: DataFrame, keys: list[str], path: str = "path", text: str = "text") -> DataFrame:
-    """(keys, path, ext, line, body, code): the lines of each file from 1, and in `code` those of Rust without what is opaque.
-    A null text has no lines."""
+    """(keys, path, ext, n, line, body, code): the lines of each file from 1 to n, and in `code` those of Rust without what is
+    opaque. A null text has no lines."""
     ext = extension(F.col(path))
     both = files.where(F.col(text).isNotNull()).select(*keys, F.col(path).alias("path"), ext.alias("ext"), F.split(text, "\n", -1).alias("a"), F.split(F.when(ext == ".rs", masked(F.col(text))).otherwise(F.col(text)), "\n", -1).alias("b"))
-    return both.select(*keys, "path", "ext", F.posexplode(F.arrays_zip("a", "b"))).select(*keys, "path", "ext", (F.col("pos") + 1).alias("line"), F.col("col.a").alias("body"), F.col("col.b").alias("code"))
+    rows = both.select(*keys, "path", "ext", F.size("a").alias("n"), F.posexplode(F.arrays_zip("a", "b")))
+    return rows.select(*keys, "path", "ext", "n", (F.col("pos") + 1).alias("line"), F.col("col.a").alias("body"), F.col("col.b").alias("code"))
+
+
+def dealt(texts: DataFrame, keys: list[str], *held: Column) -> DataFrame:
+    """Texts with a column `deal`, by which they are dealt into parts of at most PART characters of `held` on average, or the
+    session's number of partitions if that is more. Windows by `deal` and keys then form where a text lies, and a task holds
+    as much of a large table as of a small one."""
+    size = F.lit(0)
+    for c in held:
+        size = size + F.coalesce(F.length(c), F.lit(0))
+    chars = texts.agg(F.sum(size.cast("long"))).first()[0] or 0
+    parts = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), chars // PART)
+    return texts.withColumn("deal", F.xxhash64(*keys)).repartition(parts, "deal")
 
 
 def _declared(lines: DataFrame, file: list[str]) -> DataFrame:
-    """Lines that start a function or container, with the first line of the comments and attributes above (Rust)."""
+    """Lines with what they declare: `fn`, `typed` and `impl`; for those the first line of the comments and attributes above (Rust)
+    and, for an impl, what it says up to its brace, over several lines if need be. `levels` are the indents of a file's starts."""
     body, ext = F.col("body"), F.col("ext")
     by_file = Window.partitionBy(*file).orderBy("line")
     fits = F.lit(False)
@@ -62,51 +78,54 @@ def _declared(lines: DataFrame, file: list[str]) -> DataFrame:
     rust = ext == ".rs"
     kind = F.regexp_extract(body, RUST_TYPE, 1)
     typed = rust & ((kind != "") & ((kind != "mod") | (F.regexp_extract(body, RUST_TYPE, 3) != "")))
-    impl = rust & F.rlike(body, F.lit(RUST_IMPL))
+    lines = lines.withColumns({"fn": fits, "typed": typed, "impl": rust & F.rlike(body, F.lit(RUST_IMPL)), "lead": F.rlike(body, F.lit(LEAD)), "bare": F.trim("body"), "indent": F.length("body") - F.length(F.ltrim("body"))})
     # A line that ends the run of comments above: neither one itself, nor a single blank line below one.
-    lead = F.rlike(body, F.lit(LEAD))
-    breaks = ~lead & ~((F.trim("body") == "") & F.coalesce(F.lag(lead).over(by_file), F.lit(False)))
-    marked = lines.withColumns({"fn": fits, "typed": typed, "impl": impl, "breaks": breaks, "n": F.max("line").over(Window.partitionBy(*file))})
+    breaks = ~F.col("lead") & ~((F.col("bare") == "") & F.coalesce(F.lag("lead").over(by_file), F.lit(False)))
+    past = F.coalesce(F.lag(F.contains(body, F.lit("{"))).over(by_file), F.lit(False))
+    marked = lines.withColumns({"breaks": breaks, "past": past})
     above = F.last(F.when(F.col("breaks"), F.col("line")), ignorenulls=True).over(by_file.rowsBetween(Window.unboundedPreceding, -1))
-    marked = marked.withColumn("top", F.when(rust, F.coalesce(above, F.lit(0)) + 1).otherwise(F.col("line")))
-    # What an impl says up to its brace, over several lines if need be.
-    marked = marked.withColumn("g", F.sum(F.col("impl").cast("int")).over(by_file))
-    opened = F.max(F.contains(body, F.lit("{"))).over(Window.partitionBy(*file, "g").orderBy("line").rowsBetween(Window.unboundedPreceding, -1))
-    said = marked.withColumn("opened", opened).where("g > 0 and not coalesce(opened, false)").where("impl or (trim(body) <> '' and not startswith(trim(body), '//'))")
-    heads = said.groupBy(*file, "g").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", F.trim("body").alias("t")))), lambda x: x["t"]), " ").alias("head"))
-    heads = heads.select(*file, "g", F.trim(F.regexp_replace(F.trim(F.substring_index("head", "{", 1)), "^impl", "")).alias("impl_name"))
-    starts = marked.where("fn or typed or impl").join(heads, [*file, "g"], "left")
-    return starts.withColumns({"type_kind": kind, "type_name": F.regexp_extract(body, RUST_TYPE, 2)}).drop("g", "breaks", "code")
-
-
-def _closed(lines: DataFrame, starts: DataFrame, file: list[str]) -> DataFrame:
-    """Adds `close`, the line that closes the first block opened from a start on: the next brace that brings the depth back to
-    what it was at the start. Found among the braces of equal depth, in order."""
-    braces = lines.select(*file, "line", F.posexplode(F.regexp_extract_all("code", F.lit("[{}]"), F.lit(0))).alias("pos", "b"))
-    order = Window.partitionBy(*file).orderBy("line", "pos")
-    both = braces.select(*file, "line", "pos", F.when(F.col("b") == "{", 1).otherwise(-1).alias("step"), F.lit(None).cast("int").alias("at"))
-    both = both.unionByName(starts.select(*file, "line", F.lit(-1).alias("pos"), F.lit(0).alias("step"), F.col("line").alias("at")))
-    both = both.withColumn("depth", F.sum("step").over(order)).withColumn("place", F.struct("line", "pos"))
-    opens = F.first(F.when(F.col("step") == 1, F.col("place")), ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
-    both = both.withColumn("open", opens)
+    # The line of the impl whose words up to its brace a line has, else 0.
+    of = F.last(F.when(F.col("impl"), F.col("line")).when(F.col("past"), 0), ignorenulls=True).over(by_file.rowsBetween(Window.unboundedPreceding, 0))
+    levels = F.collect_set(F.when((ext == ".py") & F.col("fn"), F.col("indent"))).over(Window.partitionBy(*file))
+    marked = marked.withColumns({"top": F.when(rust, F.coalesce(above, F.lit(0)) + 1).otherwise(F.col("line")), "of": F.coalesce(of, F.lit(0)), "levels": levels})
+    start = F.col("fn") | F.col("typed") | F.col("impl")
+    says = (F.col("of") > 0) & (F.col("impl") | ((F.col("bare") != "") & ~F.startswith("bare", F.lit("//"))))
+    marked = marked.withColumns({"start": start, "says": says}).where("start or says or size(levels) > 0 or contains(code, '{') or contains(code, '}')")
+    said = F.collect_list(F.when(F.col("says"), F.struct("line", F.col("bare").alias("t")))).over(Window.partitionBy(*file, "of"))
+    head = F.array_join(F.transform(F.array_sort(said), lambda x: x["t"]), " ")
+    name = F.trim(F.regexp_replace(F.trim(F.substring_index(head, "{", 1)), "^impl", ""))
+    return marked.withColumns({"impl_name": F.when(F.col("impl"), name), "type_kind": kind, "type_name": F.regexp_extract(body, RUST_TYPE, 2)})
+
+
+def _ended(lines: DataFrame, file: list[str]) -> DataFrame:
+    """Starts with `last`, the line where they end. A block is closed by the next brace that brings the depth back to what it was at
+    the start, once one was opened; in Python by the line before the next one, neither blank nor comment, that is not indented
+    more; a section by the next one. What nothing closes goes to the last line.
+
+    A start and the braces of a line, or the indents that it ends, are rows of one window, read from the end of the file.
+    """
+    ext, py = F.col("ext"), F.col("ext") == ".py"
+    event = lambda pos, step, level: F.struct(pos.cast("int").alias("pos"), step.cast("int").alias("step"), level.cast("int").alias("level"))
+    none = F.array().cast("array<struct<pos:int,step:int,level:int>>")
+    starts = F.when(F.col("start"), F.array(event(F.lit(-1), F.lit(0), F.when(py, F.col("indent"))))).otherwise(none)
+    braces = F.transform(F.regexp_extract_all("code", F.lit("[{}]"), F.lit(0)), lambda b, i: event(i, F.when(b == "{", 1).otherwise(-1), F.lit(None)))
+    ends = F.transform(F.filter("levels", lambda v: v >= F.col("indent")), lambda v: event(F.lit(-2), F.lit(-1), v))
+    ended = F.when(ext.isin(".rs", ".js", ".ts"), braces).when(py & (F.col("bare") != "") & ~F.startswith("bare", F.lit("#")), ends).otherwise(none)
+    held = ["ext", "n", "body", "fn", "typed", "impl", "top", "impl_name", "type_kind", "type_name"]
+    rows = lines.select(*file, "line", *held, F.explode(F.concat(starts, ended)).alias("e"))
+    at = F.col("e.pos") == -1
+    rows = rows.select(*file, "line", "e.*", at.alias("start"), *[c if c == "ext" else F.when(at, F.col(c)).alias(c) for c in held])
+    later = Window.partitionBy(*file).orderBy(F.desc("line"), F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
+    depth = F.coalesce("level", -F.coalesce(F.sum(F.when(F.col("level").isNull(), F.col("step"))).over(later), F.lit(0)))
+    opens = F.last(F.when(F.col("step") == 1, F.struct("line", "pos")), ignorenulls=True).over(later)
+    rows = rows.withColumns({"depth": depth, "open": opens, "next": F.last(F.when(F.col("start"), F.col("line")), ignorenulls=True).over(later)}).where("start or step < 0")
     # A start stands where its first brace opens; from there on the next closing brace of its depth is its own.
-    at_depth = both.where("step < 0").select(*file, "depth", "place", F.col("line").alias("shut"), F.lit(None).cast("int").alias("at"))
-    at_depth = at_depth.unionByName(both.where("at is not null and open is not null").select(*file, "depth", F.col("open").alias("place"), F.lit(None).cast("int").alias("shut"), "at"))
-    nxt = F.first("shut", ignorenulls=True).over(Window.partitionBy(*file, "depth").orderBy("place").rowsBetween(0, Window.unboundedFollowing))
-    found = at_depth.withColumn("close", nxt).where("at is not null").select(*file, F.col("at").alias("line"), "close")
-    return starts.join(found, [*file, "line"], "left")
-
-
-def _dedented(lines: DataFrame, starts: DataFrame, file: list[str]) -> DataFrame:
-    """(file, line, dedent): for Python starts the next line, neither blank nor comment, that is not indented more. Each line is
-    looked at once for each indent that starts of its file have."""
-    indent = F.length("body") - F.length(F.ltrim("body"))
-    here = starts.where("ext = '.py'").select(*file, "line", indent.alias("level"))
-    levels = here.select(*file, "level").distinct()
-    code = lines.where("ext = '.py' and trim(body) <> '' and not startswith(ltrim(body), '#')").select(*file, "line", indent.alias("indent"))
-    ends = code.join(levels, file).where("indent <= level").select(*file, "level", "line", F.col("line").alias("end"))
-    nxt = F.first("end", ignorenulls=True).over(Window.partitionBy(*file, "level").orderBy("line").rowsBetween(1, Window.unboundedFollowing))
-    return ends.withColumn("dedent", nxt).join(here, [*file, "level", "line"]).select(*file, "line", "dedent")
+    braced = F.col("start") & ~py
+    rows = rows.withColumns({"depth": F.when(~braced | F.col("open").isNotNull(), F.col("depth")), "place": F.when(braced, F.col("open")).otherwise(F.struct("line", "pos"))})
+    order = Window.partitionBy(*file, "depth").orderBy(F.desc("place")).rowsBetween(Window.unboundedPreceding, -1)
+    close = F.last(F.when(~F.col("start"), F.col("line") - F.when(py, 1).otherwise(0)), ignorenulls=True).over(order)
+    rows = rows.withColumn("close", close).where("start")
+    return rows.withColumn("last", F.coalesce(F.when(ext == ".toml", F.col("next") - 1).otherwise(F.col("close")), F.col("n")))
 
 
 def source_blocks(files: DataFrame, keys: list[str], path: str = "path", text: str = "text") -> DataFrame:
@@ -114,35 +133,31 @@ def source_blocks(files: DataFrame, keys: list[str], path: str = "path", text: s
     traits, modules with a body and impl blocks; lines from 1, both inclusive. Python, JavaScript, TypeScript, Rust and, by
     sections, TOML; other files have none. Rust's spans begin with the comments and attributes above.
 
-    Ends are found by windows over lines: by the depth of braces, by indents, by the next section. A file is a partition of
-    these windows, so that its size, not the number of files, bounds a task. Braces in strings and comments count in all
-    but Rust. A block that nothing closes goes to the last line.
+    Files are dealt once; ends are then found by windows over lines: by the depth of braces, by indents, by the next section.
+    A file is a partition of these windows, so that its size, not the number of files, bounds a task. Braces in strings and
+    comments count in all but Rust. A block that nothing closes goes to the last line.
     """
-    return _blocks(written(source_lines(files, keys, path, text), "lines"), keys)
+    files = files.where(extension(F.col(path)).isin(*STARTS)).select(*keys, F.col(path).alias("path"), F.col(text).alias("text"))
+    return _blocks(source_lines(dealt(files, [*keys, "path"], F.col("text")), ["deal", *keys]), ["deal", *keys]).drop("deal")
 
 
 def _blocks(lines: DataFrame, keys: list[str]) -> DataFrame:
-    """Blocks of stored lines."""
+    """Blocks of lines. Keys that lines are dealt by come first, so that no window shuffles them."""
     ext, file = F.col("ext"), [*keys, "path"]
-    starts = written(_closed(lines, written(_declared(lines, file), "starts"), file), "closed")
-    starts = starts.join(_dedented(lines, starts, file), [*file, "line"], "left")
-    section = F.lead("line").over(Window.partitionBy(*file, ext == ".toml").orderBy("line")) - 1
-    last = F.when(ext == ".py", F.col("dedent") - 1).when(ext == ".toml", section).otherwise(F.col("close"))
-    starts = written(starts.withColumn("last", F.coalesce(last, F.col("n"))), "ends")
-    owners = starts.where("impl").select(*file, F.col("line").alias("from"), F.col("last").alias("to"), F.col("impl_name").alias("owner"))
+    starts = _ended(_declared(lines.where(ext.isin(*STARTS)), file), file)
     names = F.lit(None).cast("string")
     for e, forms in NAMES.items():
         found = F.coalesce(*[F.nullif(F.regexp_extract("body", f, 1), F.lit("")) for f in forms])
         names = F.when(ext == e, found).otherwise(names)
     names = F.coalesce(names, F.nullif(F.regexp_extract("body", r"\b(\w+)", 1), F.lit("")), F.lit("unknown"))
-    fns = starts.where("fn").select(*file, "line", "top", "last", names.alias("name"), F.trim("body").alias("said"))
-    own = fns.join(owners, file, "left").where("from < line and line <= to").groupBy(*file, "line").agg(F.min_by("owner", "from").alias("owner"))
-    fns = fns.join(own, [*file, "line"], "left")
+    impls = F.collect_list(F.when(F.col("impl"), F.struct("line", "last", "impl_name"))).over(Window.partitionBy(*file))
+    own = F.array_min(F.filter(impls, lambda x: (x["line"] < F.col("line")) & (F.col("line") <= x["last"])))["impl_name"]
     tail = lambda s: F.coalesce(F.concat(F.lit(s), "owner"), F.lit(""))
-    fns = fns.select(*file, F.lit("function").alias("kind"), F.concat("name", tail("@impl ")).alias("name"), F.col("top").alias("first"), "last", F.concat("said", tail("  // in impl ")).alias("signature"))
+    block = lambda kind, name, said: F.struct(F.lit(kind).alias("kind"), name.alias("name"), F.col("top").alias("first"), F.col("last").alias("last"), said.alias("signature"))
+    fn = block("function", F.concat("name", tail("@impl ")), F.concat(F.trim("body"), tail("  // in impl ")))
     name, said = F.when(F.col("typed"), F.col("type_name")).otherwise(F.col("impl_name")), F.when(F.col("typed"), F.concat_ws(" ", "type_kind", "type_name")).otherwise(F.concat(F.lit("impl "), "impl_name"))
-    holds = starts.where("typed or (impl and impl_name <> '')").select(*file, F.lit("container").alias("kind"), name.alias("name"), F.col("top").alias("first"), "last", said.alias("signature"))
-    return fns.unionByName(holds)
+    both = F.array_compact(F.array(F.when(F.col("fn"), fn), F.when(F.col("typed") | (F.col("impl") & (F.col("impl_name") != "")), block("container", name, said))))
+    return starts.withColumns({"owner": own, "name": names}).select(*file, F.explode(both).alias("b")).select(*file, "b.*")
 
 
 def diff_lines(diffs: DataFrame, keys: list[str], diff: str = "diff") -> DataFrame:

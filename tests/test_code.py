@@ -126,3 +126,12 @@ def test_changed_numbers(spark):
     rows = source.diff_lines(df, ["k"]).orderBy("no").collect()
     assert [r.kind for r in rows] == ["new"] * 5
     assert [r.new_no for r in rows if r.sign == "+"] == [6, 7] and [r.old_no for r in rows if r.sign == "-"] == [2]
+
+
+def test_windows_hold_as_much_of_a_large_table(spark, monkeypatch):
+    text = "\n".join(RUST)
+    df = spark.createDataFrame([(k, "a.rs", text) for k in range(100)], "k int, path string, text string")
+    monkeypatch.setattr(source, "PART", 5 * len(text), raising=False)
+    got = source.source_blocks(df, ["k"])
+    assert got.rdd.getNumPartitions() == 20
+    assert got.count() == 100 * len(blocks(spark, RUST, "a.rs") + blocks(spark, RUST, "a.rs", "container"))
