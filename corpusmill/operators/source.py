@@ -55,16 +55,14 @@ def source_lines(files: DataFrame, keys: list[str], path: str = "path", text: st
     return rows.select(*keys, "path", "ext", "n", (F.col("pos") + 1).alias("line"), F.col("col.a").alias("body"), F.col("col.b").alias("code"))
 
 
-def dealt(texts: DataFrame, keys: list[str], *held: Column) -> DataFrame:
-    """Texts with a column `deal`, by which they are dealt into parts of at most PART characters of `held` on average, or the
-    session's number of partitions if that is more. Windows by `deal` and keys then form where a text lies, and a task holds
-    as much of a large table as of a small one."""
+def parts(texts: DataFrame, *held: Column) -> int:
+    """Into how many parts to deal texts: of at most PART characters of `held` on average, the session's number of partitions at
+    least. Windows then form where a text lies, and a task holds as much of a large table as of a small one."""
     size = F.lit(0)
     for c in held:
         size = size + F.coalesce(F.length(c), F.lit(0))
     chars = texts.agg(F.sum(size.cast("long"))).first()[0] or 0
-    parts = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), chars // PART)
-    return texts.withColumn("deal", F.xxhash64(*keys)).repartition(parts, "deal")
+    return max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), chars // PART)
 
 
 def _declared(lines: DataFrame, file: list[str]) -> DataFrame:
@@ -138,7 +136,8 @@ def source_blocks(files: DataFrame, keys: list[str], path: str = "path", text: s
     comments count in all but Rust. A block that nothing closes goes to the last line.
     """
     files = files.where(extension(F.col(path)).isin(*STARTS)).select(*keys, F.col(path).alias("path"), F.col(text).alias("text"))
-    return _blocks(source_lines(dealt(files, [*keys, "path"], F.col("text")), ["deal", *keys]), ["deal", *keys]).drop("deal")
+    files = files.withColumn("deal", F.xxhash64(*keys, "path")).repartition(parts(files, F.col("text")), "deal")
+    return _blocks(source_lines(files, ["deal", *keys]), ["deal", *keys]).drop("deal")
 
 
 def _blocks(lines: DataFrame, keys: list[str]) -> DataFrame:
@@ -171,64 +170,90 @@ def diff_lines(diffs: DataFrame, keys: list[str], diff: str = "diff") -> DataFra
     rows = rows.withColumn("f", F.sum(F.col("is_file").cast("int")).over(order)).where("f > 0")
     rows = rows.withColumn("h", F.sum(F.col("is_hunk").cast("int")).over(Window.partitionBy(*keys, "f").orderBy("no")))
     rows = rows.withColumn("sign", F.when(~F.col("is_hunk") & (F.col("h") > 0) & F.substring("text", 1, 1).isin("+", "-", " "), F.substring("text", 1, 1)))
-    meta = rows.where("sign is null and not is_hunk")
-    heads = meta.groupBy(*keys, "f").agg(
-        F.min_by(got(header, 1), F.when(F.col("is_file"), F.col("no"))).alias("old_path"), F.min_by(got(header, 2), F.when(F.col("is_file"), F.col("no"))).alias("new_path"),
-        F.coalesce(F.max(got("^(new|deleted) file mode", 1)), F.lit("modified")).alias("kind"), F.max(F.rlike("text", F.lit("^Binary files"))).alias("binary"),
-    )
+    file = Window.partitionBy(*keys, "f")
+    meta = F.col("sign").isNull() & ~F.col("is_hunk")
+    path = lambda i: F.max(F.when(F.col("is_file"), got(header, i))).over(file)
+    heads = {
+        "old_path": path(1), "new_path": path(2), "kind": F.coalesce(F.max(F.when(meta, got("^(new|deleted) file mode", 1))).over(file), F.lit("modified")),
+        "binary": F.max(F.when(meta, F.rlike("text", F.lit("^Binary files")))).over(file), "signs": F.count("sign").over(file),
+    }
     at = Window.partitionBy(*keys, "f", "h").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
     begun = Window.partitionBy(*keys, "f", "h").orderBy("no").rowsBetween(Window.unboundedPreceding, 0)
     number = lambda i, signs: F.max(F.when(F.col("is_hunk"), got(hunk, i).cast("int"))).over(begun) + F.coalesce(F.sum(F.col("sign").isin(*signs).cast("int")).over(at), F.lit(0))
-    body = rows.withColumns({"old_no": number(1, ("-", " ")), "new_no": number(2, ("+", " "))}).where("sign is not null")
-    return heads.join(body.select(*keys, "f", "h", "no", "sign", "text", "old_no", "new_no"), [*keys, "f"], "left")
+    # A file without such lines is known by its header's line.
+    body = rows.withColumns(heads).withColumns({"old_no": number(1, ("-", " ")), "new_no": number(2, ("+", " "))}).where("sign is not null or (signs = 0 and is_file)")
+    held = lambda c: F.when(F.col("sign").isNotNull(), F.col(c)).alias(c)
+    return body.select(*keys, "f", "old_path", "new_path", "kind", "binary", *map(held, ("h", "no", "sign", "text", "old_no", "new_no")))
 
 
-def _sides(diffs: DataFrame, keys: list[str], changed: DataFrame, old: str, new: str) -> DataFrame:
-    """(keys, f, side, path, text) of each file of a diff, before (-) and after (+). A side that a file doesn't have is empty;
-    a line feed at the end ends the last line and begins none."""
-    files = changed.where("not binary").select(*keys, "f", "old_path", "new_path", "kind").distinct().join(diffs, keys)
-    side = lambda sign, path, held, gone: files.select(*keys, "f", F.lit(sign).alias("side"), F.col(path).alias("path"), F.when(F.col("kind") == gone, "").otherwise(F.regexp_replace(F.coalesce(F.element_at(held, F.col(path)), F.lit("")), "\\n\\z", "")).alias("text"))
-    return side("-", "old_path", old, "new").union(side("+", "new_path", new, "deleted"))
+def _files(diffs: DataFrame, keys: list[str], diff: str, old: str, new: str) -> DataFrame:
+    """(keys, f, old_path, new_path, kind, binary, marks, old_text, new_text, blocks): each file of a diff in one row, with the lines
+    of its hunks as `marks` (no, h, sign, text, line: the number on the side that has it), its sides before and after, and the
+    blocks of both (side, kind, name, first, last). A side that a file doesn't have is empty, those of a binary file are null;
+    a line feed at the end ends the last line and begins none.
+
+    Diffs are dealt once by their keys and files once by theirs: groups, windows and joins are by these and shuffle nothing.
+    """
+    by = [*keys, "f"]
+    given = diffs.select(*keys, F.col(diff).alias("diff"), F.col(old).alias("old"), F.col(new).alias("new"))
+    given = given.repartition(parts(given, F.col("diff"), *[F.array_join(F.map_values(c), "") for c in ("old", "new")]), *keys)
+    line = F.when(F.col("sign") == "-", F.col("old_no")).otherwise(F.col("new_no"))
+    marks = F.array_sort(F.collect_list(F.when(F.col("sign").isNotNull(), F.struct("no", "h", "sign", "text", line.alias("line")))))
+    files = diff_lines(given, keys, "diff").groupBy(*by, "old_path", "new_path", "kind", "binary").agg(marks.alias("marks")).join(given.drop("diff"), keys)
+    side = lambda path, held, gone: F.when(F.col("binary"), None).when(F.col("kind") == gone, "").otherwise(F.regexp_replace(F.coalesce(F.element_at(held, F.col(path)), F.lit("")), "\\n\\z", ""))
+    files = written(files.withColumns({"old_text": side("old_path", "old", "new"), "new_text": side("new_path", "new", "deleted")}).drop("old", "new"), "files")
+    files = files.repartition(parts(files, F.col("old_text"), F.col("new_text")), *by)
+    sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"{x}_path").alias("path"), F.col(f"{x}_text").alias("text")) for s, x in (("-", "old"), ("+", "new"))])
+    named = [*by, "side"]
+    found = _blocks(source_lines(files.select(*by, F.explode(sides).alias("s")).select(*by, "s.*"), named), named)
+    found = found.groupBy(*by).agg(F.collect_list(F.struct("side", "kind", "name", "first", "last")).alias("blocks"))
+    return files.join(found, by, "left").withColumn("blocks", F.coalesce("blocks", F.array().cast(found.schema["blocks"].dataType)))
+
+
+def _signed(marks: str, sign: str) -> Column:
+    return F.filter(marks, lambda m: m["sign"] == sign)
 
 
-def _touched(changed: DataFrame, blocks: DataFrame, by: list[str]) -> DataFrame:
-    """Blocks with the changed lines in them: one row each."""
-    signs = changed.where("sign <> ' '").select(*by, F.col("sign").alias("side"), "h", F.when(F.col("sign") == "+", F.col("new_no")).otherwise(F.col("old_no")).alias("line"))
-    return signs.join(blocks, [*by, "side"]).where("line between first and last")
+def _blocks_of(sign: str, kind: str) -> Column:
+    return F.filter("blocks", lambda b: (b["side"] == sign) & (b["kind"] == kind))
+
+
+def _within(line: Column, block: Column) -> Column:
+    return (line >= block["first"]) & (line <= block["last"])
 
 
 def readable_diff(diffs: DataFrame, keys: list[str], diff: str = "diff", old: str = "old", new: str = "new") -> DataFrame:
     """(keys, path, kind, name, status, old_text, new_text): the functions that a diff changes, before and after. status is
     modified, new or deleted; kind function, container, for Rust's lines outside of functions, or `outside` for other lines.
 
-    `old` and `new` are maps of path to text. The versions of a name meet in a full outer join; of several blocks of one
+    `old` and `new` are maps of path to text. The versions of a name meet in the row of their file; of several blocks of one
     name in a file the first one counts. Blank lines outside of functions are left out. A file that is missing counts as
     empty; binary files and null diffs have no rows.
     """
-    by = [*keys, "f"]
-    changed = written(diff_lines(diffs, keys, diff), "changed")
-    named = [*by, "side"]
-    lines = written(source_lines(_sides(diffs, keys, changed, old, new), named), "lines")
-    blocks = written(_blocks(lines, named), "blocks")
-    signs = changed.where("sign <> ' '").select(*by, F.col("sign").alias("side"), F.when(F.col("sign") == "+", F.col("new_no")).otherwise(F.col("old_no")).alias("line"))
-    signs = signs.join(lines.select(*named, "path", "line", "body"), [*named, "line"])
-    inside = lambda rows, kind: rows.join(blocks.where(F.col("kind") == kind).drop("path"), named).where("line between first and last")
-    in_fn = written(inside(signs, "function"), "inside")
-    loose = signs.join(in_fn.select(*named, "line").distinct(), [*named, "line"], "left_anti").where("trim(body) <> ''")
-    loose = written(loose, "loose")
-    held = written(inside(loose, "container"), "held")
-    rest = loose.join(held.select(*named, "line").distinct(), [*named, "line"], "left_anti")
-    hit = in_fn.select(*by, "kind", "name").union(held.select(*by, "kind", "name")).distinct()
-    first = blocks.groupBy(*named, "kind", "name").agg(F.min(F.struct("first", "last")).alias("s"))
-    parts = first.join(hit, [*by, "kind", "name"], "left_semi").join(lines.select(*named, "path", "line", "body"), named).where("line between s.first and s.last")
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "body"))), lambda x: x["body"]), "\n")
-    whole = parts.groupBy(*by, "side", "kind", "name").agg(text.alias("t"), F.first("path").alias("p"))
-    outside = rest.groupBy(*by, "side").agg(text.alias("t"), F.first("path").alias("p")).select(*by, "side", F.lit("outside").alias("kind"), F.lit(None).cast("string").alias("name"), "t", "p")
-    every = whole.unionByName(outside)
-    version = lambda sign, name: every.where(F.col("side") == sign).select(*by, "kind", F.coalesce("name", F.lit("")).alias("name"), F.col("t").alias(f"{name}_text"), F.col("p").alias(f"{name}_path"))
-    both = version("-", "old").join(version("+", "new"), [*by, "kind", "name"], "full")
+    files = _files(diffs, keys, diff, old, new)
+    for sign, x in (("-", "old"), ("+", "new")):
+        changed = F.transform(_signed("marks", sign), lambda m: m["line"])
+        files = files.withColumns({f"{x}_lines": F.split(f"{x}_text", "\n", -1), "changed": changed, "fns": _blocks_of(sign, "function"), "holds": _blocks_of(sign, "container")})
+        at = lambda m, lines=F.col(f"{x}_lines"): F.get(lines, m - 1)
+        files = files.withColumn("loose", F.filter("changed", lambda m: (m >= 1) & ~F.exists("fns", lambda b: _within(m, b)) & (F.trim(at(m)) != "")))
+        hit = lambda blocks, lines: F.transform(F.filter(blocks, lambda b: F.exists(lines, lambda m: _within(m, b))), lambda b: F.struct(b["kind"].alias("kind"), b["name"].alias("name")))
+        rest = F.array_sort(F.filter("loose", lambda m: ~F.exists("holds", lambda b: _within(m, b))))
+        outside = F.when(F.size(rest) > 0, F.array_join(F.transform(rest, lambda m: at(m)), "\n"))
+        files = files.withColumns({f"{x}_hit": F.concat(hit("fns", "changed"), hit("holds", "loose")), f"{x}_outside": outside})
+
+    def version(x: str, sign: str, one: Column) -> Column:
+        same = F.filter("blocks", lambda b: (b["side"] == sign) & (b["kind"] == one["kind"]) & (b["name"] == one["name"]))
+        s = F.array_min(F.transform(same, lambda b: F.struct(b["first"].alias("first"), b["last"].alias("last"))))
+        return F.array_join(F.slice(F.col(f"{x}_lines"), s["first"], s["last"] - s["first"] + 1), "\n").alias(f"{x}_text")
+
+    sides = (("old", "-"), ("new", "+"))
+    each = F.transform(F.array_distinct(F.concat("old_hit", "new_hit")), lambda h: F.struct(h["kind"].alias("kind"), h["name"].alias("name"), *[version(x, s, h) for x, s in sides]))
+    other = F.struct(F.lit("outside").alias("kind"), F.lit(None).cast("string").alias("name"), *[F.col(f"{x}_outside").alias(f"{x}_text") for x, _ in sides])
+    every = F.concat(each, F.array_compact(F.array(F.when(F.coalesce("old_outside", "new_outside").isNotNull(), other))))
+    both = files.select(*keys, "old_path", "new_path", F.explode(every).alias("v")).select(*keys, "old_path", "new_path", "v.*")
     status = F.when(F.col("old_text").isNull(), "new").when(F.col("new_text").isNull(), "deleted").otherwise("modified")
-    return both.select(*keys, F.coalesce("new_path", "old_path").alias("path"), "kind", F.nullif("name", F.lit("")).alias("name"), status.alias("status"), "old_text", "new_text")
+    path = F.when(F.col("new_text").isNotNull(), F.col("new_path")).otherwise(F.col("old_path"))
+    return both.select(*keys, path.alias("path"), "kind", F.nullif("name", F.lit("")).alias("name"), status.alias("status"), "old_text", "new_text")
 
 
 def context_diff(diffs: DataFrame, keys: list[str], diff: str = "diff", old: str = "old", new: str = "new") -> DataFrame:
@@ -236,40 +261,55 @@ def context_diff(diffs: DataFrame, keys: list[str], diff: str = "diff", old: str
     whole of these. A text without a diff in it stays as it is; null stays null.
 
     Regions are the functions that a hunk changes, or NEAR lines around it outside of any; those that meet within NEAR lines
-    are one, found by a running maximum. `old` and `new` are maps of path to text; a missing file counts as empty.
+    are one. `old` and `new` are maps of path to text; a missing file counts as empty.
     """
-    by = [*keys, "f"]
-    changed = written(diff_lines(diffs, keys, diff), "changed")
-    named = [*by, "side"]
-    lines = written(source_lines(_sides(diffs, keys, changed, old, new), named), "lines")
-    hits = written(_touched(changed, _blocks(lines, named).where("kind = 'function'").drop("path"), by), "hits")
-    size = lines.groupBy(*named).agg(F.max("line").alias("n"))
-    marks = changed.where("sign <> ' '").select(*by, F.col("sign").alias("side"), "h", F.when(F.col("sign") == "+", F.col("new_no")).otherwise(F.col("old_no")).alias("line"))
-    own = hits.select(*named, "h", "first", "last").distinct()
-    bare = marks.join(own.select(*named, "h").distinct(), [*named, "h"], "left_anti").groupBy(*named, "h").agg(F.min("line").alias("a"), F.max("line").alias("b")).join(size, named)
-    regions = own.select(*named, "first", "last").union(bare.select(*named, F.greatest(F.lit(1), F.col("a") - NEAR), F.least(F.col("n"), F.col("b") + NEAR))).distinct()
-    order = Window.partitionBy(*named).orderBy("first", "last")
-    reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    regions = regions.withColumn("apart", F.coalesce(F.col("first") > reach + NEAR, F.lit(True)).cast("int")).withColumn("r", F.sum("apart").over(order))
-    regions = written(regions.groupBy(*named, "r").agg(F.min("first").alias("a"), F.max("last").alias("b")), "regions")
+    files = _files(diffs, keys, diff, old, new)
+    files = files.withColumns({"changed": F.filter("marks", lambda m: m["sign"] != " "), "fns": _blocks_of("+", "function"), "after": F.split("new_text", "\n", -1)})
+    span = lambda a, b: F.struct(a.cast("int").alias("a"), b.cast("int").alias("b"))
+    meets = lambda lines, b: F.exists(lines, lambda m: _within(m["line"], b))
+    for sign, x in (("-", "old"), ("+", "new")):
+        files = files.withColumns({"mine": _signed("changed", sign), "own": _blocks_of(sign, "function"), "n": F.size(F.split(f"{x}_text", "\n", -1))})
+
+        def of_hunk(h: Column) -> Column:
+            lines = F.filter("mine", lambda m: m["h"] == h)
+            hit = F.transform(F.filter("own", lambda b: meets(lines, b)), lambda b: span(b["first"], b["last"]))
+            at = F.transform(lines, lambda m: m["line"])
+            return F.when(F.size(hit) > 0, hit).otherwise(F.array(span(F.greatest(F.lit(1), F.array_min(at) - NEAR), F.least(F.col("n"), F.array_max(at) + NEAR))))
+
+        regions = F.array_sort(F.array_distinct(F.flatten(F.transform(F.array_distinct(F.transform("mine", lambda m: m["h"])), of_hunk))))
+
+        def joined(acc: Column, r: Column) -> Column:
+            last = F.element_at(acc, -1)
+            grown = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(span(last["a"], F.greatest(last["b"], r["b"]))))
+            return F.when(F.size(acc) == 0, F.array(r)).when(r["a"] <= last["b"] + NEAR, grown).otherwise(F.concat(acc, F.array(r)))
+
+        files = files.withColumn(f"{x}_regions", F.when(F.col("n") > 0, F.aggregate(regions, F.array().cast("array<struct<a:int,b:int>>"), joined)))
+
     # Added lines say where a hunk is shown; one that only removes is shown by the old file's lines.
-    places = marks.join(regions, named).where("line between a and b").groupBy(*by, "h").agg(F.min(F.expr("struct(side, a, b)")).alias("p")).select(*by, "h", "p.a", "p.b")
-    names = hits.where("side = '+'").select(*by, "h", "first", "name").distinct().groupBy(*by, "h").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("first", "name"))), lambda x: x["name"]), ", ").alias("names"))
-    shown = written(places.join(names, [*by, "h"], "left"), "shown")
-    after = lines.where("side = '+'").select(*by, "line", "body")
-    near = shown.join(after, by).where(f"line between a - {AROUND} and a - 1 or line between b + 1 and b + {AROUND}")
-    span = F.col("b") - F.col("a") + 1
-    title = F.concat(F.lit("@@ -"), "a", F.lit(","), span, F.lit(" +"), "a", F.lit(","), span, F.lit(" @@"))
-    none = F.lit(0)
-    step = lambda rows, part, no, t: rows.select(*by, "h", F.lit(part).alias("part"), no.alias("no"), t.alias("t"))
-    heads = changed.select(*by, "old_path", "new_path", "kind", "binary").distinct()
+    def place(h: Column) -> Column:
+        of = lambda x, sign: F.array_min(F.filter(f"{x}_regions", lambda r: F.exists("changed", lambda m: (m["h"] == h) & (m["sign"] == sign) & (m["line"] >= r["a"]) & (m["line"] <= r["b"]))))
+        return F.coalesce(of("new", "+"), of("old", "-"))
+
+    def names(h: Column) -> Column:
+        lines = F.filter("changed", lambda m: (m["h"] == h) & (m["sign"] == "+"))
+        hit = F.array_sort(F.array_distinct(F.transform(F.filter("fns", lambda b: meets(lines, b)), lambda b: F.struct(b["first"].alias("first"), b["name"].alias("name")))))
+        return F.array_join(F.transform(hit, lambda x: x["name"]), ", ")
+
+    hunk = lambda h: F.struct(h.alias("h"), place(h).alias("p"), names(h).alias("names"))
+    files = files.withColumn("shown", F.filter(F.transform(F.array_sort(F.array_distinct(F.transform("changed", lambda m: m["h"]))), hunk), lambda s: s["p"].isNotNull()))
+
+    def told(s: Column) -> Column:
+        a, b = s["p"]["a"], s["p"]["b"]
+        size, top = b - a + 1, F.greatest(F.lit(1), a - AROUND)
+        title = F.concat(F.when(s["names"] != "", F.concat(F.lit("@@ Function context: "), s["names"], F.lit(" @@\n"))).otherwise(""), F.lit("@@ -"), a, F.lit(","), size, F.lit(" +"), a, F.lit(","), size, F.lit(" @@"))
+        blank = lambda start, n: F.transform(F.slice("after", start, n), lambda x: F.concat(F.lit(" "), x))
+        return F.concat(F.array(title), blank(top, a - top), F.transform(F.filter("marks", lambda m: m["h"] == s["h"]), lambda m: m["text"]), blank(b + 1, F.lit(AROUND)))
+
     top = F.concat(F.lit("diff --git a/"), "old_path", F.lit(" b/"), "new_path", F.when(F.col("kind") != "modified", F.concat(F.lit("\n"), "kind", F.lit(" file mode 100644"))).otherwise(""))
     paths = F.when(F.col("binary"), F.concat(F.lit("\nBinary files a/"), "old_path", F.lit(" and b/"), "new_path", F.lit(" differ"))).otherwise(F.concat(F.lit("\n--- a/"), "old_path", F.lit("\n+++ b/"), "new_path"))
-    parts = step(heads.withColumn("h", F.lit(0)), 0, none, F.concat(top, paths))
-    parts = parts.unionByName(step(shown, 1, none, F.concat(F.coalesce(F.concat(F.lit("@@ Function context: "), "names", F.lit(" @@\n")), F.lit("")), title)))
-    parts = parts.unionByName(step(near.where("line < a"), 2, F.col("line"), F.concat(F.lit(" "), "body"))).unionByName(step(near.where("line > b"), 4, F.col("line"), F.concat(F.lit(" "), "body")))
-    parts = parts.unionByName(step(changed.where("h is not null").join(shown.select(*by, "h"), [*by, "h"], "left_semi"), 3, F.col("no"), F.col("text")))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("h", "part", "no", "t"))), lambda x: x["t"]), "\n")
-    files = parts.groupBy(*by).agg(F.concat(joined, F.lit("\n")).alias("t"))
-    whole = files.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("f", "t"))), lambda x: x["t"]), "\n").alias("made"))
-    return diffs.select(*keys, diff).join(whole, keys, "left").select(*keys, F.coalesce(F.concat(F.lit(HEADER + "\n"), "made"), F.col(diff)).alias("text"))
+    rows = F.concat(F.array(F.concat(top, paths)), F.coalesce(F.flatten(F.transform("shown", told)), F.array().cast("array<string>")))
+    texts = files.select(*keys, "f", F.concat(F.array_join(rows, "\n"), F.lit("\n")).alias("t"))
+    given = diffs.select(*keys, diff)
+    n = parts(given, F.col(diff))
+    whole = texts.repartition(n, *keys).groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("f", "t"))), lambda x: x["t"]), "\n").alias("made"))
+    return given.repartition(n, *keys).join(whole, keys, "left").select(*keys, F.coalesce(F.concat(F.lit(HEADER + "\n"), "made"), F.col(diff)).alias("text"))

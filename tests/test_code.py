@@ -135,3 +135,16 @@ def test_windows_hold_as_much_of_a_large_table(spark, monkeypatch):
     got = source.source_blocks(df, ["k"])
     assert got.rdd.getNumPartitions() == 20
     assert got.count() == 100 * len(blocks(spark, RUST, "a.rs") + blocks(spark, RUST, "a.rs", "container"))
+
+
+def test_diffs_are_dealt_by_size(spark, monkeypatch):
+    diff = "diff --git a/n.md b/n.md\n@@ -1,1 +1,1 @@\n-a\n+b"
+    df = spark.createDataFrame([(k, diff, {"n.md": "a"}, {"n.md": "b"}) for k in range(60)], SCHEMA)
+    monkeypatch.setattr(source, "PART", 6 * len(diff), raising=False)
+    text = source.context_diff(df, ["k"])
+    assert text.rdd.getNumPartitions() == 10
+    assert {r.text.count("@@ -1,1 +1,1 @@") for r in text.collect()} == {1}
+    monkeypatch.setattr(source, "PART", 12, raising=False)
+    versions = source.readable_diff(df, ["k"])
+    assert versions.rdd.getNumPartitions() == 10
+    assert {tuple(r)[1:] for r in versions.collect()} == {("n.md", "outside", None, "modified", "a", "b")} and versions.count() == 60
