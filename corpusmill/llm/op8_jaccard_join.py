@@ -41,17 +41,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     one component, by the links of all their texts. Columns of any other name are ignored. An empty table: no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    found = stored(shared_sets(rows.where("id is not null"), document_sets(k, slice_bytes(docs.sparkSession)), num, den, keep_all=True), "sets")
+    found = stored(shared_sets(rows.where("id is not null"), document_sets(k, slice_bytes(docs.sparkSession)), num, den, keep_all=True), "sets", "zstd")
     alive = found.where("tokens is not null")
     lead = alive.selectExpr("batch as lead_batch", "idx as lead_idx", "key1 as b", "n as nb")
     star = alive.join(lead, ["lead_batch", "lead_idx"]).where(f"{den} * lead_overlap >= {num} * (n + nb - lead_overlap) and {least_overlap(num, den, 'lead_overlap')}").selectExpr("key1 as a", "b")
     # A class is asked under an id of its own: one document id may stand for the classes of several texts.
     equal = ["digest", "digest2", "n"]
-    first = stored(alive.groupBy(*equal).agg(F.min("key1").alias("b")).withColumn("id", F.monotonically_increasing_id()), "classes")
-    same = alive.join(first, equal).selectExpr("key1 as a", "b").where("a <> b")
+    first = alive.groupBy(*equal).agg(F.min(F.struct("key1", "batch", "idx")).alias("m")).selectExpr(*equal, "m.key1 as b", "m.batch as batch", "m.idx as idx")
+    first = stored(first.withColumn("id", F.monotonically_increasing_id()), "classes")
+    same = alive.join(first.select(*equal, "b"), equal).selectExpr("key1 as a", "b").where("a <> b")
     near = stored(components(star.union(same)), "near")
-    asked = alive.join(first, equal).where("key1 = b").selectExpr("id", "b as doc", "n", "tokens", "weight").dropDuplicates(["id"])
-    asked = stored(asked.join(near.withColumnRenamed("id", "doc"), "doc", "left").selectExpr("id", "doc", "coalesce(component, doc) as label", "n", "tokens", "weight"), "asked")
+    # Classes get their labels without tokens, and tokens by the place of their first set: token lists are dealt out once.
+    named = first.join(near.withColumnRenamed("id", "b"), "b", "left").selectExpr("batch", "idx", "id", "b as doc", "coalesce(component, b) as label")
+    asked = stored(alive.select("batch", "idx", "n", "tokens", "weight").join(named, ["batch", "idx"]).select("id", "doc", "label", "n", "tokens", "weight"), "asked", "zstd")
     listed = cross_lists(asked, num, den)
     wide = components(hub_links(listed, asked, num, den), "label", "other").selectExpr("id as label", "component as wider")
     left = listed.join(wide, "label", "left").selectExpr("id", "coalesce(wider, label) as label", "n", "transform(s, x -> x.tok) as tokens", "cast(0 as float) as weight")

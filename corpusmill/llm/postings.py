@@ -301,8 +301,11 @@ def cross_lists(sets: DataFrame, num: int, den: int) -> DataFrame:
     of other labels, s listing these tokens as (df, tok, hub): their document frequency and, of the sets that hold the
     token, the heaviest. Stored."""
     each = sets.select("id", "label", "n", "weight", F.explode("tokens").alias("tok"))
-    freq = each.groupBy("tok").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("df"), F.max(F.struct("weight", "id")).alias("hub")).where("lo < hi")
-    entry = each.select("id", "label", "n", "tok").join(freq.selectExpr("tok + 0L as tok", "df", "hub.id as hub"), "tok")
+    # Most tokens are those of one label: what they need is no more than its bounds, and they are gone before the others are counted.
+    mixed = each.groupBy("tok").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+    entry = stored(each.join(mixed.selectExpr("tok + 0L as tok"), "tok"), "entries")
+    freq = entry.groupBy("tok").agg(F.count("*").alias("df"), F.max(F.struct("weight", "id")).alias("hub"))
+    entry = entry.select("id", "label", "n", "tok").join(freq.selectExpr("tok + 0L as tok", "df", "hub.id as hub"), "tok")
     listed = entry.groupBy("id", "label", "n").agg(F.sort_array(F.collect_list(F.struct("df", "tok", "hub"))).alias("s"))
     return stored(listed.where(f"{den} * size(s) >= {num} * n"), "listed")
 

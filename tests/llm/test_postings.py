@@ -236,3 +236,47 @@ def test_unlike_texts_of_one_id_keep_their_own_lines(spark):
         text = "\n".join(kept)
         want.append((i, text if re.search(r"[^\x20\x09-\x0D]", text) or not n else "", n))
     assert sorted(tuple(r) for r in dedup_lines(df).select("doc_id", "text", "n_lines_removed").collect()) == sorted(want)
+
+
+def test_token_lists_are_dealt_once_for_their_labels(spark, monkeypatch, capsys):
+    """Whatever joins Spark takes: classes and labels are found without tokens, which take part in one shuffle only."""
+    from corpusmill.llm import op8_jaccard_join as op8
+
+    plain, dealt = op8.stored, []
+
+    def watched(df, name, *more):
+        if name == "asked":
+            capsys.readouterr()
+            df.explain("formatted")
+            dealt.extend(re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*tokens[^\]]*)\]", capsys.readouterr().out))
+        return plain(df, name, *more)
+
+    monkeypatch.setattr(op8, "stored", watched)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = corpus(4)
+        got = {r[0]: (r[1], r[2]) for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == brute_components(rows)
+    assert len(dealt) == 1, dealt
+
+
+def test_only_mixed_tokens_are_counted(spark, monkeypatch):
+    """Tokens of one label are gone before documents are counted and hubs chosen."""
+    from corpusmill.llm import postings
+
+    kept = {}
+    plain = postings.stored
+
+    def watched(df, name, *more):
+        kept[name] = plain(df, name, *more)
+        return kept[name]
+
+    monkeypatch.setattr(postings, "stored", watched)
+    sets = [(i, i // 3, 10, [*range(1000 * (i // 3), 1000 * (i // 3) + 9), 7777 + i % 3], float(i)) for i in range(30)]
+    out = postings.cross_lists(spark.createDataFrame(sets, "id long, label long, n long, tokens array<long>, weight float"), 1, 10)
+    want = {i: [(10, 7777 + i % 3, 27 + i % 3)] for i in range(30)}
+    assert {r["id"]: [tuple(x) for x in r["s"]] for r in out.collect()} == want
+    assert sorted(r["tok"] for r in kept["entries"].collect()) == sorted(7777 + i % 3 for i in range(30))
