@@ -77,7 +77,7 @@ def words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     last[-1], last[:-1] = True, ~inside[1:]
     last[off[1:][off[:-1] < off[1:]] - 1] = True
     starts, ends = np.flatnonzero(inside & first), np.flatnonzero(inside & last) + 1
-    return starts, ends, np.searchsorted(off, starts, side="right") - 1
+    return starts, ends, np.repeat(np.arange(len(off) - 1), np.diff(np.searchsorted(starts, off)))
 
 
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

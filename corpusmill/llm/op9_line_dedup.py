@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.kernels import K2, lower_ascii, mix, shingles, slices, span_hashes, utf8, words
-from corpusmill.llm.postings import Sets, best_partners, least_overlap, long_keys, prefix_pairs, shared_sets, slice_bytes
+from corpusmill.llm.postings import Sets, best_partners, least_overlap, prefix_pairs, shared_keys, shared_sets, slice_bytes
 from corpusmill.llm.shared import stored
 
 
@@ -89,15 +89,15 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # Nearly every word is in some other line: a second pass would leave sets of words as they are.
     own = own.unionByName(asked.where("o2 % 2 = 1"), allowMissingColumns=True)
     listed = stored(own.selectExpr("*", "id as label", "o2 % 2 = 1 as paired"), "listed", "zstd")
-    long = long_keys(listed, num, den)
+    keys = shared_keys(listed, num, den)
     # The first class of a line's tokens: if it resembles the line, the line goes, and is asked about no more.
     lead = listed.selectExpr("batch as lead_batch", "idx as lead_idx", "id as b", "n as nb")
     led = listed.join(lead, ["lead_batch", "lead_idx"]).where(f"id <> b and {den} * lead_overlap >= {num} * (n + nb - lead_overlap) and {least_overlap(num, den, 'lead_overlap')}").select("id").distinct()
     led = stored(led, "led")
     for last in (False, True):
         # First the likeliest partners alone, which settles most lines of many near copies; then all pairs of the others.
-        left = listed.join(led.withColumn("led", F.lit(True)), "id", "left").withColumn("open", F.col("led").isNull())
-        led = stored((prefix_pairs if last else best_partners)(left, num, den, long, listed).selectExpr("a as id").union(led).distinct(), "led")
+        left = keys.join(led.withColumn("led", F.lit(True)), "id", "left").withColumn("open", F.col("led").isNull())
+        led = stored((prefix_pairs if last else best_partners)(listed, num, den, left).selectExpr("a as id").union(led).distinct(), "led")
     later = led.selectExpr("id as class")
     first = classes.select(*equal, "class", F.struct("key1", "key2", "key3").alias("first"))
     gone = lines.select(*equal, "at").join(first, equal).join(later.withColumn("later", F.lit(True)), "class", "left").where("later or at <> first")

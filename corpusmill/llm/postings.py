@@ -57,22 +57,24 @@ def packed(tokens: np.ndarray, idx: np.ndarray, cuts: np.ndarray) -> list[bytes]
     bytes an entry before compression."""
     steps = np.diff(tokens, prepend=np.uint64(0))
     steps[cuts] = tokens[cuts]
-    table = np.empty((len(tokens), 8), np.uint8)
-    table[:, :6] = steps.view(np.uint8).reshape(-1, 8)[:, :6]
-    table[:, 6:] = idx.astype(np.uint16).view(np.uint8).reshape(-1, 2)
-    return [table[x:y].T.tobytes() for x, y in spans(cuts, len(tokens))]
+    # By place for all runs at once: a run is then eight pieces, each of them in one part of memory.
+    table = np.empty((8, len(tokens)), np.uint8)
+    table[:6] = steps.view(np.uint8).reshape(-1, 8).T[:6]
+    table[6:] = idx.astype(np.uint16).view(np.uint8).reshape(-1, 2).T
+    return [np.ascontiguousarray(table[:, x:y]).tobytes() for x, y in spans(cuts, len(tokens))]
 
 
 def unpacked(bodies: list[bytes | memoryview]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens and set numbers of such runs, one after the other, and the number of entries of each."""
     count = np.array([len(x) // 8 for x in bodies], np.int64)
-    table = np.concatenate([np.frombuffer(x, np.uint8).reshape(8, -1).T for x in bodies] or [np.zeros((0, 8), np.uint8)])
-    steps = np.zeros((len(table), 8), np.uint8)
-    steps[:, :6] = table[:, :6]
+    table = np.concatenate([np.frombuffer(x, np.uint8).reshape(8, -1) for x in bodies] or [np.zeros((8, 0), np.uint8)], axis=1)
+    steps = np.zeros((table.shape[1], 8), np.uint8)
+    for place in range(6):
+        steps[:, place] = table[place]
     total = np.cumsum(steps.view(np.uint64).ravel(), dtype=np.uint64)
     starts = np.cumsum(count) - count
     before = np.where(starts > 0, total[np.maximum(starts, 1) - 1] if len(total) else np.uint64(0), np.uint64(0))
-    return total - np.repeat(before, count), np.ascontiguousarray(table[:, 6:]).view(np.uint16).ravel(), count
+    return total - np.repeat(before, count), np.ascontiguousarray(table[6:].T).view(np.uint16).ravel(), count
 
 
 def batch_name(number: int, *arrays: np.ndarray) -> int:
@@ -327,29 +329,31 @@ def _keys(listed: DataFrame, num: int, den: int) -> DataFrame:
     """Keys of `listed`, one row each: prefix tokens, and of sets of which `paired` is true pairs of them. Unequal sets have two
     tokens or more in common, the first two of which are in prefixes that are one longer."""
     cols = set(listed.columns)
-    extra = ["open", "o1", "o2"] if {"open", "o1", "o2"} <= cols else ["true as open", "-id as o1", "0L as o2"]
+    extra = ["o1", "o2"] if {"o1", "o2"} <= cols else ["-id as o1", "0L as o2"]
     paired = "paired" if "paired" in cols else "false"
     pre = listed.selectExpr("id", "label", "n", *extra, "size(tokens) as c", f"{paired} as paired", f"slice(tokens, 1, greatest(0, size(tokens) - cast(ceil(n * {num} / {den}D) as int) + 1 + cast({paired} as int))) as pre")
     single = "transform(pre, (t, i) -> struct(i as at, t as tok))"
     double = "flatten(transform(pre, (t, i) -> transform(slice(pre, i + 2, greatest(0, size(pre) - i - 1)), u -> struct(i as at, xxhash64(t, u) as tok))))"
-    return pre.selectExpr("id", "label", "n", "open", "o1", "o2", "c", f"inline(case when paired then {double} else {single} end)").selectExpr("id", "label", "n", "open", "o1", "o2", "tok", "cast(at as long) + n - c as pos")
+    return pre.selectExpr("id", "label", "n", "o1", "o2", "c", f"inline(case when paired then {double} else {single} end)").selectExpr("id", "label", "n", "o1", "o2", "tok", "cast(at as long) + n - c as pos")
 
 
-def long_keys(listed: DataFrame, num: int, den: int) -> DataFrame:
-    """(tok, blocks) of keys with more than SPLIT sets: one row for every SPLIT keys at most. Stored, so that its size is known
-    when a join with it is planned."""
-    counts = _keys(listed, num, den).groupBy("tok").agg(F.count("*").alias("f")).where(f"f > {SPLIT}")
-    return stored(counts.selectExpr("tok", f"cast(ceil(f / {SPLIT}D) as int) as blocks"), "long")
+def shared_keys(listed: DataFrame, num: int, den: int) -> DataFrame:
+    """Keys of `listed` (id, label, n, tokens, maybe o1, o2 and paired) that sets of two labels or more have, one row for each
+    set, with the blocks of SPLIT keys that a list takes. Most keys are of one set and make no pair. Stored."""
+    keys = _keys(listed, num, den)
+    counts = keys.groupBy("tok").agg(F.count("*").alias("f"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+    return stored(keys.join(counts.selectExpr("tok + 0L as tok", f"cast(ceil(f / {SPLIT}D) as int) as blocks"), "tok"), "keys")
 
 
-def _postings(listed: DataFrame, long: DataFrame, num: int, den: int) -> DataFrame:
-    """Keys of `listed`, one row for each of their cells, with the part of the cell.
+def _postings(keys: DataFrame) -> DataFrame:
+    """Keys of `shared_keys`, one row for each of their cells, with the part of the cell.
 
     A key's sets are cut into blocks of SPLIT, and a pair of blocks is a cell (ci, cj): a set of block m goes to each cell
     that has m on either side, and is compared with the sets of the other block there."""
-    dealt = _keys(listed, num, den).join(long, "tok", "left").selectExpr("id", "label", "n", "open", "o1", "o2", "tok", "pos", "coalesce(blocks, 1) as blocks", "cast(pmod(xxhash64(id, 5), coalesce(blocks, 1)) as int) as m")
+    is_open = "open" if "open" in keys.columns else "true as open"
+    dealt = keys.selectExpr("id", "label", "n", is_open, "o1", "o2", "tok", "pos", "blocks", "cast(pmod(xxhash64(id, 5), blocks) as int) as m")
     dealt = dealt.withColumn("j", F.explode(F.expr("sequence(0, blocks - 1)"))).selectExpr("id", "label", "n", "open", "o1", "o2", "tok", "pos", "m", "least(m, j) as ci", "greatest(m, j) as cj")
-    parts = 4 * int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = 4 * int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return dealt.withColumn("part", F.expr(f"pmod(xxhash64(tok, ci, cj), {parts}L)"))
 
 
@@ -359,36 +363,38 @@ def _verified(found: DataFrame, listed: DataFrame, num: int, den: int) -> DataFr
     return both.selectExpr("a", "b", "la", "lb", "na", "nb", "cast(size(array_intersect(ta, tb)) as long) as overlap").where(f"{den} * overlap >= {num} * (na + nb - overlap) and {least_overlap(num, den)}").select("a", "b", "la", "lb")
 
 
-def prefix_pairs(listed: DataFrame, num: int, den: int, long: DataFrame | None = None, body: DataFrame | None = None) -> DataFrame:
+def prefix_pairs(listed: DataFrame, num: int, den: int, keys: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b, la, lb) of `listed` (id, label, n, tokens) with unequal labels and
     den * |intersection| >= num * |union|, verified; a < b.
 
     `tokens` are those that sets of other labels hold too, in order of rarity, which is the same for all sets; n counts the
     others as well, which are rarer still. Sets are unequal, as sets of tokens. A set's prefix has n - ceil(num/den n) + 1 tokens, the uncommon ones first.
     Posting lists of prefix tokens are sorted by size and cut into blocks; a block is skipped for a block whose length
-    filter or positional bound its sizes and positions can't meet. `listed` should be a stored table, unless its `long_keys`
-    and, with the same ids, labels, sizes and tokens, a stored `body` are given.
+    filter or positional bound its sizes and positions can't meet. `listed` should be a stored table; `keys` are its
+    `shared_keys`.
 
-    If `listed` has columns open and o1, o2, an order (ties by id), a is the later one of a pair and only pairs whose later one is open
-    are looked for. If it has a column paired, sets of it meet by two common tokens; sets of unlike `paired` don't meet.
+    If `listed` has columns o1, o2, an order (ties by id), a is the later one of a pair. If `keys` have a column open, the same for all
+    keys of a set, only pairs whose later one is open are looked for. If `listed` has a column paired, sets of it meet by two common tokens; sets of unlike `paired` don't meet.
     """
-    posted = _postings(listed, long_keys(listed, num, den) if long is None else long, num, den)
+    posted = _postings(shared_keys(listed, num, den) if keys is None else keys)
     found = posted.groupBy("part").applyInArrow(_candidates(num, den), "a long, b long, many long").select("a", "b").distinct()
-    return _verified(found, listed if body is None else body, num, den)
+    return _verified(found, listed, num, den)
 
 
-def best_partners(listed: DataFrame, num: int, den: int, long: DataFrame | None = None, body: DataFrame | None = None, k: int = 8) -> DataFrame:
+def best_partners(listed: DataFrame, num: int, den: int, keys: DataFrame | None = None, k: int = 8) -> DataFrame:
     """As `prefix_pairs`, but of each open set only the pairs with the `k` earlier sets that seem to have most prefix tokens in
     common with it: by the sum over parts of the tokens, of which each names its own `k`."""
-    posted = _postings(listed, long_keys(listed, num, den) if long is None else long, num, den)
+    posted = _postings(shared_keys(listed, num, den) if keys is None else keys)
     found = posted.groupBy("part").applyInArrow(_candidates(num, den, best=k), "a long, b long, many long")
     sums = found.groupBy("a", "b").agg(F.sum("many").alias("many"))
     top = sums.groupBy("a").agg(F.slice(F.sort_array(F.collect_list(F.struct("many", "b")), asc=False), 1, k).alias("t"))
-    return _verified(top.selectExpr("a + 0L as a", "explode(t.b) as b"), listed if body is None else body, num, den)
+    return _verified(top.selectExpr("a + 0L as a", "explode(t.b) as b"), listed, num, den)
 
 
 #: Entries of a block of a posting list.
 BLOCK = 128
+#: Pairs of short lists that are looked at together, about.
+PAIRS = 1 << 18
 
 
 def _candidates(num: int, den: int, best: int = 0) -> Callable[[pa.Table], pa.Table]:
@@ -415,12 +421,38 @@ def _candidates(num: int, den: int, best: int = 0) -> Callable[[pa.Table], pa.Ta
         tok, ids, label, n, pos, is_open, place, m, ci, cj = (x[order] for x in (tok, ids, label, n, pos, is_open, place, m, ci, cj))
         near = pos <= n + (-2 * num * n) // (num + den)  # n - ceil(2t / (1 + t) n)
         cut = np.flatnonzero(np.concatenate([[True], (tok[1:] != tok[:-1]) | (ci[1:] != ci[:-1]) | (cj[1:] != cj[:-1])]))
+        ends = np.append(cut[1:], len(tok))
+        live = (ends - cut > 1) & (np.minimum.reduceat(label, cut) < np.maximum.reduceat(label, cut)) & np.logical_or.reduceat(is_open, cut)
+        left = n - pos  # tokens of the set from here on, this one included
         pairs: list[np.ndarray] = []
         held = 0
-        for lo, hi in spans(cut, len(tok)):
-            if hi - lo < 2 or label[lo:hi].min() == label[lo:hi].max() or not is_open[lo:hi].any():
-                continue
-            left = n[lo:hi] - pos[lo:hi]  # tokens of the set from here on, this one included
+
+        def add(i: np.ndarray, j: np.ndarray) -> None:
+            nonlocal pairs, held
+            if not len(i):
+                return
+            u, v = ids[i], ids[j]
+            swap = place[i] < place[j]
+            pairs.append(np.stack([np.where(swap, v, u), np.where(swap, u, v), np.ones(len(i), np.int64)]))
+            held += len(i)
+            if held > 1 << 20:
+                pairs = [fold(pairs)]
+                held = pairs[0].shape[1]
+
+        # Lists of one block, of which there are most, together: each entry with those after it.
+        short = live & (ends - cut <= BLOCK)
+        at = ranges(cut[short], (ends - cut)[short])
+        after = np.repeat(ends[short], (ends - cut)[short]) - at - 1
+        use = near[at] & (after > 0)
+        at, after = at[use], after[use]
+        before = (np.cumsum(after) - after) // PAIRS
+        for lo, hi in spans(np.flatnonzero(np.diff(before, prepend=-1)), len(at)):
+            i, j = np.repeat(at[lo:hi], after[lo:hi]), ranges(at[lo:hi] + 1, after[lo:hi])
+            ok = (den * n[i] >= num * n[j]) & ((num + den) * np.minimum(left[i], left[j]) >= num * (n[i] + n[j]))
+            i, j = i[ok], j[ok]
+            ok = (label[i] != label[j]) & ((ci[i] == cj[i]) | (m[i] != m[j])) & np.where(place[i] > place[j], is_open[i], is_open[j])
+            add(i[ok], j[ok])
+        for lo, hi in zip(cut[live & ~short], ends[live & ~short], strict=True):
             for a in range(lo, hi, BLOCK):
                 a2 = min(a + BLOCK, hi)
                 if not near[a:a2].any():
@@ -430,11 +462,11 @@ def _candidates(num: int, den: int, best: int = 0) -> Callable[[pa.Table], pa.Ta
                     # Length: sizes rise, so all later blocks fail too. Position: o >= t / (1 + t) * (na + nb) at least.
                     if den * n[a2 - 1] < num * n[b]:
                         break
-                    if (num + den) * min(left[a - lo : a2 - lo].max(), left[b - lo : b2 - lo].max()) < num * (n[a] + n[b]):
+                    if (num + den) * min(left[a:a2].max(), left[b:b2].max()) < num * (n[a] + n[b]):
                         continue
                     x, y = slice(a, a2), slice(b, b2)
                     ok = near[x][:, None] & (label[x][:, None] != label[y][None, :]) & (den * n[x][:, None] >= num * n[y][None, :])
-                    ok &= (num + den) * np.minimum(left[a - lo : a2 - lo][:, None], left[b - lo : b2 - lo][None, :]) >= num * (n[x][:, None] + n[y][None, :])
+                    ok &= (num + den) * np.minimum(left[x][:, None], left[y][None, :]) >= num * (n[x][:, None] + n[y][None, :])
                     if ci[lo] != cj[lo]:
                         ok &= m[x][:, None] != m[y][None, :]
                     second = place[x][:, None] > place[y][None, :]
@@ -442,14 +474,7 @@ def _candidates(num: int, den: int, best: int = 0) -> Callable[[pa.Table], pa.Ta
                     i, j = np.nonzero(ok)
                     if a == b:
                         i, j = i[i < j], j[i < j]
-                    if len(i):
-                        u, v = ids[a + i], ids[b + j]
-                        swap = place[a + i] < place[b + j]
-                        pairs.append(np.stack([np.where(swap, v, u), np.where(swap, u, v), np.ones(len(i), np.int64)]))
-                        held += len(i)
-                        if held > 1 << 20:
-                            pairs = [fold(pairs)]
-                            held = pairs[0].shape[1]
+                    add(a + i, b + j)
         if not pairs:
             return out_schema.empty_table()
         u = fold(pairs)

@@ -280,3 +280,56 @@ def test_only_mixed_tokens_are_counted(spark, monkeypatch):
     want = {i: [(10, 7777 + i % 3, 27 + i % 3)] for i in range(30)}
     assert {r["id"]: [tuple(x) for x in r["s"]] for r in out.collect()} == want
     assert sorted(r["tok"] for r in kept["entries"].collect()) == sorted(7777 + i % 3 for i in range(30))
+
+
+def test_keys_of_one_label_are_not_dealt(spark):
+    """Most keys are of one set: they are dropped before lists are made, and blocks are counted for the others."""
+    from corpusmill.llm.postings import shared_keys
+
+    sets = [(i, i // 2, 4, [100 + i // 2, 200 + i, 300, 301]) for i in range(8)]
+    keys = shared_keys(spark.createDataFrame(sets, "id long, label long, n long, tokens array<long>"), 1, 4)
+    assert sorted((r["id"], r["tok"], r["pos"], r["blocks"]) for r in keys.collect()) == sorted((i, t, p, 1) for i in range(8) for t, p in ((300, 2), (301, 3)))
+
+
+def test_line_rounds_deal_no_token_lists_for_keys(spark, monkeypatch, capsys):
+    """Keys are made once and carry no tokens into the rounds: only both sides of the last exact count do."""
+    from corpusmill.llm import op9_line_dedup as op9
+
+    plain, dealt = op9.stored, []
+
+    def watched(df, name, *more):
+        if name == "led":
+            capsys.readouterr()
+            df.explain("formatted")
+            dealt.append(len(re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[[^\]]*(?:tokens|ta|tb)#", capsys.readouterr().out)))
+        return plain(df, name, *more)
+
+    monkeypatch.setattr(op9, "stored", watched)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = short_lines(9)
+        got = {r["doc_id"]: (r["text"], r["n_lines_removed"]) for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == brute_lines(rows)
+    assert len(dealt) == 3 and max(dealt[1:]) <= 3, dealt
+
+
+@pytest.mark.parametrize("best", [0, 3])
+def test_short_lists_together_are_as_by_blocks(monkeypatch, best):
+    from corpusmill.llm import postings
+
+    np, pa = postings.np, postings.pa
+    r = np.random.default_rng(5)
+    n = 3000
+    tok, ids = np.unique(np.stack([r.zipf(1.4, n) % 500, r.integers(0, 400, n)]), axis=1)
+    m, other = ids % 2, r.integers(0, 2, len(ids))
+    size = r.integers(3, 20, 400)[ids]
+    cols = {"tok": tok, "id": ids, "label": ids // 2, "n": size, "pos": np.minimum(r.integers(0, 5, len(ids)), size - 1), "open": ids % 3 != 0, "o1": -(ids // 2), "o2": ids % 2, "m": m, "ci": np.minimum(m, other), "cj": np.maximum(m, other)}
+    rows = pa.table(cols)
+    together = postings._candidates(3, 4, best)(rows)
+    monkeypatch.setattr(postings, "PAIRS", 7)
+    assert together.equals(postings._candidates(3, 4, best)(rows))
+    monkeypatch.setattr(postings, "BLOCK", 1)
+    assert together.num_rows and together.equals(postings._candidates(3, 4, best)(rows))
