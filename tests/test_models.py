@@ -54,3 +54,25 @@ def test_draws_of_an_interleave(spark):
     other = sorted((r.slot, r.s, r.i) for r in interleave(df, "s", "i", weights, seed=7).collect())
     assert [x[1] for x in other[:200]] != [x[1] for x in out[:200]]
     assert interleave(df.limit(0), "s", "i", weights).count() == 0
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_fitted_nll_is_that_of_the_model(spark, order, monkeypatch):
+    """Several batches and parts, words beyond the common ones, texts that are null, empty, repeated or held out, null keys."""
+    monkeypatch.setattr(N, "COMMON", 5)
+    monkeypatch.setattr(N, "BATCH", 150)
+    monkeypatch.setattr(N, "PART", 100)
+    monkeypatch.setattr(N, "SEEN", 1)
+    r = random.Random(order)
+    rows = [(i, "x" if i % 3 else None, " ".join(r.choices([f"w{k}" for k in range(30)], weights=range(1, 31), k=r.randrange(20)))) for i in range(80)]
+    rows += [(90, "x", None), (91, "x", ""), (7, "x", "w1 w2 never"), (None, "x", "w29 w28"), (None, None, "w29 <s> w3 </s> w4"), (95, "y", "été w29")]
+    docs = spark.createDataFrame(rows, "i long, l string, text string").repartition(3)
+    fitted = docs.i % 10 != 0
+    want = N.text_nll(N.fit_ngrams(docs.where("i % 10 <> 0"), "text", order=order), docs, ["i", "l"], "text").collect()
+    got = N.fitted_nll(docs, ["i", "l"], "text", fitted, order=order).collect()
+    known = {(x.i, x.l): (x.n_words, x.nll) for x in got}
+    assert len(got) == len(known) == len(want)
+    assert all(known[x.i, x.l][0] == x.n_words and abs(known[x.i, x.l][1] - x.nll) < 1e-9 for x in want)
+    none = N.fitted_nll(docs, ["i"], "text", docs.i < 0, order=order).collect()
+    assert none and all(abs(x.nll) < 1e-12 for x in none)
+    assert N.fitted_nll(docs.limit(0), ["i"], "text", fitted, order=order).count() == 0
