@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.arrays import once
 from corpusmill.functions.text import word_list
+from corpusmill.operators.packed import packed, ranges, runs, unpacked
 from corpusmill.sources.scratch import dealt_by, written
 
 START, END = "<s>", "</s>"
@@ -87,22 +88,6 @@ def text_nll(model: NgramModel, texts: DataFrame, keep: list[str], text_col: str
     return by_text.groupBy(*keep).agg(F.sum("m").alias("n_words"), F.sum(-F.log("p") * F.col("m")).alias("nll"))
 
 
-def _packed(planes: list[np.ndarray]) -> tuple[int, bytes]:
-    """Arrays as one compressed body, their bytes by place; its size before that."""
-    body = b"".join(np.array([len(x)], np.int64).tobytes() + np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.dtype.itemsize).T).tobytes() for x in planes)
-    return len(body), pa.Codec("zstd", 3).compress(body, asbytes=True)
-
-
-def _unpacked(body: bytes, size: int, kinds: list[type]) -> list[np.ndarray]:
-    raw = pa.Codec("zstd").decompress(body, size, asbytes=True)
-    at, out = 0, []
-    for kind in kinds:
-        n, width = int(np.frombuffer(raw, np.int64, 1, at)[0]), np.dtype(kind).itemsize
-        out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * width, at + 8).reshape(width, n).T).view(kind).reshape(n))
-        at += 8 + n * width
-    return out
-
-
 def _named(words: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two bytes a word, its place in `common` from 1 on, or 0 and the word in the second array."""
     if not len(common):
@@ -152,14 +137,6 @@ def fitted_nll(texts: DataFrame, keep: list[str], text_col: str, fitted: Column,
     def rows_of(rows: list[tuple]) -> pa.Table:
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), kinds, strict=True)] if rows else [pa.array([], t) for t in kinds], names=["part", "batch", "size", "body"])
 
-    def cut(keys: np.ndarray, n: int) -> np.ndarray:
-        """Ranges of 64-bit hashes, ascending with them."""
-        return (((keys >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
-
-    def spans(keys: np.ndarray) -> list[tuple[int, int]]:
-        edges = [*np.flatnonzero(np.diff(keys, prepend=-1)), len(keys)]
-        return list(zip(edges[:-1], edges[1:], strict=True))
-
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -167,7 +144,7 @@ def fitted_nll(texts: DataFrame, keep: list[str], text_col: str, fitted: Column,
         for batch in batches:
             ends = np.cumsum(np.diff(batch.column("words").offsets.to_numpy()).astype(np.int64))
             group = np.maximum.accumulate(np.maximum((ends - 1) // batch_tokens, np.arange(len(ends)) // 60_000))
-            for a, b in spans(group):
+            for a, b in runs(group):
                 some = batch.slice(a, b - a)
                 flat = some.column("words").flatten().to_numpy(zero_copy_only=False).view(np.uint64)
                 size = np.diff(some.column("words").offsets.to_numpy()).astype(np.int64)
@@ -179,12 +156,12 @@ def fitted_nll(texts: DataFrame, keep: list[str], text_col: str, fitted: Column,
                 last = flat[at - 1]
                 words = [_named(flat[at - k], common)[0] for k in others]
                 fits = some.column("fitted").to_numpy(zero_copy_only=False).astype(np.uint8)[owner]
-                rows = [(-1 - number, number, *_packed([some.column("text").to_numpy().view(np.uint64)]))]
-                for x, y in spans(part := cut(last, parts)):
+                rows = [(-1 - number, number, *packed([some.column("text").to_numpy().view(np.uint64)]))]
+                for x, y in runs(part := ranges(last, parts)):
                     planes = [last[x:y], owner[x:y], fits[x:y]]
                     for k, code in zip(others, words, strict=True):
                         planes += [code[x:y], flat[at[x:y] - k][code[x:y] == 0]]
-                    rows.append((int(part[x]), number, *_packed(planes)))
+                    rows.append((int(part[x]), number, *packed(planes)))
                 number += 1
                 yield from rows_of(rows).to_batches()
 
@@ -193,7 +170,7 @@ def fitted_nll(texts: DataFrame, keep: list[str], text_col: str, fitted: Column,
         the words, the last one and those before it, by distance; the words by code."""
         n, text, fits, words = [], [], [], [[] for _ in range(order)]
         for body, size in zip(table.column("body").to_pylist(), table.column("size").to_pylist(), strict=True):
-            last, at, fit, *rest = _unpacked(body, size, [np.uint64, np.uint16, np.uint8, *[np.uint16, np.uint64] * (order - 1)])
+            last, at, fit, *rest = unpacked(body, size, [np.uint64, np.uint16, np.uint8, *[np.uint16, np.uint64] * (order - 1)])
             n.append(len(at))
             text.append(at)
             fits.append(fit.astype(bool))
@@ -211,19 +188,19 @@ def fitted_nll(texts: DataFrame, keep: list[str], text_col: str, fitted: Column,
         _, _, fits, code, words = opened(table)
         pair = np.unique(code[1][fits] * len(words[0]) + code[0][fits])
         n = np.bincount(pair % len(words[0]), minlength=len(words[0]))
-        at = cut(words[0], parts)
-        return rows_of([(int(at[x]), me, *_packed([np.diff(words[0][x:y], prepend=np.uint64(0)), n[x:y]])) for x, y in spans(at)])
+        at = ranges(words[0], parts)
+        return rows_of([(int(at[x]), me, *packed([np.diff(words[0][x:y], prepend=np.uint64(0)), n[x:y]])) for x, y in runs(at)])
 
     def added(table: pa.Table) -> pa.Table:
         """What the parts of a range sent, with sums over all parts in the place of their own; first, for no part, the sum of all words
         and the number of those that have one."""
-        sent = [_unpacked(body, size, [np.uint64, np.int64]) for body, size in zip(table.column("body").to_pylist(), table.column("size").to_pylist(), strict=True)]
+        sent = [unpacked(body, size, [np.uint64, np.int64]) for body, size in zip(table.column("body").to_pylist(), table.column("size").to_pylist(), strict=True)]
         sent = [(np.cumsum(steps, dtype=np.uint64), n) for steps, n in sent]
         word, code = np.unique(np.concatenate([w for w, _ in sent]), return_inverse=True)
         total = np.zeros(len(word), np.int64)
         np.add.at(total, code, np.concatenate([n for _, n in sent]))
         edges = np.cumsum([len(w) for w, _ in sent])
-        answers = [(part, table.column("part")[0].as_py(), *_packed([total[c]])) for part, c in zip(table.column("batch").to_pylist(), np.split(code, edges[:-1]), strict=True)]
+        answers = [(part, table.column("part")[0].as_py(), *packed([total[c]])) for part, c in zip(table.column("batch").to_pylist(), np.split(code, edges[:-1]), strict=True)]
         return rows_of([(None, int(total.sum()), int((total > 0).sum()), b""), *answers])
 
     def scored(table: pa.Table, lowest: pa.Table) -> pa.Table:
@@ -233,7 +210,7 @@ def fitted_nll(texts: DataFrame, keep: list[str], text_col: str, fitted: Column,
         per_batch, text, fits, code, words = opened(table)
         # The lowest order: a word's share, and what is left to all words alike.
         lowest = lowest.sort_by("range")
-        n1 = np.concatenate([_unpacked(body, size, [np.int64])[0] for body, size in zip(lowest.column("body").to_pylist(), lowest.column("size").to_pylist(), strict=True)])
+        n1 = np.concatenate([unpacked(body, size, [np.int64])[0] for body, size in zip(lowest.column("body").to_pylist(), lowest.column("size").to_pylist(), strict=True)])
         total, kinds = lowest.column("total")[0].as_py(), lowest.column("kinds")[0].as_py()
         base = np.maximum(n1 - discount, 0.0) / max(total, 1) + (discount * kinds / total if total else 1.0) / (kinds + 1)
         # Grams and contexts of each order from two on, as numbers; of a gram, that of the next lower order and its context.
@@ -258,24 +235,24 @@ def fitted_nll(texts: DataFrame, keep: list[str], text_col: str, fitted: Column,
         rows, nll, end = [], -np.log(p)[gram], np.cumsum(per_batch)
         for batch, x, y in zip(table.column("batch").to_pylist(), end - per_batch, end, strict=True):
             m, sums = np.bincount(text[x:y]), np.bincount(text[x:y], nll[x:y])
-            rows.append((0, batch, *_packed([m.astype(np.uint32), sums[m > 0]])))
+            rows.append((0, batch, *packed([m.astype(np.uint32), sums[m > 0]])))
         return rows_of(rows)
 
     def summed(table: pa.Table) -> pa.Table:
         """The sums of a batch's texts, all parts together."""
-        packed = list(zip(table.column("part").to_pylist(), table.column("size").to_pylist(), table.column("body").to_pylist(), strict=True))
-        names = next(_unpacked(body, size, [np.uint64])[0] for part, size, body in packed if part < 0)
+        bodies = list(zip(table.column("part").to_pylist(), table.column("size").to_pylist(), table.column("body").to_pylist(), strict=True))
+        names = next(unpacked(body, size, [np.uint64])[0] for part, size, body in bodies if part < 0)
         n, nll = np.zeros(len(names), np.int64), np.zeros(len(names))
-        for m, sums in (_unpacked(body, size, [np.uint32, np.float64]) for part, size, body in packed if part >= 0):
+        for m, sums in (unpacked(body, size, [np.uint32, np.float64]) for part, size, body in bodies if part >= 0):
             n[: len(m)] += m
             nll[np.flatnonzero(m)] += sums
         return pa.table([pa.array(names.view(np.int64)), pa.array(n), pa.array(nll)], names=["text", "n", "nll"])
 
     # One query: the exchange of the pieces is made once and read for both steps, as is that of the words.
     pieces = hashed.mapInArrow(deal, schema)
-    ranges = pieces.groupBy("part").applyInArrow(followed, schema).groupBy("part").applyInArrow(added, schema)
-    sums = ranges.where("part is null").agg(F.coalesce(F.sum("batch"), F.lit(0)).alias("total"), F.coalesce(F.sum("size"), F.lit(0)).alias("kinds"))
-    lowest = ranges.where("part is not null").select(F.col("part").alias("at"), F.col("batch").alias("range"), "size", "body").crossJoin(F.broadcast(sums))
+    by_range = pieces.groupBy("part").applyInArrow(followed, schema).groupBy("part").applyInArrow(added, schema)
+    sums = by_range.where("part is null").agg(F.coalesce(F.sum("batch"), F.lit(0)).alias("total"), F.coalesce(F.sum("size"), F.lit(0)).alias("kinds"))
+    lowest = by_range.where("part is not null").select(F.col("part").alias("at"), F.col("batch").alias("range"), "size", "body").crossJoin(F.broadcast(sums))
     sent = pieces.groupBy("part").cogroup(lowest.groupBy("at")).applyInArrow(scored, schema)
     by_text = sent.groupBy("batch").applyInArrow(summed, "text long, n long, nll double").groupBy("text").agg(F.sum("n").alias("n_words"), F.sum("nll").alias("nll"))
     names = texts.select(*keep, key.alias("text")).distinct()
