@@ -10,7 +10,7 @@ from conftest import DATA
 from corpusmill.plans.registry import QUERIES
 
 #: Bytes shuffled and stored by byte of documents: what the query takes of these small tables, and half as much again.
-MOST = {"text_nll": 8, "text_perplexity": 8, "near_dup_pairs": 8}
+MOST = {"text_nll": 8, "text_perplexity": 8, "near_dup_pairs": 8, "near_dup_keep": 8}
 
 
 def moved(spark) -> int:
